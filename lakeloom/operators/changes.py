@@ -25,6 +25,10 @@ def latest_per_key(log: DataFrame, keys, seq_col: str, cols=None) -> DataFrame:
     """
     keys = list(keys)
     cols = [c for c in (cols if cols is not None else log.columns) if c not in keys and c != seq_col]
+    if not cols:
+        # Fixed-width buffer: a hash aggregate with whole-stage codegen.
+        return log.groupBy(*keys).agg(F.max(seq_col).alias(seq_col))
+    # A struct buffer is not fixed-width, so Spark plans a (partial) sort aggregate.
     packed = F.max(F.struct(F.col(seq_col), *[F.col(c) for c in cols])).alias(_LAST)
     return log.groupBy(*keys).agg(packed).select(*keys, *[F.col(f"{_LAST}.{c}").alias(c) for c in [seq_col, *cols]])
 
@@ -57,8 +61,11 @@ def latest_deleted_keys(
     """
     keys = list(keys)
     win = window_filter(log, time_col, since, until)
-    last = latest_per_key(win.select(*keys, seq_col, op_col), keys, seq_col, [op_col])
-    return last.where(F.col(op_col) == F.lit(delete_op)).select(*keys)
+    # max_by over (boolean, sequence) keeps a fixed-width buffer: hash aggregate,
+    # combined map-side, so a hot key is reduced in every task before the shuffle.
+    is_delete = F.coalesce(F.col(op_col) == F.lit(delete_op), F.lit(False))
+    last = win.groupBy(*keys).agg(F.max_by(is_delete, F.col(seq_col)).alias("_deleted"))
+    return last.where(F.col("_deleted")).select(*keys)
 
 
 def change_log(before: DataFrame, after: DataFrame, keys, compare_cols=None, payload: bool = True) -> DataFrame:

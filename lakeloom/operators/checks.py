@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.functions.keys import any_null
 from lakeloom.plans.broadcast import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, maybe_broadcast
 
 
@@ -72,13 +73,14 @@ def orphans(
     """Child rows whose foreign key has no parent (rows with a NULL key are
     not orphans, as in SQL foreign keys).
 
-    The parent side is reduced to its distinct key values; it is broadcast
-    only when a bounded count shows it small, else the anti join is a
-    sort-merge join (AQE can split a skewed child partition there).
+    Only the parent key columns are read. They are broadcast only when a
+    bounded count shows them small; otherwise the anti join is a sort-merge
+    join, where AQE can split a skewed child partition.
     """
     fk_cols = list(fk_cols)
     parent_cols = list(parent_cols or fk_cols)
-    pkeys = parent.select(*[F.col(p).alias(f) for p, f in zip(parent_cols, fk_cols)]).distinct()
+    # Parent columns are a key, so no distinct (and no extra shuffle) is needed.
+    pkeys = parent.select(*[F.col(p).alias(f) for p, f in zip(parent_cols, fk_cols)])
     pkeys, _ = maybe_broadcast(pkeys, max_broadcast_rows, max_broadcast_bytes)
     live = child
     for c in fk_cols:
@@ -100,7 +102,9 @@ def require_not_null(df: DataFrame, columns, what: str = "batch") -> None:
 
 
 def require_keys_valid(df: DataFrame, keys, what: str = "batch", sample: int = 5) -> None:
-    """One pass for NULL keys, one aggregation for duplicates."""
+    """NULL keys and duplicate keys in one aggregation (NULL keys group together)."""
     keys = list(keys)
-    require_not_null(df, keys, what)
-    require_unique_keys(df, keys, what, sample)
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    bad = counted.where((F.col("n") > 1) | any_null(keys)).limit(sample).collect()
+    if bad:
+        raise CheckFailed(f"{what}: NULL or duplicate keys, e.g. {[tuple(r) for r in bad]}")

@@ -34,7 +34,10 @@ def next_in_key(df: DataFrame, keys, seq_col: str, value_cols, prefix: str = "ne
     keys = list(keys)
     value_cols = list(value_cols)
     tracked = [seq_col] + [c for c in value_cols if c != seq_col]
-    d = df.withColumn(_BKT, F.floor(F.col(seq_col) / F.lit(bucket_width)))
+    # Exact integer floor division (no detour through double).
+    w_ = int(bucket_width)
+    seq = f"CAST(`{seq_col}` AS BIGINT)"
+    d = df.withColumn(_BKT, F.expr(f"({seq} - pmod({seq}, {w_})) div {w_}"))
     w = Window.partitionBy(*keys, _BKT).orderBy(seq_col)
     d = d.select("*", *[F.lead(c).over(w).alias(prefix + c) for c in tracked])
 

@@ -1,20 +1,23 @@
 """Control table: per loaded table, the last version consumed, versions to
 skip (rolled back), the last run time and the high-water mark.
 
-It is itself a snapshot table; every change is a keyed merge of one row, so
-the same merge operator that loads business tables maintains it.
+It is metadata, kept as small JSON documents next to the tables
+(``<path>/<table>/<seq>.json``, newest wins, never overwritten), so updating
+it costs a file write rather than a Spark job. ``frame()`` exposes the
+current rows as a DataFrame for joins such as ``pending_versions``.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.operators.merge import merge
-from lakeloom.sources.snapshots import SnapshotTable
+from lakeloom.plans.workspace import list_dirs, list_files, read_text, write_text
+from lakeloom.spec import check_identifier
 
 CONTROL_SCHEMA = T.StructType(
     [
@@ -25,7 +28,6 @@ CONTROL_SCHEMA = T.StructType(
         T.StructField("high_water_mark", T.StringType(), True),
     ]
 )
-_KEY = ["delta_table_name"]
 
 
 def _encode_mark(value) -> str | None:
@@ -47,31 +49,38 @@ def _decode_mark(text: str | None, like):
 class ControlTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
-        self.table = SnapshotTable(spark, path)
+        self.path = path.rstrip("/")
 
-    def frame(self) -> DataFrame:
-        return self.table.read_or_empty(CONTROL_SCHEMA)
+    def _docs(self, name: str) -> list[str]:
+        return [n for n in list_files(self.spark, f"{self.path}/{check_identifier(name)}") if n.endswith(".json")]
 
-    def row(self, name: str):
-        rows = self.frame().where(F.col("delta_table_name") == name).collect()
-        return rows[0] if rows else None
+    def row(self, name: str) -> Row | None:
+        docs = self._docs(name)
+        if not docs:
+            return None
+        d = json.loads(read_text(self.spark, f"{self.path}/{name}/{docs[-1]}"))
+        ts = d.get("last_run_timestamp")
+        d["last_run_timestamp"] = dt.datetime.fromisoformat(ts) if ts else None
+        return Row(**{f.name: d.get(f.name) for f in CONTROL_SCHEMA.fields})
 
-    def upsert(self, rows: DataFrame) -> None:
-        """Merge control rows in by table name (incremental merge, no deletes)."""
-        rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in CONTROL_SCHEMA.fields])
-        merged = merge(self.frame(), rows, _KEY, mode="incremental", strategy="full_outer")
-        self.table.write(merged, operation="control upsert")
+    def frame(self) -> DataFrame:
+        rows = [self.row(n) for n in list_dirs(self.spark, self.path)]
+        return self.spark.createDataFrame([tuple(r) for r in rows if r is not None], CONTROL_SCHEMA)
 
     def _put(self, name, last_version=None, skip=None, run_ts=None, mark=None) -> None:
         old = self.row(name)
-        values = (
-            name,
-            last_version if last_version is not None else (old.last_version_run if old else None),
-            skip if skip is not None else (old.skip_versions if old else None),
-            run_ts if run_ts is not None else (old.last_run_timestamp if old else None),
-            mark if mark is not None else (old.high_water_mark if old else None),
-        )
-        self.upsert(self.spark.createDataFrame([values], CONTROL_SCHEMA))
+        doc = {
+            "delta_table_name": name,
+            "last_version_run": last_version if last_version is not None else (old.last_version_run if old else None),
+            "skip_versions": skip if skip is not None else (old.skip_versions if old else None),
+            "last_run_timestamp": run_ts if run_ts is not None else (old.last_run_timestamp if old else None),
+            "high_water_mark": mark if mark is not None else (old.high_water_mark if old else None),
+        }
+        if isinstance(doc["last_run_timestamp"], dt.datetime):
+            doc["last_run_timestamp"] = doc["last_run_timestamp"].isoformat(sep=" ")
+        docs = self._docs(name)
+        seq = int(docs[-1].split(".")[0]) + 1 if docs else 0
+        write_text(self.spark, f"{self.path}/{name}/{seq:020d}.json", json.dumps(doc))
 
     # --- high-water mark (kept here so an empty batch cannot reset it) -----
     def high_water_mark(self, name: str, floor):

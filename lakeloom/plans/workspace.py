@@ -56,3 +56,30 @@ def total_bytes(spark: SparkSession, path: str) -> int:
     if not fs.exists(p):
         return 0
     return int(fs.getContentSummary(p).getLength())
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Create a small metadata file; fails if it already exists (so two
+    writers cannot both claim the same commit name)."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, False)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isFile())

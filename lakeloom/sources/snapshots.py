@@ -2,28 +2,31 @@
 
 Layout::
 
-    <path>/v=<n>/        data written by commit n (parquet)
-    <path>/_log/         one small parquet file per commit:
-                         (version, data_version, operation, rows, written_at)
-
-A commit writes its data first and appends its log row after; readers take
-the highest ``version`` in the log, so a half-written data directory is never
-served. ``restore`` is a commit whose ``data_version`` points at an older
-commit's data (nothing is copied). This is a loading convention for a single
-writer per table, not a transaction log; where Delta or Iceberg is
-installed, point these calls at it instead.
+    <path>/v=<n>/                 data written by commit n (parquet)
+    <path>/_log/<n, 20 digits>.json
+                                  one small document per commit:
+                                  version, data_version, operation, rows, written_at
+
+A commit writes its data first and its log document after; readers take the
+highest commit in the log, so a half-written data directory is never served.
+Log documents are created with overwrite disabled, so a second writer racing
+for the same version fails instead of replacing a commit. ``restore`` is a
+commit whose ``data_version`` points at an older commit's data (nothing is
+copied). This is a loading convention for a single writer per table, not a
+transaction log; where Delta or Iceberg is installed, point these calls at it.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+import json
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.plans.workspace import path_exists
+from lakeloom.plans.workspace import list_files, read_text, write_text
 
 LOG_SCHEMA = T.StructType(
     [
@@ -42,6 +45,7 @@ class Commit:
     data_version: int
     operation: str
     rows: int | None
+    written_at: str = ""
 
 
 class SnapshotTable:
@@ -57,33 +61,42 @@ class SnapshotTable:
     def data_path(self, data_version: int) -> str:
         return f"{self.path}/v={data_version}"
 
-    def exists(self) -> bool:
-        return path_exists(self.spark, self.log_path)
+    def _log_names(self) -> list[str]:
+        return [n for n in list_files(self.spark, self.log_path) if n.endswith(".json")]
 
-    def history(self) -> DataFrame:
-        """Commit history, newest first (one row per commit; metadata only)."""
-        if not self.exists():
-            return self.spark.createDataFrame([], LOG_SCHEMA)
-        return self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path).orderBy(F.col("version").desc())
+    def _load(self, name: str) -> Commit:
+        return Commit(**json.loads(read_text(self.spark, f"{self.log_path}/{name}")))
+
+    def exists(self) -> bool:
+        return bool(self._log_names())
 
     def _commits(self) -> list[Commit]:
-        # The log has one tiny row per commit; reading it on the driver is metadata access.
-        rows = self.history().collect()
-        return [Commit(r.version, r.data_version, r.operation, r.rows) for r in rows]
+        """All commits, newest first (metadata only; one small file each)."""
+        return [self._load(n) for n in reversed(self._log_names())]
+
+    def history(self) -> DataFrame:
+        """Commit history as a DataFrame, newest first."""
+        rows = [
+            (c.version, c.data_version, c.operation, c.rows, dt.datetime.fromisoformat(c.written_at))
+            for c in self._commits()
+        ]
+        return self.spark.createDataFrame(rows, LOG_SCHEMA)
 
     def current(self) -> Commit | None:
-        commits = self._commits()
-        return commits[0] if commits else None
+        names = self._log_names()
+        return self._load(names[-1]) if names else None
 
     def commit(self, version: int) -> Commit:
-        for c in self._commits():
-            if c.version == version:
-                return c
-        raise KeyError(f"{self.path}: no version {version}")
-
-    def _append_log(self, commit: Commit) -> None:
-        row = (commit.version, commit.data_version, commit.operation, commit.rows, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
-        self.spark.createDataFrame([row], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self.log_path)
+        name = f"{version:020d}.json"
+        if name not in self._log_names():
+            raise KeyError(f"{self.path}: no version {version}")
+        return self._load(name)
+
+    def _append_log(self, commit: Commit) -> Commit:
+        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
+        commit = Commit(commit.version, commit.data_version, commit.operation, commit.rows, now)
+        write_text(self.spark, f"{self.log_path}/{commit.version:020d}.json", json.dumps(asdict(commit)))
+        return commit
 
     # --- read / write --------------------------------------------------
     def read(self, version: int | None = None) -> DataFrame:
@@ -109,8 +122,7 @@ class SnapshotTable:
         observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *(observe or []))
         observed.write.mode("errorifexists").parquet(self.data_path(version))
         metrics = obs.get
-        commit = Commit(version, version, operation, int(metrics["rows"]))
-        self._append_log(commit)
+        commit = self._append_log(Commit(version, version, operation, int(metrics["rows"])))
         return commit, metrics
 
     def create_empty(self, schema: T.StructType) -> Commit:
@@ -125,9 +137,7 @@ class SnapshotTable:
         """Serve an older version again, as a new commit (no data is copied)."""
         target = self.commit(version)
         current = self.current()
-        commit = Commit(current.version + 1, target.data_version, f"restore {version}", target.rows)
-        self._append_log(commit)
-        return commit
+        return self._append_log(Commit(current.version + 1, target.data_version, f"restore {version}", target.rows))
 
     def count_files(self, version: int | None = None) -> int:
         """Row count of a version read back from storage (parquet footers)."""
