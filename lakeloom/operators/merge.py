@@ -75,7 +75,7 @@ def _action(mode: str, has_delete: bool, delete_col: str, compare, newer_col: st
 
 def _project(joined: DataFrame, cols, action: Column) -> DataFrame:
     a = joined.withColumn(ACTION, action)
-    from_source = F.col(ACTION).isin(INSERT, UPDATE)
+    from_source = F.col(ACTION).isin(INSERT, UPDATE, IGNORE)  # ignore: only the batch side exists
     return a.select(
         *[F.when(from_source, F.col(_S + c)).otherwise(F.col(_T + c)).alias(c) for c in cols],
         F.col(ACTION),

@@ -34,11 +34,36 @@ def stage_batch(live: DataFrame, delete_keys: DataFrame | None = None, flag: str
     return staged.unionByName(tombstones(delete_keys, flag), allowMissingColumns=True)
 
 
+# Any string Spark can cast to an integral type has this shape (padding,
+# optional sign, digits, optional fraction); it is a superset, so a value not
+# matching it certainly fails and skips the costly failing-cast path, while a
+# matching value is still decided by try_cast itself.
+_PAD = r"[\p{javaWhitespace}\p{Cntrl}\x{80}-\x{9F}]*"
+_INTEGRAL_SHAPE = rf"^{_PAD}[+-]?[0-9]*(\.[0-9]*)?{_PAD}$"
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _as_type(target_type):
+    return T._parse_datatype_string(target_type) if isinstance(target_type, str) else target_type
+
+
+def safe_cast(col, source_type: T.DataType, target_type):
+    """``try_cast`` with the integral shape shortcut: NULL when the cast fails."""
+    target_type = _as_type(target_type)
+    if isinstance(source_type, T.StringType) and isinstance(target_type, _INTEGRAL):
+        return F.when(col.rlike(_INTEGRAL_SHAPE), col.try_cast(target_type))
+    return col.try_cast(target_type)
+
+
+def cast_fails(col, source_type: T.DataType, target_type):
+    """True when a non-NULL value does not survive ``try_cast`` to ``target_type``."""
+    return col.isNotNull() & safe_cast(col, source_type, target_type).isNull()
+
+
 def _failed(name: str, source_type: T.DataType, target_type: T.DataType):
-    """True when a non-NULL value does not survive the cast."""
     if source_type == target_type:
         return None
-    return F.col(name).isNotNull() & F.col(name).try_cast(target_type).isNull()
+    return cast_fails(F.col(name), source_type, target_type)
 
 
 def conform(df: DataFrame, schema: T.StructType, rename: dict | None = None, keep=(DELETE_FLAG,)) -> DataFrame:
@@ -61,7 +86,7 @@ def conform(df: DataFrame, schema: T.StructType, rename: dict | None = None, kee
             if not f.nullable:
                 checks.append(F.when(~is_tomb, F.lit(f.name)))
             continue
-        outs.append(F.col(name).try_cast(f.dataType).alias(f.name))
+        outs.append(safe_cast(F.col(name), src[name], f.dataType).alias(f.name))
         bad = _failed(name, src[name], f.dataType)
         if bad is not None:
             checks.append(F.when(bad, F.lit(f.name)))
@@ -87,5 +112,6 @@ def conform_schema(df: DataFrame, schema: T.StructType, rename: dict | None = No
 
 def cast_rejects(df: DataFrame, columns: dict) -> DataFrame:
     """Rows where some listed column fails its cast: ``{column: target_type}``."""
-    conds = [F.col(c).isNotNull() & F.col(c).try_cast(t).isNull() for c, t in columns.items()]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    conds = [cast_fails(F.col(c), types[c], t) for c, t in columns.items()]
     return df.where(reduce(lambda a, b: a | b, conds))
