@@ -31,7 +31,7 @@ from lakeloom.operators.numbering import number_rows
 from lakeloom.operators.staging import DELETE_FLAG, REJECT_COL, conform, stage_batch
 from lakeloom.plans.broadcast import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS
 from lakeloom.plans.control import ControlTable
-from lakeloom.sources.snapshots import SnapshotTable
+from lakeloom.sources.snapshots import SnapshotTable, bucket_of
 from lakeloom.spec import TableSpec
 
 ROW_NUMBER = "row_number"
@@ -103,7 +103,7 @@ def stage_table(
         extra.append(F.max(F.when(live_ok, F.col(spec.update_col))).alias("max_mark"))
     before = staging.current()
     commit, m = staging.write(staged, operation=f"stage {spec.load_mode.value}", observe=extra)
-    check = count_check(m["rows"], staging.count_files(commit.version))
+    check = count_check(m["rows"], staging.stored_rows(commit.version))
     if not check.ok:
         if before is not None:
             staging.restore(before.version)
@@ -141,13 +141,24 @@ def merge_table(
         require_keys_valid(batch, spec.keys, what=f"{spec.name} batch")
     target_schema = batch.drop(DELETE_FLAG).schema
     before = current.current()
-    target = current.read() if before is not None else spark.createDataFrame([], target_schema)
+    touched = None
+    if current.bucketed and not spec.is_full and before is not None and before.manifest is not None:
+        # Bucket-scoped merge: only the buckets holding batch keys are read and
+        # rewritten; the rest of the table is carried forward by reference.
+        # At most ``current.buckets`` ids reach the driver.
+        ids = batch.select(bucket_of(spec.keys, current.buckets).alias("b")).distinct().collect()
+        touched = sorted(r["b"] for r in ids)
+        target = current.read(buckets=touched)
+    elif before is not None:
+        target = current.read()
+    else:
+        target = spark.createDataFrame([], target_schema)
     mode = spec.load_mode.value
     plan = choose_strategy(batch, mode, strategy, DEFAULT_MAX_ROWS, DEFAULT_MAX_BYTES)
     newer = spec.update_col if spec.newer_than_guard else None
     actions = merge_actions(target, batch, spec.keys, mode, newer_col=newer, strategy=plan)
     observed, obs = observe_actions(actions)
-    commit, _ = current.write(merged_rows(observed), operation=f"merge {mode}")
+    commit, _ = current.write(merged_rows(observed), operation=f"merge {mode}", replace_buckets=touched)
     counts = obs.get
     if spec.is_full:
         expected = counts[INSERT] + counts[UPDATE] + counts[UNCHANGED]
@@ -156,7 +167,7 @@ def merge_table(
         expected = (prev_rows or 0) + counts[INSERT] - counts[DELETE]
     if expected_override is not None:
         expected = expected_override
-    check = count_check(expected, current.count_files(commit.version))
+    check = count_check(expected, current.stored_rows(commit.version))
     if not check.ok:
         if before is not None:
             current.restore(before.version)
@@ -166,11 +177,13 @@ def merge_table(
     return MergeResult(commit.version, plan, dict(counts), check)
 
 
-def run_tables(spark, specs, sources: dict, audits: dict, root: str, run_ts, strategy: str = "auto") -> dict:
+def run_tables(spark, specs, sources: dict, audits: dict, root: str, run_ts, strategy: str = "auto", buckets: int = 0) -> dict:
     """Stage and merge every non-skipped table, parents first.
 
     ``sources`` / ``audits`` map table name → DataFrame (JDBC, parquet, ...).
-    Tables live under ``root/<layer>/<table>``; the control table under ``root/_control``.
+    Tables live under ``root/<layer>/<table>``; the control table under
+    ``root/_control``. ``buckets > 0`` stores business-current tables bucketed
+    by key so incremental merges rewrite only touched buckets.
     """
     control = ControlTable(spark, f"{root}/_control")
     results = {}
@@ -178,7 +191,7 @@ def run_tables(spark, specs, sources: dict, audits: dict, root: str, run_ts, str
         if spec.skip:
             continue
         staging = SnapshotTable(spark, f"{root}/staging/{spec.name}")
-        current = SnapshotTable(spark, f"{root}/current/{spec.name}")
+        current = SnapshotTable(spark, f"{root}/current/{spec.name}", spec.keys if buckets else None, buckets)
         st = stage_table(spark, spec, sources[spec.name], audits.get(spec.name), staging, control, run_ts)
         mg = merge_table(spark, spec, staging, current, control, run_ts, strategy)
         results[spec.name] = (st, mg)

@@ -3,31 +3,40 @@
 Layout::
 
     <path>/v=<n>/                 data written by commit n (parquet)
+    <path>/v=<n>/_bucket=<b>/     ... or, for a bucketed table, one directory per bucket
     <path>/_log/<n, 20 digits>.json
-                                  one small document per commit:
-                                  version, data_version, operation, rows, written_at
+                                  one small document per commit: version, data_version,
+                                  operation, rows, written_at, schema, manifest
 
 A commit writes its data first and its log document after; readers take the
 highest commit in the log, so a half-written data directory is never served.
 Log documents are created with overwrite disabled, so a second writer racing
 for the same version fails instead of replacing a commit. ``restore`` is a
-commit whose ``data_version`` points at an older commit's data (nothing is
-copied). This is a loading convention for a single writer per table, not a
-transaction log; where Delta or Iceberg is installed, point these calls at it.
+commit pointing at an older commit's data (nothing is copied). This is a
+loading convention for a single writer per table, not a transaction log;
+where Delta or Iceberg is installed, point these calls at it.
+
+Bucketed tables (``bucket_keys`` + ``buckets``) place each row in
+``pmod(hash(keys), buckets)``. A commit's ``manifest`` maps every non-empty
+bucket to ``[data_version, rows]``; a write may replace only some buckets and
+carry the others forward by reference. That is what lets an incremental merge
+rewrite the buckets its batch touches instead of the whole table.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.plans.workspace import list_files, read_text, write_text
 
+BUCKET = "_bucket"
+
 LOG_SCHEMA = T.StructType(
     [
         T.StructField("version", T.LongType(), False),
@@ -46,12 +55,25 @@ class Commit:
     operation: str
     rows: int | None
     written_at: str = ""
+    schema: str | None = None
+    manifest: dict | None = field(default=None)  # bucketed tables: {"b": [data_version, rows]}
+
+
+def bucket_of(keys, buckets: int) -> Column:
+    """Bucket id of a row: the same Murmur3 hash Spark uses for hash partitioning."""
+    return F.pmod(F.hash(*[F.col(k) for k in keys]), F.lit(buckets))
 
 
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, bucket_keys=None, buckets: int = 0):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.bucket_keys = tuple(bucket_keys) if bucket_keys else None
+        self.buckets = int(buckets) if bucket_keys else 0
+
+    @property
+    def bucketed(self) -> bool:
+        return self.buckets > 0
 
     # --- paths and log -------------------------------------------------
     @property
@@ -94,36 +116,73 @@ class SnapshotTable:
 
     def _append_log(self, commit: Commit) -> Commit:
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
-        commit = Commit(commit.version, commit.data_version, commit.operation, commit.rows, now)
-        write_text(self.spark, f"{self.log_path}/{commit.version:020d}.json", json.dumps(asdict(commit)))
-        return commit
-
-    # --- read / write --------------------------------------------------
-    def read(self, version: int | None = None) -> DataFrame:
+        d = asdict(commit)
+        d["written_at"] = now
+        write_text(self.spark, f"{self.log_path}/{commit.version:020d}.json", json.dumps(d))
+        return Commit(**d)
+
+    # --- read ------------------------------------------------------------
+    def read(self, version: int | None = None, buckets=None) -> DataFrame:
+        """A version's rows; for bucketed tables optionally only some buckets."""
         c = self.current() if version is None else self.commit(version)
         if c is None:
             raise FileNotFoundError(f"{self.path}: no committed version")
-        return self.spark.read.parquet(self.data_path(c.data_version))
+        if c.manifest is None:
+            return self.spark.read.parquet(self.data_path(c.data_version))
+        schema = T.StructType.fromJson(json.loads(c.schema))
+        wanted = c.manifest.keys() if buckets is None else [str(b) for b in buckets if str(b) in c.manifest]
+        paths = [f"{self.data_path(c.manifest[b][0])}/{BUCKET}={b}" for b in sorted(wanted, key=int)]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
 
     def read_or_empty(self, schema: T.StructType, version: int | None = None) -> DataFrame:
         if not self.exists():
             return self.spark.createDataFrame([], schema)
         return self.read(version)
 
-    def write(self, df: DataFrame, operation: str = "write", observe: list | None = None):
+    def bucket_rows(self, version: int | None = None) -> dict:
+        c = self.current() if version is None else self.commit(version)
+        return {int(b): v[1] for b, v in (c.manifest or {}).items()}
+
+    # --- write -----------------------------------------------------------
+    def write(self, df: DataFrame, operation: str = "write", observe: list | None = None, replace_buckets=None):
         """Write ``df`` as a new version. Returns ``(Commit, metrics)``.
 
-        The row count (and any extra ``observe`` aggregate columns) ride on
-        the write through an ``Observation``; no second pass is made.
+        The row count (and any extra ``observe`` aggregate columns) ride on the
+        write through an ``Observation``. For a bucketed table, ``replace_buckets``
+        names the buckets ``df`` replaces; every other bucket of the current
+        version is carried forward unchanged (``None`` replaces all).
         """
         current = self.current()
         version = 0 if current is None else current.version + 1
         obs = Observation(f"snapshot_{version}")
         observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *(observe or []))
-        observed.write.mode("errorifexists").parquet(self.data_path(version))
+        out = self.data_path(version)
+        if not self.bucketed:
+            observed.write.mode("errorifexists").parquet(out)
+            metrics = obs.get
+            commit = Commit(version, version, operation, int(metrics["rows"]), schema=df.schema.json())
+            return self._append_log(commit), metrics
+
+        # One task per bucket keeps one file per bucket, whatever the input partitioning.
+        n_out = self.buckets if replace_buckets is None else max(1, min(self.buckets, len(replace_buckets)))
+        bucketed = observed.withColumn(BUCKET, bucket_of(self.bucket_keys, self.buckets))
+        bucketed.repartition(n_out, BUCKET).write.mode("errorifexists").partitionBy(BUCKET).parquet(out)
         metrics = obs.get
-        commit = self._append_log(Commit(version, version, operation, int(metrics["rows"])))
-        return commit, metrics
+        # Rows per written bucket, read back from storage (one row per bucket).
+        written = {}
+        if metrics["rows"]:
+            counts = self.spark.read.option("basePath", out).parquet(out).groupBy(BUCKET).count().collect()
+            written = {str(r[BUCKET]): [version, int(r["count"])] for r in counts}
+        base = {}
+        if current is not None and current.manifest is not None and replace_buckets is not None:
+            gone = {str(b) for b in replace_buckets}
+            base = {b: v for b, v in current.manifest.items() if b not in gone}
+        manifest = {**base, **written}
+        rows = sum(v[1] for v in manifest.values())
+        commit = Commit(version, version, operation, rows, schema=df.schema.json(), manifest=manifest)
+        return self._append_log(commit), metrics
 
     def create_empty(self, schema: T.StructType) -> Commit:
         """Create the table with no rows if it has no version yet (idempotent)."""
@@ -135,10 +194,18 @@ class SnapshotTable:
 
     def restore(self, version: int) -> Commit:
         """Serve an older version again, as a new commit (no data is copied)."""
-        target = self.commit(version)
+        t = self.commit(version)
         current = self.current()
-        return self._append_log(Commit(current.version + 1, target.data_version, f"restore {version}", target.rows))
+        commit = Commit(current.version + 1, t.data_version, f"restore {version}", t.rows, schema=t.schema, manifest=t.manifest)
+        return self._append_log(commit)
 
-    def count_files(self, version: int | None = None) -> int:
-        """Row count of a version read back from storage (parquet footers)."""
+    def stored_rows(self, version: int | None = None) -> int:
+        """Row count of a version as stored. Unbucketed: read back (parquet
+        footers). Bucketed: the manifest, whose per-bucket counts were read
+        back from storage when each bucket was written."""
+        c = self.current() if version is None else self.commit(version)
+        if c.manifest is not None:
+            return sum(v[1] for v in c.manifest.values())
         return self.read(version).count()
+
+    count_files = stored_rows

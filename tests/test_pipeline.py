@@ -205,3 +205,34 @@ def test_run_tables_orders_parents_first(spark):
     out = pipeline.run_tables(spark, specs, {"fact_sales": sales, "dim_product": products}, {}, work_dir(spark, "pipe_run"), D(2025, 1, 2))
     assert set(out) == {"dim_product", "fact_sales"}
     assert out["fact_sales"][1].actions["insert"] == 1
+
+
+def test_bucket_scoped_merge_rewrites_only_touched_buckets(spark):
+    base = work_dir(spark, "pipe_buckets")
+    stg = SnapshotTable(spark, f"{base}/staging")
+    cur = SnapshotTable(spark, f"{base}/current", ("o_orderkey",), 64)
+    control = ctl.ControlTable(spark, f"{base}/_control")
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    s = TableSpec("orders", ("o_orderkey",), LoadMode.INCREMENTAL, update_col="o_orderdate")
+    pipeline.stage_table(spark, s, orders, None, stg, control, D(2001, 8, 1))
+    m0 = pipeline.merge_table(spark, s, stg, cur, control, D(2001, 8, 1))
+    v0 = cur.current()
+    assert len(v0.manifest) == 64 and v0.rows == orders.count()
+    # two changed rows and one new key, all dated after the mark
+    changed = orders.where("o_orderkey in (1, 2)").withColumn("o_orderdate", F.lit(D(2001, 9, 1)).cast("timestamp_ntz"))
+    changed = changed.withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    new = orders.where("o_orderkey = 3").withColumn("o_orderkey", F.lit(10_000_000).cast("long")).withColumn(
+        "o_orderdate", F.lit(D(2001, 9, 1)).cast("timestamp_ntz")
+    )
+    pipeline.stage_table(spark, s, changed.unionByName(new), None, stg, control, D(2001, 9, 2))
+    m1 = pipeline.merge_table(spark, s, stg, cur, control, D(2001, 9, 2))
+    v1 = cur.current()
+    rewritten = {b for b, (dv, _) in v1.manifest.items() if dv == v1.data_version}
+    assert 1 <= len(rewritten) <= 3
+    assert all(v1.manifest[b] == v0.manifest[b] for b in v1.manifest if b not in rewritten)
+    assert m1.actions["update"] == 2 and m1.actions["insert"] == 1 and m1.check.ok
+    got = cur.read()
+    assert got.count() == orders.count() + 1
+    assert got.where("o_orderkey = 1").first().o_totalprice == orders.where("o_orderkey = 1").first().o_totalprice + 1
+    touched_keys = {r.o_orderkey for r in cur.read(buckets=[int(b) for b in rewritten]).select("o_orderkey").collect()}
+    assert {1, 2, 10_000_000} <= touched_keys
