@@ -71,21 +71,29 @@ def orphans(
     max_broadcast_bytes: int = DEFAULT_MAX_BYTES,
 ) -> DataFrame:
     """Child rows whose foreign key has no parent (rows with a NULL key are
-    not orphans, as in SQL foreign keys).
-
-    Only the parent key columns are read. They are broadcast only when a
-    bounded count shows them small; otherwise the anti join is a sort-merge
-    join, where AQE can split a skewed child partition.
+    not orphans, as in SQL foreign keys). Only key columns are read.
+
+    * Parent keys proven small (bounded count): one broadcast anti join; the
+      child is scanned once and never shuffled.
+    * Otherwise the child is first reduced to its distinct key values
+      (combined map-side, so a hot key costs one row per task), those are
+      anti-joined with the parent, and the child is semi-joined with the
+      orphan values, broadcast when they are proven small. No child row moves
+      through a shuffle keyed by a single hot value.
     """
     fk_cols = list(fk_cols)
     parent_cols = list(parent_cols or fk_cols)
     # Parent columns are a key, so no distinct (and no extra shuffle) is needed.
     pkeys = parent.select(*[F.col(p).alias(f) for p, f in zip(parent_cols, fk_cols)])
-    pkeys, _ = maybe_broadcast(pkeys, max_broadcast_rows, max_broadcast_bytes)
     live = child
     for c in fk_cols:
         live = live.where(F.col(c).isNotNull())
-    return live.join(pkeys, fk_cols, "left_anti")
+    small_parent, fits = maybe_broadcast(pkeys, max_broadcast_rows, max_broadcast_bytes)
+    if fits:
+        return live.join(small_parent, fk_cols, "left_anti")
+    missing = live.select(*fk_cols).distinct().join(pkeys, fk_cols, "left_anti")
+    missing, _ = maybe_broadcast(missing, max_broadcast_rows, max_broadcast_bytes)
+    return live.join(missing, fk_cols, "left_semi")
 
 
 def require_unique_keys(df: DataFrame, keys, what: str = "batch", sample: int = 5) -> None:

@@ -22,7 +22,9 @@ Two physical forms give the same rows:
 * ``broadcast``: for a small batch. The target is never shuffled: it is
   scanned once against the broadcast batch (left outer), and its key column
   once more against the broadcast batch keys to find which batch keys it has.
-  Chosen only after a bounded size check of the batch.
+  Used only after the batch is proven small (a known bound or a bounded
+  count), also when asked for explicitly; otherwise the shuffle form runs.
+  Full loads always use the shuffle form.
 
 Preconditions (checked by the pipeline, see ``checks.require_unique_keys``):
 batch keys are unique and not NULL; target keys are unique.
@@ -34,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lakeloom.functions.keys import changed, key_match
-from lakeloom.plans.broadcast import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, check_size
+from lakeloom.plans.broadcast import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, check_size, estimated_row_bytes
 
 ACTION = "_merge_action"
 KEEP, UNCHANGED, UPDATE, INSERT, DELETE, IGNORE = "keep", "unchanged", "update", "insert", "delete", "ignore"
@@ -82,14 +84,22 @@ def _project(joined: DataFrame, cols, action: Column) -> DataFrame:
     )
 
 
-def choose_strategy(source: DataFrame, mode: str, strategy: str, max_rows: int, max_bytes: int) -> str:
-    if strategy in ("full_outer", "broadcast"):
-        return strategy
-    if strategy != "auto":
+def choose_strategy(
+    source: DataFrame, mode: str, strategy: str, max_rows: int, max_bytes: int, rows_at_most: int | None = None
+) -> str:
+    """``full_outer`` or ``broadcast``. A broadcast (asked for or automatic) is
+    used only when the batch is proven small: by ``rows_at_most`` (a known
+    upper bound, e.g. from the staging commit) or else by a bounded count.
+    Beyond the bound the shuffle join is used."""
+    if strategy not in ("auto", "full_outer", "broadcast"):
         raise ValueError(f"unknown merge strategy {strategy!r}")
-    if mode == "full":
+    if strategy == "full_outer" or mode == "full":
         return "full_outer"
-    return "broadcast" if check_size(source, max_rows, max_bytes).fits else "full_outer"
+    if rows_at_most is not None and rows_at_most <= max_rows:
+        fits = rows_at_most * estimated_row_bytes(source) <= max_bytes
+    else:
+        fits = check_size(source, max_rows, max_bytes).fits
+    return "broadcast" if fits else "full_outer"
 
 
 def merge_actions(

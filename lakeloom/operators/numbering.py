@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.plans.workspace import checkpoint_dir
 
-_PID, _MID, _OFF = "_rn_pid", "_rn_mid", "_rn_off"
+_PID, _MID, _OFF, _TIE = "_rn_pid", "_rn_mid", "_rn_off", "_rn_tie"
 
 
 def number_rows(df: DataFrame, order_cols, name: str = "row_number", num_partitions: int | None = None) -> DataFrame:
@@ -32,7 +32,16 @@ def number_rows(df: DataFrame, order_cols, name: str = "row_number", num_partiti
     checkpoint_dir(spark)
     order_cols = list(order_cols)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols).checkpoint(eager=True)
+    # A scan-position tiebreaker spreads rows with equal order values over
+    # partitions (ties may take any order, as in SQL); it is dropped after.
+    tie = F.monotonically_increasing_id().alias(_TIE)
+    ranged = (
+        df.select("*", tie)
+        .repartitionByRange(n, *order_cols, _TIE)
+        .sortWithinPartitions(*order_cols, _TIE)
+        .drop(_TIE)
+        .checkpoint(eager=True)
+    )
     located = ranged.select("*", F.spark_partition_id().alias(_PID), F.monotonically_increasing_id().alias(_MID))
     counts = located.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)

@@ -154,7 +154,8 @@ def merge_table(
     else:
         target = spark.createDataFrame([], target_schema)
     mode = spec.load_mode.value
-    plan = choose_strategy(batch, mode, strategy, DEFAULT_MAX_ROWS, DEFAULT_MAX_BYTES)
+    staged_rows = staging.current().rows  # rows written to staging bound the accepted batch
+    plan = choose_strategy(batch, mode, strategy, DEFAULT_MAX_ROWS, DEFAULT_MAX_BYTES, rows_at_most=staged_rows)
     newer = spec.update_col if spec.newer_than_guard else None
     actions = merge_actions(target, batch, spec.keys, mode, newer_col=newer, strategy=plan)
     observed, obs = observe_actions(actions)
