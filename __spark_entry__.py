@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeloom.functions.literals import lit_like
 from lakeloom.operators import changes, checks, extract, history, merge, numbering, staging
 from lakeloom.plans import control as ctl
 from lakeloom.plans import pipeline
@@ -232,7 +233,8 @@ def q_apply_change_log(spark, sf):
     audit = _audit_events(spark, sf).select("user_id", "event_id", "value", "operation_type", "ts")
     cols = ["event_id", "value"]
     state = spark.createDataFrame([], "user_id long, event_id long, value double")
-    for part in (audit.where(F.col("ts") < F.lit(EVENTS_SPLIT)), audit.where(F.col("ts") >= F.lit(EVENTS_SPLIT))):
+    split = lit_like(EVENTS_SPLIT, audit, "ts")
+    for part in (audit.where(F.col("ts") < split), audit.where(F.col("ts") >= split)):
         batch = changes.changes_to_batch(part.drop("ts"), ["user_id"], "event_id", "operation_type", "D", cols=["value"])
         state = merge.merge(state, batch.select("user_id", *cols, "is_deleted"), ["user_id"], "incremental", strategy="full_outer")
     return state

@@ -1,9 +1,9 @@
 """Change capture: latest operation per key, snapshot diffs, applying change logs.
 
-"Latest per key" is an aggregation (``max`` over a struct led by the
-sequence), not a ranked window: Spark combines it map-side, so a key holding
-a large share of the log is reduced inside every task before the shuffle
-instead of being sorted in a single task.
+"Latest per key" is an aggregation (``max_by`` on the sequence), not a
+ranked window: Spark combines it map-side, so a key holding a large share of
+the log is reduced inside every task before the shuffle instead of being
+sorted in a single task.
 """
 
 from __future__ import annotations
@@ -12,34 +12,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.functions.keys import changed, key_match
+from lakeloom.functions.literals import lit_like
 from lakeloom.operators.staging import DELETE_FLAG
 
-_LAST = "_last"
 
 
 def latest_per_key(log: DataFrame, keys, seq_col: str, cols=None) -> DataFrame:
     """One row per key: the columns of the row with the highest ``seq_col``.
 
     The sequence must be unique per key (an audit id is); ``cols`` defaults to
-    every non-key column.
+    every non-key column. Each column is a ``max_by(col, seq)``: with
+    fixed-width columns Spark plans a codegen'd hash aggregate, otherwise a
+    sort aggregate; either way partial aggregation runs map-side.
     """
     keys = list(keys)
     cols = [c for c in (cols if cols is not None else log.columns) if c not in keys and c != seq_col]
-    if not cols:
-        # Fixed-width buffer: a hash aggregate with whole-stage codegen.
-        return log.groupBy(*keys).agg(F.max(seq_col).alias(seq_col))
-    # A struct buffer is not fixed-width, so Spark plans a (partial) sort aggregate.
-    packed = F.max(F.struct(F.col(seq_col), *[F.col(c) for c in cols])).alias(_LAST)
-    return log.groupBy(*keys).agg(packed).select(*keys, *[F.col(f"{_LAST}.{c}").alias(c) for c in [seq_col, *cols]])
+    aggs = [F.max(seq_col).alias(seq_col)] + [F.max_by(c, seq_col).alias(c) for c in cols]
+    return log.groupBy(*keys).agg(*aggs)
 
 
 def window_filter(log: DataFrame, time_col: str | None, since=None, until=None) -> DataFrame:
     if time_col is None:
         return log
     if since is not None:
-        log = log.where(F.col(time_col) >= F.lit(since).cast(log.schema[time_col].dataType))
+        log = log.where(F.col(time_col) >= lit_like(since, log, time_col))
     if until is not None:
-        log = log.where(F.col(time_col) <= F.lit(until).cast(log.schema[time_col].dataType))
+        log = log.where(F.col(time_col) <= lit_like(until, log, time_col))
     return log
 
 
@@ -116,5 +114,6 @@ def changes_to_batch(
     so a later merge can refuse to apply older rows."""
     keys = list(keys)
     cols = [c for c in (cols if cols is not None else log.columns) if c not in keys and c not in (seq_col, op_col)]
-    last = latest_per_key(log, keys, seq_col, [*cols, op_col])
-    return last.withColumn(flag, F.col(op_col) == F.lit(delete_op)).drop(op_col)
+    is_delete = F.coalesce(F.col(op_col) == F.lit(delete_op), F.lit(False))
+    aggs = [F.max(seq_col).alias(seq_col)] + [F.max_by(c, seq_col).alias(c) for c in cols]
+    return log.groupBy(*keys).agg(*aggs, F.max_by(is_delete, seq_col).alias(flag))

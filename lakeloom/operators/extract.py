@@ -11,6 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.functions.literals import lit_like
 from lakeloom.spec import TableSpec
 
 TIMESTAMP_FLOOR = dt.datetime(1900, 1, 1)
@@ -18,7 +19,7 @@ TIMESTAMP_FLOOR = dt.datetime(1900, 1, 1)
 
 def _lit_like(value, df: DataFrame, col: str) -> Column:
     """A literal cast to the column's own type (keeps NTZ / LTZ / integer semantics)."""
-    return F.lit(value).cast(df.schema[col].dataType)
+    return lit_like(value, df, col)
 
 
 def high_water_mark(df: DataFrame, col: str, floor=TIMESTAMP_FLOOR, alias: str = "max_time_stamp") -> DataFrame:

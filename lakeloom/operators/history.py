@@ -18,9 +18,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeloom.functions.literals import lit_like
 from lakeloom.operators.changes import latest_per_key
 
-_BKT, _NEXT_SEQ, _FIRST, _NF = "_h_bkt", "_h_next_seq", "_h_first", "_h_next_first"
+_BKT, _FIRST, _NF = "_h_bkt", "_h_first", "_h_next_first"
 
 DEFAULT_BUCKET_WIDTH = 1 << 20
 
@@ -37,11 +38,16 @@ def next_in_key(df: DataFrame, keys, seq_col: str, value_cols, prefix: str = "ne
     # Exact integer floor division (no detour through double).
     w_ = int(bucket_width)
     seq = f"CAST(`{seq_col}` AS BIGINT)"
-    d = df.withColumn(_BKT, F.expr(f"({seq} - pmod({seq}, {w_})) div {w_}"))
+    src = df.withColumn(_BKT, F.expr(f"({seq} - pmod({seq}, {w_})) div {w_}"))
     w = Window.partitionBy(*keys, _BKT).orderBy(seq_col)
-    d = d.select("*", *[F.lead(c).over(w).alias(prefix + c) for c in tracked])
+    d = src.select("*", *[F.lead(c).over(w).alias(prefix + c) for c in tracked])
 
-    firsts = d.groupBy(*keys, _BKT).agg(F.min(F.struct(*[F.col(c) for c in tracked])).alias(_FIRST))
+    # First row of each group, straight from the input: min / min_by keep a
+    # fixed-width buffer for numeric and time columns, so this is a map-side
+    # combined hash aggregate and only partial rows cross the shuffle.
+    firsts = src.groupBy(*keys, _BKT).agg(
+        F.struct(F.min(seq_col).alias(seq_col), *[F.min_by(c, seq_col).alias(c) for c in tracked[1:]]).alias(_FIRST)
+    )
     wk = Window.partitionBy(*keys).orderBy(_BKT)
     nexts = firsts.select(*keys, _BKT, F.lead(_FIRST).over(wk).alias(_NF))
 
@@ -71,5 +77,5 @@ def scd2(log: DataFrame, keys, seq_col: str, time_col: str, cols=None, bucket_wi
 def as_of(log: DataFrame, keys, seq_col: str, time_col: str, ts, cols=None) -> DataFrame:
     """Each key's latest row with ``time_col <= ts`` (an aggregation, not a sort)."""
     keys = list(keys)
-    upto = log.where(F.col(time_col) <= F.lit(ts).cast(log.schema[time_col].dataType))
+    upto = log.where(F.col(time_col) <= lit_like(ts, log, time_col))
     return latest_per_key(upto, keys, seq_col, cols if cols is not None else [])
