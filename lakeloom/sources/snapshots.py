@@ -65,11 +65,12 @@ def bucket_of(keys, buckets: int) -> Column:
 
 
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, path: str, bucket_keys=None, buckets: int = 0):
+    def __init__(self, spark: SparkSession, path: str, bucket_keys=None, buckets: int = 0, max_records_per_file: int | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.bucket_keys = tuple(bucket_keys) if bucket_keys else None
         self.buckets = int(buckets) if bucket_keys else 0
+        self.max_records_per_file = max_records_per_file  # splits large buckets into several files
 
     @property
     def bucketed(self) -> bool:
@@ -168,7 +169,10 @@ class SnapshotTable:
         # One task per bucket keeps one file per bucket, whatever the input partitioning.
         n_out = self.buckets if replace_buckets is None else max(1, min(self.buckets, len(replace_buckets)))
         bucketed = observed.withColumn(BUCKET, bucket_of(self.bucket_keys, self.buckets))
-        bucketed.repartition(n_out, BUCKET).write.mode("errorifexists").partitionBy(BUCKET).parquet(out)
+        writer = bucketed.repartition(n_out, BUCKET).write.mode("errorifexists").partitionBy(BUCKET)
+        if self.max_records_per_file:
+            writer = writer.option("maxRecordsPerFile", int(self.max_records_per_file))
+        writer.parquet(out)
         metrics = obs.get
         # Rows per written bucket, read back from storage (one row per bucket).
         written = {}

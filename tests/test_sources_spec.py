@@ -133,3 +133,23 @@ def test_size_check_is_bounded(spark):
     big = check_size(spark.range(1000), max_rows=100)
     assert not big.fits and big.rows is None
     assert not check_size(spark.range(50), max_rows=100, max_bytes=10).fits
+
+
+def test_sizing_helpers():
+    from lakeloom.plans.sizing import buckets_for, recommended_settings, shuffle_partitions
+
+    assert shuffle_partitions(100 << 40) == 409600
+    assert shuffle_partitions(1, cores=8) == 8
+    conf = recommended_settings(100 << 40, cores=8000)
+    assert conf["spark.sql.shuffle.partitions"] == "409600" and conf["spark.sql.adaptive.enabled"] == "true"
+    assert buckets_for(100 << 40) == 131072 and buckets_for(1) == 1
+
+
+def test_bucketed_table_splits_large_buckets(spark):
+    t = SnapshotTable(spark, work_dir(spark, "bucket_files"), ("id",), 2, max_records_per_file=100)
+    t.write(spark.range(1000))
+    assert t.stored_rows() == 1000 and t.read().count() == 1000
+    from lakeloom.plans.workspace import list_files
+
+    files = [f for b in t.current().manifest for f in list_files(spark, f"{t.data_path(0)}/_bucket={b}") if f.endswith(".parquet")]
+    assert len(files) >= 10
