@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeloom.operators.changes import latest_deleted_keys
 from lakeloom.operators.checks import CheckFailed, CountCheck, count_check, require_keys_valid
@@ -72,7 +73,12 @@ def staged_frame(spec: TableSpec, source: DataFrame, audit: DataFrame | None, hw
         )
     staged = stage_batch(population, deletes)
     if spec.staging_schema is not None:
-        staged = conform(staged, spec.staging_schema)
+        # Bookkeeping columns a staging schema may declare are produced here,
+        # not read from the source.
+        declared = spec.staging_schema.fieldNames()
+        number = number or ROW_NUMBER in declared
+        business = T.StructType([f for f in spec.staging_schema.fields if f.name not in (ROW_NUMBER, DELETE_FLAG)])
+        staged = conform(staged, business)
     else:
         staged = staged.withColumn(REJECT_COL, F.lit(None).cast("string"))
     if number:

@@ -236,3 +236,19 @@ def test_bucket_scoped_merge_rewrites_only_touched_buckets(spark):
     assert got.where("o_orderkey = 1").first().o_totalprice == orders.where("o_orderkey = 1").first().o_totalprice + 1
     touched_keys = {r.o_orderkey for r in cur.read(buckets=[int(b) for b in rewritten]).select("o_orderkey").collect()}
     assert {1, 2, 10_000_000} <= touched_keys
+
+
+def test_staging_schema_may_declare_bookkeeping_columns(spark):
+    stg, cur, control = tables(spark, "pipe_declared")
+    declared = T.StructType(
+        [T.StructField("row_number", T.LongType(), False)]
+        + PRODUCT.fields
+        + [T.StructField("is_deleted", T.BooleanType(), False)]
+    )
+    s = spec(staging_schema=declared)
+    r = pipeline.stage_table(spark, s, seed(spark), None, stg, control, D(2025, 1, 2))
+    assert r.rejects == 0 and r.rows == 3
+    got = stg.read(r.version)
+    assert got.columns[0] == "row_number" and "is_deleted" in got.columns
+    m = pipeline.merge_table(spark, s, stg, cur, control, D(2025, 1, 2))
+    assert m.actions["insert"] == 3 and "row_number" not in cur.read().columns
