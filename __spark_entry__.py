@@ -27,7 +27,7 @@ from lakeloom.operators import changes, checks, extract, history, merge, numberi
 from lakeloom.plans import control as ctl
 from lakeloom.plans import pipeline
 from lakeloom.plans.read_plan import partition_bounds
-from lakeloom.plans.workspace import work_dir
+from lakeloom.plans.workspace import empty_frame, work_dir
 from lakeloom.sources import files
 from lakeloom.sources.snapshots import SnapshotTable
 from lakeloom.spec import LoadMode, TableSpec
@@ -232,7 +232,7 @@ def q_apply_change_log(spark, sf):
     latest op per key → tombstones → incremental merge."""
     audit = _audit_events(spark, sf).select("user_id", "event_id", "value", "operation_type", "ts")
     cols = ["event_id", "value"]
-    state = spark.createDataFrame([], "user_id long, event_id long, value double")
+    state = empty_frame(spark, "user_id long, event_id long, value double")
     split = lit_like(EVENTS_SPLIT, audit, "ts")
     for part in (audit.where(F.col("ts") < split), audit.where(F.col("ts") >= split)):
         batch = changes.changes_to_batch(part.drop("ts"), ["user_id"], "event_id", "operation_type", "D", cols=["value"])

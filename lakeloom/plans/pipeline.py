@@ -32,6 +32,7 @@ from lakeloom.operators.numbering import number_rows
 from lakeloom.operators.staging import DELETE_FLAG, REJECT_COL, conform, stage_batch
 from lakeloom.plans.broadcast import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS
 from lakeloom.plans.control import ControlTable
+from lakeloom.plans.workspace import empty_frame
 from lakeloom.sources.snapshots import SnapshotTable, bucket_of
 from lakeloom.spec import TableSpec
 
@@ -158,7 +159,7 @@ def merge_table(
     elif before is not None:
         target = current.read()
     else:
-        target = spark.createDataFrame([], target_schema)
+        target = empty_frame(spark, target_schema)
     mode = spec.load_mode.value
     staged_rows = staging.current().rows  # rows written to staging bound the accepted batch
     plan = choose_strategy(batch, mode, strategy, DEFAULT_MAX_ROWS, DEFAULT_MAX_BYTES, rows_at_most=staged_rows)

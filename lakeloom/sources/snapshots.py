@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.plans.workspace import list_files, read_text, write_text
+from lakeloom.plans.workspace import empty_frame, list_files, read_text, write_text
 
 BUCKET = "_bucket"
 
@@ -134,12 +134,12 @@ class SnapshotTable:
         wanted = c.manifest.keys() if buckets is None else [str(b) for b in buckets if str(b) in c.manifest]
         paths = [f"{self.data_path(c.manifest[b][0])}/{BUCKET}={b}" for b in sorted(wanted, key=int)]
         if not paths:
-            return self.spark.createDataFrame([], schema)
+            return empty_frame(self.spark, schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
     def read_or_empty(self, schema: T.StructType, version: int | None = None) -> DataFrame:
         if not self.exists():
-            return self.spark.createDataFrame([], schema)
+            return empty_frame(self.spark, schema)
         return self.read(version)
 
     def bucket_rows(self, version: int | None = None) -> dict:
@@ -193,7 +193,7 @@ class SnapshotTable:
         current = self.current()
         if current is not None:
             return current
-        commit, _ = self.write(self.spark.createDataFrame([], schema), operation="create")
+        commit, _ = self.write(empty_frame(self.spark, schema), operation="create")
         return commit
 
     def restore(self, version: int) -> Commit:
