@@ -262,18 +262,23 @@ def q_as_of(spark, sf):
     return history.as_of(_t(spark, sf, "events"), ["user_id"], "event_id", "ts", EVENTS_SPLIT)
 
 
-def q_stream_replay(spark, sf):
+def q_stream_replay(spark, sf, buckets: int = 0):
     base = work_dir(spark, "stream_replay")
     log = _t(spark, sf, "events").select("user_id", "event_id", "event_type", "value")
     # The change log lands as several files; each becomes its own micro-batch.
     log.repartitionByRange(4, "event_id").write.parquet(f"{base}/log")
     state = replay.replay(
         spark, f"{base}/log", log.schema, ["user_id"], "event_id",
-        f"{base}/state", f"{base}/_checkpoint", cols=["event_type", "value"],
+        f"{base}/state", f"{base}/_checkpoint", cols=["event_type", "value"], buckets=buckets,
     )
     return replay.current_rows(state, "event_type", "error").select("user_id", "event_id", "value")
 
 
+def q_stream_replay_bucketed(spark, sf):
+    """Replay with the state bucketed by key: each micro-batch rewrites only touched buckets."""
+    return q_stream_replay(spark, sf, buckets=16)
+
+
 def q_load_pipeline(spark, sf, buckets: int = 0):
     """Flagship: full load of orders as of 2000-01-01 (v0), then an
     incremental batch to 2001-08-01 with deletes from the audit log (v1)."""
@@ -343,6 +348,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "history_scd2": q_history_scd2,
         "as_of": q_as_of,
         "stream_replay": q_stream_replay,
+        "stream_replay_bucketed": q_stream_replay_bucketed,
         "load_pipeline": q_load_pipeline,
         "load_pipeline_bucketed": q_load_pipeline_bucketed,
     }
@@ -455,6 +461,7 @@ def oracle_sql() -> dict[str, str]:
             "AS rn FROM events WHERE ts <= TIMESTAMP '2024-01-15') WHERE rn = 1"
         ),
         "stream_replay": _LATEST_LIVE,
+        "stream_replay_bucketed": _LATEST_LIVE,
         "load_pipeline": (
             "WITH v0 AS (SELECT * FROM orders WHERE o_orderdate <= TIMESTAMP '2000-01-01'), "
             "hwm AS (SELECT max(o_orderdate) AS h FROM v0), "

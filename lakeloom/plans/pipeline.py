@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.operators.changes import latest_deleted_keys
-from lakeloom.operators.checks import CheckFailed, CountCheck, count_check, require_keys_valid
+from lakeloom.operators.checks import CheckFailed, CountCheck, count_check, orphans, require_keys_valid
 from lakeloom.operators.extract import extract, lower_bound
 from lakeloom.operators.merge import (
     ACTION,
@@ -195,6 +195,7 @@ def run_tables(spark, specs, sources: dict, audits: dict, root: str, run_ts, str
     """
     control = ControlTable(spark, f"{root}/_control")
     results = {}
+    loaded: dict[str, SnapshotTable] = {}
     for spec in specs:
         if spec.skip:
             continue
@@ -202,10 +203,22 @@ def run_tables(spark, specs, sources: dict, audits: dict, root: str, run_ts, str
         current = SnapshotTable(spark, f"{root}/current/{spec.name}", spec.keys if buckets else None, buckets)
         st = stage_table(spark, spec, sources[spec.name], audits.get(spec.name), staging, control, run_ts)
         mg = merge_table(spark, spec, staging, current, control, run_ts, strategy)
-        results[spec.name] = (st, mg)
+        loaded[spec.name] = current
+        results[spec.name] = (st, mg, foreign_key_report(spec, current, loaded))
     return results
 
 
+def foreign_key_report(spec: TableSpec, current: SnapshotTable, loaded: dict) -> dict:
+    """Orphan counts per declared foreign key whose parent was loaded before
+    (specs run parents first, so every loaded parent is current)."""
+    report = {}
+    for col, parent, parent_col in spec.foreign_keys:
+        if parent in loaded:
+            child = current.read().select(col)
+            report[f"{col}->{parent}.{parent_col}"] = orphans(child, loaded[parent].read(), [col], [parent_col]).count()
+    return report
+
+
 __all__ = [
     "ACTION",
     "KEEP",

@@ -22,7 +22,8 @@ from pyspark.sql import types as T
 
 from lakeloom.operators.changes import latest_per_key
 from lakeloom.operators.merge import merge
-from lakeloom.sources.snapshots import SnapshotTable
+from lakeloom.plans.workspace import empty_frame
+from lakeloom.sources.snapshots import SnapshotTable, bucket_of
 
 _BATCH_OP = "replay batch "
 
@@ -35,10 +36,19 @@ def _applied(state: SnapshotTable) -> set[int]:
 def apply_batch(state: SnapshotTable, batch: DataFrame, keys, seq_col: str, cols, batch_id: int, schema: T.StructType) -> None:
     if batch_id in _applied(state):
         return
-    latest = latest_per_key(batch, keys, seq_col, cols)
-    target = state.read_or_empty(schema)
-    merged = merge(target, latest.select(*schema.fieldNames()), keys, mode="incremental", newer_col=seq_col, strategy="full_outer")
-    state.write(merged, operation=f"{_BATCH_OP}{batch_id}")
+    latest = latest_per_key(batch, keys, seq_col, cols).select(*schema.fieldNames())
+    touched = None
+    if not state.exists():
+        target = empty_frame(state.spark, schema)
+    elif state.bucketed:
+        # Only the state buckets holding this batch's keys are read and rewritten.
+        ids = latest.select(bucket_of(keys, state.buckets).alias("b")).distinct().collect()
+        touched = sorted(r["b"] for r in ids)
+        target = state.read(buckets=touched)
+    else:
+        target = state.read()
+    merged = merge(target, latest, keys, mode="incremental", newer_col=seq_col, strategy="full_outer")
+    state.write(merged, operation=f"{_BATCH_OP}{batch_id}", replace_buckets=touched)
 
 
 def replay(
@@ -51,13 +61,15 @@ def replay(
     checkpoint_path: str,
     cols=None,
     max_files_per_trigger: int = 1,
+    buckets: int = 0,
 ) -> SnapshotTable:
     """Replay every file under ``log_path`` into the state table and stop
-    (``availableNow``). Returns the state table."""
+    (``availableNow``). Returns the state table. ``buckets > 0`` keeps the
+    state bucketed by key so each micro-batch rewrites only touched buckets."""
     keys = list(keys)
     cols = [c for c in (cols if cols is not None else log_schema.fieldNames()) if c not in keys and c != seq_col]
     schema = T.StructType([log_schema[c] for c in [*keys, seq_col, *cols]])
-    state = SnapshotTable(spark, state_path)
+    state = SnapshotTable(spark, state_path, keys if buckets else None, buckets)
     stream = (
         spark.readStream.schema(log_schema)
         .option("maxFilesPerTrigger", max_files_per_trigger)

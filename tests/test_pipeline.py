@@ -205,6 +205,10 @@ def test_run_tables_orders_parents_first(spark):
     out = pipeline.run_tables(spark, specs, {"fact_sales": sales, "dim_product": products}, {}, work_dir(spark, "pipe_run"), D(2025, 1, 2))
     assert set(out) == {"dim_product", "fact_sales"}
     assert out["fact_sales"][1].actions["insert"] == 1
+    assert out["fact_sales"][2] == {"product_key->dim_product.product_key": 0}
+    orphan_sales = spark.createDataFrame([(2, 99, 1)], "sales_key int, product_key int, quantity_sold int")
+    out2 = pipeline.run_tables(spark, specs, {"fact_sales": orphan_sales, "dim_product": products}, {}, work_dir(spark, "pipe_run2"), D(2025, 1, 2))
+    assert out2["fact_sales"][2] == {"product_key->dim_product.product_key": 1}
 
 
 def test_bucket_scoped_merge_rewrites_only_touched_buckets(spark):

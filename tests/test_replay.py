@@ -7,7 +7,11 @@ from lakeloom.plans.workspace import work_dir
 from lakeloom.streaming import replay
 
 
-def test_replay_is_order_insensitive_and_idempotent(spark):
+import pytest
+
+
+@pytest.mark.parametrize("buckets", [0, 4])
+def test_replay_is_order_insensitive_and_idempotent(spark, buckets):
     base = work_dir(spark, "replay_test")
     rows = [
         (1, 1, "I", 1.0), (1, 5, "U", 2.0), (2, 2, "I", 3.0), (2, 7, "D", None),
@@ -17,13 +21,13 @@ def test_replay_is_order_insensitive_and_idempotent(spark):
     # newest changes land in the first file, so micro-batches arrive out of order
     for i, part in enumerate([log.where("seq >= 7"), log.where("seq between 4 and 6"), log.where("seq < 4")]):
         part.coalesce(1).write.mode("append").parquet(f"{base}/log")
-    state = replay.replay(spark, f"{base}/log", log.schema, ["k"], "seq", f"{base}/state", f"{base}/ckpt", cols=["op", "v"])
+    state = replay.replay(spark, f"{base}/log", log.schema, ["k"], "seq", f"{base}/state", f"{base}/ckpt", cols=["op", "v"], buckets=buckets)
     got = sorted((r.k, r.seq, r.v) for r in replay.current_rows(state, "op", "D").collect())
     expected = latest_per_key(log, ["k"], "seq", ["op", "v"]).where(F.col("op") != "D")
     assert got == sorted((r.k, r.seq, r.v) for r in expected.collect()) == [(1, 5, 2.0), (3, 9, 5.0), (4, 4, 6.0)]
     n = state.current().version
     # a restart with the same checkpoint finds nothing new and changes nothing
-    again = replay.replay(spark, f"{base}/log", log.schema, ["k"], "seq", f"{base}/state", f"{base}/ckpt", cols=["op", "v"])
+    again = replay.replay(spark, f"{base}/log", log.schema, ["k"], "seq", f"{base}/state", f"{base}/ckpt", cols=["op", "v"], buckets=buckets)
     assert again.current().version == n
     # re-applying an already committed batch id is a no-op
     replay.apply_batch(state, log, ["k"], "seq", ["op", "v"], 0, state.read().schema)
