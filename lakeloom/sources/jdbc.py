@@ -13,7 +13,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.plans.read_plan import ReadPlan
+from lakeloom.operators.extract import extract
+from lakeloom.plans.read_plan import ReadPlan, plan_read
 from lakeloom.spec import check_identifier
 
 
@@ -77,3 +78,34 @@ def read_jdbc(spark: SparkSession, source: JdbcSource, dbtable: str, plan: ReadP
     opts.update(source.credentials())
     r = reader if reader is not None else spark.read
     return r.format("jdbc").options(**opts).load()
+
+
+def read_population(
+    spark: SparkSession,
+    source: JdbcSource,
+    spec,
+    hwm,
+    run_ts,
+    schema_name: str | None = None,
+    rows_per_partition: int | None = None,
+    reader_factory=None,
+) -> tuple[DataFrame, ReadPlan]:
+    """The extraction population of ``spec`` read over JDBC.
+
+    1. Bounds: ``min``/``max``/``count`` of the partition column over the
+       filtered population, one aggregate pushed to the database.
+    2. Scan: the same table with partition options from those bounds; the
+       population predicate is a DataFrame filter, pushed into every
+       partition's query.
+    Without a partition column the scan is a single partition.
+    """
+    dbtable = table_ref(schema_name, spec.name)
+
+    def scan(plan=None):
+        r = reader_factory() if reader_factory is not None else None
+        return read_jdbc(spark, source, dbtable, plan, reader=r)
+
+    plan = None
+    if spec.partition_col:
+        plan = plan_read(extract(scan(), spec, hwm, run_ts), spec.partition_col, spec.num_partitions, rows_per_partition)
+    return extract(scan(plan), spec, hwm, run_ts), plan

@@ -153,3 +153,39 @@ def test_bucketed_table_splits_large_buckets(spark):
 
     files = [f for b in t.current().manifest for f in list_files(spark, f"{t.data_path(0)}/_bucket={b}") if f.endswith(".parquet")]
     assert len(files) >= 10
+
+
+def test_jdbc_population_flow_without_a_database(spark):
+    """Bounds on the filtered population, then a partitioned scan with the same
+    predicate; a stand-in reader records options and serves parquet."""
+    from lakeloom.sources.jdbc import read_population
+
+    calls = []
+
+    class Reader:
+        def __init__(self):
+            self.opts = {}
+
+        def format(self, f):
+            return self
+
+        def options(self, **o):
+            self.opts.update(o)
+            return self
+
+        def load(self):
+            calls.append(dict(self.opts))
+            return spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+
+    src = JdbcSource("jdbc:postgresql://db:5432/x")
+    spec = TableSpec("orders", ("o_orderkey",), LoadMode.INCREMENTAL, update_col="o_orderdate", partition_col="o_orderkey", num_partitions=4)
+    hwm, run = dt.datetime(2000, 1, 1), dt.datetime(2001, 8, 1)
+    df, plan = read_population(spark, src, spec, hwm, run, schema_name="products", reader_factory=Reader)
+    pop = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").where(
+        F.col("o_orderdate").between(F.lit("1999-12-31").cast("timestamp_ntz"), F.lit("2001-08-01").cast("timestamp_ntz"))
+    )
+    row = pop.agg(F.min("o_orderkey"), F.max("o_orderkey"), F.count("*")).first()
+    assert (plan.lower, plan.upper, plan.row_count, plan.num_partitions) == (row[0], row[1], row[2], 4)
+    assert calls[0]["dbtable"] == "products.orders" and "partitionColumn" not in calls[0]
+    assert calls[1]["partitionColumn"] == "o_orderkey" and calls[1]["numPartitions"] == "4"
+    assert df.count() == pop.count()
