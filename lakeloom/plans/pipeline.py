@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from lakeloom.operators.changes import latest_deleted_keys
 from lakeloom.operators.checks import CheckFailed, CountCheck, count_check, orphans, require_keys_valid
 from lakeloom.operators.extract import extract, lower_bound
+from lakeloom.operators.history import scd2
 from lakeloom.operators.merge import (
     ACTION,
     DELETE,
@@ -199,15 +200,29 @@ def run_tables(spark, specs, sources: dict, audits: dict, root: str, run_ts, str
     for spec in specs:
         if spec.skip:
             continue
-        staging = SnapshotTable(spark, f"{root}/staging/{spec.name}")
-        current = SnapshotTable(spark, f"{root}/current/{spec.name}", spec.keys if buckets else None, buckets)
-        st = stage_table(spark, spec, sources[spec.name], audits.get(spec.name), staging, control, run_ts)
+        staging = SnapshotTable(spark, spec.staging_path or f"{root}/staging/{spec.name}")
+        current_path = spec.current_path or f"{root}/current/{spec.name}"
+        current = SnapshotTable(spark, current_path, spec.keys if buckets else None, buckets)
+        audit = audits.get(spec.name)
+        st = stage_table(spark, spec, sources[spec.name], audit, staging, control, run_ts)
         mg = merge_table(spark, spec, staging, current, control, run_ts, strategy)
         loaded[spec.name] = current
+        if spec.point_in_time and audit is not None and spec.has_audit:
+            pit = SnapshotTable(spark, spec.point_in_time_path or f"{root}/point_in_time/{spec.name}")
+            build_history(spec, audit, pit)
         results[spec.name] = (st, mg, foreign_key_report(spec, current, loaded))
     return results
 
 
+def build_history(spec: TableSpec, audit: DataFrame, table: SnapshotTable):
+    """Point-in-time layer: validity intervals per key from the whole audit
+    log (SCD2, ordered by the audit sequence), written as a new version."""
+    cols = [c for c in audit.columns if c not in spec.keys and c != spec.audit_seq_col]
+    hist = scd2(audit, spec.keys, spec.audit_seq_col, spec.audit_time_col, cols=cols)
+    commit, _ = table.write(hist, operation="history")
+    return commit
+
+
 def foreign_key_report(spec: TableSpec, current: SnapshotTable, loaded: dict) -> dict:
     """Orphan counts per declared foreign key whose parent was loaded before
     (specs run parents first, so every loaded parent is current)."""

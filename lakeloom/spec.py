@@ -55,6 +55,10 @@ class TableSpec:
     skip: bool = False
     newer_than_guard: bool = False
     foreign_keys: tuple[tuple[str, str, str], ...] = field(default_factory=tuple)
+    staging_path: str | None = None
+    current_path: str | None = None
+    point_in_time: bool = False
+    point_in_time_path: str | None = None
 
     def __post_init__(self):
         check_identifier(self.name)
@@ -89,14 +93,24 @@ def _mode(value) -> LoadMode:
     return LoadMode(str(value).lower())
 
 
-def load_specs(config: dict) -> list[TableSpec]:
+def _env_path(cfg: dict, section: str, name: str, env: str | None) -> str | None:
+    """``<section>.path.<env>`` + table name, or None when absent or empty."""
+    paths = (cfg.get(section) or {}).get("path") or {}
+    base = paths.get(env) if env is not None and isinstance(paths, dict) else None
+    return f"{base}{name}" if base else None
+
+
+def load_specs(config: dict, env: str | None = None) -> list[TableSpec]:
     """Build ordered specs from a config dict ``{table: {...}}``.
 
     Recognised keys per table: ``primary_keys``, ``full_load_table`` or
     ``load_mode``, ``update_timestamp_col``, ``audit_seq_id``, ``skip``,
     ``partition_key``, ``num_partition``, ``overlap_days`` / ``overlap_seq``,
     ``columns`` ([name, type, nullable] triples), ``foreign_keys``
-    ([column, parent_table, parent_column] triples). Tables with foreign keys
+    ([column, parent_table, parent_column] triples), ``point_in_time``. With
+    ``env``, the ``staging_table`` / ``business_current_table`` /
+    ``point_in_time_table`` sections' ``path.<env>`` plus the table name give
+    the table locations (any Hadoop file system URI). Tables with foreign keys
     are ordered after their parents so parent checks can run first.
     """
     specs = []
@@ -121,6 +135,10 @@ def load_specs(config: dict) -> list[TableSpec]:
                 num_partitions=int(cfg.get("num_partition", 1)),
                 skip=bool(cfg.get("skip", False)),
                 foreign_keys=tuple(tuple(fk) for fk in cfg.get("foreign_keys", ())),
+                staging_path=_env_path(cfg, "staging_table", name, env),
+                current_path=_env_path(cfg, "business_current_table", name, env),
+                point_in_time=bool(cfg.get("point_in_time", False)),
+                point_in_time_path=_env_path(cfg, "point_in_time_table", name, env),
             )
         )
     return order_specs(specs)

@@ -256,3 +256,36 @@ def test_staging_schema_may_declare_bookkeeping_columns(spark):
     assert got.columns[0] == "row_number" and "is_deleted" in got.columns
     m = pipeline.merge_table(spark, s, stg, cur, control, D(2025, 1, 2))
     assert m.actions["insert"] == 3 and "row_number" not in cur.read().columns
+
+
+def test_env_paths_and_point_in_time_layer(spark):
+    base = work_dir(spark, "pipe_env")
+    cfg = {
+        "dim_product": {
+            "primary_keys": ["product_key"],
+            "update_timestamp_col": "last_updt_col",
+            "audit_seq_id": "audit_id",
+            "staging_table": {"path": {"dev": f"{base}/stg/", "qa": ""}},
+            "business_current_table": {"path": {"dev": f"{base}/bc/"}},
+            "point_in_time": True,
+            "point_in_time_table": {"path": {"dev": f"{base}/pit/", "qa": ""}},
+        }
+    }
+    (s,) = load_specs(cfg, env="dev")
+    assert s.staging_path == f"{base}/stg/dim_product" and s.current_path == f"{base}/bc/dim_product"
+    (q,) = load_specs(cfg, env="qa")
+    assert q.staging_path is None and q.point_in_time_path is None
+    audit = spark.createDataFrame(
+        [(1, 1, "I", D(2025, 1, 1)), (1, 2, "U", D(2025, 1, 3)), (2, 3, "I", D(2025, 1, 2))], AUDIT
+    )
+    src = seed(spark).select("product_key", "product_id", "last_updt_col")
+    out = pipeline.run_tables(spark, [s], {"dim_product": src}, {"dim_product": audit}, f"{base}/root", D(2025, 1, 5))
+    assert out["dim_product"][1].actions["insert"] == 3
+    assert SnapshotTable(spark, f"{base}/bc/dim_product").read().count() == 3
+    pit = SnapshotTable(spark, f"{base}/pit/dim_product").read()
+    got = sorted((r.product_key, r.valid_from, r.valid_to, r.is_current) for r in pit.collect())
+    assert got == [
+        (1, D(2025, 1, 1), D(2025, 1, 3), False),
+        (1, D(2025, 1, 3), None, True),
+        (2, D(2025, 1, 2), None, True),
+    ]
