@@ -107,17 +107,24 @@ class ControlTable:
         self._put(name, skip=",".join(current), run_ts=run_ts)
 
 
-def pending_versions(history: DataFrame, control: DataFrame, name: str) -> DataFrame:
+def pending_versions(history: DataFrame, control, name: str) -> DataFrame:
     """Versions a downstream reader still has to consume: newer than the last
-    consumed one and not in the skip list. Pure DataFrame algebra."""
-    # The control table is keyed by table name: at most one row matches.
-    ctl = control.where(F.col("delta_table_name") == F.lit(name)).select(
-        "delta_table_name",
-        F.col("last_version_run").alias("_last"),
-        F.split(F.coalesce(F.col("skip_versions"), F.lit("")), ",").alias("_skip"),
-    )
-    versions = history.select("version", F.lit(name).alias("delta_table_name"))
-    joined = versions.join(F.broadcast(ctl), "delta_table_name", "left")
-    skip_list = F.transform(F.coalesce(F.col("_skip"), F.array().cast("array<string>")), lambda s: F.trim(s))
-    newer = F.col("version") > F.coalesce(F.col("_last"), F.lit(-1).cast("long"))
-    return joined.where(newer & ~F.array_contains(skip_list, F.col("version").cast("string"))).select("version")
+    consumed one and not in the skip list.
+
+    ``control`` is a ``ControlTable`` or its ``frame()``. The table's control
+    row is one metadata row (the table is keyed by name), so it is read once
+    and applied as a literal filter on the history: no join.
+    """
+    if isinstance(control, ControlTable):
+        row = control.row(name)
+    else:
+        rows = control.where(F.col("delta_table_name") == F.lit(name)).limit(2).collect()
+        if len(rows) > 1:
+            raise ValueError(f"control table has several rows for {name!r}")
+        row = rows[0] if rows else None
+    last = row.last_version_run if row is not None and row.last_version_run is not None else -1
+    skip = [int(v) for v in ((row.skip_versions or "") if row is not None else "").split(",") if v.strip()]
+    keep = F.col("version") > F.lit(last)
+    if skip:
+        keep = keep & ~F.col("version").isin(skip)
+    return history.where(keep).select("version")
