@@ -4,7 +4,7 @@ skip (rolled back), the last run time and the high-water mark.
 It is metadata, kept as small JSON documents next to the tables
 (``<path>/<table>/<seq>.json``, newest wins, never overwritten), so updating
 it costs a file write rather than a Spark job. ``frame()`` exposes the
-current rows as a DataFrame for joins such as ``pending_versions``.
+current rows as a DataFrame.
 """
 
 from __future__ import annotations
