@@ -7,6 +7,7 @@ write through ``Observation`` rather than extra passes over a live source.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -149,6 +150,12 @@ def merge_table(
         require_keys_valid(batch, spec.keys, what=f"{spec.name} batch")
     target_schema = batch.drop(DELETE_FLAG).schema
     before = current.current()
+    if before is not None and before.schema:
+        # Keys must carry the target's types: bucket ids hash typed values.
+        stored = T.StructType.fromJson(json.loads(before.schema))
+        for k in spec.keys:
+            if k in stored.fieldNames() and stored[k].dataType != batch.schema[k].dataType:
+                batch = batch.withColumn(k, F.col(k).cast(stored[k].dataType))
     touched = None
     if current.bucketed and not spec.is_full and before is not None and before.manifest is not None:
         # Bucket-scoped merge: only the buckets holding batch keys are read and

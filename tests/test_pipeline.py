@@ -289,3 +289,21 @@ def test_env_paths_and_point_in_time_layer(spark):
         (1, D(2025, 1, 3), None, True),
         (2, D(2025, 1, 2), None, True),
     ]
+
+
+def test_bucket_scoped_merge_aligns_key_types(spark):
+    base = work_dir(spark, "pipe_keytypes")
+    stg = SnapshotTable(spark, f"{base}/staging")
+    cur = SnapshotTable(spark, f"{base}/current", ("k",), 8)
+    control = ctl.ControlTable(spark, f"{base}/_control")
+    s = TableSpec("t", ("k",), LoadMode.INCREMENTAL, update_col="u")
+    first = spark.createDataFrame([(i, "a", D(2025, 1, 1)) for i in range(50)], "k long, v string, u timestamp_ntz")
+    pipeline.stage_table(spark, s, first, None, stg, control, D(2025, 1, 2))
+    pipeline.merge_table(spark, s, stg, cur, control, D(2025, 1, 2))
+    # the next batch arrives with INT keys; it must still land in the right buckets
+    second = spark.createDataFrame([(i, "b", D(2025, 1, 3)) for i in range(0, 50, 7)], "k int, v string, u timestamp_ntz")
+    pipeline.stage_table(spark, s, second, None, stg, control, D(2025, 1, 4))
+    m = pipeline.merge_table(spark, s, stg, cur, control, D(2025, 1, 4))
+    assert m.actions["update"] == 8 and m.actions["insert"] == 0
+    got = cur.read()
+    assert got.count() == 50 and got.where("v = 'b'").count() == 8
