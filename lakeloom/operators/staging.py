@@ -23,11 +23,16 @@ def tombstones(delete_keys: DataFrame, flag: str = DELETE_FLAG) -> DataFrame:
     return delete_keys.withColumn(flag, F.lit(True))
 
 
-def stage_batch(live: DataFrame, delete_keys: DataFrame | None = None, flag: str = DELETE_FLAG) -> DataFrame:
+def stage_batch(live: DataFrame, delete_keys: DataFrame | None = None, flag: str = DELETE_FLAG, keys=None) -> DataFrame:
     """Live rows plus tombstones, unioned by name (missing payload columns are NULL).
 
-    A union with an empty delete set costs nothing, so no emptiness probe is run.
+    With ``keys``, a live row whose key is also in the delete set is dropped:
+    the change log's latest operation (a delete committed after the row was
+    read) wins, and the batch keeps one row per key. A union with an empty
+    delete set costs nothing, so no emptiness probe is run.
     """
+    if delete_keys is not None and keys:
+        live = live.join(delete_keys.select(*keys), list(keys), "left_anti")
     staged = flag_live(live, flag)
     if delete_keys is None:
         return staged

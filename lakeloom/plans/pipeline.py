@@ -74,7 +74,7 @@ def staged_frame(spec: TableSpec, source: DataFrame, audit: DataFrame | None, hw
             since=lower_bound(hwm, spec.overlap),
             until=run_ts,
         )
-    staged = stage_batch(population, deletes)
+    staged = stage_batch(population, deletes, keys=spec.keys)
     if spec.staging_schema is not None:
         # Bookkeeping columns a staging schema may declare are produced here,
         # not read from the source.
@@ -193,32 +193,88 @@ def merge_table(
     return MergeResult(commit.version, plan, dict(counts), check)
 
 
-def run_tables(spark, specs, sources: dict, audits: dict, root: str, run_ts, strategy: str = "auto", buckets: int = 0) -> dict:
-    """Stage and merge every non-skipped table, parents first.
+@dataclass(frozen=True)
+class Layout:
+    """Where a spec's layers live: spec paths when configured, else under ``root``."""
 
-    ``sources`` / ``audits`` map table name → DataFrame (JDBC, parquet, ...).
-    Tables live under ``root/<layer>/<table>``; the control table under
-    ``root/_control``. ``buckets > 0`` stores business-current tables bucketed
-    by key so incremental merges rewrite only touched buckets.
-    """
-    control = ControlTable(spark, f"{root}/_control")
-    results = {}
+    root: str
+    buckets: int = 0
+
+    def staging(self, spark, spec: TableSpec) -> SnapshotTable:
+        return SnapshotTable(spark, spec.staging_path or f"{self.root}/staging/{spec.name}")
+
+    def current(self, spark, spec: TableSpec) -> SnapshotTable:
+        path = spec.current_path or f"{self.root}/current/{spec.name}"
+        return SnapshotTable(spark, path, spec.keys if self.buckets else None, self.buckets)
+
+    def history(self, spark, spec: TableSpec) -> SnapshotTable:
+        return SnapshotTable(spark, spec.point_in_time_path or f"{self.root}/point_in_time/{spec.name}")
+
+    def control(self, spark) -> ControlTable:
+        return ControlTable(spark, f"{self.root}/_control")
+
+
+def bootstrap_tables(spark, specs, layout: Layout) -> dict:
+    """Create empty staging and current tables from declared schemas, once
+    (idempotent: tables with a version are left alone)."""
+    made = {}
+    for spec in specs:
+        if spec.skip or spec.staging_schema is None:
+            continue
+        business = T.StructType([f for f in spec.staging_schema.fields if f.name not in (ROW_NUMBER, DELETE_FLAG)])
+        leading = [T.StructField(ROW_NUMBER, T.LongType(), True)] if ROW_NUMBER in spec.staging_schema.fieldNames() else []
+        trailing = [T.StructField(DELETE_FLAG, T.BooleanType(), True), T.StructField(REJECT_COL, T.StringType(), True)]
+        staging_schema = T.StructType(leading + business.fields + trailing)
+        made[spec.name] = (
+            layout.staging(spark, spec).create_empty(staging_schema).version,
+            layout.current(spark, spec).create_empty(business).version,
+        )
+    return made
+
+
+def stage_tables(spark, specs, sources: dict, audits: dict, layout: Layout, run_ts) -> dict:
+    """The stage job: every non-skipped table, parents first."""
+    control = layout.control(spark)
+    out = {}
+    for spec in specs:
+        if not spec.skip:
+            out[spec.name] = stage_table(spark, spec, sources[spec.name], audits.get(spec.name), layout.staging(spark, spec), control, run_ts)
+    return out
+
+
+def merge_tables(spark, specs, layout: Layout, run_ts, strategy: str = "auto", audits: dict | None = None) -> dict:
+    """The merge job: latest staged batch of every non-skipped table into its
+    current table, then point-in-time history and foreign-key reports."""
+    control = layout.control(spark)
+    audits = audits or {}
     loaded: dict[str, SnapshotTable] = {}
+    out = {}
     for spec in specs:
         if spec.skip:
             continue
-        staging = SnapshotTable(spark, spec.staging_path or f"{root}/staging/{spec.name}")
-        current_path = spec.current_path or f"{root}/current/{spec.name}"
-        current = SnapshotTable(spark, current_path, spec.keys if buckets else None, buckets)
-        audit = audits.get(spec.name)
-        st = stage_table(spark, spec, sources[spec.name], audit, staging, control, run_ts)
-        mg = merge_table(spark, spec, staging, current, control, run_ts, strategy)
+        current = layout.current(spark, spec)
+        mg = merge_table(spark, spec, layout.staging(spark, spec), current, control, run_ts, strategy)
         loaded[spec.name] = current
+        audit = audits.get(spec.name)
         if spec.point_in_time and audit is not None and spec.has_audit:
-            pit = SnapshotTable(spark, spec.point_in_time_path or f"{root}/point_in_time/{spec.name}")
-            build_history(spec, audit, pit)
-        results[spec.name] = (st, mg, foreign_key_report(spec, current, loaded))
-    return results
+            build_history(spec, audit, layout.history(spark, spec))
+        out[spec.name] = (mg, foreign_key_report(spec, current, loaded))
+    return out
+
+
+def run_tables(spark, specs, sources: dict, audits: dict, root: str, run_ts, strategy: str = "auto", buckets: int = 0) -> dict:
+    """Stage and merge every non-skipped table, parents first.
+
+    ``sources`` / ``audits`` map table name → DataFrame (JDBC, parquet, ...).
+    Tables live at the spec's configured paths, else under ``root/<layer>/<table>``;
+    the control table under ``root/_control``. ``buckets > 0`` stores
+    business-current tables bucketed by key so incremental merges rewrite only
+    touched buckets. Returns ``{table: (StageResult, MergeResult, fk_report)}``.
+    """
+    layout = Layout(root, buckets)
+    staged = stage_tables(spark, specs, sources, audits, layout, run_ts)
+    merged = merge_tables(spark, specs, layout, run_ts, strategy, audits)
+    return {name: (staged[name], *merged[name]) for name in merged}
 
 
 def build_history(spec: TableSpec, audit: DataFrame, table: SnapshotTable):
@@ -244,11 +300,17 @@ def foreign_key_report(spec: TableSpec, current: SnapshotTable, loaded: dict) ->
 __all__ = [
     "ACTION",
     "KEEP",
+    "Layout",
     "MergeResult",
     "StageResult",
     "batch_from_staging",
+    "bootstrap_tables",
+    "build_history",
+    "foreign_key_report",
     "merge_table",
+    "merge_tables",
     "run_tables",
     "stage_table",
+    "stage_tables",
     "staged_frame",
 ]

@@ -307,3 +307,30 @@ def test_bucket_scoped_merge_aligns_key_types(spark):
     assert m.actions["update"] == 8 and m.actions["insert"] == 0
     got = cur.read()
     assert got.count() == 50 and got.where("v = 'b'").count() == 8
+
+
+def test_command_line_jobs(spark, tmp_path):
+    import json as _json
+
+    from lakeloom import jobs
+
+    base = work_dir(spark, "cli")
+    src = f"{base}/src"
+    seed(spark).withColumn("unit_price", F.col("unit_price").cast("decimal(10,2)")).write.parquet(f"{src}/dim_product")
+    spark.createDataFrame([(2, 1, "D", D(2025, 1, 1, 12))], AUDIT).write.parquet(f"{src}/dim_product_audit")
+    cfg = tmp_path / "tables.json"
+    cfg.write_text(_json.dumps({
+        "dim_product": {
+            "primary_keys": ["product_key"], "update_timestamp_col": "last_updt_col", "audit_seq_id": "audit_id",
+            "columns": [[f.name, f.dataType.simpleString().upper(), f.nullable] for f in PRODUCT.fields],
+        }
+    }))
+    common = ["--tables", str(cfg), "--root", f"{base}/lake"]
+    assert jobs.main(["bootstrap", *common]) == 0
+    assert jobs.main(["stage", *common, "--run-date", "20250102", "--parquet-dir", src]) == 0
+    assert jobs.main(["merge", *common, "--run-date", "20250102"]) == 0
+    layout = pipeline.Layout(f"{base}/lake")
+    (s,) = load_specs(_json.loads(cfg.read_text()))
+    cur = layout.current(spark, s)
+    assert sorted(r.product_key for r in cur.read().collect()) == [1, 3]  # product 2 deleted by the audit log
+    assert jobs.parse_run_date("20251120") == D(2025, 11, 20)
