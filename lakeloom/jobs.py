@@ -1,7 +1,7 @@
 """Command-line jobs: bootstrap, stage, merge (and both in one run).
 
-    spark-submit -m lakeloom.jobs stage --tables tables.yaml --env dev \
-        --run-date 20251120 --root s3a://bucket/lake --parquet-dir s3a://bucket/src
+    spark-submit --py-files lakeloom.zip lakeloom/jobs.py stage --tables tables.yaml \
+        --env dev --run-date 20251120 --root s3a://bucket/lake --parquet-dir s3a://bucket/src
 
 Sources are either parquet directories (``<dir>/<table>`` or
 ``<dir>/<table>.parquet``) or a JDBC database (``--jdbc-url``, credentials
