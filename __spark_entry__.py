@@ -29,7 +29,7 @@ from lakeloom.plans import pipeline
 from lakeloom.plans.read_plan import partition_bounds
 from lakeloom.plans.workspace import empty_frame, work_dir
 from lakeloom.sources import files
-from lakeloom.sources.snapshots import SnapshotTable
+from lakeloom.sources.snapshots import SnapshotTable, bucket_of
 from lakeloom.spec import LoadMode, TableSpec
 from lakeloom.streaming import replay
 
@@ -227,6 +227,24 @@ def q_change_log(spark, sf):
     )
 
 
+def q_change_log_versions(spark, sf):
+    """Change log between two versions of a bucketed table: T as v0, the batch
+    merged bucket-scoped as v1; only changed buckets are diffed."""
+    table = SnapshotTable(spark, work_dir(spark, "change_log_versions"), KEYS, 64)
+    v0, _ = table.write(_target(spark, sf))
+    batch = _staged(spark, sf)
+    ids = batch.select(bucket_of(KEYS, table.buckets).alias("b")).distinct().collect()
+    touched = sorted(r["b"] for r in ids)
+    v1, _ = table.write(merge.merge(table.read(buckets=touched), batch, KEYS, "incremental"), replace_buckets=touched)
+    log = changes.snapshot_changes(table, v0.version, v1.version, KEYS)
+    payload = _target(spark, sf).schema
+    log = changes.parse_payload(changes.parse_payload(log, "old_data", payload), "new_data", payload)
+    return log.select(
+        "o_orderkey", "operation_type",
+        F.col("old_data.o_totalprice").alias("old_price"), F.col("new_data.o_totalprice").alias("new_price"),
+    )
+
+
 def q_apply_change_log(spark, sf):
     """Two daily change batches (before / from 2024-01-15) applied in turn:
     latest op per key → tombstones → incremental merge."""
@@ -341,6 +359,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "snapshot_restore": q_snapshot_restore,
         "pending_versions": q_pending_versions,
         "change_log": q_change_log,
+        "change_log_versions": q_change_log_versions,
         "apply_change_log": q_apply_change_log,
         "check_primary_key": q_check_primary_key,
         "check_not_null": q_check_not_null,
@@ -440,6 +459,15 @@ def oracle_sql() -> dict[str, str]:
             "WHERE b.o_orderkey IS NULL OR a.o_orderkey IS NULL OR b.o_orderstatus IS DISTINCT FROM a.o_orderstatus "
             "OR b.o_totalprice IS DISTINCT FROM a.o_totalprice"
         ),
+        "change_log_versions": _TS + (
+            ", M AS (SELECT * FROM T WHERE o_orderkey NOT IN (SELECT o_orderkey FROM S) UNION ALL "
+            "SELECT o_orderkey, o_orderstatus, o_totalprice FROM S WHERE NOT is_deleted) "
+            "SELECT coalesce(b.o_orderkey, a.o_orderkey) AS o_orderkey, CASE WHEN b.o_orderkey IS NULL THEN 'I' "
+            "WHEN a.o_orderkey IS NULL THEN 'D' ELSE 'U' END AS operation_type, b.o_totalprice AS old_price, "
+            "a.o_totalprice AS new_price FROM T b FULL JOIN M a USING (o_orderkey) "
+            "WHERE b.o_orderkey IS NULL OR a.o_orderkey IS NULL OR b.o_orderstatus IS DISTINCT FROM a.o_orderstatus "
+            "OR b.o_totalprice IS DISTINCT FROM a.o_totalprice"
+        ),
         "apply_change_log": _LATEST_LIVE,
         "check_primary_key": (
             "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1"

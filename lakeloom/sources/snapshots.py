@@ -122,9 +122,25 @@ class SnapshotTable:
         write_text(self.spark, f"{self.log_path}/{commit.version:020d}.json", json.dumps(d))
         return Commit(**d)
 
+    def version_as_of(self, ts) -> int:
+        """The version readers saw at wall-clock time ``ts`` (UTC, naive)."""
+        for c in self._commits():
+            if dt.datetime.fromisoformat(c.written_at) <= ts:
+                return c.version
+        raise KeyError(f"{self.path}: no version at or before {ts}")
+
+    def changed_buckets(self, from_version: int, to_version: int) -> list[int]:
+        """Buckets whose data differs between two versions of a bucketed table
+        (a bucket with the same data version in both manifests is identical)."""
+        a, b = self.commit(from_version).manifest or {}, self.commit(to_version).manifest or {}
+        return sorted(int(k) for k in set(a) | set(b) if a.get(k, [None])[0] != b.get(k, [None])[0])
+
     # --- read ------------------------------------------------------------
-    def read(self, version: int | None = None, buckets=None) -> DataFrame:
-        """A version's rows; for bucketed tables optionally only some buckets."""
+    def read(self, version: int | None = None, buckets=None, as_of=None) -> DataFrame:
+        """A version's rows (latest, by number, or as of a time); for bucketed
+        tables optionally only some buckets."""
+        if as_of is not None:
+            version = self.version_as_of(as_of)
         c = self.current() if version is None else self.commit(version)
         if c is None:
             raise FileNotFoundError(f"{self.path}: no committed version")

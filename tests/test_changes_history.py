@@ -87,3 +87,23 @@ def test_as_of(spark):
     )
     got = sorted(map(tuple, history.as_of(df, ["k"], "seq", "ts", D(2024, 1, 5)).collect()))
     assert got == [(1, 2)]
+
+
+def test_snapshot_changes_reads_only_changed_buckets(spark):
+    from lakeloom.plans.workspace import work_dir
+    from lakeloom.sources.snapshots import SnapshotTable
+
+    t = SnapshotTable(spark, work_dir(spark, "snapchanges"), ("k",), 32)
+    base = spark.range(0, 500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    t.write(base)
+    batch = spark.createDataFrame([(3, 0, False), (7, None, True), (1000, 1, False)], "k long, v long, is_deleted boolean")
+    touched = sorted(r["b"] for r in batch.select(F.pmod(F.hash("k"), F.lit(32)).alias("b")).distinct().collect())
+    merged = merge(t.read(buckets=touched), batch, ["k"], "incremental", strategy="full_outer")
+    t.write(merged, replace_buckets=touched)
+    assert t.changed_buckets(0, 1) == touched
+    got = changes.snapshot_changes(t, 0, 1, ["k"])
+    full = changes.change_log(t.read(0), t.read(1), ["k"])
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, full.collect()))
+    assert sorted((r.k, r.operation_type) for r in got.collect()) == [(3, "U"), (7, "D"), (1000, "I")]
+    assert t.read(as_of=dt.datetime(2100, 1, 1)).count() == 500  # latest
+    assert t.version_as_of(dt.datetime.fromisoformat(t.commit(0).written_at)) == 0
