@@ -68,6 +68,9 @@ class ControlTable:
         return self.spark.createDataFrame([tuple(r) for r in rows if r is not None], CONTROL_SCHEMA)
 
     def _put(self, name, last_version=None, skip=None, run_ts=None, mark=None) -> None:
+        if run_ts is not None and not isinstance(run_ts, dt.datetime):
+            # a sequence-bounded run: record when it happened
+            run_ts = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         old = self.row(name)
         doc = {
             "delta_table_name": name,

@@ -64,15 +64,18 @@ def staged_frame(spec: TableSpec, source: DataFrame, audit: DataFrame | None, hw
     population = extract(source, spec, hwm, run_ts)
     deletes = None
     if audit is not None and spec.has_audit and not spec.is_full:
+        # A time window on the operation time needs a time watermark; with a
+        # sequence watermark the latest operation is taken over the whole log.
+        windowed = spec.audit_time_col in audit.columns and not spec.sequence_watermark
         deletes = latest_deleted_keys(
             audit,
             spec.keys,
             spec.audit_seq_col,
             spec.audit_op_col,
             spec.delete_op,
-            time_col=spec.audit_time_col if spec.audit_time_col in audit.columns else None,
-            since=lower_bound(hwm, spec.overlap),
-            until=run_ts,
+            time_col=spec.audit_time_col if windowed else None,
+            since=lower_bound(hwm, spec.overlap) if windowed else None,
+            until=run_ts if windowed else None,
         )
     staged = stage_batch(population, deletes, keys=spec.keys)
     if spec.staging_schema is not None:

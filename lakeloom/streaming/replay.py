@@ -51,6 +51,25 @@ def apply_batch(state: SnapshotTable, batch: DataFrame, keys, seq_col: str, cols
     state.write(merged, operation=f"{_BATCH_OP}{batch_id}", replace_buckets=touched)
 
 
+def _start(spark, log_path, log_schema, keys, seq_col, state_path, checkpoint_path, cols, max_files_per_trigger, buckets, trigger):
+    keys = list(keys)
+    cols = [c for c in (cols if cols is not None else log_schema.fieldNames()) if c not in keys and c != seq_col]
+    schema = T.StructType([log_schema[c] for c in [*keys, seq_col, *cols]])
+    state = SnapshotTable(spark, state_path, keys if buckets else None, buckets)
+    stream = (
+        spark.readStream.schema(log_schema)
+        .option("maxFilesPerTrigger", max_files_per_trigger)
+        .parquet(log_path)
+    )
+    query = (
+        stream.writeStream.foreachBatch(lambda df, bid: apply_batch(state, df, keys, seq_col, cols, bid, schema))
+        .option("checkpointLocation", checkpoint_path)
+        .trigger(**trigger)
+        .start()
+    )
+    return state, query
+
+
 def replay(
     spark: SparkSession,
     log_path: str,
@@ -66,20 +85,9 @@ def replay(
     """Replay every file under ``log_path`` into the state table and stop
     (``availableNow``). Returns the state table. ``buckets > 0`` keeps the
     state bucketed by key so each micro-batch rewrites only touched buckets."""
-    keys = list(keys)
-    cols = [c for c in (cols if cols is not None else log_schema.fieldNames()) if c not in keys and c != seq_col]
-    schema = T.StructType([log_schema[c] for c in [*keys, seq_col, *cols]])
-    state = SnapshotTable(spark, state_path, keys if buckets else None, buckets)
-    stream = (
-        spark.readStream.schema(log_schema)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .parquet(log_path)
-    )
-    query = (
-        stream.writeStream.foreachBatch(lambda df, bid: apply_batch(state, df, keys, seq_col, cols, bid, schema))
-        .option("checkpointLocation", checkpoint_path)
-        .trigger(availableNow=True)
-        .start()
+    state, query = _start(
+        spark, log_path, log_schema, keys, seq_col, state_path, checkpoint_path, cols,
+        max_files_per_trigger, buckets, {"availableNow": True},
     )
     query.awaitTermination()
     if query.exception() is not None:
@@ -87,6 +95,28 @@ def replay(
     return state
 
 
+def start_replay(
+    spark: SparkSession,
+    log_path: str,
+    log_schema: T.StructType,
+    keys,
+    seq_col: str,
+    state_path: str,
+    checkpoint_path: str,
+    cols=None,
+    max_files_per_trigger: int = 1,
+    buckets: int = 0,
+    processing_time: str = "1 minute",
+):
+    """Keep applying newly arriving change-log files every ``processing_time``.
+    Returns ``(state_table, streaming_query)``; stop the query to end it. The
+    same checkpoint location resumes where a stopped or failed run left off."""
+    return _start(
+        spark, log_path, log_schema, keys, seq_col, state_path, checkpoint_path, cols,
+        max_files_per_trigger, buckets, {"processingTime": processing_time},
+    )
+
+
 def current_rows(state: SnapshotTable, op_col: str, delete_op: str = "D") -> DataFrame:
     """Live rows of the replayed state."""
     return state.read().where(F.col(op_col) != F.lit(delete_op))

@@ -334,3 +334,18 @@ def test_command_line_jobs(spark, tmp_path):
     cur = layout.current(spark, s)
     assert sorted(r.product_key for r in cur.read().collect()) == [1, 3]  # product 2 deleted by the audit log
     assert jobs.parse_run_date("20251120") == D(2025, 11, 20)
+
+
+def test_sequence_watermark_with_audit_log(spark):
+    stg, cur, control = tables(spark, "pipe_seq")
+    s = TableSpec("fact_sales", ("sales_key",), LoadMode.INCREMENTAL, update_col="sales_key", audit_seq_col="audit_id", overlap=0)
+    sales = spark.createDataFrame([(i, i * 10) for i in range(1, 8)], "sales_key long, amount long")
+    r = pipeline.stage_table(spark, s, sales, None, stg, control, 1_000_000)
+    assert r.high_water_mark == 7
+    pipeline.merge_table(spark, s, stg, cur, control, 1_000_000)
+    more = spark.createDataFrame([(i, i * 10) for i in range(8, 10)], "sales_key long, amount long")
+    audit = spark.createDataFrame([(3, 1, "D", D(2025, 1, 1))], "sales_key long, audit_id long, operation_type string, operation_timestamp timestamp_ntz")
+    r = pipeline.stage_table(spark, s, sales.where("sales_key <> 3").unionByName(more), audit, stg, control, 1_000_000)
+    assert (r.rows, r.tombstones, r.high_water_mark) == (4, 1, 9)  # keys 7, 8, 9 (overlap 0 re-reads the mark) + tombstone 3
+    pipeline.merge_table(spark, s, stg, cur, control, 1_000_000)
+    assert sorted(x.sales_key for x in cur.read().collect()) == [1, 2, 4, 5, 6, 7, 8, 9]

@@ -32,3 +32,21 @@ def test_replay_is_order_insensitive_and_idempotent(spark, buckets):
     # re-applying an already committed batch id is a no-op
     replay.apply_batch(state, log, ["k"], "seq", ["op", "v"], 0, state.read().schema)
     assert state.current().version == n
+
+
+def test_start_replay_picks_up_new_files(spark):
+    base = work_dir(spark, "replay_live")
+    schema = "k long, seq long, op string, v double"
+    spark.createDataFrame([(1, 1, "I", 1.0)], schema).coalesce(1).write.parquet(f"{base}/log")
+    log_schema = spark.read.parquet(f"{base}/log").schema
+    state, query = replay.start_replay(
+        spark, f"{base}/log", log_schema, ["k"], "seq", f"{base}/state", f"{base}/ckpt", cols=["op", "v"], processing_time="1 second"
+    )
+    try:
+        query.processAllAvailable()
+        spark.createDataFrame([(1, 2, "U", 2.0), (2, 3, "I", 3.0)], schema).coalesce(1).write.mode("append").parquet(f"{base}/log")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    got = sorted((r.k, r.v) for r in replay.current_rows(state, "op", "D").collect())
+    assert got == [(1, 2.0), (2, 3.0)]
