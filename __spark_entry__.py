@@ -230,7 +230,7 @@ def q_change_log(spark, sf):
 def q_change_log_versions(spark, sf):
     """Change log between two versions of a bucketed table: T as v0, the batch
     merged bucket-scoped as v1; only changed buckets are diffed."""
-    table = SnapshotTable(spark, work_dir(spark, "change_log_versions"), KEYS, 64)
+    table = SnapshotTable(spark, work_dir(spark, "change_log_versions"), KEYS, 16)
     v0, _ = table.write(_target(spark, sf))
     batch = _staged(spark, sf)
     ids = batch.select(bucket_of(KEYS, table.buckets).alias("b")).distinct().collect()

@@ -151,6 +151,15 @@ def merge_actions(
     return _project(touched.unionByName(fresh), cols, action)
 
 
+def initial_actions(source: DataFrame, columns, delete_col: str = "is_deleted") -> DataFrame:
+    """Actions for a merge into a target known (from metadata) to be empty:
+    live rows are inserts, tombstones are ignored. No join is needed."""
+    action = F.lit(INSERT)
+    if delete_col in source.columns:
+        action = F.when(F.coalesce(F.col(delete_col), F.lit(False)), F.lit(IGNORE)).otherwise(F.lit(INSERT))
+    return source.select(*[F.col(c) for c in columns], action.alias(ACTION))
+
+
 def merged_rows(actions: DataFrame) -> DataFrame:
     """The new table content: rows whose action keeps them."""
     return actions.where(F.col(ACTION).isin(*WRITTEN)).drop(ACTION)

@@ -26,6 +26,7 @@ from lakeloom.operators.merge import (
     UNCHANGED,
     UPDATE,
     choose_strategy,
+    initial_actions,
     merge_actions,
     merged_rows,
     observe_actions,
@@ -172,10 +173,16 @@ def merge_table(
     else:
         target = empty_frame(spark, target_schema)
     mode = spec.load_mode.value
-    staged_rows = staging.current().rows  # rows written to staging bound the accepted batch
-    plan = choose_strategy(batch, mode, strategy, DEFAULT_MAX_ROWS, DEFAULT_MAX_BYTES, rows_at_most=staged_rows)
-    newer = spec.update_col if spec.newer_than_guard else None
-    actions = merge_actions(target, batch, spec.keys, mode, newer_col=newer, strategy=plan)
+    if before is None or not before.rows:
+        # First load (the commit log says the target is empty): every live row
+        # is an insert; no join, no shuffle.
+        plan = "initial"
+        actions = initial_actions(batch, target_schema.fieldNames())
+    else:
+        staged_rows = staging.current().rows  # rows written to staging bound the accepted batch
+        plan = choose_strategy(batch, mode, strategy, DEFAULT_MAX_ROWS, DEFAULT_MAX_BYTES, rows_at_most=staged_rows)
+        newer = spec.update_col if spec.newer_than_guard else None
+        actions = merge_actions(target, batch, spec.keys, mode, newer_col=newer, strategy=plan)
     observed, obs = observe_actions(actions)
     commit, _ = current.write(merged_rows(observed), operation=f"merge {mode}", replace_buckets=touched)
     counts = obs.get

@@ -22,7 +22,6 @@ from pyspark.sql import types as T
 
 from lakeloom.operators.changes import latest_per_key
 from lakeloom.operators.merge import merge
-from lakeloom.plans.workspace import empty_frame
 from lakeloom.sources.snapshots import SnapshotTable, bucket_of
 
 _BATCH_OP = "replay batch "
@@ -39,8 +38,10 @@ def apply_batch(state: SnapshotTable, batch: DataFrame, keys, seq_col: str, cols
     latest = latest_per_key(batch, keys, seq_col, cols).select(*schema.fieldNames())
     touched = None
     if not state.exists():
-        target = empty_frame(state.spark, schema)
-    elif state.bucketed:
+        # first micro-batch: the latest row per key is the state
+        state.write(latest, operation=f"{_BATCH_OP}{batch_id}")
+        return
+    if state.bucketed:
         # Only the state buckets holding this batch's keys are read and rewritten.
         ids = latest.select(bucket_of(keys, state.buckets).alias("b")).distinct().collect()
         touched = sorted(r["b"] for r in ids)
