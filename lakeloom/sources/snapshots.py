@@ -144,9 +144,11 @@ class SnapshotTable:
         c = self.current() if version is None else self.commit(version)
         if c is None:
             raise FileNotFoundError(f"{self.path}: no committed version")
+        schema = T.StructType.fromJson(json.loads(c.schema)) if c.schema else None
         if c.manifest is None:
-            return self.spark.read.parquet(self.data_path(c.data_version))
-        schema = T.StructType.fromJson(json.loads(c.schema))
+            # The commit records the schema: no footer-based schema inference.
+            reader = self.spark.read.schema(schema) if schema is not None else self.spark.read
+            return reader.parquet(self.data_path(c.data_version))
         wanted = c.manifest.keys() if buckets is None else [str(b) for b in buckets if str(b) in c.manifest]
         paths = [f"{self.data_path(c.manifest[b][0])}/{BUCKET}={b}" for b in sorted(wanted, key=int)]
         if not paths:
