@@ -107,3 +107,19 @@ def test_snapshot_changes_reads_only_changed_buckets(spark):
     assert sorted((r.k, r.operation_type) for r in got.collect()) == [(3, "U"), (7, "D"), (1000, "I")]
     assert t.read(as_of=dt.datetime(2100, 1, 1)).count() == 500  # latest
     assert t.version_as_of(dt.datetime.fromisoformat(t.commit(0).written_at)) == 0
+
+
+def test_scd2_spreads_a_hot_key_over_tasks(spark):
+    data = [(0 if i % 3 else i % 50 + 1, i, D(2024, 1, 1) + dt.timedelta(seconds=i)) for i in range(3000)]
+    df = spark.createDataFrame(data, "k long, seq long, ts timestamp_ntz")  # key 0 holds two thirds of the rows
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = history.scd2(df, ["k"], "seq", "ts", cols=["seq", "ts"], bucket_width=64)
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        plain = df.withColumn("nx", F.lead("ts").over(Window.partitionBy("k").orderBy("seq")))
+        plain_sizes = [r["count"] for r in plain.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert max(plain_sizes) >= 2000  # a plain key window puts the hot key in one task
+    assert max(sizes) < 0.4 * 3000  # the bucketed window spreads it
