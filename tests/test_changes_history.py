@@ -116,9 +116,11 @@ def test_scd2_spreads_a_hot_key_over_tasks(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         out = history.scd2(df, ["k"], "seq", "ts", cols=["seq", "ts"], bucket_width=64)
-        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
-        plain = df.withColumn("nx", F.lead("ts").over(Window.partitionBy("k").orderBy("seq")))
-        plain_sizes = [r["count"] for r in plain.groupBy(F.spark_partition_id()).count().collect()]
+        # aggregate a window output column too, so pruning cannot drop the window
+        per_task = [F.count(F.lit(1)).alias("n"), F.max("valid_to").alias("m")]
+        sizes = [r["n"] for r in out.groupBy(F.spark_partition_id()).agg(*per_task).collect()]
+        plain = df.withColumn("valid_to", F.lead("ts").over(Window.partitionBy("k").orderBy("seq")))
+        plain_sizes = [r["n"] for r in plain.groupBy(F.spark_partition_id()).agg(*per_task).collect()]
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
     assert max(plain_sizes) >= 2000  # a plain key window puts the hot key in one task
