@@ -189,3 +189,12 @@ def test_jdbc_population_flow_without_a_database(spark):
     assert calls[0]["dbtable"] == "products.orders" and "partitionColumn" not in calls[0]
     assert calls[1]["partitionColumn"] == "o_orderkey" and calls[1]["numPartitions"] == "4"
     assert df.count() == pop.count()
+
+
+def test_number_rows_spreads_ties(spark):
+    tied = spark.range(0, 20000).select(F.lit(1).alias("g"), "id")
+    nr = number_rows(tied, ["g"], num_partitions=8)
+    per = nr.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n"), F.max("row_number").alias("m")).collect()
+    assert len(per) == 8 and max(r["n"] for r in per) < 2 * 20000 / 8
+    stats = nr.agg(F.min("row_number"), F.max("row_number"), F.countDistinct("row_number")).first()
+    assert tuple(stats) == (1, 20000, 20000)
