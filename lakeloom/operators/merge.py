@@ -32,6 +32,8 @@ batch keys are unique and not NULL; target keys are unique.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -176,7 +178,7 @@ def observe_actions(actions: DataFrame, name: str = "merge"):
     Returns ``(observed_frame, observation)``; read ``observation.get`` after
     the write. Counting rides on the write, so no extra pass is made.
     """
-    obs = Observation(name)
+    obs = Observation(f"{name}_{uuid.uuid4().hex[:8]}")  # unique per use
     metrics = [F.count(F.when(F.col(ACTION) == a, 1)).alias(a) for a in ACTIONS]
     return actions.observe(obs, *metrics), obs
 

@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -175,7 +176,7 @@ class SnapshotTable:
         """
         current = self.current()
         version = 0 if current is None else current.version + 1
-        obs = Observation(f"snapshot_{version}")
+        obs = Observation(f"snapshot_{version}_{uuid.uuid4().hex[:8]}")  # unique per write
         observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *(observe or []))
         out = self.data_path(version)
         if not self.bucketed:
