@@ -10,6 +10,8 @@ Layout::
 
 A commit writes its data first and its log document after; readers take the
 highest commit in the log, so a half-written data directory is never served.
+If a writer was lost between the two, the next attempt writes a fresh sibling
+directory (``v=<n>-<id>``) and its commit names it; the orphan stays unread.
 Log documents are created with overwrite disabled, so a second writer racing
 for the same version fails instead of replacing a commit. ``restore`` is a
 commit pointing at an older commit's data (nothing is copied). This is a
@@ -34,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.plans.workspace import empty_frame, list_files, read_text, write_text
+from lakeloom.plans.workspace import empty_frame, list_files, path_exists, read_text, write_text
 
 BUCKET = "_bucket"
 
@@ -57,7 +59,8 @@ class Commit:
     rows: int | None
     written_at: str = ""
     schema: str | None = None
-    manifest: dict | None = field(default=None)  # bucketed tables: {"b": [data_version, rows]}
+    manifest: dict | None = field(default=None)  # bucketed tables: {"b": [data_version, rows, data_dir]}
+    data_dir: str | None = None  # directory of data_version, when not the default "v=<n>"
 
 
 def bucket_of(keys, buckets: int) -> Column:
@@ -82,8 +85,20 @@ class SnapshotTable:
     def log_path(self) -> str:
         return f"{self.path}/_log"
 
-    def data_path(self, data_version: int) -> str:
-        return f"{self.path}/v={data_version}"
+    def data_path(self, data_version: int, data_dir: str | None = None) -> str:
+        return f"{self.path}/{data_dir or f'v={data_version}'}"
+
+    def _fresh_data_path(self, version: int) -> tuple[str, str]:
+        """``v=<n>``, or a new sibling when an earlier attempt at version n left
+        data without committing it (a driver lost between data and commit)."""
+        name = f"v={version}"
+        if path_exists(self.spark, self.data_path(version)):
+            name = f"v={version}-{uuid.uuid4().hex[:8]}"
+        return self.data_path(version, name), name
+
+    @staticmethod
+    def _entry_dir(entry) -> str:
+        return entry[2] if len(entry) > 2 and entry[2] else f"v={entry[0]}"
 
     def _log_names(self) -> list[str]:
         return [n for n in list_files(self.spark, self.log_path) if n.endswith(".json")]
@@ -149,9 +164,9 @@ class SnapshotTable:
         if c.manifest is None:
             # The commit records the schema: no footer-based schema inference.
             reader = self.spark.read.schema(schema) if schema is not None else self.spark.read
-            return reader.parquet(self.data_path(c.data_version))
+            return reader.parquet(self.data_path(c.data_version, c.data_dir))
         wanted = c.manifest.keys() if buckets is None else [str(b) for b in buckets if str(b) in c.manifest]
-        paths = [f"{self.data_path(c.manifest[b][0])}/{BUCKET}={b}" for b in sorted(wanted, key=int)]
+        paths = [f"{self.path}/{self._entry_dir(c.manifest[b])}/{BUCKET}={b}" for b in sorted(wanted, key=int)]
         if not paths:
             return empty_frame(self.spark, schema)
         return self.spark.read.schema(schema).parquet(*paths)
@@ -178,11 +193,11 @@ class SnapshotTable:
         version = 0 if current is None else current.version + 1
         obs = Observation(f"snapshot_{version}_{uuid.uuid4().hex[:8]}")  # unique per write
         observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *(observe or []))
-        out = self.data_path(version)
+        out, dir_name = self._fresh_data_path(version)
         if not self.bucketed:
             observed.write.mode("errorifexists").parquet(out)
             metrics = obs.get
-            commit = Commit(version, version, operation, int(metrics["rows"]), schema=df.schema.json())
+            commit = Commit(version, version, operation, int(metrics["rows"]), schema=df.schema.json(), data_dir=dir_name)
             return self._append_log(commit), metrics
 
         # One task per bucket keeps one file per bucket, whatever the input partitioning.
@@ -197,14 +212,14 @@ class SnapshotTable:
         written = {}
         if metrics["rows"]:
             counts = self.spark.read.option("basePath", out).parquet(out).groupBy(BUCKET).count().collect()
-            written = {str(r[BUCKET]): [version, int(r["count"])] for r in counts}
+            written = {str(r[BUCKET]): [version, int(r["count"]), dir_name] for r in counts}
         base = {}
         if current is not None and current.manifest is not None and replace_buckets is not None:
             gone = {str(b) for b in replace_buckets}
             base = {b: v for b, v in current.manifest.items() if b not in gone}
         manifest = {**base, **written}
         rows = sum(v[1] for v in manifest.values())
-        commit = Commit(version, version, operation, rows, schema=df.schema.json(), manifest=manifest)
+        commit = Commit(version, version, operation, rows, schema=df.schema.json(), manifest=manifest, data_dir=dir_name)
         return self._append_log(commit), metrics
 
     def create_empty(self, schema: T.StructType) -> Commit:
@@ -219,7 +234,9 @@ class SnapshotTable:
         """Serve an older version again, as a new commit (no data is copied)."""
         t = self.commit(version)
         current = self.current()
-        commit = Commit(current.version + 1, t.data_version, f"restore {version}", t.rows, schema=t.schema, manifest=t.manifest)
+        commit = Commit(
+            current.version + 1, t.data_version, f"restore {version}", t.rows, schema=t.schema, manifest=t.manifest, data_dir=t.data_dir
+        )
         return self._append_log(commit)
 
     def stored_rows(self, version: int | None = None) -> int:

@@ -198,3 +198,16 @@ def test_number_rows_spreads_ties(spark):
     assert len(per) == 8 and max(r["n"] for r in per) < 2 * 20000 / 8
     stats = nr.agg(F.min("row_number"), F.max("row_number"), F.countDistinct("row_number")).first()
     assert tuple(stats) == (1, 20000, 20000)
+
+
+@pytest.mark.parametrize("buckets", [0, 4])
+def test_write_after_a_lost_uncommitted_attempt(spark, buckets):
+    t = SnapshotTable(spark, work_dir(spark, "orphan"), ("id",) if buckets else None, buckets)
+    t.write(spark.range(3))
+    # an earlier attempt at version 1 wrote data but never committed it
+    spark.range(100, 150).write.parquet(t.data_path(1))
+    c, _ = t.write(spark.range(10))
+    assert c.version == 1 and c.data_dir != "v=1"
+    assert sorted(r.id for r in t.read().collect()) == list(range(10))
+    t.restore(0)
+    assert t.read().count() == 3 and t.read(1).count() == 10
