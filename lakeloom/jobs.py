@@ -94,6 +94,7 @@ def main(argv=None) -> int:
     p.add_argument("--password-env", default=None)
     p.add_argument("--strategy", default="auto", choices=["auto", "full_outer", "broadcast"])
     p.add_argument("--buckets", type=int, default=0)
+    p.add_argument("--keep-versions", type=int, default=None, help="vacuum data older than this many commits")
     p.add_argument("--only", nargs="*", default=None, help="restrict to these tables")
     args = p.parse_args(argv)
 
@@ -117,7 +118,7 @@ def main(argv=None) -> int:
             staged = pipeline.stage_tables(spark, specs, sources, audits, layout, args.run_ts)
             report["stage"] = {k: {"version": v.version, "rows": v.rows, "tombstones": v.tombstones, "rejects": v.rejects} for k, v in staged.items()}
         if args.job in ("merge", "run"):
-            merged = pipeline.merge_tables(spark, specs, layout, args.run_ts, args.strategy, audits)
+            merged = pipeline.merge_tables(spark, specs, layout, args.run_ts, args.strategy, audits, args.keep_versions)
             report["merge"] = {k: {"version": m.version, "strategy": m.strategy, "actions": m.actions, "orphans": fk} for k, (m, fk) in merged.items()}
     print(json.dumps(report, default=str))
     return 0

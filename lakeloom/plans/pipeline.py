@@ -252,9 +252,13 @@ def stage_tables(spark, specs, sources: dict, audits: dict, layout: Layout, run_
     return out
 
 
-def merge_tables(spark, specs, layout: Layout, run_ts, strategy: str = "auto", audits: dict | None = None) -> dict:
+def merge_tables(
+    spark, specs, layout: Layout, run_ts, strategy: str = "auto", audits: dict | None = None, keep_versions: int | None = None
+) -> dict:
     """The merge job: latest staged batch of every non-skipped table into its
-    current table, then point-in-time history and foreign-key reports."""
+    current table, then point-in-time history and foreign-key reports. With
+    ``keep_versions``, data no longer referenced by that many newest commits
+    of the staging and current tables is removed after a successful merge."""
     control = layout.control(spark)
     audits = audits or {}
     loaded: dict[str, SnapshotTable] = {}
@@ -263,7 +267,11 @@ def merge_tables(spark, specs, layout: Layout, run_ts, strategy: str = "auto", a
         if spec.skip:
             continue
         current = layout.current(spark, spec)
-        mg = merge_table(spark, spec, layout.staging(spark, spec), current, control, run_ts, strategy)
+        staging = layout.staging(spark, spec)
+        mg = merge_table(spark, spec, staging, current, control, run_ts, strategy)
+        if keep_versions:
+            staging.vacuum(keep_versions)
+            current.vacuum(keep_versions)
         loaded[spec.name] = current
         audit = audits.get(spec.name)
         if spec.point_in_time and audit is not None and spec.has_audit:
@@ -272,7 +280,10 @@ def merge_tables(spark, specs, layout: Layout, run_ts, strategy: str = "auto", a
     return out
 
 
-def run_tables(spark, specs, sources: dict, audits: dict, root: str, run_ts, strategy: str = "auto", buckets: int = 0) -> dict:
+def run_tables(
+    spark, specs, sources: dict, audits: dict, root: str, run_ts, strategy: str = "auto", buckets: int = 0,
+    keep_versions: int | None = None,
+) -> dict:
     """Stage and merge every non-skipped table, parents first.
 
     ``sources`` / ``audits`` map table name → DataFrame (JDBC, parquet, ...).
@@ -283,7 +294,7 @@ def run_tables(spark, specs, sources: dict, audits: dict, root: str, run_ts, str
     """
     layout = Layout(root, buckets)
     staged = stage_tables(spark, specs, sources, audits, layout, run_ts)
-    merged = merge_tables(spark, specs, layout, run_ts, strategy, audits)
+    merged = merge_tables(spark, specs, layout, run_ts, strategy, audits, keep_versions)
     return {name: (staged[name], *merged[name]) for name in merged}
 
 

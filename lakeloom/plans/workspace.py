@@ -89,3 +89,9 @@ def empty_frame(spark: SparkSession, schema):
     """An empty DataFrame of ``schema``. Built on an empty RDD: writing an empty
     local relation takes a much slower path in Spark."""
     return spark.createDataFrame(spark.sparkContext.emptyRDD(), schema)
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Recursively delete ``path`` (used only for unreferenced snapshot data)."""
+    fs, p = _fs(spark, path)
+    return bool(fs.delete(p, True))

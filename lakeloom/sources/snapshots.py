@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.plans.workspace import empty_frame, list_files, path_exists, read_text, write_text
+from lakeloom.plans.workspace import delete_path, empty_frame, list_dirs, list_files, path_exists, read_text, write_text
 
 BUCKET = "_bucket"
 
@@ -239,6 +239,43 @@ class SnapshotTable:
         )
         return self._append_log(commit)
 
+    def vacuum(self, keep_last: int = 10, dry_run: bool = False) -> list[str]:
+        """Delete data no longer referenced by the newest ``keep_last`` commits.
+
+        Unbucketed tables drop whole ``v=...`` directories; bucketed tables drop
+        single bucket directories, since an old version's other buckets may still
+        be carried forward. Commit documents are kept, so history stays readable;
+        only reading a vacuumed version fails. Returns the removed paths.
+        """
+        if keep_last < 1:
+            raise ValueError("keep_last must be at least 1")
+        kept = self._commits()[:keep_last]
+        if not kept:
+            return []
+        used_dirs, used_buckets = set(), set()
+        for c in kept:
+            if c.manifest is None:
+                used_dirs.add(c.data_dir or f"v={c.data_version}")
+            else:
+                for b, entry in c.manifest.items():
+                    used_dirs.add(self._entry_dir(entry))
+                    used_buckets.add((self._entry_dir(entry), f"{BUCKET}={b}"))
+        removed = []
+        for d in list_dirs(self.spark, self.path):
+            if not d.startswith("v="):
+                continue
+            if d not in used_dirs:
+                removed.append(f"{self.path}/{d}")
+                continue
+            if any(c.manifest is not None for c in kept):
+                for sub in list_dirs(self.spark, f"{self.path}/{d}"):
+                    if sub.startswith(f"{BUCKET}=") and (d, sub) not in used_buckets:
+                        removed.append(f"{self.path}/{d}/{sub}")
+        if not dry_run:
+            for path in removed:
+                delete_path(self.spark, path)
+        return removed
+
     def stored_rows(self, version: int | None = None) -> int:
         """Row count of a version as stored. Unbucketed: read back (parquet
         footers). Bucketed: the manifest, whose per-bucket counts were read

@@ -328,7 +328,7 @@ def test_command_line_jobs(spark, tmp_path):
     common = ["--tables", str(cfg), "--root", f"{base}/lake"]
     assert jobs.main(["bootstrap", *common]) == 0
     assert jobs.main(["stage", *common, "--run-date", "20250102", "--parquet-dir", src]) == 0
-    assert jobs.main(["merge", *common, "--run-date", "20250102"]) == 0
+    assert jobs.main(["merge", *common, "--run-date", "20250102", "--keep-versions", "1"]) == 0
     layout = pipeline.Layout(f"{base}/lake")
     (s,) = load_specs(_json.loads(cfg.read_text()))
     cur = layout.current(spark, s)

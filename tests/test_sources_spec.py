@@ -211,3 +211,23 @@ def test_write_after_a_lost_uncommitted_attempt(spark, buckets):
     assert sorted(r.id for r in t.read().collect()) == list(range(10))
     t.restore(0)
     assert t.read().count() == 3 and t.read(1).count() == 10
+
+
+def test_vacuum_keeps_referenced_data(spark):
+    t = SnapshotTable(spark, work_dir(spark, "vacuum"))
+    for i in range(4):
+        t.write(spark.range(i + 1))
+    t.restore(1)  # version 4 serves the data of version 1
+    removed = t.vacuum(keep_last=2)  # keeps versions 4 (data v=1) and 3
+    assert sorted(p.rsplit("/", 1)[1] for p in removed) == ["v=0", "v=2"]
+    assert t.read().count() == 2 and t.read(3).count() == 4
+    assert t.vacuum(keep_last=2) == []
+
+    b = SnapshotTable(spark, work_dir(spark, "vacuum_b"), ("id",), 4)
+    b.write(spark.range(40))
+    touched = sorted(r["b"] for r in spark.range(3).select(F.pmod(F.hash("id"), F.lit(4)).alias("b")).distinct().collect())
+    b.write(spark.range(3).withColumn("id", F.col("id")), replace_buckets=touched)
+    removed = b.vacuum(keep_last=1)
+    # only the replaced buckets of version 0 go; its other buckets are still carried forward
+    assert sorted(p.rsplit("/", 1)[1] for p in removed) == sorted(f"_bucket={x}" for x in touched)
+    assert b.read().count() == b.stored_rows()
