@@ -231,7 +231,7 @@ def test_bucket_scoped_merge_rewrites_only_touched_buckets(spark):
     pipeline.stage_table(spark, s, changed.unionByName(new), None, stg, control, D(2001, 9, 2))
     m1 = pipeline.merge_table(spark, s, stg, cur, control, D(2001, 9, 2))
     v1 = cur.current()
-    rewritten = {b for b, (dv, _) in v1.manifest.items() if dv == v1.data_version}
+    rewritten = {b for b, entry in v1.manifest.items() if entry[0] == v1.data_version}
     assert 1 <= len(rewritten) <= 3
     assert all(v1.manifest[b] == v0.manifest[b] for b in v1.manifest if b not in rewritten)
     assert m1.actions["update"] == 2 and m1.actions["insert"] == 1 and m1.check.ok
