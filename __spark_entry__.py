@@ -249,12 +249,10 @@ def q_apply_change_log(spark, sf):
     """Two daily change batches (before / from 2024-01-15) applied in turn:
     latest op per key → tombstones → incremental merge."""
     audit = _audit_events(spark, sf).select("user_id", "event_id", "value", "operation_type", "ts")
-    cols = ["event_id", "value"]
     state = empty_frame(spark, "user_id long, event_id long, value double")
     split = lit_like(EVENTS_SPLIT, audit, "ts")
     for part in (audit.where(F.col("ts") < split), audit.where(F.col("ts") >= split)):
-        batch = changes.changes_to_batch(part.drop("ts"), ["user_id"], "event_id", "operation_type", "D", cols=["value"])
-        state = merge.merge(state, batch.select("user_id", *cols, "is_deleted"), ["user_id"], "incremental", strategy="full_outer")
+        state = changes.apply_change_log(state, part.drop("ts"), ["user_id"], "event_id", strategy="full_outer")
     return state
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions.keys import changed, key_match
 from lakeloom.functions.literals import lit_like
+from lakeloom.operators.merge import merge
 from lakeloom.operators.staging import DELETE_FLAG
 
 
@@ -133,3 +134,22 @@ def snapshot_changes(table, from_version: int, to_version: int, keys, compare_co
     else:
         before, after = table.read(from_version), table.read(to_version)
     return change_log(before, after, keys, compare_cols, payload)
+
+
+def apply_change_log(
+    target: DataFrame,
+    log: DataFrame,
+    keys,
+    seq_col: str,
+    op_col: str = "operation_type",
+    delete_op: str = "D",
+    strategy: str = "auto",
+) -> DataFrame:
+    """Apply a change log to a keyed table: the latest operation per key wins;
+    a delete removes the key, anything else upserts the logged row.
+
+    The target's columns are taken from the log's latest row per key. The log
+    is collapsed map-side first, so the merge sees one row per key.
+    """
+    batch = changes_to_batch(log, keys, seq_col, op_col, delete_op, cols=[c for c in target.columns if c not in keys])
+    return merge(target, batch.select(*target.columns, DELETE_FLAG), keys, "incremental", strategy=strategy)
