@@ -93,7 +93,8 @@ def main(argv=None) -> int:
     p.add_argument("--user-env", default=None)
     p.add_argument("--password-env", default=None)
     p.add_argument("--strategy", default="auto", choices=["auto", "full_outer", "broadcast"])
-    p.add_argument("--buckets", type=int, default=0)
+    p.add_argument("--buckets", type=int, default=0, help="hash buckets for current tables")
+    p.add_argument("--bucket-width", type=int, default=None, help="range buckets (key width) for single integral keys")
     p.add_argument("--keep-versions", type=int, default=None, help="vacuum data older than this many commits")
     p.add_argument("--only", nargs="*", default=None, help="restrict to these tables")
     args = p.parse_args(argv)
@@ -102,7 +103,7 @@ def main(argv=None) -> int:
     specs = load_specs(read_config(args.tables), env=args.env)
     if args.only:
         specs = [s for s in specs if s.name in set(args.only)]
-    layout = pipeline.Layout(args.root, args.buckets)
+    layout = pipeline.Layout(args.root, args.buckets, args.bucket_width)
     report = {}
     if args.job == "bootstrap":
         report = pipeline.bootstrap_tables(spark, specs, layout)

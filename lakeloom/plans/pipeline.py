@@ -36,7 +36,7 @@ from lakeloom.operators.staging import DELETE_FLAG, REJECT_COL, conform, stage_b
 from lakeloom.plans.broadcast import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS
 from lakeloom.plans.control import ControlTable
 from lakeloom.plans.workspace import empty_frame
-from lakeloom.sources.snapshots import SnapshotTable, bucket_of
+from lakeloom.sources.snapshots import SnapshotTable
 from lakeloom.spec import TableSpec
 
 ROW_NUMBER = "row_number"
@@ -164,9 +164,8 @@ def merge_table(
     if current.bucketed and not spec.is_full and before is not None and before.manifest is not None:
         # Bucket-scoped merge: only the buckets holding batch keys are read and
         # rewritten; the rest of the table is carried forward by reference.
-        # At most ``current.buckets`` ids reach the driver.
-        ids = batch.select(bucket_of(spec.keys, current.buckets).alias("b")).distinct().collect()
-        touched = sorted(r["b"] for r in ids)
+        # At most one id per bucket reaches the driver.
+        touched = current.touched_buckets(batch)
         target = current.read(buckets=touched)
     elif before is not None:
         target = current.read()
@@ -209,13 +208,15 @@ class Layout:
 
     root: str
     buckets: int = 0
+    bucket_width: int | None = None  # range buckets on a single integral key instead of hash buckets
 
     def staging(self, spark, spec: TableSpec) -> SnapshotTable:
         return SnapshotTable(spark, spec.staging_path or f"{self.root}/staging/{spec.name}")
 
     def current(self, spark, spec: TableSpec) -> SnapshotTable:
         path = spec.current_path or f"{self.root}/current/{spec.name}"
-        return SnapshotTable(spark, path, spec.keys if self.buckets else None, self.buckets)
+        bucketed = self.buckets or self.bucket_width
+        return SnapshotTable(spark, path, spec.keys if bucketed else None, self.buckets, bucket_width=self.bucket_width)
 
     def history(self, spark, spec: TableSpec) -> SnapshotTable:
         return SnapshotTable(spark, spec.point_in_time_path or f"{self.root}/point_in_time/{spec.name}")
@@ -282,7 +283,7 @@ def merge_tables(
 
 def run_tables(
     spark, specs, sources: dict, audits: dict, root: str, run_ts, strategy: str = "auto", buckets: int = 0,
-    keep_versions: int | None = None,
+    keep_versions: int | None = None, bucket_width: int | None = None,
 ) -> dict:
     """Stage and merge every non-skipped table, parents first.
 
@@ -292,7 +293,7 @@ def run_tables(
     business-current tables bucketed by key so incremental merges rewrite only
     touched buckets. Returns ``{table: (StageResult, MergeResult, fk_report)}``.
     """
-    layout = Layout(root, buckets)
+    layout = Layout(root, buckets, bucket_width)
     staged = stage_tables(spark, specs, sources, audits, layout, run_ts)
     merged = merge_tables(spark, specs, layout, run_ts, strategy, audits, keep_versions)
     return {name: (staged[name], *merged[name]) for name in merged}

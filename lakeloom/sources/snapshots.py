@@ -68,17 +68,49 @@ def bucket_of(keys, buckets: int) -> Column:
     return F.pmod(F.hash(*[F.col(k) for k in keys]), F.lit(buckets))
 
 
+def range_bucket_of(key: str, width: int) -> Column:
+    """Bucket id by key range: ``floor(key / width)`` for an integral key."""
+    k = f"CAST(`{key}` AS BIGINT)"
+    return F.expr(f"({k} - pmod({k}, {int(width)})) div {int(width)}")
+
+
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, path: str, bucket_keys=None, buckets: int = 0, max_records_per_file: int | None = None):
+    """A versioned table. ``bucket_keys`` + ``buckets`` hash-bucket rows by key;
+    ``bucket_keys`` (one integral key) + ``bucket_width`` range-buckets them
+    instead, which suits append-mostly tables keyed by a growing sequence:
+    new keys land in the newest buckets, so a batch rewrites few of them."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        bucket_keys=None,
+        buckets: int = 0,
+        max_records_per_file: int | None = None,
+        bucket_width: int | None = None,
+    ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.bucket_keys = tuple(bucket_keys) if bucket_keys else None
         self.buckets = int(buckets) if bucket_keys else 0
+        self.bucket_width = int(bucket_width) if bucket_keys and bucket_width else None
+        if self.bucket_width and len(self.bucket_keys) != 1:
+            raise ValueError("range buckets need exactly one integral key")
         self.max_records_per_file = max_records_per_file  # splits large buckets into several files
 
     @property
     def bucketed(self) -> bool:
-        return self.buckets > 0
+        return self.buckets > 0 or self.bucket_width is not None
+
+    def bucket_expr(self) -> Column:
+        """The bucket id of a row of this table (hash or key range)."""
+        if self.bucket_width is not None:
+            return range_bucket_of(self.bucket_keys[0], self.bucket_width)
+        return bucket_of(self.bucket_keys, self.buckets)
+
+    def touched_buckets(self, batch: DataFrame) -> list[int]:
+        """Distinct bucket ids of ``batch`` (at most one per bucket reaches the driver)."""
+        return sorted(r["b"] for r in batch.select(self.bucket_expr().alias("b")).distinct().collect())
 
     # --- paths and log -------------------------------------------------
     @property
@@ -201,8 +233,9 @@ class SnapshotTable:
             return self._append_log(commit), metrics
 
         # One task per bucket keeps one file per bucket, whatever the input partitioning.
-        n_out = self.buckets if replace_buckets is None else max(1, min(self.buckets, len(replace_buckets)))
-        bucketed = observed.withColumn(BUCKET, bucket_of(self.bucket_keys, self.buckets))
+        cap = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        n_out = cap if replace_buckets is None else max(1, min(cap, len(replace_buckets)))
+        bucketed = observed.withColumn(BUCKET, self.bucket_expr())
         writer = bucketed.repartition(n_out, BUCKET).write.mode("errorifexists").partitionBy(BUCKET)
         if self.max_records_per_file:
             writer = writer.option("maxRecordsPerFile", int(self.max_records_per_file))

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from lakeloom.operators.changes import latest_per_key
 from lakeloom.operators.merge import merge
-from lakeloom.sources.snapshots import SnapshotTable, bucket_of
+from lakeloom.sources.snapshots import SnapshotTable
 
 _BATCH_OP = "replay batch "
 
@@ -43,8 +43,7 @@ def apply_batch(state: SnapshotTable, batch: DataFrame, keys, seq_col: str, cols
         return
     if state.bucketed:
         # Only the state buckets holding this batch's keys are read and rewritten.
-        ids = latest.select(bucket_of(keys, state.buckets).alias("b")).distinct().collect()
-        touched = sorted(r["b"] for r in ids)
+        touched = state.touched_buckets(latest)
         target = state.read(buckets=touched)
     else:
         target = state.read()

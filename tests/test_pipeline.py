@@ -349,3 +349,21 @@ def test_sequence_watermark_with_audit_log(spark):
     assert (r.rows, r.tombstones, r.high_water_mark) == (4, 1, 9)  # keys 7, 8, 9 (overlap 0 re-reads the mark) + tombstone 3
     pipeline.merge_table(spark, s, stg, cur, control, 1_000_000)
     assert sorted(x.sales_key for x in cur.read().collect()) == [1, 2, 4, 5, 6, 7, 8, 9]
+
+
+def test_range_buckets_rewrite_only_new_key_ranges(spark):
+    base = work_dir(spark, "pipe_range")
+    layout = pipeline.Layout(f"{base}/lake", bucket_width=100)
+    s = TableSpec("fact", ("sales_key",), LoadMode.INCREMENTAL, update_col="sales_key", overlap=0)
+    first = spark.range(0, 1000).select(F.col("id").alias("sales_key"), (F.col("id") % 7).alias("qty"))
+    pipeline.stage_tables(spark, [s], {"fact": first}, {}, layout, 10**9)
+    pipeline.merge_tables(spark, [s], layout, 10**9)
+    cur = layout.current(spark, s)
+    assert sorted(int(b) for b in cur.current().manifest) == list(range(10))
+    # appended keys 1000..1049 plus a re-read of the mark (999): only buckets 9 and 10 change
+    more = spark.range(999, 1050).select(F.col("id").alias("sales_key"), F.lit(1).cast("long").alias("qty"))
+    pipeline.stage_tables(spark, [s], {"fact": first.unionByName(more).dropDuplicates(["sales_key"])}, {}, layout, 10**9)
+    pipeline.merge_tables(spark, [s], layout, 10**9)
+    v0, v1 = cur.commit(cur.current().version - 1), cur.current()
+    assert cur.changed_buckets(v0.version, v1.version) == [9, 10]
+    assert cur.read().count() == 1050 and cur.stored_rows() == 1050
