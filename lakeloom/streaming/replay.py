@@ -27,13 +27,18 @@ from lakeloom.sources.snapshots import SnapshotTable
 _BATCH_OP = "replay batch "
 
 
-def _applied(state: SnapshotTable) -> set[int]:
-    ops = [c.operation for c in state._commits()]
-    return {int(o[len(_BATCH_OP):]) for o in ops if o.startswith(_BATCH_OP)}
+def _last_applied(state: SnapshotTable) -> int:
+    """Id of the last micro-batch committed to the state (-1 if none). Batch ids
+    only grow and only the latest batch can be delivered again after a
+    failure, so the newest commit is all that needs reading."""
+    c = state.current()
+    if c is None or not c.operation.startswith(_BATCH_OP):
+        return -1
+    return int(c.operation[len(_BATCH_OP):])
 
 
 def apply_batch(state: SnapshotTable, batch: DataFrame, keys, seq_col: str, cols, batch_id: int, schema: T.StructType) -> None:
-    if batch_id in _applied(state):
+    if batch_id <= _last_applied(state):
         return
     latest = latest_per_key(batch, keys, seq_col, cols).select(*schema.fieldNames())
     touched = None
