@@ -60,6 +60,10 @@ def latest_deleted_keys(
     """
     keys = list(keys)
     win = window_filter(log, time_col, since, until)
+    # NULL keys cannot be deleted; filtering them here also makes every use of
+    # this frame plan identically, so Spark can reuse its shuffle.
+    for k in keys:
+        win = win.where(F.col(k).isNotNull())
     # max_by over (boolean, sequence) keeps a fixed-width buffer: hash aggregate,
     # combined map-side, so a hot key is reduced in every task before the shuffle.
     is_delete = F.coalesce(F.col(op_col) == F.lit(delete_op), F.lit(False))
