@@ -1,6 +1,6 @@
 """Command-line jobs: bootstrap, stage, merge (and both in one run).
 
-    spark-submit --py-files lakeloom.zip lakeloom/jobs.py stage --tables tables.yaml \
+    spark-submit --py-files lakeloom.zip lakeloom/jobs.py stage --tables load.yaml \
         --env dev --run-date 20251120 --root s3a://bucket/lake --parquet-dir s3a://bucket/src
 
 Sources are either parquet directories (``<dir>/<table>`` or
