@@ -26,7 +26,7 @@ Two physical forms give the same rows:
   count), also when asked for explicitly; otherwise the shuffle form runs.
   Full loads always use the shuffle form.
 
-Preconditions (checked by the pipeline, see ``checks.require_unique_keys``):
+Preconditions (checked by the pipeline with ``checks.require_keys_valid``):
 batch keys are unique and not NULL; target keys are unique.
 """
 

@@ -318,4 +318,3 @@ class SnapshotTable:
             return sum(v[1] for v in c.manifest.values())
         return self.read(version).count()
 
-    count_files = stored_rows
