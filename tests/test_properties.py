@@ -58,3 +58,42 @@ def test_time_windows_ignore_session_time_zone(spark, name):
         assert compare(df, duck(sf), E.oracle_sql()[name]) == []
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    rows=st.lists(st.tuples(st.integers(0, 5), st.integers(0, 30)), min_size=0, max_size=60),
+    parts=st.integers(1, 9),
+)
+def test_number_rows_matches_row_number(spark, rows, parts):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from lakeloom.operators.numbering import number_rows
+
+    data = [(g, v, i) for i, (g, v) in enumerate(rows)]  # (g, v) may tie; i makes the full order unique
+    df = spark.createDataFrame(data, "g long, v long, i long")
+    got = number_rows(df, ["g", "v", "i"], num_partitions=parts)
+    ref = df.withColumn("row_number", F.row_number().over(Window.orderBy("g", "v", "i")))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, ref.collect()))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    seqs=st.lists(st.tuples(st.integers(0, 3), st.integers(-50, 500)), min_size=0, max_size=60, unique_by=lambda x: x),
+    width=st.sampled_from([1, 2, 5, 17, 1000]),
+)
+def test_scd2_matches_lead(spark, seqs, width):
+    import datetime as dt
+
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from lakeloom.operators.history import scd2
+
+    data = [(k, s, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=s + 100)) for k, s in seqs]
+    df = spark.createDataFrame(data, "k long, seq long, ts timestamp_ntz")
+    got = scd2(df, ["k"], "seq", "ts", cols=["seq", "ts"], bucket_width=width)
+    w = Window.partitionBy("k").orderBy("seq")
+    ref = df.select("k", "seq", F.col("ts").alias("valid_from"), F.lead("ts").over(w).alias("valid_to"), F.lead("seq").over(w).isNull().alias("is_current"))
+    assert sorted(map(tuple, got.select("k", "seq", "valid_from", "valid_to", "is_current").collect())) == sorted(map(tuple, ref.collect()))
