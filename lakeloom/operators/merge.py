@@ -179,8 +179,12 @@ def observe_actions(actions: DataFrame, name: str = "merge"):
     the write. Counting rides on the write, so no extra pass is made.
     """
     obs = Observation(f"{name}_{uuid.uuid4().hex[:8]}")  # unique per use
-    metrics = [F.count(F.when(F.col(ACTION) == a, 1)).alias(a) for a in ACTIONS]
-    return actions.observe(obs, *metrics), obs
+    return actions.observe(obs, *action_metrics()), obs
+
+
+def action_metrics():
+    """One count per merge action (the aggregates ``observe_actions`` attaches)."""
+    return [F.count(F.when(F.col(ACTION) == a, 1)).alias(a) for a in ACTIONS]
 
 
 def expected_count(actions: DataFrame) -> DataFrame:

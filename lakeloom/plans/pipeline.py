@@ -25,6 +25,7 @@ from lakeloom.operators.merge import (
     KEEP,
     UNCHANGED,
     UPDATE,
+    action_metrics,
     choose_strategy,
     initial_actions,
     merge_actions,
@@ -35,6 +36,7 @@ from lakeloom.operators.numbering import number_rows
 from lakeloom.operators.staging import DELETE_FLAG, REJECT_COL, conform, stage_batch
 from lakeloom.plans.broadcast import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS
 from lakeloom.plans.control import ControlTable
+from lakeloom.plans.metrics import observed_values
 from lakeloom.plans.workspace import empty_frame
 from lakeloom.sources.snapshots import SnapshotTable
 from lakeloom.spec import TableSpec
@@ -184,7 +186,7 @@ def merge_table(
         actions = merge_actions(target, batch, spec.keys, mode, newer_col=newer, strategy=plan)
     observed, obs = observe_actions(actions)
     commit, _ = current.write(merged_rows(observed), operation=f"merge {mode}", replace_buckets=touched)
-    counts = obs.get
+    counts = observed_values(obs, actions, action_metrics())
     if spec.is_full:
         expected = counts[INSERT] + counts[UPDATE] + counts[UNCHANGED]
     else:

@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeloom.plans.metrics import observed_values
 from lakeloom.plans.workspace import delete_path, empty_frame, list_dirs, list_files, path_exists, read_text, write_text
 
 BUCKET = "_bucket"
@@ -224,11 +225,12 @@ class SnapshotTable:
         current = self.current()
         version = 0 if current is None else current.version + 1
         obs = Observation(f"snapshot_{version}_{uuid.uuid4().hex[:8]}")  # unique per write
-        observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *(observe or []))
+        exprs = [F.count(F.lit(1)).alias("rows"), *(observe or [])]
+        observed = df.observe(obs, *exprs)
         out, dir_name = self._fresh_data_path(version)
         if not self.bucketed:
             observed.write.mode("errorifexists").parquet(out)
-            metrics = obs.get
+            metrics = observed_values(obs, df, exprs)
             commit = Commit(version, version, operation, int(metrics["rows"]), schema=df.schema.json(), data_dir=dir_name)
             return self._append_log(commit), metrics
 
@@ -240,7 +242,7 @@ class SnapshotTable:
         if self.max_records_per_file:
             writer = writer.option("maxRecordsPerFile", int(self.max_records_per_file))
         writer.parquet(out)
-        metrics = obs.get
+        metrics = observed_values(obs, df, exprs)
         # Rows per written bucket, read back from storage (one row per bucket).
         written = {}
         if metrics["rows"]:

@@ -97,3 +97,24 @@ def test_scd2_matches_lead(spark, seqs, width):
     w = Window.partitionBy("k").orderBy("seq")
     ref = df.select("k", "seq", F.col("ts").alias("valid_from"), F.lead("ts").over(w).alias("valid_to"), F.lead("seq").over(w).isNull().alias("is_current"))
     assert sorted(map(tuple, got.select("k", "seq", "valid_from", "valid_to", "is_current").collect())) == sorted(map(tuple, ref.collect()))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(target=tables, batch=batches, layout=st.sampled_from([("hash", 4), ("hash", 16), ("range", 3), ("range", 50)]))
+def test_bucket_scoped_merge_equals_whole_table_merge(spark, target, batch, layout):
+    from lakeloom.plans.workspace import work_dir
+    from lakeloom.sources.snapshots import SnapshotTable
+
+    kind, n = layout
+    table = SnapshotTable(
+        spark, work_dir(spark, "prop_buckets"), ("k",), n if kind == "hash" else 0, bucket_width=n if kind == "range" else None
+    )
+    t = spark.createDataFrame([(k, a, b) for k, (a, b) in target.items()], SCHEMA)
+    s = spark.createDataFrame([(k, a, b, dead) for k, ((a, b), dead) in batch.items()], SSCHEMA)
+    table.write(t)
+    touched = table.touched_buckets(s)
+    scoped = merge(table.read(buckets=touched), s, ["k"], "incremental", strategy="full_outer")
+    table.write(scoped, replace_buckets=touched)
+    expected = as_rows(model(target, batch, "incremental"))
+    assert sorted(tuple(r) for r in table.read().collect()) == expected
+    assert table.stored_rows() == len(expected)
