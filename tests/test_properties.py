@@ -124,11 +124,16 @@ step_ops = st.lists(st.tuples(st.integers(0, 8), st.one_of(st.none(), st.integer
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(steps=st.lists(step_ops, min_size=1, max_size=3), buckets=st.sampled_from([0, 4]))
-def test_pipeline_keeps_current_equal_to_source(spark, steps, buckets):
+@given(
+    steps=st.lists(step_ops, min_size=1, max_size=3),
+    buckets=st.sampled_from([0, 4]),
+    mode=st.sampled_from(["incremental", "full"]),
+)
+def test_pipeline_keeps_current_equal_to_source(spark, steps, buckets, mode):
     """Random upserts (value) and deletes (None) against a source table, each
     step logged to an audit table; after every stage + merge run the current
-    table equals the source."""
+    table equals the source (incremental: deletes from the audit log; full:
+    deletes by absence)."""
     import datetime as dt
 
     from lakeloom.plans import control as ctl
@@ -141,7 +146,7 @@ def test_pipeline_keeps_current_equal_to_source(spark, steps, buckets):
     stg = SnapshotTable(spark, f"{base}/staging")
     cur = SnapshotTable(spark, f"{base}/current", ("k",) if buckets else None, buckets)
     control = ctl.ControlTable(spark, f"{base}/_control")
-    spec = TableSpec("src", ("k",), LoadMode.INCREMENTAL, update_col="upd", audit_seq_col="audit_id")
+    spec = TableSpec("src", ("k",), LoadMode(mode), update_col="upd", audit_seq_col="audit_id")
     source, audit, seq = {}, [], 0
     for i, ops in enumerate(steps):
         day = dt.datetime(2025, 1, 1 + 3 * i, 12)
