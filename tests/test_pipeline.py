@@ -367,3 +367,36 @@ def test_range_buckets_rewrite_only_new_key_ranges(spark):
     v0, v1 = cur.commit(cur.current().version - 1), cur.current()
     assert cur.changed_buckets(v0.version, v1.version) == [9, 10]
     assert cur.read().count() == 1050 and cur.stored_rows() == 1050
+
+
+def test_command_line_jdbc_wiring_without_a_database(spark, tmp_path, monkeypatch):
+    """The JDBC path of the jobs, with the two JDBC readers replaced by stubs
+    that serve parquet: checks table naming, the audit table and the report."""
+    import json as _json
+
+    from lakeloom import jobs
+
+    base = work_dir(spark, "cli_jdbc")
+    seed(spark).withColumn("unit_price", F.col("unit_price").cast("decimal(10,2)")).write.parquet(f"{base}/dim_product")
+    spark.createDataFrame([(3, 1, "D", D(2025, 1, 1, 12))], AUDIT).write.parquet(f"{base}/dim_product_audit")
+    calls = []
+
+    def fake_population(spark_, src, spec, hwm, run_ts, schema_name=None, **kw):
+        calls.append(("population", spec.name, schema_name, src.url))
+        return spark_.read.parquet(f"{base}/{spec.name}"), None
+
+    def fake_jdbc(spark_, src, dbtable, plan=None, reader=None):
+        calls.append(("table", dbtable))
+        return spark_.read.parquet(f"{base}/{dbtable.split('.')[-1]}")
+
+    monkeypatch.setattr(jobs, "read_population", fake_population)
+    monkeypatch.setattr(jobs, "read_jdbc", fake_jdbc)
+    cfg = tmp_path / "load.json"
+    cfg.write_text(_json.dumps({"dim_product": {"primary_keys": ["product_key"], "update_timestamp_col": "last_updt_col", "audit_seq_id": "audit_id"}}))
+    args = ["run", "--tables", str(cfg), "--root", f"{base}/lake", "--run-date", "20250102",
+            "--jdbc-url", "jdbc:postgresql://db/x", "--db-schema", "products"]
+    assert jobs.main(args) == 0
+    assert ("population", "dim_product", "products", "jdbc:postgresql://db/x") in calls
+    assert ("table", "products.dim_product_audit") in calls
+    (s,) = load_specs(_json.loads(cfg.read_text()))
+    assert sorted(r.product_key for r in pipeline.Layout(f"{base}/lake").current(spark, s).read().collect()) == [1, 2]
