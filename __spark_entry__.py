@@ -16,8 +16,15 @@ Shared derivations used by several queries (the same on both sides):
 from __future__ import annotations
 
 import datetime as dt
+import os
+import sys
 from collections.abc import Callable
 
+# The driver may load this file by path from another working directory.
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
