@@ -52,16 +52,19 @@ def _parquet_source(spark, base: str, name: str):
     return None
 
 
-def load_sources(spark, specs, args, control=None):
-    """``(sources, audits)`` frames per table for the chosen source kind."""
+def load_sources(spark, specs, args, control=None, plans=None):
+    """``(sources, audits)`` frames per table for the chosen source kind.
+    For JDBC, ``plans`` (a dict) receives each table's read plan, whose
+    ``row_count`` is the source's own count of the population."""
     sources, audits = {}, {}
+    plans = plans if plans is not None else {}
     if args.jdbc_url:
         src = JdbcSource(args.jdbc_url, driver=args.jdbc_driver, user_env=args.user_env, password_env=args.password_env)
         for spec in specs:
             if spec.skip:
                 continue
             hwm = control.high_water_mark(spec.name, spec.watermark_floor()) if control else spec.watermark_floor()
-            sources[spec.name], _ = read_population(spark, src, spec, hwm, args.run_ts, schema_name=args.db_schema)
+            sources[spec.name], plans[spec.name] = read_population(spark, src, spec, hwm, args.run_ts, schema_name=args.db_schema)
             if spec.has_audit:
                 audits[spec.name] = read_jdbc(spark, src, table_ref(args.db_schema, f"{spec.name}_audit"))
         return sources, audits
@@ -115,9 +118,19 @@ def main(argv=None) -> int:
         if args.job in ("stage", "run"):
             if not (args.parquet_dir or args.jdbc_url):
                 raise SystemExit("give --parquet-dir or --jdbc-url")
-            sources, audits = load_sources(spark, specs, args, layout.control(spark))
+            plans = {}
+            sources, audits = load_sources(spark, specs, args, layout.control(spark), plans)
             staged = pipeline.stage_tables(spark, specs, sources, audits, layout, args.run_ts)
-            report["stage"] = {k: {"version": v.version, "rows": v.rows, "tombstones": v.tombstones, "rejects": v.rejects} for k, v in staged.items()}
+            report["stage"] = {}
+            for k, v in staged.items():
+                entry = {"version": v.version, "rows": v.rows, "tombstones": v.tombstones, "rejects": v.rejects}
+                plan = plans.get(k)
+                if plan is not None:
+                    # the source's count at planning time vs live rows staged: a
+                    # difference means the source moved between the two reads
+                    entry["source_rows"] = plan.row_count
+                    entry["source_drift"] = (v.rows - v.tombstones) - plan.row_count
+                report["stage"][k] = entry
         if args.job in ("merge", "run"):
             merged = pipeline.merge_tables(spark, specs, layout, args.run_ts, args.strategy, audits, args.keep_versions)
             report["merge"] = {k: {"version": m.version, "strategy": m.strategy, "actions": m.actions, "orphans": fk} for k, (m, fk) in merged.items()}

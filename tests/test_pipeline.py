@@ -382,8 +382,10 @@ def test_command_line_jdbc_wiring_without_a_database(spark, tmp_path, monkeypatc
     calls = []
 
     def fake_population(spark_, src, spec, hwm, run_ts, schema_name=None, **kw):
+        from lakeloom.plans.read_plan import ReadPlan
+
         calls.append(("population", spec.name, schema_name, src.url))
-        return spark_.read.parquet(f"{base}/{spec.name}"), None
+        return spark_.read.parquet(f"{base}/{spec.name}"), ReadPlan(None, None, None, 1, 3)
 
     def fake_jdbc(spark_, src, dbtable, plan=None, reader=None):
         calls.append(("table", dbtable))
@@ -395,7 +397,16 @@ def test_command_line_jdbc_wiring_without_a_database(spark, tmp_path, monkeypatc
     cfg.write_text(_json.dumps({"dim_product": {"primary_keys": ["product_key"], "update_timestamp_col": "last_updt_col", "audit_seq_id": "audit_id"}}))
     args = ["run", "--tables", str(cfg), "--root", f"{base}/lake", "--run-date", "20250102",
             "--jdbc-url", "jdbc:postgresql://db/x", "--db-schema", "products"]
-    assert jobs.main(args) == 0
+    import contextlib
+    import io
+
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        assert jobs.main(args) == 0
+    report = _json.loads(out.getvalue().strip().splitlines()[-1])
+    stage = report["stage"]["dim_product"]
+    assert (stage["rows"], stage["tombstones"], stage["source_rows"]) == (3, 1, 3)
+    assert stage["source_drift"] == -1  # product 3 was read live, then dropped by the later delete
     assert ("population", "dim_product", "products", "jdbc:postgresql://db/x") in calls
     assert ("table", "products.dim_product_audit") in calls
     (s,) = load_specs(_json.loads(cfg.read_text()))
