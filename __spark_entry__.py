@@ -40,6 +40,16 @@ from lakeloom.sources.snapshots import SnapshotTable
 from lakeloom.spec import LoadMode, TableSpec
 from lakeloom.streaming import replay
 
+# The training-data operators are optional: without their folder the rest still works.
+try:
+    from lakeloom.llm import queries as llm_queries
+except ImportError:
+    llm_queries = None
+try:
+    import corpus_pipeline
+except ImportError:
+    corpus_pipeline = None
+
 SF0001 = "/root/testdata/sf0.001"
 
 RUN_FULL = dt.datetime(2000, 1, 1)
@@ -342,6 +352,24 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    found = _queries()
+    if llm_queries:
+        found |= llm_queries.QUERIES
+    if corpus_pipeline:
+        found["pipeline"] = corpus_pipeline.run
+    return found
+
+
+def oracle_sql() -> dict[str, str]:
+    found = _oracle_sql()
+    if llm_queries:
+        found |= llm_queries.ORACLE_SQL
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
+
+
+def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "high_water_mark": q_high_water_mark,
         "high_water_mark_seq": q_high_water_mark_seq,
@@ -402,7 +430,7 @@ _LATEST_LIVE = (
 )
 
 
-def oracle_sql() -> dict[str, str]:
+def _oracle_sql() -> dict[str, str]:
     return {
         "high_water_mark": "SELECT coalesce(max(o_orderdate), TIMESTAMP '1900-01-01') AS max_time_stamp FROM orders",
         "high_water_mark_seq": "SELECT coalesce(max(o_orderkey), 0) AS max_seq FROM orders",
