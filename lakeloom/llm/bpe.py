@@ -12,8 +12,8 @@ path. Decoding emits the byte labels of the arcs.
 
 The automaton of 50,000 merges has billions of arcs, nearly all inherited, so
 the gadgets are kept as tables (the two parts of each state, its birth, the
-removed arcs with the time of removal) and an arc is worked out from them when
-it is first used, then remembered.
+removed arcs with the time of removal) from which arcs are read off, for many
+words at once.
 
 Nulls: a null text encodes as an empty one. Empty text: no tokens. Very long
 texts and words take time in proportion to their length. Repeated rows are
@@ -25,23 +25,24 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
-import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Words whose encodings a worker remembers; it then starts afresh.
-WORD_MEMORY = 400_000
-#: Longer words are encoded each time, so that the memory stays bounded.
-LONG_WORD = 64
+#: Characters encoded together; every distinct word among them is encoded once.
+RUN_CHARS = 16_000_000
 
 #: The byte-level pre-tokenizer's pattern (fixed value of the format).
 BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: A space with white space or nothing on one side.
+_SPACES = r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+ODD_SPACE = f"(^|[{_SPACES}]) | ([{_SPACES}]|$)"
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -51,6 +52,42 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(rest)}
 
 
+class _Table:
+    """Whole-number keys to whole-number values, looked up by arrays; -1 where a key is missing."""
+
+    def __init__(self, items: dict[int, int]):
+        bits = max(4, (2 * len(items)).bit_length())
+        self._shift, self._mask = np.uint64(64 - bits), (1 << bits) - 1
+        self._keys = np.full(1 << bits, -1, np.int64)
+        self._values = np.full(1 << bits, -1, np.int64)
+        keys = np.fromiter(items.keys(), np.int64, len(items))
+        values = np.fromiter(items.values(), np.int64, len(items))
+        slot, left = self._slots(keys), np.arange(len(keys))
+        while len(left):  # of keys that want one free slot the first gets it, the others go on
+            free = self._keys[slot[left]] < 0
+            _, one = np.unique(slot[left[free]], return_index=True)
+            put = left[free][one]
+            self._keys[slot[put]], self._values[slot[put]] = keys[put], values[put]
+            left = np.setdiff1d(left, put, assume_unique=True)
+            slot[left] = (slot[left] + 1) & self._mask
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self._shift).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        slot = self._slots(keys)
+        held = self._keys[slot]
+        out = np.where(held == keys, self._values[slot], -1)
+        left = np.nonzero((held != keys) & (held >= 0))[0]
+        while len(left):
+            slot[left] = (slot[left] + 1) & self._mask
+            held = self._keys[slot[left]]
+            hit = held == keys[left]
+            out[left[hit]] = self._values[slot[left[hit]]]
+            left = left[~hit & (held >= 0)]
+        return out
+
+
 class Automaton:
     """Deterministic tokenization automaton of a list of merges.
 
@@ -59,105 +96,135 @@ class Automaton:
     """
 
     def __init__(self, base: dict[int, int], merges: list[tuple[int, int, int]], labels: dict[int, bytes]):
-        self.labels = labels
-        self.parts: dict[int, tuple[int, int]] = {}
-        self.born: dict[int, int] = dict.fromkeys(base.values(), 0)
-        self.removed: dict[tuple[int, int], int] = {}
-        self._arcs: dict[tuple[int, int], bool] = {}
+        n = max(labels, default=-1) + 1
+        self.labels, self._n = labels, n
+        self.length = np.array([len(labels.get(i, b"")) for i in range(n)], np.int64)
+        self.left, self.right, self.born = np.full(n, -1), np.full(n, -1), np.full(n, -1)
+        self.born[list(base.values())] = 0
+        removed: dict[int, int] = {}
         for rank, (u, v, w) in enumerate(merges, 1):
-            self._gadget(rank, u, v, w)
-        # Tokens by their bytes: {first byte: {..., None: token}}.
-        self._starting: dict = {}
-        for token in self.born:
-            node = self._starting
-            for b in labels[token]:
-                node = node.setdefault(b, {})
-            node[None] = token
-        #: The longest token that is a proper prefix of a token, or -1.
-        self._shorter: dict[int, int] = {}
-        for token in self.born:
-            node, best = self._starting, -1
-            for b in labels[token][:-1]:
-                node = node[b]
-                best = node.get(None, best)
-            self._shorter[token] = best
-
-    def _gadget(self, rank: int, u: int, v: int, w: int) -> None:
-        if w in self.parts or w not in self.labels:
-            raise ValueError(f"merge {rank}: token {w} is made twice or has no label")
-        self.removed[u, v] = rank
-        self.parts[w] = (u, v)
-        self.born[w] = rank
+            self._gadget(removed, rank, u, v, w)
+        self.end_of_time = len(merges) + 1
+        self._removed = _Table(removed)
+        self._compile_labels()
+
+    def _gadget(self, removed: dict[int, int], rank: int, u: int, v: int, w: int) -> None:
+        if self.born[w] >= 0 or self.born[u] < 0 or self.born[v] < 0:
+            raise ValueError(f"merge {rank}: token {w} is made twice, or of tokens not made yet")
+        removed[u * self._n + v] = rank
+        self.left[w], self.right[w], self.born[w] = u, v, rank
         if u == v:
             # u u u reads as w u: merges go from left to right, so w never follows u.
-            self.removed[u, w] = rank
-
-    def arc(self, s: int, t: int) -> bool:
-        """Whether the final automaton has arc ``t`` at state ``s``."""
-        known = self._arcs.get((s, t))
-        if known is None:
-            if len(self._arcs) > 4_000_000:
-                self._arcs.clear()
-            known = self._arcs[s, t] = self._at(s, t, len(self.parts) + 1)
-        return known
-
-    def _at(self, s: int, t: int, time: int) -> bool:
-        """Whether the arc stood after the gadgets of ranks below ``time``."""
-        while True:
-            if self.removed.get((s, t), time) < time:
-                return False
-            bs, bt = self.born[s], self.born[t]
-            if not bs and not bt:
-                return True
-            if bt > bs:  # state t was made after s: entered wherever its left part was
-                time, t = bt, self.parts[t][0]
-            else:  # bs == bt (s is t): its last part, as right part of s, then its first, as left part of t
-                time, s = bs, self.parts[s][1]
-                if bs == bt:
-                    t = self.parts[t][0]
-
-    def encode_word(self, word: bytes) -> list[int]:
-        """The arcs of the only accepted path over ``word``: at each state the
-        arc with the longest label is tried first, then shorter ones. A prefix
-        has one path at most, so a position given up is never tried again."""
-        n, pos, path, dead = len(word), 0, [], set()
-        arc, labels, shorter = self.arc, self.labels, self._shorter
-        token = self._longest(word, 0)
-        while pos < n:
-            last = path[-1] if path else -1
-            while token >= 0:
-                end = pos + len(labels[token])
-                if end not in dead and (last < 0 or arc(last, token)):
-                    break
-                token = shorter[token]
+            removed[u * self._n + w] = rank
+
+    def _compile_labels(self) -> None:
+        """Tables that find the longest label at a place: edges of a tree of all labels, and the token at each node."""
+        nodes, edges, token_at = {b"": 0}, {}, {0: -1}
+        self.shorter = np.full(self._n, -1)
+        for token in np.nonzero(self.born >= 0)[0].tolist():
+            label = self.labels[token]
+            for i in range(1, len(label) + 1):
+                if label[:i] not in nodes:
+                    nodes[label[:i]] = len(nodes)
+                    edges[nodes[label[: i - 1]] * 256 + label[i - 1]] = nodes[label[:i]]
+            token_at[nodes[label]] = token
+        for token in token_at.values():
             if token >= 0:
-                path.append(token)
-                pos = end
-                token = self._longest(word, pos)
-            elif path:
-                dead.add(pos)
-                token = path.pop()
-                pos -= len(labels[token])
-                token = shorter[token]
-            else:
-                raise ValueError("no accepted path: a byte has no token")
-        return path
-
-    def _longest(self, word: bytes, pos: int) -> int:
-        node, found = self._starting, -1
-        for i in range(pos, len(word)):
-            node = node.get(word[i])
-            if node is None:
-                break
-            found = node.get(None, found)
-        return found
-
-
-def _remember(memory: dict[str, bytes], word: str, packed: bytes) -> None:
-    if len(word) <= LONG_WORD:
-        if len(memory) >= WORD_MEMORY:
-            memory.clear()
-        memory[word] = packed
+                label = self.labels[token]
+                inside = (token_at.get(nodes[label[:i]], -1) for i in range(len(label) - 1, 0, -1))
+                self.shorter[token] = next((t for t in inside if t >= 0), -1)
+        self._edges = _Table(edges)
+        self._token_at = np.array([token_at.get(i, -1) for i in range(len(nodes))])
+
+    def arcs(self, s: np.ndarray, t: np.ndarray) -> np.ndarray:
+        """Whether the automaton has arc ``t`` at state ``s``, for arrays of both."""
+        s, t = s.copy(), t.copy()
+        time = np.full(len(s), self.end_of_time)
+        stands, left = np.ones(len(s), bool), np.arange(len(s))
+        while len(left):
+            a, b = s[left], t[left]
+            gone = self._removed.get(a * self._n + b)
+            gone = (gone >= 0) & (gone < time[left])
+            stands[left[gone]] = False
+            born_a, born_b = self.born[a], self.born[b]
+            on = ~gone & ((born_a > 0) | (born_b > 0))
+            left, a, b, born_a, born_b = left[on], a[on], b[on], born_a[on], born_b[on]
+            # The state made last was entered where its left part was, and left where its right part was.
+            time[left] = np.maximum(born_a, born_b)
+            t[left] = np.where(born_b >= born_a, self.left[b], b)
+            s[left] = np.where(born_a >= born_b, self.right[a], a)
+        return stands
+
+    def _longest(self, data: np.ndarray, until: np.ndarray) -> np.ndarray:
+        """The token with the longest label at each place that ends by ``until``."""
+        best, node = np.full(len(data), -1), np.zeros(len(data), np.int64)
+        at, depth = np.nonzero(np.arange(len(data)) < until)[0], 0
+        while len(at):
+            child = self._edges.get(node[at] * 256 + data[at + depth])
+            at, child = at[child >= 0], child[child >= 0]
+            node[at] = child
+            token = self._token_at[child]
+            best[at[token >= 0]] = token[token >= 0]
+            depth += 1
+            at = at[at + depth < until[at]]
+        return best
+
+    def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of all words one after the other, and how many each word has.
+
+        Every word follows the only accepted path over its bytes: at each state
+        the arc with the longest label is tried first, then shorter ones; a
+        place given up is never tried again, as a prefix has one path at most.
+        All words take their steps together.
+        """
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        # One byte between words gives each its own end place.
+        first = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1]
+        end = first + sizes
+        if not len(words):
+            return np.zeros(0, np.uint32), sizes
+        data = np.frombuffer(b"\0".join(words) + b"\0", np.uint8).astype(np.int64)
+        until = np.repeat(end, sizes + 1)
+        longest = self._longest(data, until)
+        came, dead = np.full(len(data), -1), np.zeros(len(data), bool)
+        place, token = first.copy(), longest[first]
+        active = np.nonzero(sizes > 0)[0]
+        while len(active):
+            p, t = place[active], token[active]
+            stuck = t < 0
+            go = np.nonzero(~stuck)[0]
+            to = p[go] + self.length[t[go]]
+            ok = ~dead[to]
+            check = np.nonzero(ok & (p[go] > first[active[go]]))[0]
+            ok[check] = self.arcs(came[p[go[check]]], t[go[check]])
+            back, forth = go[~ok], go[ok]
+            token[active[back]] = self.shorter[t[back]]
+            came[to[ok]] = t[forth]
+            place[active[forth]] = to[ok]
+            token[active[forth]] = longest[to[ok]]
+            if stuck.any():
+                given_up = np.nonzero(stuck)[0]
+                if (p[given_up] == first[active[given_up]]).any():
+                    raise ValueError("no accepted path: a byte has no token")
+                last = came[p[given_up]]
+                dead[p[given_up]] = True
+                place[active[given_up]] -= self.length[last]
+                token[active[given_up]] = self.shorter[last]
+            active = active[place[active] < end[active]]
+        # Read the paths from their ends.
+        steps, at, active = [], end.copy(), np.nonzero(sizes > 0)[0]
+        counts = np.zeros(len(words), np.int64)
+        while len(active):
+            t = came[at[active]]
+            steps.append((active, t))
+            counts[active] += 1
+            at[active] -= self.length[t]
+            active = active[at[active] > first[active]]
+        out, back = np.empty(int(counts.sum()), np.uint32), np.cumsum(counts)
+        for words_here, t in steps:
+            back[words_here] -= 1
+            out[back[words_here]] = t
+        return out, counts
 
 
 class ByteLevelBPE:
@@ -188,51 +255,94 @@ class ByteLevelBPE:
             self.added[x["content"]] = x["id"]
             labels.setdefault(x["id"], x["content"].encode())
         self._split = regex.compile(BYTE_LEVEL_PATTERN).findall
-        # The pattern always starts a word at a space between two non-spaces, so a
-        # text falls into units there that can be split and encoded on their own.
-        self._units = re.compile(r"(?<=\S) (?=\S)").split
         self._added = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
-        self._odd_space = re.compile(r"\s\s|^\s|\s$").search
-        self._words: dict[str, bytes] = {}
-        self._after_space: dict[str, bytes] = {}
         # Arc labels by token id.
-        self._emit = [labels.get(i, b"") for i in range(max(labels, default=-1) + 1)].__getitem__
-
-    def _unit(self, unit: str) -> bytes:
-        """Ids of a unit's words as little-endian unsigned 32-bit integers."""
-        return b"".join(map(self._word, self._split(unit)))
-
-    def _word(self, word: str) -> bytes:
-        packed = self._words.get(word)
-        if packed is None:
-            path = self.automaton.encode_word(word.encode())
-            packed = struct.pack(f"<{len(path)}I", *path)
-            _remember(self._words, word, packed)
-        return packed
-
-    def _encode_plain(self, text: str) -> bytes:
-        first, *rest = self._units(text) if self._odd_space(text) else text.split(" ")
-        memory = self._after_space
-        get, out = memory.get, [self._unit(first)]
-        for unit in rest:
-            packed = get(unit)
-            if packed is None:
-                packed = self._unit(" " + unit)
-                _remember(memory, unit, packed)
-            out.append(packed)
-        return b"".join(out)
-
-    def encode_packed(self, text: str) -> bytes:
-        """All ids of a text, packed; strings of added tokens become those tokens."""
-        if self._added is None or not any(s in text for s in self.added):
-            return self._encode_plain(text)
-        return b"".join(self.added[x].to_bytes(4, "little") if x in self.added else self._encode_plain(x) for x in self._added.split(text) if x)
+        self._labels = pa.array([labels.get(i, b"") for i in range(max(labels, default=-1) + 1)], pa.large_binary())
+
+    def _words_of(self, unit: str) -> list[str]:
+        """The pre-split words of a unit. Strings of added tokens are words of their own."""
+        if self._added is not None and any(x in unit for x in self.added):
+            return [w for part in self._added.split(unit) if part for w in ([part] if part in self.added else self._split(part))]
+        return self._split(unit)
+
+    def _encode_units(self, units: list[str]) -> pa.Array:
+        """Packed ids of each unit; every distinct word is encoded once."""
+        words, per_unit = [], np.zeros(len(units), np.int64)
+        for i, unit in enumerate(units):
+            if unit.isalpha() or (unit[:1] == " " and unit[1:].isalpha()):
+                words.append(unit)
+                per_unit[i] = 1
+            else:
+                found = self._words_of(unit)
+                words += found
+                per_unit[i] = len(found)
+        coded = pa.array(words, pa.large_string()).dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        ids, counts = self.automaton.encode_words([b"" if w in self.added else w.encode() for w in distinct])
+        rows = _rows(ids, counts)
+        if self.added:
+            special = pa.array([self.added[w].to_bytes(4, "little") if w in self.added else None for w in distinct], pa.large_binary())
+            rows = pc.coalesce(special, rows)
+        return _joined(rows.take(coded.indices), per_unit)
+
+    def encode_batch(self, texts: pa.Array) -> pa.Array:
+        """Packed ids of each text.
+
+        The pattern always starts a word at a space between two non-spaces, so
+        most texts fall into units at their spaces, and distinct units are split
+        into words once. Texts with other spaces, or with strings of added
+        tokens, are one unit each.
+        """
+        texts = texts.cast(pa.large_string())
+        whole = pc.match_substring_regex(texts, ODD_SPACE)
+        for x in self.added:
+            whole = pc.or_(whole, pc.match_substring(texts, x))
+        plain = texts.filter(pc.invert(whole))
+        split = pc.split_pattern(plain, " ")
+        starts = split.offsets.to_numpy()
+        coded = split.values.slice(int(starts[0]), int(starts[-1] - starts[0])).dictionary_encode()
+        first = coded.dictionary.take(coded.indices.take(pa.array(starts[:-1] - starts[0]))).dictionary_encode()
+        code = coded.indices.to_numpy().astype(np.int64)
+        # Units after a space have it in front; the first unit of a text has none.
+        code[starts[:-1] - starts[0]] = first.indices.to_numpy() + len(coded.dictionary)
+        rest = pc.binary_join_element_wise(pa.scalar("", pa.large_string()), coded.dictionary, pa.scalar(" ", pa.large_string()))
+        units = [*rest.to_pylist(), *first.dictionary.to_pylist()]
+        packed = _joined(self._encode_units(units).take(pa.array(code)), np.diff(starts))
+        odd = self._encode_units(texts.filter(whole).to_pylist())
+        place = np.argsort(whole.to_numpy(zero_copy_only=False), kind="stable")
+        return pa.concat_arrays([packed, odd]).take(pa.array(np.argsort(place, kind="stable")))
 
     def encode(self, text: str) -> list[int]:
-        return memoryview(self.encode_packed(text)).cast("I").tolist() if text else []
+        return np.frombuffer(self.encode_batch(pa.array([text]))[0].as_py(), np.uint32).tolist()
+
+    def decode_batch(self, packed: pa.Array) -> list[str]:
+        """The labels of each text's ids, as UTF-8 (U+FFFD for what is not)."""
+        counts = pc.binary_length(packed).to_numpy() // 4
+        ids = np.frombuffer(_bytes(packed), np.uint32)
+        return [x.decode("utf-8", "replace") for x in _joined(self._labels.take(pa.array(ids)), counts).to_pylist()]
+
 
-    def decode_packed(self, packed: bytes) -> str:
-        return b"".join(map(self._emit, memoryview(packed).cast("I").tolist())).decode("utf-8", "replace")
+def _rows(ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Runs of ids as an array of byte strings."""
+    offsets = np.concatenate([[0], np.cumsum(counts * 4)]).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(ids, np.uint32))])
+
+
+def _offsets(rows: pa.Array) -> np.ndarray:
+    return np.frombuffer(rows.buffers()[1], np.int64)[rows.offset : rows.offset + len(rows) + 1] if len(rows) else np.zeros(1, np.int64)
+
+
+def _bytes(rows: pa.Array) -> memoryview:
+    """All byte strings one after the other."""
+    at = _offsets(rows)
+    return memoryview(rows.buffers()[2])[at[0] : at[-1]] if at[-1] > at[0] else memoryview(b"")
+
+
+def _joined(rows: pa.Array, counts: np.ndarray) -> pa.Array:
+    """Consecutive runs of byte strings, each made one."""
+    at = _offsets(rows)
+    offsets = (at - at[0])[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
+    return pa.Array.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(np.ascontiguousarray(offsets)), pa.py_buffer(_bytes(rows))])
 
 
 @lru_cache(maxsize=2)
@@ -263,17 +373,27 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], tokenizer_path: str) -> Iterator[tuple[pa.Array, list[bytes], list[str]]]:
+    """Ids of the rows, packed token ids and decoded texts, in runs of about ``RUN_CHARS``."""
+    bpe = load(tokenizer_path)
+    for batch in batches:
+        chars = np.cumsum(pc.utf8_length(batch.column(1)).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < batch.num_rows:
+            end = max(start + 1, int(np.searchsorted(chars, (chars[start - 1] if start else 0) + RUN_CHARS, "right")))
+            part = batch.slice(start, end - start)
+            packed = bpe.encode_batch(part.column(1))
+            yield part.column(0), packed.to_pylist(), bpe.decode_batch(packed)
+            start = end
+
+
 def encode_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, ids (little-endian uint32), n_tokens, decoded`` of every text. Scan-only: no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(tokenizer_path)
-        for batch in batches:
-            packed = [bpe.encode_packed(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(packed, pa.binary()), pa.array([len(p) // 4 for p in packed], pa.int64()), pa.array([bpe.decode_packed(p) for p in packed], pa.string())],
-                names=ENCODED.names,
-            )
+        for doc_id, packed, decoded in _encoded(batches, tokenizer_path):
+            columns = [pa.array(packed, pa.binary()), pa.array([len(p) // 4 for p in packed], pa.int64()), pa.array(decoded, pa.string())]
+            yield pa.RecordBatch.from_arrays([doc_id, *columns], names=ENCODED.names)
 
     return _texts(docs, id_col, text_col).mapInArrow(run, ENCODED)
 
@@ -282,16 +402,8 @@ def encode_digests(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     """Token count and digests of the ids and of the decoded text of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(tokenizer_path)
-        for batch in batches:
-            counts, ids, decoded = [], [], []
-            for text in batch.column(1).to_pylist():
-                packed = bpe.encode_packed(text)
-                counts.append(len(packed) // 4)
-                ids.append(hashlib.sha256(packed).hexdigest())
-                decoded.append(hashlib.sha256(bpe.decode_packed(packed).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], names=DIGESTS.names
-            )
+        for doc_id, packed, decoded in _encoded(batches, tokenizer_path):
+            columns = [pa.array([len(p) // 4 for p in packed], pa.int64()), *(pa.array([hashlib.sha256(x).hexdigest() for x in c], pa.string()) for c in (packed, (d.encode() for d in decoded)))]
+            yield pa.RecordBatch.from_arrays([doc_id, *columns], names=DIGESTS.names)
 
     return _texts(docs, id_col, text_col).mapInArrow(run, DIGESTS)
