@@ -15,8 +15,8 @@ and a text's cost does not depend on the others.
 
 Nulls: a null text has no matches. Texts without words, and templates without
 words, match nothing. Repeated rows are scanned each. Of ties between
-placements of one template the leftmost is kept. Matches of one template never
-overlap. An empty table gives an empty result. Other columns are ignored.
+placements of one template the leftmost comes first. Matches of one template
+never overlap. An empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -153,7 +153,7 @@ class LicenseIndex:
                         found[t].add(i - at)
         return found
 
-    def align(self, template: list[str], words: list[str], diagonal: int) -> tuple[int, int, int]:
+    def align(self, template: list[str], words: list[str | None], diagonal: int) -> tuple[int, int, int]:
         """Banded alignment of the whole template with a stretch of the text
         around ``diagonal``: ``(matched words, first, last)`` of the placement
         that matches most words less skipped ones, leftmost of ties."""
@@ -192,19 +192,17 @@ class LicenseIndex:
         out = []
         for t, diagonals in found.items():
             template = self.words[t]
-            placed, covered = set(), None
+            covered, free = None, list(words)
             for d in sorted(diagonals):
                 if covered is not None and d - covered <= self.band // 2:
                     continue  # the band around the last diagonal holds this one
                 covered = d
-                matches, first, last = self.align(template, words, d)
-                if matches >= min_coverage * len(template):
-                    placed.add((-matches, first, last))
-            taken: list[tuple[int, int]] = []
-            for minus, first, last in sorted(placed):
-                if all(last < a or first > b for a, b in taken):
-                    taken.append((first, last))
-                    out.append((*self.names[t], -minus / len(template), -minus, len(template), spans[first][0], spans[last][1]))
+                while True:
+                    matches, first, last = self.align(template, free, d)
+                    if not matches or matches < min_coverage * len(template):
+                        break
+                    out.append((*self.names[t], matches / len(template), matches, len(template), spans[first][0], spans[last][1]))
+                    free[first : last + 1] = [None] * (last + 1 - first)  # and whatever else the band holds
         return sorted(out, key=lambda m: (m[5], m[6], m[0], m[1]))
 
 

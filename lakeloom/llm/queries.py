@@ -7,6 +7,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakeloom.llm.common import table
 from lakeloom.plans.workspace import work_dir
@@ -24,6 +25,24 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeloom.llm import ngram_join
+
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), shingle=3, percent=90)
+
+
+def op3_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeloom.llm import stream_dedup
+
+    return stream_dedup.deduplicate(spark, f"{sf_dir}/documents.parquet")
+
+
+def op4_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeloom.llm import ann
+
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakeloom.llm import token_counts
 
@@ -43,6 +62,27 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(given.unionByName(hostile), template), template)
 
 
+def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeloom.llm import mixing
+
+    return mixing.taken(mixing.mix(table(spark, sf_dir, "documents")))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeloom.llm import toxicity
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels, "toxic", ~toxicity.held_out())
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeloom.llm import repeats
+
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), length=200, digest=True)
+
+
 def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakeloom.llm import bpe
 
@@ -51,8 +91,14 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op3_stream_dedup": op3_stream_dedup,
+    "op4_nn_descent": op4_nn_descent,
     "op5_token_counts": op5_token_counts,
     "op6_chat_format": op6_chat_format,
+    "op7_source_mix": op7_source_mix,
+    "op8_toxicity": op8_toxicity,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_bpe_automaton": op10_bpe_automaton,
 }
 

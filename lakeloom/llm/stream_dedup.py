@@ -30,11 +30,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeloom.llm.common import SPACE_CLASS, stored
-from lakeloom.plans.workspace import path_exists, work_dir
+from lakeloom.plans.workspace import work_dir
 
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -116,8 +116,9 @@ def deduplicate(
     files_per_trigger: int = 1000,
     id_col: str = "doc_id",
     text_col: str = "text",
+    with_locator: bool = False,
 ) -> DataFrame:
-    """``doc_id, keep_id, group_size, kept, text_sha256`` of every row of the Parquet table at ``path``."""
+    """``doc_id, keep_id, group_size, kept, text_sha256`` (and ``file, row``) of every row of the Parquet table at ``path``."""
     docs = spark.read.parquet(path)
     state = update_state(spark, path, state_dir or work_dir(spark, "dedup-state"), digest, files_per_trigger, id_col, text_col)
     state = stored(state, "dedup-seen")
@@ -125,36 +126,33 @@ def deduplicate(
     hit = F.col("n") > 1
     seen = _keyed(docs, id_col, text_col, digest).withColumn("sha", F.sha2("text", 256)).join(state, "digest")
     is_keep = (F.col("file") == F.col("keep.file")) & (F.col("row") == F.col("keep.row"))
-    seen = stored(seen.select("doc_id", "digest", "sha", F.col("keep.doc_id").alias("keep_id"), "n", is_keep.alias("is_keep"), F.when(hit, F.col("text")).alias("text")), "dedup-hits")
+    seen = stored(seen.select("doc_id", "digest", "sha", F.col("keep.doc_id").alias("keep_id"), "n", is_keep.alias("is_keep"), "file", "row", F.when(hit, F.col("text")).alias("text")), "dedup-hits")
 
     # The full bytes of every hit against those of the row that stays.
     hits = seen.where(hit)
     at_locator = hits.where("is_keep").select("digest", F.col("text").alias("keep_text"))
     checked = hits.join(at_locator, "digest").withColumn("same", F.col("text") == F.col("keep_text"))
-    strangers = checked.where(~F.col("same")).select("doc_id", "digest", "sha", "text", "is_keep")
+    strangers = checked.where(~F.col("same")).select("doc_id", "digest", "sha", "text", "file", "row")
     n_strangers = strangers.groupBy("digest").agg(F.count("*").alias("strangers"))
     same = checked.where("same").join(n_strangers, "digest", "left").withColumn("n", F.col("n") - F.coalesce("strangers", F.lit(0)))
 
     # Equal digests, different bytes: grouped by the bytes.
     by_bytes = strangers.groupBy("digest", "text").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("n"))
     apart = strangers.join(by_bytes, ["digest", "text"])
-    first = F.row_number().over(_first_of("digest", "text"))
-    apart = apart.withColumn("is_keep", (first == 1))
+    order = F.col("doc_id").asc_nulls_last(), "file", "row"
+    apart = apart.withColumn("is_keep", F.row_number().over(Window.partitionBy("digest", "text").orderBy(*order)) == 1)
 
-    columns = ["doc_id", "keep_id", F.col("n").alias("group_size"), F.col("is_keep").alias("kept"), F.col("sha").alias("text_sha256")]
+    columns = ["doc_id", "keep_id", F.col("n").alias("group_size"), F.col("is_keep").alias("kept"), F.col("sha").alias("text_sha256"), *(["file", "row"] if with_locator else [])]
     return seen.where(~hit).select(*columns).unionByName(same.select(*columns)).unionByName(apart.select(*columns))
 
 
-def _first_of(*keys: str):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(*keys).orderBy(F.col("doc_id").asc_nulls_last())
-
-
-def deduplicate_frame(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """:func:`deduplicate` of any DataFrame, landed in the shared folder first so that it can be streamed."""
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, unchanged, that stay: of equal texts the row with the smallest id (of rows with equal id, one)."""
     spark = docs.sparkSession
     path = work_dir(spark, "dedup-landing")
-    docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).write.parquet(path)
-    assert path_exists(spark, path)
-    return deduplicate(spark, path)
+    docs.write.parquet(path)
+    landed = spark.read.schema(docs.schema).parquet(path)
+    gone = deduplicate(spark, path, id_col=id_col, text_col=text_col, with_locator=True).where("NOT kept").select("file", "row")
+    here = landed.select("*", F.col("_metadata.file_path").alias("_locator_file"), F.col("_metadata.row_index").alias("_locator_row"))
+    kept = here.join(gone, (here["_locator_file"] == gone["file"]) & (here["_locator_row"] == gone["row"]), "left_anti")
+    return kept.select(*docs.columns)

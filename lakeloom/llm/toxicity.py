@@ -120,6 +120,18 @@ def train(model: Model, docs: list[np.ndarray], labels: np.ndarray, epochs: int,
 _SHARE = T.StructType([T.StructField("worker", T.IntegerType()), T.StructField("label", T.IntegerType()), T.StructField("doc_id", T.LongType()), T.StructField("places", T.BinaryType())])
 
 
+def _trainer(common, epochs: int, seed: int):
+    """Trains the common model on one worker's share."""
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["doc_id", "places"])
+        places = [np.frombuffer(x, np.uint32) for x in pdf["places"]]
+        m = train(common.value, places, pdf["label"].to_numpy(np.float64), epochs, seed)
+        return pd.DataFrame({"worker": pdf["worker"].iloc[:1].to_numpy(), "rows": len(pdf), "bias": m.bias, "weights": [m.weights.tobytes()], "factors": [m.factors.tobytes()]})
+
+    return one
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -160,14 +172,8 @@ def fit(
     for r in range(rounds):
         common = sc.broadcast(model)
 
-        def one(pdf: pd.DataFrame, r=r, common=common) -> pd.DataFrame:
-            pdf = pdf.sort_values(["doc_id", "places"])
-            places = [np.frombuffer(x, np.uint32) for x in pdf["places"]]
-            m = train(common.value, places, pdf["label"].to_numpy(np.float64), epochs, seed + r)
-            return pd.DataFrame({"worker": pdf["worker"].iloc[:1], "rows": len(pdf), "bias": m.bias, "weights": m.weights.tobytes(), "factors": m.factors.tobytes()})
-
         # One model of fixed size from each of max_train / docs_per_worker workers.
-        found = sorted(shares.groupBy("worker").applyInPandas(one, result).collect(), key=lambda x: x["worker"])
+        found = sorted(shares.groupBy("worker").applyInPandas(_trainer(common, epochs, seed + r), result).collect(), key=lambda x: x["worker"])
         share = np.array([x["rows"] for x in found], float)
         share /= share.sum()
         model = replace(
@@ -199,3 +205,16 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
 def held_out(id_col: str = "doc_id") -> Column:
     """Rows whose labels are kept from training."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, unchanged, whose score is below ``threshold``."""
+    common = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def scored(texts: pd.Series) -> pd.Series:
+        m = common.value
+        runs = [texts.iloc[i : i + 256] for i in range(0, len(texts), 256)]
+        return pd.Series(np.concatenate([m.scores([hashed_terms(t or "", m.bits) for t in run]) for run in runs]) if runs else np.zeros(0))
+
+    return docs.where(scored(F.col(text_col)) < threshold)

@@ -1,0 +1,60 @@
+"""Small documents with every awkward case."""
+
+import random
+
+from pyspark.sql import types as T
+
+DOCS = T.StructType(
+    [
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("text", T.StringType()),
+        T.StructField("lang", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("n_chars", T.LongType()),
+        # Names that the operators use inside.
+        T.StructField("row", T.StringType()),
+        T.StructField("digest", T.LongType()),
+    ]
+)
+WORDS = ["the", "of", "and", "Night", "rivière", "straße", "lamp", "owl's", "42", "漢字", "🙂", "a--b", "tea,", "Is", "on"]
+
+
+def frame(spark, rows):
+    """Rows of ``(doc_id, text, source)``."""
+    return spark.createDataFrame([(i, t, "en", s, len(t or ""), "x", 1) for i, t, s in rows], DOCS)
+
+
+def prose(rng, n):
+    return " ".join(rng.choice(WORDS) + (rng.choice(["", str(rng.randrange(300))])) for _ in range(n))
+
+
+def awkward_rows(seed=0):
+    rng = random.Random(seed)
+    rows = [(i, prose(rng, rng.choice([1, 2, 5, 40, 90])), rng.choice(["a", "b", "c", None])) for i in range(40)]
+    base = prose(rng, 120).split(" ")
+    for i in range(40, 60):  # near copies of one text
+        words = list(base)
+        for _ in range(rng.choice([0, 1, 1, 2, 4])):
+            words[rng.randrange(len(words))] = f"edit{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words), "a"))
+    passage = prose(rng, 60)
+    for i in range(60, 66):  # a passage that several share
+        rows.append((i, f"{prose(rng, 15)}\n{passage}\t{prose(rng, 10)}", "b"))
+    rows += [
+        (66, None, "a"),
+        (67, "", "a"),
+        (68, " \t\n ", None),
+        (69, "lone", "c"),
+        (70, "lone", "c"),
+        (71, "Lone", "c"),
+        (72, "two words", "c"),
+        (72, "two words", "c"),  # repeated row
+        (73, "two  words", "d"),
+        (None, "two words", "d"),
+        (None, None, None),
+        (74, "x" * 30_000, "a"),  # one very long word
+        (75, " ".join(f"w{j % 97}" for j in range(20_000)), "a"),  # long and repetitive
+        (76, "a<|endoftext|>b  <|endoftext|>", "a"),
+        (77, "\u0085mixed\u00a0spaces \u2003 and\x1cseparators\x00 nul", "b"),
+    ]
+    return rows
