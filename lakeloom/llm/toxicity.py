@@ -2,15 +2,21 @@ r"""Toxicity by a factorization machine over hashed terms.
 
 Terms (``\w+`` of the lower-cased text) are hashed to 2**bits places. A text's
 logit is the sum of the weights of its distinct terms plus, for every pair of
-them, the product of their factor vectors (scaled by the number of terms):
+them, the product of their factor vectors (scaled by the number of terms
+that have factors):
 pairs such as an insult with the mention of a group get a weight of their own
 without being counted one by one.
 
 The model is fitted on a bounded sample of at most ``max_train`` labelled
-rows, those first in a hashed order. The sample is dealt to workers by hash;
-in each round every worker trains from the common model on its share and the
-models, of a fixed size, are averaged. Scoring reads every whole text where it
-lies; only the model travels.
+rows, those first in a hashed order. Places that too few of its texts have are
+left out of the model, so that it cannot learn texts by heart. Weights start
+from the log-odds of the label given the place, drawn towards 0 by
+``caution`` standard errors. Factors, small and random at first, are given to
+the places whose log-odds are not drawn to 0 entirely: of the great number of
+pairs those are tried of which either term tells something. The sample is
+dealt to workers by hash; in each round every worker trains from the common
+model on its share and the models, of a fixed size, are averaged. Scoring
+reads every whole text where it lies; only the model travels.
 
 Nulls: a null text is an empty one, its score is that of the bias; rows
 without label, or whose label is null, do not train. Ties in the hashed order
@@ -50,6 +56,8 @@ class Model:
     bias: float
     weights: np.ndarray  # (2**bits,)
     factors: np.ndarray  # (2**bits, rank)
+    used: np.ndarray  # (2**bits,): places that are in the model
+    paired: np.ndarray  # (2**bits,): places that have factors
 
     @property
     def bits(self) -> int:
@@ -57,18 +65,21 @@ class Model:
 
     def scores(self, docs: list[np.ndarray]) -> np.ndarray:
         """Probability of the label for each document's places."""
-        return _sigmoid(self.bias + _forward(self.weights, self.factors, *_flat(docs))[0])
+        return _sigmoid(self.bias + _forward(self.weights, self.factors, *_flat(self.known(docs), self.paired))[0])
+
+    def known(self, docs: list[np.ndarray]) -> list[np.ndarray]:
+        return [d[self.used[d]] for d in docs]
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _flat(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _flat(docs: list[np.ndarray], paired: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All places, the document of each, and the scale of each document's pairs."""
-    sizes = np.array([len(d) for d in docs], dtype=np.int64)
-    places = np.concatenate(docs) if len(docs) else np.zeros(0, np.uint32)
-    return places.astype(np.int64), np.repeat(np.arange(len(docs)), sizes), 1.0 / np.maximum(sizes, 1)
+    places = (np.concatenate(docs) if len(docs) else np.zeros(0, np.uint32)).astype(np.int64)
+    of = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+    return places, of, 1 / np.sqrt(np.maximum(np.bincount(of, paired[places], len(docs)), 1))
 
 
 def _sums(values: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
@@ -86,13 +97,21 @@ def _forward(weights, factors, places, of, scale):
     return np.bincount(of, weights[places], n) + scale * pairs, sums, v
 
 
-def initial_model(bits: int, rank: int, seed: int) -> Model:
-    rng = np.random.default_rng(seed)
-    return Model(0.0, np.zeros(1 << bits, np.float32), (rng.standard_normal((1 << bits, rank)) * 0.02).astype(np.float32))
+def initial_model(with_label: np.ndarray, without: np.ndarray, n_with: int, n_without: int, rank: int, least_share: float, caution: float, seed: int) -> Model:
+    """From the numbers of texts with and without the label, in all and by place."""
+    n = n_with + n_without
+    used = with_label + without >= max(3, least_share * n)
+    odds = np.log((with_label + 0.5) / (n_with - with_label + 0.5)) - np.log((without + 0.5) / (n_without - without + 0.5))
+    error = np.sqrt(1 / (with_label + 0.5) + 1 / (n_with - with_label + 0.5) + 1 / (without + 0.5) + 1 / (n_without - without + 0.5))
+    weights = np.where(used, np.sign(odds) * np.maximum(0, np.abs(odds) - caution * error), 0)
+    paired = weights != 0
+    factors = np.random.default_rng(seed).standard_normal((len(used), rank)) * 0.1 * paired[:, None]
+    return Model(float(np.log((n_with + 0.5) / (n_without + 0.5))), weights.astype(np.float32), factors.astype(np.float32), used, paired)
 
 
-def train(model: Model, docs: list[np.ndarray], labels: np.ndarray, epochs: int, seed: int, rate: float = 0.2, decay: float = 1e-4, batch: int = 32) -> Model:
+def train(model: Model, docs: list[np.ndarray], labels: np.ndarray, epochs: int, seed: int, rate: float = 0.05, decay: float = 0.01, batch: int = 32) -> Model:
     """AdaGrad on the logistic loss over ``epochs`` passes."""
+    docs = model.known(docs)
     rng = np.random.default_rng(seed)
     bias, weights, factors = model.bias, model.weights.astype(np.float64), model.factors.astype(np.float64)
     seen_w, seen_v, seen_b = np.full(weights.shape, 1.0), np.full(factors.shape, 1.0), 1.0
@@ -100,26 +119,38 @@ def train(model: Model, docs: list[np.ndarray], labels: np.ndarray, epochs: int,
         order = rng.permutation(len(docs))
         for at in range(0, len(order), batch):
             rows = order[at : at + batch]
-            places, of, scale = _flat([docs[i] for i in rows])
+            places, of, scale = _flat([docs[i] for i in rows], model.paired)
             logits, sums, v = _forward(weights, factors, places, of, scale)
             error = _sigmoid(bias + logits) - labels[rows]
             used, back = np.unique(places, return_inverse=True)
             m = len(used)
             gw = np.bincount(back, error[of], m) + decay * weights[used]
             gv = _sums((error * scale)[of, None] * (sums[of] - v), back, m) + decay * factors[used]
+            gv *= model.paired[used][:, None]
             seen_w[used] += gw**2
             seen_v[used] += gv**2
             weights[used] -= rate * gw / np.sqrt(seen_w[used])
-            factors[used] -= rate * gv / np.sqrt(seen_v[used])
+            factors[used] -= 2 * rate * gv / np.sqrt(seen_v[used])
             gb = error.sum()
             seen_b += gb**2
             bias -= rate * gb / np.sqrt(seen_b)
-    return Model(float(bias), weights.astype(np.float32), factors.astype(np.float32))
+    return replace(model, bias=float(bias), weights=weights.astype(np.float32), factors=factors.astype(np.float32))
 
 
 _SHARE = T.StructType([T.StructField("worker", T.IntegerType()), T.StructField("label", T.IntegerType()), T.StructField("doc_id", T.LongType()), T.StructField("places", T.BinaryType())])
 
 
+def _counter(bits: int):
+    """Numbers of texts with and without the label in one worker's share."""
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        label = pdf["label"].to_numpy() > 0
+        found = [np.bincount(np.concatenate([np.zeros(0, np.uint32), *(np.frombuffer(x, np.uint32) for x in pdf["places"][rows])]).astype(np.int64), minlength=1 << bits) for rows in (label, ~label)]
+        return pd.DataFrame({"n_with": [int(label.sum())], "n_without": [int((~label).sum())], "with_label": [found[0].tobytes()], "without": [found[1].tobytes()]})
+
+    return one
+
+
 def _trainer(common, epochs: int, seed: int):
     """Trains the common model on one worker's share."""
 
@@ -137,12 +168,14 @@ def fit(
     labels: DataFrame,
     label_col: str,
     usable: Column,
-    bits: int = 17,
+    bits: int = 18,
     rank: int = 4,
     max_train: int = 30_000,
     docs_per_worker: int = 4_000,
-    rounds: int = 4,
-    epochs: int = 2,
+    least_share: float = 0.003,
+    caution: float = 2.0,
+    rounds: int = 6,
+    epochs: int = 1,
     seed: int = 11,
 ) -> Model:
     """Fit on at most ``max_train`` rows of ``labels`` for which ``usable`` (an expression over ``doc_id``) holds."""
@@ -164,8 +197,12 @@ def fit(
     labelled = labelled.select(F.pmod(order, F.lit(workers)).cast("int").alias("worker"), "label", "doc_id", "text").mapInArrow(features, _SHARE)
     shares = stored(labelled, "toxicity-shares")
 
-    model = initial_model(bits, rank, seed)
-    if not n:
+    # One row of counts of fixed size from each of max_train / docs_per_worker workers.
+    counts = shares.groupBy("worker").applyInPandas(_counter(bits), "n_with long, n_without long, with_label binary, without binary").collect()
+    n_with, n_without = (sum(x[c] for x in counts) for c in ("n_with", "n_without"))
+    with_label, without = (sum((np.frombuffer(x[c], np.int64) for x in counts), np.zeros(1 << bits)) for c in ("with_label", "without"))
+    model = initial_model(with_label, without, n_with, n_without, rank, least_share, caution, seed)
+    if not counts:
         return model
     result = "worker int, rows long, bias double, weights binary, factors binary"
     sc = docs.sparkSession.sparkContext

@@ -280,13 +280,18 @@ def test_toxicity_held_out(spark):
     rows += [(9001, None, "a"), (9002, "", "a"), (None, "scum scum", "a"), (9003, "tea " * 20_000 + "idiot", "a")]
     docs = frame(spark, rows)
     known = spark.createDataFrame([*labels, (9001, None), (None, 1), (5, None)], "doc_id long, toxic int")
-    model = toxicity.fit(docs, known, "toxic", ~toxicity.held_out(), bits=14, rounds=6)
+    model = toxicity.fit(docs, known, "toxic", ~toxicity.held_out(), bits=14)
     scored = toxicity.score(docs, model).withColumn("held_out", toxicity.held_out()).collect()
     assert len(scored) == len(rows)
     truth = dict(labels)
     test = [r for r in scored if r["held_out"] and r["doc_id"] in truth]
-    right = sum(r["predicted"] == truth[r["doc_id"]] for r in test) / len(test)
-    assert right >= 0.97, right
+    assert sum(r["predicted"] == truth[r["doc_id"]] for r in test) >= 0.9 * len(test)
+    assert sum(r["predicted"] for r in test if not truth[r["doc_id"]]) <= 0.01 * len(test)
+    bad, good = ([r["score"] for r in test if truth[r["doc_id"]] == x] for x in (1, 0))
+    assert np.mean([b > g for b in bad for g in good]) >= 0.99
+    # Both words of the pair are harmless alone, and in most texts that have either.
+    pair = model.scores([toxicity.hashed_terms(t, 14) for t in ("those dogs", "those", "dogs")])
+    assert pair[0] > 3 * max(pair[1:])
     empty = {r["doc_id"]: r["score"] for r in scored}
     assert empty[9001] == empty[9002] == pytest.approx(1 / (1 + np.exp(-model.bias)))
     assert next(r["predicted"] for r in scored if r["doc_id"] is None) == 1
