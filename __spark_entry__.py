@@ -7,8 +7,9 @@ values, order-insensitive).
 
 Shared derivations used by several queries (the same on both sides):
 
-* ``T`` (business-current target) = orders not ending in 0, with every 7th
-  price bumped by one, so some keys differ from the batch;
+* ``T`` (business-current target) = orders, with every 7th price bumped by one,
+  so some rows differ from the batch, and every 10th key negated, so some keys
+  of either side are absent from the other;
 * ``S`` (staged batch) = orders in the incremental window
   [2000-01-01 - 1 day, 2001-08-01], every 13th key a tombstone.
 """
@@ -19,6 +20,7 @@ import datetime as dt
 import os
 import sys
 from collections.abc import Callable
+from functools import reduce
 
 # The driver may load this file by path from another working directory.
 _HERE = os.path.dirname(os.path.abspath(__file__))
@@ -67,7 +69,12 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def _target(spark, sf) -> DataFrame:
     o = _t(spark, sf, "orders")
     bumped = F.when(F.col("o_orderkey") % 7 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
-    return o.where(F.col("o_orderkey") % 10 != 0).select("o_orderkey", "o_orderstatus", bumped.alias("o_totalprice"))
+    return o.select(_shifted("o_orderkey", 10), "o_orderstatus", bumped.alias("o_totalprice"))
+
+
+def _shifted(key: str, every: int):
+    """The key, negated for every n-th row: absent from the unshifted side without dropping a row."""
+    return F.when(F.col(key) % every == 0, -F.col(key) - 1).otherwise(F.col(key)).alias(key)
 
 
 def _staged(spark, sf) -> DataFrame:
@@ -130,9 +137,14 @@ def q_csv_ingest(spark, sf):
 
 
 def q_empty_table(spark, sf):
+    """A table created empty from the schema of part, then loaded: what it held
+    before (nothing) and after."""
+    part = _t(spark, sf, "part")
     table = SnapshotTable(spark, work_dir(spark, "empty_table"))
-    table.create_empty(_t(spark, sf, "part").schema)
-    return table.read()
+    made = table.create_empty(part.schema)
+    table.write(merge.merge(table.read(), part, ["p_partkey"], "incremental"))
+    held = [table.read(made.version).withColumn("version", F.lit(0)), table.read().withColumn("version", F.lit(1))]
+    return held[0].unionByName(held[1])
 
 
 def q_latest_deleted_keys(spark, sf):
@@ -164,7 +176,9 @@ def q_conform_schema(spark, sf):
 
 
 def q_conform_rejects(spark, sf):
-    o = _t(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    # Every third row has a number there, which casts.
+    digit = F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderkey").cast("string")).otherwise(F.col("o_orderpriority"))
+    o = _t(spark, sf, "orders").select("o_orderkey", digit.alias("o_orderpriority"))
     return staging.cast_rejects(o, {"o_orderpriority": "int"})
 
 
@@ -213,23 +227,26 @@ def q_merge_expected_count(spark, sf):
 def q_snapshot_restore(spark, sf):
     table = SnapshotTable(spark, work_dir(spark, "snapshot_restore"))
     v0, _ = table.write(_target(spark, sf))
-    table.write(merge.merge(table.read(v0.version), _staged(spark, sf), KEYS, "incremental"))
+    v1, _ = table.write(merge.merge(table.read(v0.version), _staged(spark, sf), KEYS, "incremental"))
     table.restore(v0.version)
-    return table.read()
+    # What readers get, and the rolled-back version next to it.
+    return table.read().withColumn("version", F.lit(2)).unionByName(table.read(v1.version).withColumn("version", F.lit(1)))
 
 
 def q_pending_versions(spark, sf):
     base = work_dir(spark, "pending_versions")
     table = SnapshotTable(spark, f"{base}/orders")
     orders = _t(spark, sf, "orders")
-    # Six incremental extracts, one per year of order dates, each a version.
-    for year in range(1995, 2001):
+    # One incremental extract per year of order dates, each a version.
+    for year in range(1995, 2002):
         lo, hi = dt.datetime(year, 1, 1), dt.datetime(year, 12, 31, 23, 59, 59)
         table.write(extract.extract_incremental(orders, "o_orderdate", lo, hi, dt.timedelta(0)))
     control = ctl.ControlTable(spark, f"{base}/_control")
     control.mark_consumed("orders", 1, RUN_FULL)
     control.record_skip("orders", 3, RUN_FULL)
-    return ctl.pending_versions(table.history(), control.frame(), "orders")
+    # The rows that a reader of the pending versions has yet to see.
+    pending = [r["version"] for r in ctl.pending_versions(table.history(), control.frame(), "orders").collect()]
+    return reduce(DataFrame.unionByName, (table.read(v).withColumn("version", F.lit(v)) for v in sorted(pending)))
 
 
 def q_change_log(spark, sf):
@@ -281,7 +298,7 @@ def q_check_not_null(spark, sf):
 
 
 def q_check_foreign_key(spark, sf):
-    parents = _t(spark, sf, "customer").where(F.col("c_custkey") % 5 != 0)
+    parents = _t(spark, sf, "customer").select(_shifted("c_custkey", 5))
     return checks.orphans(_t(spark, sf, "orders").select("o_orderkey", "o_custkey"), parents, ["o_custkey"], ["c_custkey"])
 
 
@@ -290,6 +307,12 @@ def q_history_scd2(spark, sf):
     return history.scd2(e, ["user_id"], "event_id", "ts", cols=["event_type", "ts"])
 
 
+def q_history_scd2_deletes(spark, sf):
+    """Intervals that a delete (here: an error event) ends; deletes are no versions."""
+    e = _audit_events(spark, sf).select("user_id", "event_id", "event_type", "ts", "operation_type")
+    return history.scd2(e, ["user_id"], "event_id", "ts", cols=["event_type", "ts"], op_col="operation_type")
+
+
 def q_as_of(spark, sf):
     return history.as_of(_t(spark, sf, "events"), ["user_id"], "event_id", "ts", EVENTS_SPLIT)
 
@@ -336,6 +359,39 @@ def q_load_pipeline(spark, sf, buckets: int = 0, bucket_width: int | None = None
     return cur.read()
 
 
+def q_load_pipeline_recovered(spark, sf):
+    """Three stage jobs (one per span of order dates, the later ones repeating a
+    day) with a failed merge before the last: the retry merges every batch."""
+    base = work_dir(spark, "load_pipeline_recovered")
+    orders = _t(spark, sf, "orders")
+    stg, cur = SnapshotTable(spark, f"{base}/staging"), SnapshotTable(spark, f"{base}/current", ("o_orderkey",), 16)
+    control = ctl.ControlTable(spark, f"{base}/_control")
+    spec = TableSpec("orders", ("o_orderkey",), LoadMode.INCREMENTAL, update_col="o_orderdate")
+    pipeline.stage_table(spark, spec, orders, None, stg, control, dt.datetime(1998, 1, 1))
+    pipeline.stage_table(spark, spec, orders, None, stg, control, RUN_FULL)
+    try:
+        pipeline.merge_table(spark, spec, stg, cur, control, RUN_FULL, expected_override=-1)
+    except checks.CheckFailed:
+        pass
+    pipeline.stage_table(spark, spec, orders, None, stg, control, RUN_INCR)
+    pipeline.merge_table(spark, spec, stg, cur, control, RUN_INCR)
+    return cur.read()
+
+
+def q_merge_full_with_rejects(spark, sf):
+    """A full load over T in which every third price cannot be read: those keys keep their stored rows."""
+    base = work_dir(spark, "merge_full_with_rejects")
+    stg, cur = SnapshotTable(spark, f"{base}/staging"), SnapshotTable(spark, f"{base}/current")
+    control = ctl.ControlTable(spark, f"{base}/_control")
+    cur.write(_target(spark, sf))
+    price = F.when(F.col("o_orderkey") % 3 == 0, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string"))
+    source = _t(spark, sf, "orders").select("o_orderkey", "o_orderstatus", price.alias("o_totalprice"))
+    spec = TableSpec("orders", ("o_orderkey",), LoadMode.FULL, staging_schema=_target(spark, sf).schema)
+    pipeline.stage_table(spark, spec, source, None, stg, control, RUN_FULL)
+    pipeline.merge_table(spark, spec, stg, cur, control, RUN_FULL)
+    return cur.read()
+
+
 def q_load_pipeline_bucketed(spark, sf):
     """The flagship with the current table bucketed by key (bucket-scoped merge)."""
     return q_load_pipeline(spark, sf, buckets=32)
@@ -403,10 +459,13 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "check_not_null": q_check_not_null,
         "check_foreign_key": q_check_foreign_key,
         "history_scd2": q_history_scd2,
+        "history_scd2_deletes": q_history_scd2_deletes,
         "as_of": q_as_of,
         "stream_replay": q_stream_replay,
         "stream_replay_bucketed": q_stream_replay_bucketed,
         "load_pipeline": q_load_pipeline,
+        "load_pipeline_recovered": q_load_pipeline_recovered,
+        "merge_full_with_rejects": q_merge_full_with_rejects,
         "load_pipeline_bucketed": q_load_pipeline_bucketed,
         "load_pipeline_range_bucketed": q_load_pipeline_range_bucketed,
     }
@@ -415,8 +474,8 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # --------------------------------------------------------------------------- oracles
 
 _T_SQL = (
-    "T AS (SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 1 "
-    "ELSE o_totalprice END AS o_totalprice FROM orders WHERE o_orderkey % 10 <> 0)"
+    "T AS (SELECT CASE WHEN o_orderkey % 10 = 0 THEN -o_orderkey - 1 ELSE o_orderkey END AS o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 1 "
+    "ELSE o_totalprice END AS o_totalprice FROM orders)"
 )
 _S_SQL = (
     "S AS (SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderkey % 13 = 0 AS is_deleted FROM orders "
@@ -446,7 +505,7 @@ def _oracle_sql() -> dict[str, str]:
             "SELECT min(o_orderkey) AS lower_bound, max(o_orderkey) AS upper_bound, count(*) AS row_count FROM orders"
         ),
         "csv_ingest": "SELECT r_regionkey, r_name FROM region",
-        "empty_table": "SELECT * FROM part WHERE false",
+        "empty_table": "SELECT *, 1 AS version FROM part",
         "latest_deleted_keys": (
             "SELECT user_id FROM (SELECT user_id, event_type, rank() OVER (PARTITION BY user_id ORDER BY event_id DESC) "
             "AS rk FROM events WHERE ts >= TIMESTAMP '2024-01-20' - INTERVAL 1 DAY) WHERE rk = 1 AND event_type = 'error'"
@@ -460,7 +519,8 @@ def _oracle_sql() -> dict[str, str]:
             "CAST(p_retailprice AS DECIMAL(10,2)) AS unit_price FROM part"
         ),
         "conform_rejects": (
-            "SELECT o_orderkey, o_orderpriority FROM orders WHERE TRY_CAST(o_orderpriority AS INTEGER) IS NULL"
+            "SELECT * FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_orderkey AS VARCHAR) ELSE o_orderpriority END "
+            "AS o_orderpriority FROM orders) WHERE TRY_CAST(o_orderpriority AS INTEGER) IS NULL"
         ),
         "stage_count_check": "SELECT count(*) AS expected, count(*) AS actual, true AS ok FROM orders",
         "insert_keys": _TS + (
@@ -489,8 +549,15 @@ def _oracle_sql() -> dict[str, str]:
             "(SELECT o_orderkey FROM T)) - (SELECT count(*) FROM S WHERE is_deleted AND o_orderkey IN "
             "(SELECT o_orderkey FROM T)) AS expected"
         ),
-        "snapshot_restore": _TS + "SELECT * FROM T",
-        "pending_versions": "SELECT v AS version FROM range(0, 6) r(v) WHERE v > 1 AND v NOT IN (3)",
+        "snapshot_restore": _TS
+        + (
+            "SELECT *, 2 AS version FROM T UNION ALL SELECT *, 1 AS version FROM T WHERE o_orderkey NOT IN (SELECT o_orderkey FROM S) "
+            "UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice, 1 AS version FROM S WHERE NOT is_deleted"
+        ),
+        "pending_versions": (
+            "SELECT *, CAST(year(o_orderdate) - 1995 AS INTEGER) AS version FROM orders "
+            "WHERE year(o_orderdate) - 1995 > 1 AND year(o_orderdate) - 1995 <> 3"
+        ),
         "change_log": _TS + (
             "SELECT coalesce(b.o_orderkey, a.o_orderkey) AS o_orderkey, CASE WHEN b.o_orderkey IS NULL THEN 'I' "
             "WHEN a.o_orderkey IS NULL THEN 'D' ELSE 'U' END AS operation_type, b.o_totalprice AS old_price, "
@@ -517,18 +584,29 @@ def _oracle_sql() -> dict[str, str]:
         ),
         "check_foreign_key": (
             "SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey NOT IN "
-            "(SELECT c_custkey FROM customer WHERE c_custkey % 5 <> 0)"
+            "(SELECT CASE WHEN c_custkey % 5 = 0 THEN -c_custkey - 1 ELSE c_custkey END FROM customer)"
         ),
         "history_scd2": (
             "SELECT user_id, event_type, ts AS valid_from, lead(ts) OVER (PARTITION BY user_id ORDER BY event_id) "
             "AS valid_to, lead(ts) OVER (PARTITION BY user_id ORDER BY event_id) IS NULL AS is_current FROM events"
         ),
+        "history_scd2_deletes": (
+            "SELECT user_id, event_type, valid_from, valid_to, is_current FROM (SELECT user_id, event_type, ts AS valid_from, "
+            "lead(ts) OVER (PARTITION BY user_id ORDER BY event_id) AS valid_to, "
+            "lead(ts) OVER (PARTITION BY user_id ORDER BY event_id) IS NULL AS is_current FROM events) WHERE event_type <> 'error'"
+        ),
         "as_of": (
             "SELECT user_id, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) "
             "AS rn FROM events WHERE ts <= TIMESTAMP '2024-01-15') WHERE rn = 1"
         ),
         "stream_replay": _LATEST_LIVE,
         "stream_replay_bucketed": _LATEST_LIVE,
+        "load_pipeline_recovered": "SELECT * FROM orders WHERE o_orderdate <= TIMESTAMP '2001-08-01'",
+        "merge_full_with_rejects": _TS
+        + (
+            "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 3 <> 0 "
+            "UNION ALL SELECT * FROM T WHERE o_orderkey >= 0 AND o_orderkey % 3 = 0"
+        ),
         "load_pipeline": (
             "WITH v0 AS (SELECT * FROM orders WHERE o_orderdate <= TIMESTAMP '2000-01-01'), "
             "hwm AS (SELECT max(o_orderdate) AS h FROM v0), "

@@ -132,6 +132,10 @@ def main(argv=None) -> int:
                     entry["source_drift"] = (v.rows - v.tombstones) - plan.row_count
                 report["stage"][k] = entry
         if args.job in ("merge", "run"):
+            if args.job == "merge" and any(s.point_in_time and s.has_audit and not s.skip for s in specs):
+                if not (args.parquet_dir or args.jdbc_url):
+                    raise SystemExit("point-in-time tables need their audit logs: give --parquet-dir or --jdbc-url")
+                _, audits = load_sources(spark, specs, args, layout.control(spark))
             merged = pipeline.merge_tables(spark, specs, layout, args.run_ts, args.strategy, audits, args.keep_versions)
             report["merge"] = {k: {"version": m.version, "strategy": m.strategy, "actions": m.actions, "orphans": fk} for k, (m, fk) in merged.items()}
     print(json.dumps(report, default=str))

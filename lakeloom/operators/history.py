@@ -51,7 +51,12 @@ def next_in_key(df: DataFrame, keys, seq_col: str, value_cols, prefix: str = "ne
     wk = Window.partitionBy(*keys).orderBy(_BKT)
     nexts = firsts.select(*keys, _BKT, F.lead(_FIRST).over(wk).alias(_NF))
 
-    j = d.join(nexts, [*keys, _BKT], "left")
+    # NULL keys are keys like any other.
+    n = nexts.select(*[F.col(k).alias(f"_n_{k}") for k in keys], F.col(_BKT).alias("_n_bkt"), _NF)
+    same = F.col(_BKT) == F.col("_n_bkt")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_n_{k}"))
+    j = d.join(n, same, "left")
     is_last = F.col(prefix + seq_col).isNull()
     out = [F.col(c) for c in df.columns] + [
         F.when(is_last, F.col(f"{_NF}.{c}")).otherwise(F.col(prefix + c)).alias(prefix + c) for c in tracked
@@ -59,12 +64,15 @@ def next_in_key(df: DataFrame, keys, seq_col: str, value_cols, prefix: str = "ne
     return j.select(*out)
 
 
-def scd2(log: DataFrame, keys, seq_col: str, time_col: str, cols=None, bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+def scd2(log: DataFrame, keys, seq_col: str, time_col: str, cols=None, bucket_width: int = DEFAULT_BUCKET_WIDTH, op_col: str | None = None, delete_op: str = "D") -> DataFrame:
     """Validity intervals: every log row is a version valid from its time until
-    the next version's time; the last version per key is current."""
+    the next version's time; the last version per key is current. With
+    ``op_col``, a delete ends its key's interval and is no version itself."""
     keys = list(keys)
     cols = list(cols) if cols is not None else [c for c in log.columns if c not in keys]
     nx = next_in_key(log, keys, seq_col, [time_col], prefix="_nx_", bucket_width=bucket_width)
+    if op_col is not None:
+        nx = nx.where(~F.col(op_col).eqNullSafe(F.lit(delete_op)))
     return nx.select(
         *keys,
         *[c for c in cols if c != time_col],
@@ -74,8 +82,14 @@ def scd2(log: DataFrame, keys, seq_col: str, time_col: str, cols=None, bucket_wi
     )
 
 
-def as_of(log: DataFrame, keys, seq_col: str, time_col: str, ts, cols=None) -> DataFrame:
-    """Each key's latest row with ``time_col <= ts`` (an aggregation, not a sort)."""
+def as_of(log: DataFrame, keys, seq_col: str, time_col: str, ts, cols=None, op_col: str | None = None, delete_op: str = "D") -> DataFrame:
+    """Each key's latest row with ``time_col <= ts`` (an aggregation, not a
+    sort). With ``op_col``, keys deleted by then are left out."""
     keys = list(keys)
+    cols = list(cols) if cols is not None else []
     upto = log.where(F.col(time_col) <= lit_like(ts, log, time_col))
-    return latest_per_key(upto, keys, seq_col, cols if cols is not None else [])
+    if op_col is None:
+        return latest_per_key(upto, keys, seq_col, cols)
+    latest = latest_per_key(upto, keys, seq_col, [*cols, *([op_col] if op_col not in cols else [])])
+    latest = latest.where(~F.col(op_col).eqNullSafe(F.lit(delete_op)))
+    return latest if op_col in cols else latest.drop(op_col)

@@ -13,7 +13,8 @@ ignore        tombstone for a key the target does not have
 ============  =========================================================
 
 Delete wins over update, and a full load ignores tombstones (absent keys are
-deleted anyway). Rows labelled keep / unchanged / update / insert form the new
+deleted anyway), but keeps the stored rows of keys named in ``protected``:
+those whose batch row was rejected. Rows labelled keep / unchanged / update / insert form the new
 table; the label column also feeds the count reconciliation.
 
 Two physical forms give the same rows:
@@ -22,8 +23,8 @@ Two physical forms give the same rows:
 * ``broadcast``: for a small batch. The target is never shuffled: it is
   scanned once against the broadcast batch (left outer), and its key column
   once more against the broadcast batch keys to find which batch keys it has.
-  Used only after the batch is proven small (a known bound or a bounded
-  count), also when asked for explicitly; otherwise the shuffle form runs.
+  Used only after the batch's rows and bytes were measured, also when asked
+  for explicitly (a warning tells when the shuffle form runs instead).
   Full loads always use the shuffle form.
 
 Preconditions (checked by the pipeline with ``checks.require_keys_valid``):
@@ -33,12 +34,13 @@ batch keys are unique and not NULL; target keys are unique.
 from __future__ import annotations
 
 import uuid
+import warnings
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lakeloom.functions.keys import changed, key_match
-from lakeloom.plans.broadcast import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, check_size, estimated_row_bytes
+from lakeloom.plans.broadcast import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, check_size, fits
 
 ACTION = "_merge_action"
 KEEP, UNCHANGED, UPDATE, INSERT, DELETE, IGNORE = "keep", "unchanged", "update", "insert", "delete", "ignore"
@@ -46,7 +48,7 @@ ACTIONS = (KEEP, UNCHANGED, UPDATE, INSERT, DELETE, IGNORE)
 WRITTEN = (KEEP, UNCHANGED, UPDATE, INSERT)
 
 _T, _S = "t__", "s__"
-_PRESENT = "_present"
+_PRESENT, _PROTECTED = "_present", "_protected"
 
 
 def _side(df: DataFrame, cols, prefix: str) -> DataFrame:
@@ -59,11 +61,17 @@ def _action(mode: str, has_delete: bool, delete_col: str, compare, newer_col: st
     tomb = F.coalesce(F.col(_S + delete_col), F.lit(False)) if has_delete else F.lit(False)
     diff = changed(compare, _S, _T)
     if newer_col is not None:
-        # Optional guard: an older staged row never overwrites a newer target row.
-        diff = diff & ~(F.col(_S + newer_col) < F.col(_T + newer_col))
+        # Optional guard: an older staged row never overwrites or deletes a newer
+        # target row. A NULL on either side is neither older nor newer.
+        stale = F.coalesce(F.col(_S + newer_col) < F.col(_T + newer_col), F.lit(False))
+        diff, live_delete = diff & ~stale, tomb & ~stale
+    else:
+        live_delete = tomb
     if mode == "full":
+        kept = F.coalesce(F.col(_S + _PROTECTED), F.lit(False))
         return (
             F.when(~s_in, F.lit(DELETE))
+            .when(kept, F.when(t_in, F.lit(KEEP)).otherwise(F.lit(IGNORE)))
             .when(~t_in, F.lit(INSERT))
             .when(diff, F.lit(UPDATE))
             .otherwise(F.lit(UNCHANGED))
@@ -71,7 +79,8 @@ def _action(mode: str, has_delete: bool, delete_col: str, compare, newer_col: st
     return (
         F.when(~s_in, F.lit(KEEP))
         .when(~t_in, F.when(tomb, F.lit(IGNORE)).otherwise(F.lit(INSERT)))
-        .when(tomb, F.lit(DELETE))
+        .when(live_delete, F.lit(DELETE))
+        .when(tomb, F.lit(UNCHANGED))
         .when(diff, F.lit(UPDATE))
         .otherwise(F.lit(UNCHANGED))
     )
@@ -87,21 +96,20 @@ def _project(joined: DataFrame, cols, action: Column) -> DataFrame:
 
 
 def choose_strategy(
-    source: DataFrame, mode: str, strategy: str, max_rows: int, max_bytes: int, rows_at_most: int | None = None
+    source: DataFrame, mode: str, strategy: str, max_rows: int, max_bytes: int, measured: tuple[int, int] | None = None
 ) -> str:
     """``full_outer`` or ``broadcast``. A broadcast (asked for or automatic) is
-    used only when the batch is proven small: by ``rows_at_most`` (a known
-    upper bound, e.g. from the staging commit) or else by a bounded count.
-    Beyond the bound the shuffle join is used."""
+    used only when the batch is small by ``measured`` (rows and bytes, e.g. of
+    the staging commits) or else by a measuring pass. Beyond the bound the
+    shuffle join is used."""
     if strategy not in ("auto", "full_outer", "broadcast"):
         raise ValueError(f"unknown merge strategy {strategy!r}")
     if strategy == "full_outer" or mode == "full":
         return "full_outer"
-    if rows_at_most is not None and rows_at_most <= max_rows:
-        fits = rows_at_most * estimated_row_bytes(source) <= max_bytes
-    else:
-        fits = check_size(source, max_rows, max_bytes).fits
-    return "broadcast" if fits else "full_outer"
+    small = fits(*measured, max_rows, max_bytes) if measured is not None else check_size(source, max_rows, max_bytes).fits
+    if not small and strategy == "broadcast":
+        warnings.warn("the batch is too large to broadcast: merging by a shuffle join", stacklevel=2)
+    return "broadcast" if small else "full_outer"
 
 
 def merge_actions(
@@ -115,8 +123,11 @@ def merge_actions(
     strategy: str = "auto",
     max_broadcast_rows: int = DEFAULT_MAX_ROWS,
     max_broadcast_bytes: int = DEFAULT_MAX_BYTES,
+    protected: DataFrame | None = None,
+    decided: bool = False,
 ) -> DataFrame:
-    """Target columns plus ``_merge_action`` for every target and batch row."""
+    """Target columns plus ``_merge_action`` for every target and batch row.
+    ``decided``: ``strategy`` is the outcome of :func:`choose_strategy`."""
     keys = list(keys)
     mode = getattr(mode, "value", mode)
     cols = list(target.columns)
@@ -132,9 +143,14 @@ def merge_actions(
 
     t = _side(target, cols, _T)
     s = _side(source, s_cols, _S)
+    if mode == "full":
+        s = s.withColumn(_S + _PROTECTED, F.lit(False))
+        if protected is not None:
+            only = protected.select(*keys).distinct().join(source.select(*keys), keys, "left_anti")
+            s = s.unionByName(_side(only, keys, _S).withColumn(_S + _PROTECTED, F.lit(True)), allowMissingColumns=True)
     cond = key_match(keys, _T, _S)
     action = _action(mode, has_delete, delete_col, compare, newer_col)
-    plan = choose_strategy(source, mode, strategy, max_broadcast_rows, max_broadcast_bytes)
+    plan = strategy if decided else choose_strategy(source, mode, strategy, max_broadcast_rows, max_broadcast_bytes)
 
     if plan == "full_outer":
         return _project(t.join(s, cond, "full_outer"), cols, action)

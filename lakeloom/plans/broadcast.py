@@ -1,15 +1,16 @@
 """Size-checked broadcast.
 
-A side is broadcast only after a bounded count proves it small: the check
-reads at most ``max_rows + 1`` rows, so it costs little even when the side
-turns out to be large, and the caller falls back to a shuffle join then.
+A side is broadcast only after its rows and bytes were measured: one pass of
+partial sums (each task sends one row on), strings by their actual length.
+Where a commit recorded both, no pass is made. Beyond the bounds the caller
+joins by a shuffle.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,8 +20,8 @@ DEFAULT_MAX_BYTES = 256 * 1024 * 1024
 
 @dataclass(frozen=True)
 class SizeCheck:
-    rows: int | None  # None: more than the row limit
-    est_bytes: int | None
+    rows: int
+    bytes: int
     fits: bool
 
 
@@ -37,22 +38,35 @@ def _type_bytes(t: T.DataType) -> int:
         return 8 if t.precision <= 18 else 16
     if isinstance(t, T.StructType):
         return sum(_type_bytes(f.dataType) for f in t.fields)
-    if isinstance(t, (T.StringType, T.BinaryType)):
-        return 20
-    return 64
+    return 16
 
 
-def estimated_row_bytes(df: DataFrame) -> int:
-    """Per-row width in the style of Spark's own estimates (strings as 20 bytes)."""
-    return 8 + sum(_type_bytes(f.dataType) for f in df.schema.fields)
+def _measured(t: T.DataType) -> bool:
+    """Whether values differ in size."""
+    if isinstance(t, T.StructType):
+        return any(_measured(f.dataType) for f in t.fields)
+    return isinstance(t, (T.StringType, T.BinaryType, T.ArrayType, T.MapType)) or not isinstance(t, T.AtomicType)
+
+
+def row_bytes(schema: T.StructType) -> Column:
+    """Bytes of a row's values: fixed widths, and the actual length of strings
+    and binaries (of nested values, of their JSON text)."""
+    total = F.lit(8 + sum(_type_bytes(f.dataType) for f in schema.fields)).cast("long")
+    for f in schema.fields:
+        if _measured(f.dataType):
+            flat = isinstance(f.dataType, (T.StringType, T.BinaryType))
+            value = F.col(f"`{f.name}`") if flat else F.to_json(F.struct(F.col(f"`{f.name}`")))
+            total = total + F.coalesce(F.octet_length(value), F.lit(0))
+    return total
+
+
+def fits(rows: int, size: int, max_rows: int = DEFAULT_MAX_ROWS, max_bytes: int = DEFAULT_MAX_BYTES) -> bool:
+    return rows <= max_rows and size <= max_bytes
 
 
 def check_size(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, max_bytes: int = DEFAULT_MAX_BYTES) -> SizeCheck:
-    n = df.limit(max_rows + 1).count()
-    if n > max_rows:
-        return SizeCheck(None, None, False)
-    est = n * estimated_row_bytes(df)
-    return SizeCheck(n, est, est <= max_bytes)
+    n, size = df.agg(F.count(F.lit(1)), F.sum(row_bytes(df.schema))).first()
+    return SizeCheck(n, size or 0, fits(n, size or 0, max_rows, max_bytes))
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, max_bytes: int = DEFAULT_MAX_BYTES):

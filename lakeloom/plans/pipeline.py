@@ -1,5 +1,11 @@
-"""Per-table jobs: stage (extract → tombstones → conform → write → check) and
-merge (staged batch → business-current version → check → publish or roll back).
+"""Per-table jobs: stage (extract → tombstones → conform → write → check →
+publish) and merge (staged batches → business-current version → check →
+publish).
+
+No staged batch is lost: a current version records the staging version it
+holds, in its own commit, and a merge takes every later one, however many
+stage jobs ran or merges failed in between. Data is checked before it is
+published, so a version that fails a check is never served.
 
 Each job builds one lazy DataFrame and writes it once; counts ride on the
 write through ``Observation`` rather than extra passes over a live source.
@@ -8,9 +14,11 @@ write through ``Observation`` rather than extra passes over a live source.
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,18 +38,18 @@ from lakeloom.operators.merge import (
     initial_actions,
     merge_actions,
     merged_rows,
-    observe_actions,
 )
 from lakeloom.operators.numbering import number_rows
 from lakeloom.operators.staging import DELETE_FLAG, REJECT_COL, conform, stage_batch
-from lakeloom.plans.broadcast import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS
+from lakeloom.plans.broadcast import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, row_bytes
 from lakeloom.plans.control import ControlTable
 from lakeloom.plans.metrics import observed_values
 from lakeloom.plans.workspace import empty_frame
-from lakeloom.sources.snapshots import SnapshotTable
+from lakeloom.sources.snapshots import Commit, SnapshotTable
 from lakeloom.spec import TableSpec
 
 ROW_NUMBER = "row_number"
+_STAGE_OP = "stage "
 
 
 @dataclass(frozen=True)
@@ -116,13 +124,12 @@ def stage_table(
     ]
     if spec.update_col:
         extra.append(F.max(F.when(live_ok, F.col(spec.update_col))).alias("max_mark"))
-    before = staging.current()
-    commit, m = staging.write(staged, operation=f"stage {spec.load_mode.value}", observe=extra)
-    check = count_check(m["rows"], staging.stored_rows(commit.version))
+    extra.append(F.sum(row_bytes(staged.schema)).alias("bytes"))
+    commit, m = staging.stage_write(staged, operation=f"{_STAGE_OP}{spec.load_mode.value}", observe=extra)
+    check = count_check(m["rows"], staging.rows_of(commit))
     if not check.ok:
-        if before is not None:
-            staging.restore(before.version)
         raise CheckFailed(f"{spec.name}: staging count {check.actual} <> expected {check.expected}")
+    staging.publish(commit)
     mark = hwm
     if spec.update_col:
         mark = control.advance_mark(spec.name, m.get("max_mark"), floor, run_ts)
@@ -134,6 +141,36 @@ def batch_from_staging(staging: SnapshotTable, version: int | None = None) -> Da
     return staged.drop(ROW_NUMBER) if ROW_NUMBER in staged.columns else staged
 
 
+def pending_batches(staging: SnapshotTable, merged: int | None, full: bool) -> list[Commit]:
+    """Staged batches after version ``merged``, oldest first. A full load
+    stands for all before it. With none left, the newest is merged again."""
+    staged = [c for c in staging.commits_after(merged) if c.operation.startswith(_STAGE_OP)]
+    if not staged:
+        newest = staging.current()
+        if newest is None:
+            raise FileNotFoundError(f"{staging.path}: nothing staged")
+        return [newest]
+    return staged[-1:] if full else staged
+
+
+def combined_batch(staging: SnapshotTable, commits: list[Commit], keys, validate: bool, what: str) -> DataFrame:
+    """One batch of several staged ones: each key's row of the latest that has it."""
+    keys, order = list(keys), "_staged"
+    frames = [batch_from_staging(staging, c.version) for c in commits]
+    if validate:
+        for f in frames:
+            require_keys_valid(f, keys, what=f"{what} batch")
+    if len(frames) == 1:
+        return frames[0]
+    names = frames[-1].columns
+    every = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True),
+        (f.withColumn(order, F.lit(c.version)) for f, c in zip(frames, commits)),
+    )
+    latest = every.groupBy(*keys).agg(F.max_by(F.struct(*[n for n in names if n not in keys]), order).alias("_row"))
+    return latest.select(*[F.col(n) if n in keys else F.col(f"_row.{n}").alias(n) for n in names])
+
+
 def merge_table(
     spark: SparkSession,
     spec: TableSpec,
@@ -145,17 +182,18 @@ def merge_table(
     validate: bool = True,
     expected_override: int | None = None,
 ) -> MergeResult:
-    """Merge the latest staged batch into the business-current table.
+    """Merge all staged batches that the business-current table lacks into it.
 
-    On a count mismatch the previous version is served again, the bad version
-    goes into the control skip list, and ``CheckFailed`` is raised.
+    The new version's count and keys are checked before it is published. If
+    they are wrong it is not, its number goes into the control skip list, and
+    ``CheckFailed`` is raised; the batches stay pending. Keys whose rows were
+    rejected keep their stored rows on a full load.
     ``expected_override`` exists to exercise that failure path in tests.
     """
-    batch = batch_from_staging(staging)
-    if validate:
-        require_keys_valid(batch, spec.keys, what=f"{spec.name} batch")
-    target_schema = batch.drop(DELETE_FLAG).schema
     before = current.current()
+    pending = pending_batches(staging, before.source_version if before is not None else None, spec.is_full)
+    batch = combined_batch(staging, pending, spec.keys, validate, spec.name)
+    target_schema = batch.drop(DELETE_FLAG).schema
     if before is not None and before.schema:
         # Keys must carry the target's types: bucket ids hash typed values.
         stored = T.StructType.fromJson(json.loads(before.schema))
@@ -163,7 +201,7 @@ def merge_table(
             if k in stored.fieldNames() and stored[k].dataType != batch.schema[k].dataType:
                 batch = batch.withColumn(k, F.col(k).cast(stored[k].dataType))
     touched = None
-    if current.bucketed and not spec.is_full and before is not None and before.manifest is not None:
+    if current.bucketed and not spec.is_full and before is not None and current.same_layout(before):
         # Bucket-scoped merge: only the buckets holding batch keys are read and
         # rewritten; the rest of the table is carried forward by reference.
         # At most one id per bucket reaches the driver.
@@ -180,26 +218,41 @@ def merge_table(
         plan = "initial"
         actions = initial_actions(batch, target_schema.fieldNames())
     else:
-        staged_rows = staging.current().rows  # rows written to staging bound the accepted batch
-        plan = choose_strategy(batch, mode, strategy, DEFAULT_MAX_ROWS, DEFAULT_MAX_BYTES, rows_at_most=staged_rows)
+        # Rows and bytes written to staging bound the accepted batch.
+        known = all(c.rows is not None and c.bytes is not None for c in pending)
+        measured = (sum(c.rows for c in pending), sum(c.bytes for c in pending)) if known else None
+        plan = choose_strategy(batch, mode, strategy, DEFAULT_MAX_ROWS, DEFAULT_MAX_BYTES, measured)
         newer = spec.update_col if spec.newer_than_guard else None
-        actions = merge_actions(target, batch, spec.keys, mode, newer_col=newer, strategy=plan)
-    observed, obs = observe_actions(actions)
-    commit, _ = current.write(merged_rows(observed), operation=f"merge {mode}", replace_buckets=touched)
+        refused = staging.read(pending[-1].version).where(F.col(REJECT_COL).isNotNull()) if spec.is_full else None
+        actions = merge_actions(target, batch, spec.keys, mode, newer_col=newer, strategy=plan, protected=refused, decided=True)
+    obs = Observation(f"merge_{uuid.uuid4().hex[:8]}")  # unique per use
+    commit, _ = current.stage_write(
+        actions,
+        operation=f"merge {mode}",
+        replace_buckets=touched,
+        finish=lambda df: merged_rows(df.observe(obs, *action_metrics())),
+        source_version=pending[-1].version,
+    )
     counts = observed_values(obs, actions, action_metrics())
     if spec.is_full:
-        expected = counts[INSERT] + counts[UPDATE] + counts[UNCHANGED]
+        expected = counts[KEEP] + counts[INSERT] + counts[UPDATE] + counts[UNCHANGED]
     else:
         prev_rows = before.rows if before is not None else 0
         expected = (prev_rows or 0) + counts[INSERT] - counts[DELETE]
     if expected_override is not None:
         expected = expected_override
-    check = count_check(expected, current.stored_rows(commit.version))
+    check = count_check(expected, current.rows_of(commit))
     if not check.ok:
-        if before is not None:
-            current.restore(before.version)
         control.record_skip(spec.name, commit.version, run_ts)
-        raise CheckFailed(f"{spec.name}: merged count {check.actual} <> expected {check.expected}; version {commit.version} rolled back")
+        raise CheckFailed(f"{spec.name}: merged count {check.actual} <> expected {check.expected}; version {commit.version} is not served")
+    if validate:
+        # Counts cannot see a key stored twice: the rewritten part has one row per key.
+        try:
+            require_keys_valid(current.read_commit(commit, touched), spec.keys, what=f"{spec.name} version {commit.version}")
+        except CheckFailed:
+            control.record_skip(spec.name, commit.version, run_ts)
+            raise
+    current.publish(commit)
     control.mark_consumed(spec.name, commit.version, run_ts)
     return MergeResult(commit.version, plan, dict(counts), check)
 
@@ -258,14 +311,19 @@ def stage_tables(spark, specs, sources: dict, audits: dict, layout: Layout, run_
 def merge_tables(
     spark, specs, layout: Layout, run_ts, strategy: str = "auto", audits: dict | None = None, keep_versions: int | None = None
 ) -> dict:
-    """The merge job: latest staged batch of every non-skipped table into its
-    current table, then point-in-time history and foreign-key reports. With
+    """The merge job: pending staged batches of every non-skipped table into its
+    current table, then point-in-time history (which needs the audit log) and
+    foreign-key reports. With
     ``keep_versions``, data no longer referenced by that many newest commits
     of the staging and current tables is removed after a successful merge."""
     control = layout.control(spark)
     audits = audits or {}
     loaded: dict[str, SnapshotTable] = {}
+    by_name = {s.name: s for s in specs}
     out = {}
+    for spec in specs:
+        if not spec.skip and spec.point_in_time and spec.has_audit and spec.name not in audits:
+            raise ValueError(f"{spec.name}: its point-in-time layer needs the audit log")
     for spec in specs:
         if spec.skip:
             continue
@@ -279,6 +337,12 @@ def merge_tables(
         audit = audits.get(spec.name)
         if spec.point_in_time and audit is not None and spec.has_audit:
             build_history(spec, audit, layout.history(spark, spec))
+        # Parents that are not part of this run are taken as stored.
+        for _, parent, _ in spec.foreign_keys:
+            if parent not in loaded:
+                stored = layout.current(spark, by_name.get(parent) or TableSpec(parent, spec.keys))
+                if stored.exists():
+                    loaded[parent] = stored
         out[spec.name] = (mg, foreign_key_report(spec, current, loaded))
     return out
 
@@ -305,16 +369,17 @@ def build_history(spec: TableSpec, audit: DataFrame, table: SnapshotTable):
     """Point-in-time layer: validity intervals per key from the whole audit
     log (SCD2, ordered by the audit sequence), written as a new version."""
     cols = [c for c in audit.columns if c not in spec.keys and c != spec.audit_seq_col]
-    hist = scd2(audit, spec.keys, spec.audit_seq_col, spec.audit_time_col, cols=cols)
+    hist = scd2(audit, spec.keys, spec.audit_seq_col, spec.audit_time_col, cols=cols, op_col=spec.audit_op_col, delete_op=spec.delete_op)
     commit, _ = table.write(hist, operation="history")
     return commit
 
 
 def foreign_key_report(spec: TableSpec, current: SnapshotTable, loaded: dict) -> dict:
-    """Orphan counts per declared foreign key whose parent was loaded before
-    (specs run parents first, so every loaded parent is current)."""
+    """Orphan counts per declared foreign key (specs run parents first, so
+    every parent is current); None where the parent was never loaded."""
     report = {}
     for col, parent, parent_col in spec.foreign_keys:
+        report[f"{col}->{parent}.{parent_col}"] = None
         if parent in loaded:
             child = current.read().select(col)
             report[f"{col}->{parent}.{parent_col}"] = orphans(child, loaded[parent].read(), [col], [parent_col]).count()

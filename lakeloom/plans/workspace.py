@@ -1,9 +1,9 @@
 """Where jobs write intermediate tables.
 
 On a cluster the shared folder named by ``spark.checkpoint.dir`` is used;
-nothing is written to a machine-local temporary folder there. Only when the
-session has no checkpoint directory (local tests) is one created under the
-system temp folder and registered on the session.
+nothing is written to a machine-local temporary folder there. Only a session
+with a local master and no checkpoint directory (tests) gets one under the
+system temp folder; on a cluster a missing setting is an error.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
+    if not (sc.master or "").startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="lakeloom-ckpt-"))
     return sc.getCheckpointDir()
 
@@ -51,22 +53,25 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
 
 
-def total_bytes(spark: SparkSession, path: str) -> int:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return 0
-    return int(fs.getContentSummary(p).getLength())
-
-
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Create a small metadata file; fails if it already exists (so two
-    writers cannot both claim the same commit name)."""
+    """Create a small metadata file whole or not at all: it is written under a
+    temporary name and renamed. Fails if it already exists (so two writers
+    cannot both claim the same commit name)."""
+    jvm = spark._jvm
     fs, p = _fs(spark, path)
-    out = fs.create(p, False)
+    temporary = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.{uuid.uuid4().hex[:8]}")
+    out = fs.create(temporary, False)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(fs.makeQualified(temporary), fs.makeQualified(p), options)  # no overwrite
+    except Exception:
+        fs.delete(temporary, False)
+        raise
 
 
 def read_text(spark: SparkSession, path: str) -> str:
@@ -82,7 +87,8 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isFile())
+    names = (s.getPath().getName() for s in fs.listStatus(p) if s.isFile())
+    return sorted(n for n in names if not n.startswith("."))  # not yet renamed
 
 
 def empty_frame(spark: SparkSession, schema):

@@ -10,6 +10,8 @@ Layout::
 
 A commit writes its data first and its log document after; readers take the
 highest commit in the log, so a half-written data directory is never served.
+``stage_write`` and ``publish`` are the two halves: what lies between them can
+check the written data, and data that fails is never served at all.
 If a writer was lost between the two, the next attempt writes a fresh sibling
 directory (``v=<n>-<id>``) and its commit names it; the orphan stays unread.
 Log documents are created with overwrite disabled, so a second writer racing
@@ -22,7 +24,9 @@ Bucketed tables (``bucket_keys`` + ``buckets``) place each row in
 ``pmod(hash(keys), buckets)``. A commit's ``manifest`` maps every non-empty
 bucket to ``[data_version, rows]``; a write may replace only some buckets and
 carry the others forward by reference. That is what lets an incremental merge
-rewrite the buckets its batch touches instead of the whole table.
+rewrite the buckets its batch touches instead of the whole table. Each commit
+records its layout (keys, buckets, width); a table opened with another layout
+is read whole and rewritten whole, never by its buckets.
 """
 
 from __future__ import annotations
@@ -62,6 +66,9 @@ class Commit:
     schema: str | None = None
     manifest: dict | None = field(default=None)  # bucketed tables: {"b": [data_version, rows, data_dir]}
     data_dir: str | None = None  # directory of data_version, when not the default "v=<n>"
+    layout: dict | None = None  # bucketed tables: keys, buckets, width
+    source_version: int | None = None  # the last version of its source that the table holds
+    bytes: int | None = None  # of its values, where measured
 
 
 def bucket_of(keys, buckets: int) -> Column:
@@ -109,8 +116,24 @@ class SnapshotTable:
             return range_bucket_of(self.bucket_keys[0], self.bucket_width)
         return bucket_of(self.bucket_keys, self.buckets)
 
+    @property
+    def layout(self) -> dict | None:
+        if not self.bucketed:
+            return None
+        return {"keys": list(self.bucket_keys), "buckets": self.buckets, "width": self.bucket_width}
+
+    def same_layout(self, commit: Commit | None) -> bool:
+        """Whether ``commit`` is bucketed as this table was opened."""
+        return commit is not None and commit.manifest is not None and commit.layout == self.layout
+
+    def _require_layout(self, commit: Commit | None) -> None:
+        if not self.same_layout(commit):
+            stored = commit.layout if commit is not None else None
+            raise ValueError(f"{self.path}: opened with layout {self.layout}, stored with {stored}; rewrite it whole")
+
     def touched_buckets(self, batch: DataFrame) -> list[int]:
         """Distinct bucket ids of ``batch`` (at most one per bucket reaches the driver)."""
+        self._require_layout(self.current())
         return sorted(r["b"] for r in batch.select(self.bucket_expr().alias("b")).distinct().collect())
 
     # --- paths and log -------------------------------------------------
@@ -158,6 +181,10 @@ class SnapshotTable:
         names = self._log_names()
         return self._load(names[-1]) if names else None
 
+    def commits_after(self, version: int | None) -> list[Commit]:
+        """Commits newer than ``version``, oldest first; only their documents are read."""
+        return [self._load(n) for n in self._log_names() if version is None or int(n.split(".")[0]) > version]
+
     def commit(self, version: int) -> Commit:
         name = f"{version:020d}.json"
         if name not in self._log_names():
@@ -181,7 +208,10 @@ class SnapshotTable:
     def changed_buckets(self, from_version: int, to_version: int) -> list[int]:
         """Buckets whose data differs between two versions of a bucketed table
         (a bucket with the same data version in both manifests is identical)."""
-        a, b = self.commit(from_version).manifest or {}, self.commit(to_version).manifest or {}
+        old, new = self.commit(from_version), self.commit(to_version)
+        if old.layout != new.layout:
+            raise ValueError(f"{self.path}: versions {from_version} and {to_version} are bucketed differently")
+        a, b = old.manifest or {}, new.manifest or {}
         return sorted(int(k) for k in set(a) | set(b) if a.get(k, [None])[0] != b.get(k, [None])[0])
 
     # --- read ------------------------------------------------------------
@@ -193,6 +223,10 @@ class SnapshotTable:
         c = self.current() if version is None else self.commit(version)
         if c is None:
             raise FileNotFoundError(f"{self.path}: no committed version")
+        return self.read_commit(c, buckets)
+
+    def read_commit(self, c: Commit, buckets=None) -> DataFrame:
+        """The rows of a commit, published or not."""
         schema = T.StructType.fromJson(json.loads(c.schema)) if c.schema else None
         if c.manifest is None:
             # The commit records the schema: no footer-based schema inference.
@@ -215,34 +249,53 @@ class SnapshotTable:
 
     # --- write -----------------------------------------------------------
     def write(self, df: DataFrame, operation: str = "write", observe: list | None = None, replace_buckets=None):
-        """Write ``df`` as a new version. Returns ``(Commit, metrics)``.
+        """Write ``df`` as a new version and publish it. Returns ``(Commit, metrics)``.
 
         The row count (and any extra ``observe`` aggregate columns) ride on the
         write through an ``Observation``. For a bucketed table, ``replace_buckets``
         names the buckets ``df`` replaces; every other bucket of the current
         version is carried forward unchanged (``None`` replaces all).
         """
+        commit, metrics = self.stage_write(df, operation, observe, replace_buckets)
+        return self.publish(commit), metrics
+
+    def publish(self, commit: Commit) -> Commit:
+        """Serve a staged commit."""
+        return self._append_log(commit)
+
+    def stage_write(
+        self, df: DataFrame, operation: str = "write", observe: list | None = None, replace_buckets=None, finish=None, source_version: int | None = None
+    ):
+        """Write the data of a new version without serving it. ``finish`` is
+        applied to the frame after any repartitioning, in the stage that
+        writes, so what it observes counts every row once even if earlier
+        stages are run again. Returns ``(Commit, metrics)``."""
         current = self.current()
         version = 0 if current is None else current.version + 1
+        if replace_buckets is not None:
+            self._require_layout(current)
         obs = Observation(f"snapshot_{version}_{uuid.uuid4().hex[:8]}")  # unique per write
         exprs = [F.count(F.lit(1)).alias("rows"), *(observe or [])]
-        observed = df.observe(obs, *exprs)
         out, dir_name = self._fresh_data_path(version)
         if not self.bucketed:
-            observed.write.mode("errorifexists").parquet(out)
-            metrics = observed_values(obs, df, exprs)
-            commit = Commit(version, version, operation, int(metrics["rows"]), schema=df.schema.json(), data_dir=dir_name)
-            return self._append_log(commit), metrics
-
-        # One task per bucket keeps one file per bucket, whatever the input partitioning.
+            done = finish(df) if finish else df
+            done.observe(obs, *exprs).write.mode("errorifexists").parquet(out)
+            metrics = observed_values(obs, done, exprs)
+            return Commit(
+                version, version, operation, int(metrics["rows"]), schema=done.schema.json(), data_dir=dir_name, source_version=source_version, bytes=metrics.get("bytes")
+            ), metrics
+
+        # Rows of a bucket meet in one task, which keeps one file per bucket, whatever the input partitioning.
         cap = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         n_out = cap if replace_buckets is None else max(1, min(cap, len(replace_buckets)))
-        bucketed = observed.withColumn(BUCKET, self.bucket_expr())
-        writer = bucketed.repartition(n_out, BUCKET).write.mode("errorifexists").partitionBy(BUCKET)
+        done = df.withColumn(BUCKET, self.bucket_expr()).repartition(n_out, BUCKET)
+        done = finish(done) if finish else done
+        writer = done.observe(obs, *exprs).write.mode("errorifexists").partitionBy(BUCKET)
         if self.max_records_per_file:
             writer = writer.option("maxRecordsPerFile", int(self.max_records_per_file))
         writer.parquet(out)
-        metrics = observed_values(obs, df, exprs)
+        metrics = observed_values(obs, done, exprs)
+        schema = T.StructType([f for f in done.schema.fields if f.name != BUCKET])
         # Rows per written bucket, read back from storage (one row per bucket).
         written = {}
         if metrics["rows"]:
@@ -254,8 +307,9 @@ class SnapshotTable:
             base = {b: v for b, v in current.manifest.items() if b not in gone}
         manifest = {**base, **written}
         rows = sum(v[1] for v in manifest.values())
-        commit = Commit(version, version, operation, rows, schema=df.schema.json(), manifest=manifest, data_dir=dir_name)
-        return self._append_log(commit), metrics
+        return Commit(
+            version, version, operation, rows, schema=schema.json(), manifest=manifest, data_dir=dir_name, layout=self.layout, source_version=source_version
+        ), metrics
 
     def create_empty(self, schema: T.StructType) -> Commit:
         """Create the table with no rows if it has no version yet (idempotent)."""
@@ -270,7 +324,8 @@ class SnapshotTable:
         t = self.commit(version)
         current = self.current()
         commit = Commit(
-            current.version + 1, t.data_version, f"restore {version}", t.rows, schema=t.schema, manifest=t.manifest, data_dir=t.data_dir
+            current.version + 1, t.data_version, f"restore {version}", t.rows, schema=t.schema, manifest=t.manifest, data_dir=t.data_dir,
+            layout=t.layout, source_version=t.source_version, bytes=t.bytes,
         )
         return self._append_log(commit)
 
@@ -284,7 +339,7 @@ class SnapshotTable:
         """
         if keep_last < 1:
             raise ValueError("keep_last must be at least 1")
-        kept = self._commits()[:keep_last]
+        kept = [self._load(n) for n in reversed(self._log_names()[-keep_last:])]
         if not kept:
             return []
         used_dirs, used_buckets = set(), set()
@@ -315,8 +370,10 @@ class SnapshotTable:
         """Row count of a version as stored. Unbucketed: read back (parquet
         footers). Bucketed: the manifest, whose per-bucket counts were read
         back from storage when each bucket was written."""
-        c = self.current() if version is None else self.commit(version)
+        return self.rows_of(self.current() if version is None else self.commit(version))
+
+    def rows_of(self, c: Commit) -> int:
         if c.manifest is not None:
             return sum(v[1] for v in c.manifest.values())
-        return self.read(version).count()
+        return self.read_commit(c).count()
 

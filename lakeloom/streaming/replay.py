@@ -7,8 +7,9 @@ indifferent to the order files arrive in:
 
 * the state keeps deletes as rows (``op = delete``) with their sequence, and
   a merge never lets an older sequence overwrite a newer one;
-* a micro-batch whose id is already committed to the state is skipped, so a
-  restarted query does not apply a batch twice.
+* a micro-batch that the same checkpoint already committed to the state last
+  is skipped, so a restarted query does not apply a batch twice; logs read
+  under other checkpoints are told apart and merged into the same state.
 
 ``current_rows`` then serves the live rows: the same result as applying the
 whole log at once (``apply_change_log``).
@@ -16,6 +17,8 @@ whole log at once (``apply_change_log``).
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,33 +30,38 @@ from lakeloom.sources.snapshots import SnapshotTable
 _BATCH_OP = "replay batch "
 
 
-def _last_applied(state: SnapshotTable) -> int:
-    """Id of the last micro-batch committed to the state (-1 if none). Batch ids
-    only grow and only the latest batch can be delivered again after a
-    failure, so the newest commit is all that needs reading."""
-    c = state.current()
-    if c is None or not c.operation.startswith(_BATCH_OP):
-        return -1
-    return int(c.operation[len(_BATCH_OP):])
+def _token(checkpoint: str) -> str:
+    return hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+
+
+def _last_applied(newest, checkpoint: str) -> int:
+    """Id of the last micro-batch of this checkpoint, if it made the newest
+    commit; else -1. Batch ids only grow and only the latest batch can be
+    delivered again after a failure. If another checkpoint's batch was
+    committed since, the sequence guard makes applying it once more harmless."""
+    start = f"{_BATCH_OP}{_token(checkpoint)}:"
+    return int(newest.operation[len(start):]) if newest is not None and newest.operation.startswith(start) else -1
 
 
-def apply_batch(state: SnapshotTable, batch: DataFrame, keys, seq_col: str, cols, batch_id: int, schema: T.StructType) -> None:
-    if batch_id <= _last_applied(state):
+def apply_batch(state: SnapshotTable, batch: DataFrame, keys, seq_col: str, cols, batch_id: int, schema: T.StructType, checkpoint: str = "") -> None:
+    newest = state.current()
+    if batch_id <= _last_applied(newest, checkpoint):
         return
+    operation = f"{_BATCH_OP}{_token(checkpoint)}:{batch_id}"
     latest = latest_per_key(batch, keys, seq_col, cols).select(*schema.fieldNames())
     touched = None
-    if not state.exists():
+    if newest is None:
         # first micro-batch: the latest row per key is the state
-        state.write(latest, operation=f"{_BATCH_OP}{batch_id}")
+        state.write(latest, operation=operation)
         return
-    if state.bucketed:
+    if state.bucketed and state.same_layout(newest):
         # Only the state buckets holding this batch's keys are read and rewritten.
         touched = state.touched_buckets(latest)
         target = state.read(buckets=touched)
     else:
         target = state.read()
     merged = merge(target, latest, keys, mode="incremental", newer_col=seq_col, strategy="full_outer")
-    state.write(merged, operation=f"{_BATCH_OP}{batch_id}", replace_buckets=touched)
+    state.write(merged, operation=operation, replace_buckets=touched)
 
 
 def _start(spark, log_path, log_schema, keys, seq_col, state_path, checkpoint_path, cols, max_files_per_trigger, buckets, trigger):
@@ -67,7 +75,7 @@ def _start(spark, log_path, log_schema, keys, seq_col, state_path, checkpoint_pa
         .parquet(log_path)
     )
     query = (
-        stream.writeStream.foreachBatch(lambda df, bid: apply_batch(state, df, keys, seq_col, cols, bid, schema))
+        stream.writeStream.foreachBatch(lambda df, bid: apply_batch(state, df, keys, seq_col, cols, bid, schema, checkpoint_path))
         .option("checkpointLocation", checkpoint_path)
         .trigger(**trigger)
         .start()
@@ -84,7 +92,7 @@ def replay(
     state_path: str,
     checkpoint_path: str,
     cols=None,
-    max_files_per_trigger: int = 1,
+    max_files_per_trigger: int = 1000,
     buckets: int = 0,
 ) -> SnapshotTable:
     """Replay every file under ``log_path`` into the state table and stop
@@ -109,7 +117,7 @@ def start_replay(
     state_path: str,
     checkpoint_path: str,
     cols=None,
-    max_files_per_trigger: int = 1,
+    max_files_per_trigger: int = 1000,
     buckets: int = 0,
     processing_time: str = "1 minute",
 ):
@@ -123,5 +131,5 @@ def start_replay(
 
 
 def current_rows(state: SnapshotTable, op_col: str, delete_op: str = "D") -> DataFrame:
-    """Live rows of the replayed state."""
-    return state.read().where(F.col(op_col) != F.lit(delete_op))
+    """Live rows of the replayed state (a NULL operation is no delete)."""
+    return state.read().where(~F.col(op_col).eqNullSafe(F.lit(delete_op)))

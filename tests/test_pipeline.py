@@ -155,7 +155,7 @@ def test_full_load_deletes_absent_rows_and_ignores_audit(spark):
     assert [x[0] for x in current_rows(cur)] == [1, 3]
 
 
-def test_wrong_count_rolls_back_and_records_skip(spark):
+def test_wrong_count_is_never_served_and_records_skip(spark):
     stg, cur, control = tables(spark, "pipe_rollback")
     s = spec()
     pipeline.stage_table(spark, s, seed(spark), None, stg, control, D(2025, 1, 2))
@@ -168,9 +168,57 @@ def test_wrong_count_rolls_back_and_records_skip(spark):
     assert current_rows(cur) == before  # the old version is what readers see
     row = control.row("dim_product")
     assert row.skip_versions == "1" and row.last_version_run == 0
-    assert cur.current().operation == "restore 0"
-    pending = ctl.pending_versions(cur.history(), control.frame(), "dim_product")
-    assert sorted(r.version for r in pending.collect()) == [2]
+    assert cur.current().version == 0  # the bad version has data but no commit
+    # The batch is still pending: a retry merges it, with what was staged meanwhile.
+    later = spark.createDataFrame([(5, "P5", "cup", "home", None, "5.00", D(2025, 1, 8))], SRC)
+    pipeline.stage_table(spark, s, later, None, stg, control, D(2025, 1, 9))
+    m = pipeline.merge_table(spark, s, stg, cur, control, D(2025, 1, 9))
+    assert m.actions["insert"] == 2
+    assert [x[0] for x in current_rows(cur)] == [*(x[0] for x in before), 4, 5]
+
+
+def test_failed_first_merge_serves_nothing(spark):
+    stg, cur, control = tables(spark, "pipe_first_fails")
+    s = spec()
+    pipeline.stage_table(spark, s, seed(spark), None, stg, control, D(2025, 1, 2))
+    with pytest.raises(CheckFailed):
+        pipeline.merge_table(spark, s, stg, cur, control, D(2025, 1, 2), expected_override=999)
+    assert not cur.exists()
+    pipeline.merge_table(spark, s, stg, cur, control, D(2025, 1, 2))
+    assert [x[0] for x in current_rows(cur)] == [1, 2, 3]
+
+
+@pytest.mark.parametrize("fail", [False, True])
+def test_every_staged_batch_is_merged(spark, fail):
+    """Three stage jobs before one merge; or a merge that fails in between."""
+    stg, cur, control = tables(spark, f"pipe_pending_{fail}")
+    s = spec()
+    one = lambda k, price, day: spark.createDataFrame([(k, f"P{k}", "mug", "home", None, price, D(2025, 1, day))], SRC)
+    pipeline.stage_table(spark, s, one(1, "1.00", 1), None, stg, control, D(2025, 1, 2))
+    pipeline.stage_table(spark, s, one(2, "2.00", 3), None, stg, control, D(2025, 1, 4))
+    if fail:
+        with pytest.raises(CheckFailed):
+            pipeline.merge_table(spark, s, stg, cur, control, D(2025, 1, 4), expected_override=7)
+    pipeline.stage_table(spark, s, one(1, "9.00", 5), None, stg, control, D(2025, 1, 6))
+    pipeline.stage_table(spark, s, one(3, "3.00", 7), None, stg, control, D(2025, 1, 8))
+    pipeline.merge_table(spark, s, stg, cur, control, D(2025, 1, 8))
+    rows = cur.read().orderBy("product_key").collect()
+    assert [r["product_key"] for r in rows] == [1, 2, 3]
+    assert "9.00" in str(rows[0])  # the latest of several staged rows of a key
+
+
+def test_reopening_with_another_layout_keeps_one_row_per_key(spark):
+    base = tables(spark, "pipe_layout")
+    stg, control = base[0], base[2]
+    path, s = f"{stg.path}-current", spec()
+    for buckets, day in ((4, 2), (8, 4), (16, 6), (0, 8)):
+        cur = SnapshotTable(spark, path, s.keys if buckets else None, buckets)
+        rows = [(k, f"P{k}", "mug", "home", None, f"{day}.00", D(2025, 1, day)) for k in range(40)]
+        pipeline.stage_table(spark, s, spark.createDataFrame(rows, SRC), None, stg, control, D(2025, 1, day + 1))
+        pipeline.merge_table(spark, s, stg, cur, control, D(2025, 1, day + 1))
+        assert sorted(r["product_key"] for r in cur.read().collect()) == list(range(40))
+    with pytest.raises(ValueError):
+        SnapshotTable(spark, path, s.keys, 4).touched_buckets(cur.read())
 
 
 def test_duplicate_batch_keys_fail_before_merge(spark):

@@ -131,7 +131,10 @@ def test_size_check_is_bounded(spark):
     small = check_size(spark.range(10), max_rows=100)
     assert small.fits and small.rows == 10
     big = check_size(spark.range(1000), max_rows=100)
-    assert not big.fits and big.rows is None
+    assert not big.fits and big.rows == 1000
+    # Strings count by their length.
+    long = spark.range(10).selectExpr("repeat('x', 1000) AS text")
+    assert check_size(long).bytes > 10_000 and not check_size(long, max_bytes=5_000).fits
     assert not check_size(spark.range(50), max_rows=100, max_bytes=10).fits
 
 
