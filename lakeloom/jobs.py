@@ -22,7 +22,7 @@ from pyspark.sql import SparkSession
 
 from lakeloom.plans import pipeline
 from lakeloom.plans.workspace import path_exists
-from lakeloom.sources.jdbc import JdbcSource, read_jdbc, read_population, table_ref
+from lakeloom.sources.jdbc import JdbcSource, read_audit, read_jdbc, read_population, table_ref
 from lakeloom.spec import load_specs
 
 
@@ -63,10 +63,12 @@ def load_sources(spark, specs, args, control=None, plans=None):
         for spec in specs:
             if spec.skip:
                 continue
+            # The watermark's kind follows from the column's type in the source.
+            spec = spec.resolved(read_jdbc(spark, src, table_ref(args.db_schema, spec.name)).schema)
             hwm = control.high_water_mark(spec.name, spec.watermark_floor()) if control else spec.watermark_floor()
             sources[spec.name], plans[spec.name] = read_population(spark, src, spec, hwm, args.run_ts, schema_name=args.db_schema)
             if spec.has_audit:
-                audits[spec.name] = read_jdbc(spark, src, table_ref(args.db_schema, f"{spec.name}_audit"))
+                audits[spec.name] = read_audit(spark, src, spec, hwm, schema_name=args.db_schema)
         return sources, audits
     for spec in specs:
         if spec.skip:
@@ -87,6 +89,7 @@ def main(argv=None) -> int:
     p.add_argument("job", choices=["bootstrap", "stage", "merge", "run"])
     p.add_argument("--tables", required=True, help="table config (JSON or YAML)")
     p.add_argument("--env", default=None)
+    p.add_argument("--schemas", default=None, help="named schemas (JSON or YAML): {name: [[column, type, nullable], ...]}")
     p.add_argument("--root", required=True, help="base URI for tables without configured paths, and the control table")
     p.add_argument("--run-date", default=None)
     p.add_argument("--parquet-dir", default=None)
@@ -103,7 +106,7 @@ def main(argv=None) -> int:
     args = p.parse_args(argv)
 
     spark = SparkSession.builder.getOrCreate()
-    specs = load_specs(read_config(args.tables), env=args.env)
+    specs = load_specs(read_config(args.tables), env=args.env, schemas=read_config(args.schemas) if args.schemas else None)
     if args.only:
         specs = [s for s in specs if s.name in set(args.only)]
     layout = pipeline.Layout(args.root, args.buckets, args.bucket_width)

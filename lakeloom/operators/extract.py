@@ -52,12 +52,16 @@ def extract_incremental(df: DataFrame, update_col: str, hwm, run_ts, overlap=dt.
     are not missed; re-reading is harmless because the merge is idempotent.
     """
     lo = _lit_like(lower_bound(hwm, overlap), df, update_col)
+    if run_ts is None:
+        return df.where(F.col(update_col) >= lo)
     hi = _lit_like(run_ts, df, update_col)
     return df.where(F.col(update_col).between(lo, hi))
 
 
 def extract(df: DataFrame, spec: TableSpec, hwm, run_ts) -> DataFrame:
-    """Dispatch on the spec's load mode."""
+    """Dispatch on the spec's load mode. A run time does not bound a sequence."""
+    if spec.sequence_watermark and isinstance(run_ts, dt.datetime):
+        run_ts = None
     if spec.is_full:
         return extract_full(df, spec.update_col, run_ts)
     if spec.update_col is None:

@@ -114,6 +114,7 @@ def stage_table(
     run_ts,
     number: bool = False,
 ) -> StageResult:
+    spec = spec.resolved(source.schema)
     floor = spec.watermark_floor()
     hwm = control.high_water_mark(spec.name, floor)
     staged = staged_frame(spec, source, audit, hwm, run_ts, number)

@@ -13,7 +13,10 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.operators.extract import extract
+from pyspark.sql import functions as F
+
+from lakeloom.functions.literals import lit_like
+from lakeloom.operators.extract import extract, lower_bound
 from lakeloom.plans.read_plan import ReadPlan, plan_read
 from lakeloom.spec import check_identifier
 
@@ -106,6 +109,24 @@ def read_population(
         return read_jdbc(spark, source, dbtable, plan, reader=r)
 
     plan = None
+    spec = spec.resolved(scan().schema)
     if spec.partition_col:
         plan = plan_read(extract(scan(), spec, hwm, run_ts), spec.partition_col, spec.num_partitions, rows_per_partition)
     return extract(scan(plan), spec, hwm, run_ts), plan
+
+
+def read_audit(spark: SparkSession, source: JdbcSource, spec, hwm, schema_name: str | None = None, reader_factory=None) -> DataFrame:
+    """The audit log of ``spec`` over JDBC: by ranges of its sequence when the
+    table asks for several partitions, and only from the watermark on where
+    nothing needs older entries."""
+    dbtable = table_ref(schema_name, f"{spec.name}_audit")
+
+    def scan(plan=None):
+        df = read_jdbc(spark, source, dbtable, plan, reader=reader_factory() if reader_factory is not None else None)
+        if spec.point_in_time or spec.sequence_watermark or spec.audit_time_col not in df.columns:
+            return df
+        return df.where(F.col(spec.audit_time_col) >= lit_like(lower_bound(hwm, spec.overlap), df, spec.audit_time_col))
+
+    if spec.num_partitions <= 1:
+        return scan()
+    return scan(plan_read(scan(), spec.audit_seq_col, spec.num_partitions))

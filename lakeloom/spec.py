@@ -10,12 +10,13 @@ from __future__ import annotations
 import datetime as dt
 import enum
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import types as T
 
 from lakeloom.functions.types import schema_from_columns
 
+#: Fixed value: the characters that names in source queries may have.
 _IDENTIFIER = re.compile(r"[A-Za-z0-9_-]+")
 
 
@@ -59,6 +60,7 @@ class TableSpec:
     current_path: str | None = None
     point_in_time: bool = False
     point_in_time_path: str | None = None
+    partition_by_key: bool = False  # read by ranges of the key, if it is one integral column
 
     def __post_init__(self):
         check_identifier(self.name)
@@ -80,6 +82,17 @@ class TableSpec:
     def sequence_watermark(self) -> bool:
         return isinstance(self.overlap, int)
 
+    def resolved(self, schema: T.StructType) -> TableSpec:
+        """This spec for a source of ``schema``: an integral update column makes
+        a sequence watermark, an integral key the ranges of a partitioned read."""
+        integral = {f.name for f in schema.fields if isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))}
+        spec = self
+        if spec.update_col in integral and not spec.sequence_watermark:
+            spec = replace(spec, overlap=0)
+        if spec.partition_by_key and spec.partition_col is None and len(spec.keys) == 1 and spec.keys[0] in integral:
+            spec = replace(spec, partition_col=spec.keys[0])
+        return spec
+
     def watermark_floor(self):
         """Value used when nothing has been loaded yet."""
         return 0 if self.sequence_watermark else dt.datetime(1900, 1, 1)
@@ -100,14 +113,30 @@ def _env_path(cfg: dict, section: str, name: str, env: str | None) -> str | None
     return f"{base}{name}" if base else None
 
 
-def load_specs(config: dict, env: str | None = None) -> list[TableSpec]:
+def _schema(cfg: dict, schemas: dict | None) -> T.StructType | None:
+    """Declared columns, or the named schema of the staging section."""
+    if cfg.get("columns"):
+        return schema_from_columns(cfg["columns"])
+    name = (cfg.get("staging_table") or {}).get("schema")
+    if not name or schemas is None:
+        return None
+    if name not in schemas:
+        raise ValueError(f"unknown schema {name!r}")
+    return schema_from_columns(schemas[name])
+
+
+def load_specs(config: dict, env: str | None = None, schemas: dict | None = None) -> list[TableSpec]:
     """Build ordered specs from a config dict ``{table: {...}}``.
 
     Recognised keys per table: ``primary_keys``, ``full_load_table`` or
     ``load_mode``, ``update_timestamp_col``, ``audit_seq_id``, ``skip``,
     ``partition_key``, ``num_partition``, ``overlap_days`` / ``overlap_seq``,
     ``columns`` ([name, type, nullable] triples), ``foreign_keys``
-    ([column, parent_table, parent_column] triples), ``point_in_time``. With
+    ([column, parent_table, parent_column] triples), ``point_in_time``,
+    ``newer_than_guard``, ``delete_op``, ``audit_op_col``, ``audit_time_col``.
+    ``schemas`` maps the names that ``staging_table.schema`` may give to column
+    triples or types. The partition key ``row_number`` means ranges of an
+    integral key. With
     ``env``, the ``staging_table`` / ``business_current_table`` /
     ``point_in_time_table`` sections' ``path.<env>`` plus the table name give
     the table locations (any Hadoop file system URI). Tables with foreign keys
@@ -130,7 +159,10 @@ def load_specs(config: dict, env: str | None = None) -> list[TableSpec]:
                 update_col=cfg.get("update_timestamp_col") or None,
                 audit_seq_col=None if audit in (None, "", "NA") else audit,
                 overlap=overlap,
-                staging_schema=schema_from_columns(cfg["columns"]) if cfg.get("columns") else None,
+                staging_schema=_schema(cfg, schemas),
+                partition_by_key=part == "row_number",
+                newer_than_guard=bool(cfg.get("newer_than_guard", False)),
+                **{k: cfg[k] for k in ("delete_op", "audit_op_col", "audit_time_col") if cfg.get(k)},
                 partition_col=None if part in (None, "", "row_number") else part,
                 num_partitions=int(cfg.get("num_partition", 1)),
                 skip=bool(cfg.get("skip", False)),

@@ -441,6 +441,7 @@ def test_command_line_jdbc_wiring_without_a_database(spark, tmp_path, monkeypatc
 
     monkeypatch.setattr(jobs, "read_population", fake_population)
     monkeypatch.setattr(jobs, "read_jdbc", fake_jdbc)
+    monkeypatch.setattr("lakeloom.sources.jdbc.read_jdbc", fake_jdbc)
     cfg = tmp_path / "load.json"
     cfg.write_text(_json.dumps({"dim_product": {"primary_keys": ["product_key"], "update_timestamp_col": "last_updt_col", "audit_seq_id": "audit_id"}}))
     args = ["run", "--tables", str(cfg), "--root", f"{base}/lake", "--run-date", "20250102",
@@ -459,3 +460,64 @@ def test_command_line_jdbc_wiring_without_a_database(spark, tmp_path, monkeypatc
     assert ("table", "products.dim_product_audit") in calls
     (s,) = load_specs(_json.loads(cfg.read_text()))
     assert sorted(r.product_key for r in pipeline.Layout(f"{base}/lake").current(spark, s).read().collect()) == [1, 2]
+
+
+def test_a_sequence_table_runs_from_its_config(spark, tmp_path):
+    """The watermark's kind follows from the column; a run date does not bound a sequence."""
+    import json as _json
+
+    from lakeloom import jobs
+
+    base = work_dir(spark, "cli_sequence")
+    cfg = tmp_path / "load.json"
+    cfg.write_text(_json.dumps({"sales": {"primary_keys": ["sales_key"], "update_timestamp_col": "sales_key", "partition_key": "row_number", "num_partition": 2}}))
+    args = ["run", "--tables", str(cfg), "--root", f"{base}/lake", "--parquet-dir", f"{base}/src"]
+    spark.range(1, 5).selectExpr("id AS sales_key", "id * 2 AS qty").write.parquet(f"{base}/src/sales")
+    assert jobs.main([*args, "--run-date", "20250102"]) == 0
+    spark.range(5, 8).selectExpr("id AS sales_key", "id * 2 AS qty").write.mode("append").parquet(f"{base}/src/sales")
+    assert jobs.main([*args, "--run-date", "20250103"]) == 0
+    (s,) = load_specs(_json.loads(cfg.read_text()))
+    layout = pipeline.Layout(f"{base}/lake")
+    assert sorted(r.sales_key for r in layout.current(spark, s).read().collect()) == list(range(1, 8))
+    assert layout.staging(spark, s).current().rows == 4  # the mark and what follows it
+
+
+def test_merge_job_needs_the_audit_log_of_point_in_time_tables(spark, tmp_path):
+    import json as _json
+
+    from lakeloom import jobs
+
+    base = work_dir(spark, "cli_pit")
+    cfg = tmp_path / "load.json"
+    cfg.write_text(_json.dumps({"dim_product": {"primary_keys": ["product_key"], "update_timestamp_col": "last_updt_col", "audit_seq_id": "audit_id", "point_in_time": True}}))
+    seed(spark).write.parquet(f"{base}/src/dim_product")
+    log = [(1, 1, "I", D(2025, 1, 1, 9)), (3, 2, "I", D(2025, 1, 1, 9)), (3, 3, "D", D(2025, 1, 1, 12))]
+    spark.createDataFrame(log, AUDIT).write.parquet(f"{base}/src/dim_product_audit")
+    common = ["--tables", str(cfg), "--root", f"{base}/lake", "--run-date", "20250102"]
+    assert jobs.main(["stage", *common, "--parquet-dir", f"{base}/src"]) == 0
+    with pytest.raises(SystemExit):
+        jobs.main(["merge", *common])
+    assert jobs.main(["merge", *common, "--parquet-dir", f"{base}/src"]) == 0
+    (s,) = load_specs(_json.loads(cfg.read_text()))
+    hist = pipeline.Layout(f"{base}/lake").history(spark, s).read().collect()
+    assert sorted((r.product_key, r.valid_to, r.is_current) for r in hist) == [(1, None, True), (3, D(2025, 1, 1, 12), False)]
+
+
+def test_config_as_written_for_the_loader():
+    schemas = {"product_schema": [["product_key", "INT", False], ["price", "DECIMAL(10,2)"]]}
+    cfg = {
+        "primary_keys": ["product_key"],
+        "staging_table": {"schema": "product_schema"},
+        "partition_key": "row_number",
+        "num_partition": 2,
+        "newer_than_guard": True,
+        "delete_op": "X",
+        "audit_op_col": "op",
+        "audit_time_col": "at",
+    }
+    (s,) = load_specs({"product": cfg}, schemas=schemas)
+    assert s.staging_schema.fieldNames() == ["product_key", "price"]
+    assert (s.newer_than_guard, s.delete_op, s.audit_op_col, s.audit_time_col) == (True, "X", "op", "at")
+    assert s.resolved(s.staging_schema).partition_col == "product_key"
+    with pytest.raises(ValueError):
+        load_specs({"product": cfg}, schemas={})
