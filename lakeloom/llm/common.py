@@ -16,13 +16,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write ``df`` to a fresh folder under the shared checkpoint folder and
-    read it back: cuts the lineage, survives lost executors, computes once."""
+    read it back: cuts the lineage, survives lost executors, computes once.
+    Also returns the folder."""
     spark = df.sparkSession
     path = work_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    return stored_at(df, name)[0]
 
 
 def text_or_empty(name: str = "text") -> Column:

@@ -6,21 +6,24 @@ components: copies of a set are one class, and no link between different sets
 is lost.
 
 1. Sets are hashed once; equal sets become one class.
-2. Sieve: of a set of n tokens at most ``e = n - ceil(percent * n / 100)`` may
-   be missing from a partner. In a fixed token order, the first e + k tokens
-   therefore hold k tokens in common with any partner that are also among the
-   partner's first ones. Sets with fewer tokens that any other set has among
-   its first ones have no partner and leave.
-3. For the rest, tokens are counted and ordered from rare to frequent and dealt to
+2. Of a set of n tokens at most ``e = n - ceil(percent * n / 100)`` may be
+   missing from a partner. So of the first e + k tokens in a fixed order (here:
+   by hash) at least k are shared with any partner, and the one of two partners
+   whose first tokens end first finds its k among the other's. From here on a
+   set is its first tokens, and partners have ``required`` of them in common:
+   k of the smallest set that could be a partner.
+3. First tokens are counted, ordered from rare to frequent and dealt to
    frequency classes: single rare tokens are indexed, of more frequent classes
    combinations of 2 and of 3 tokens. A class is split into sub-classes by
    hash, so that the combinations of a long document stay in proportion to its
    length. The prefix of a set is extended until, over all sub-classes,
-   ``max(0, tokens - (combination size - 1))`` adds up to e + 1. If no
-   combination of either prefix were shared, more than e tokens of the set
-   whose prefix ends first would be missing from the other: a contradiction,
-   so every linked pair shares an index entry. The number of sub-classes goes
-   by powers of two of the set size; sets near a boundary are indexed for both.
+   ``max(0, tokens - (combination size - 1))`` exceeds the number of first
+   tokens that may be missing. If no combination of two partners' prefixes were
+   shared, more than that would be missing from the one whose prefix ends
+   first: a contradiction, so every linked pair shares an index entry. Tokens
+   that no other set has come first and need no entry; a set with too many of
+   them has no partner at all. The number of sub-classes goes by powers of two
+   of the set size; sets near a boundary are indexed for both.
 4. Entries connect sets to candidate clusters. Within a cluster every set is
    compared with one hub (the set with fewest unshared tokens). Sets linked to
    the hub need no comparison among themselves; all other pairs are verified
@@ -53,13 +56,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.llm.common import stored
+from lakeloom.llm.common import stored, stored_at
 from lakeloom.llm.components import connected_components
+from lakeloom.plans.workspace import delete_path
 
 #: Tokens in at most so many sets are indexed singly, then by twos; all others by threes.
 SINGLES, TWOS = 16, 512
-#: Tokens of a set for each sub-class.
-SUBCLASS = 40
+#: Further first tokens, for each token that may be missing.
+MARGIN = 1
 #: Most sets, and about most tokens, in a block.
 BLOCK_SETS, BLOCK_TOKENS = 256, 500_000
 
@@ -104,19 +108,20 @@ def allowed(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100
 
 
-def _sieve(n: int, percent: int) -> int:
-    return 1 + allowed(n, percent) // 4
+def margin(n: int, percent: int) -> int:
+    """k: how many of its first tokens a set of ``n`` shares with any partner, at least."""
+    e = allowed(n, percent)
+    return min(1 + MARGIN * e, n - e)
 
 
-def _required(n: Column, percent: int) -> Column:
-    """Shared first tokens that any set of ``n`` with a partner has: those owed by its smallest possible partner."""
-    least = F.floor((n * percent + 99) / 100)
-    return 1 + F.floor((least - F.floor((least * percent + 99) / 100)) / 4)
+def required(n: int, percent: int) -> int:
+    """First tokens that partners have in common, whichever of them ends first."""
+    return margin((percent * n + 99) // 100, percent)
 
 
 def signatures(n: int, df: np.ndarray, tokens: np.ndarray, percent: int) -> set[int]:
-    """Index entries of a set of ``n`` tokens, of which ``tokens`` are shared with other sets (by ``df`` sets each)."""
-    need = allowed(n, percent) + 1 - (n - len(tokens))  # tokens of one set only come first
+    """Index entries of a set of ``n`` tokens; ``tokens`` are its first tokens that other sets have too (``df`` sets each)."""
+    need = len(tokens) - required(n, percent) + 1  # first tokens of this set alone come before these
     if need <= 0:
         return set()
     order = np.lexsort((tokens, df))
@@ -124,11 +129,12 @@ def signatures(n: int, df: np.ndarray, tokens: np.ndarray, percent: int) -> set[
     least, most = (percent * n + 99) // 100, 100 * n // percent
     out: set[int] = set()
     for level in range(max(1, least).bit_length() - 1, max(1, most).bit_length()):
-        groups = max(1, (1 << level) // SUBCLASS)
+        # Three tokens a sub-class at most do not count; there must be enough others. With no sub-class all are single.
+        groups = required(1 << level, percent) // 4
         held: dict[tuple[int, int], list[int]] = {}
         left = need
         for t, f in zip(tokens, df):
-            size = 1 if f <= SINGLES else 2 if f <= TWOS else 3
+            size = 1 if f <= SINGLES or not groups else 2 if f <= TWOS else 3
             group = held.setdefault((size, (t >> 20) % groups if size > 1 else 0), [])
             group.append(t)
             left -= len(group) >= size
@@ -199,60 +205,59 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def _set_scan(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """``doc_id, n, digest, first``: size, digest and first tokens of every document's set."""
-    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("digest", T.BinaryType()), T.StructField("first", T.ArrayType(T.LongType()))])
+    """``doc_id, h1, h2, n, digest, first``: text hashes, size, digest and first tokens of every document's set."""
+    schema = T.StructType(
+        [*(T.StructField(n, T.LongType()) for n in ("doc_id", "h1", "h2", "n")), T.StructField("digest", T.BinaryType()), T.StructField("first", T.ArrayType(T.LongType()))]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, digests, first = [], [], []
-            for text in b.column(1).to_pylist():
+            for text in b.column(3).to_pylist():
                 s = shingles(text, shingle)
                 n.append(len(s))
                 digests.append(xxhash.xxh3_128_digest(s.tobytes()))
-                first.append(_long(s[: allowed(len(s), percent) + _sieve(len(s), percent)]))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), _lists(first)], names=schema.names)
+                first.append(_long(s[: allowed(len(s), percent) + margin(len(s), percent)]))
+            columns = [pa.array(n, pa.int64()), pa.array(digests, pa.binary()), _lists(first)]
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(3)), *columns], names=schema.names)
 
     return docs.mapInArrow(run, schema)
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """``rep, n, tokens`` of the classes in ``wanted`` (``rep, any_doc, digest``)."""
+    """``rep, n, tokens`` of the classes in ``wanted`` (``rep, h1, h2``)."""
     schema = T.StructType([T.StructField("rep", T.LongType()), T.StructField("n", T.LongType()), T.StructField("tokens", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            reps, sets = [], []
-            for rep, digest, text in zip(*(b.column(i).to_pylist() for i in range(3))):
-                s = shingles(text, shingle)
-                if xxhash.xxh3_128_digest(s.tobytes()) == digest:  # else another row with this id
-                    reps.append(rep)
-                    sets.append(_long(s))
-            yield pa.RecordBatch.from_arrays([pa.array(reps, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), _lists(sets)], names=schema.names)
+            sets = [_long(shingles(text, shingle)) for text in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sets], pa.int64()), _lists(sets)], names=schema.names)
 
-    rows = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["any_doc"])).select("rep", "digest", "text")
-    return rows.mapInArrow(run, schema).dropDuplicates(["rep"])
+    # Equal texts are combined before they are shuffled.
+    texts = docs.groupBy("h1", "h2").agg(F.first("text").alias("text"))
+    return texts.join(wanted, ["h1", "h2"]).select("rep", "text").mapInArrow(run, schema)
 
 
-def _index(sets: DataFrame, percent: int) -> DataFrame:
-    """``rep, unshared, entries``: index entries of each set that may have a partner."""
-    tokens = sets.select("rep", "n", F.explode("tokens").alias("token"))
-    shared = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    held = tokens.join(shared, "token").groupBy("rep", "n").agg(F.collect_list(F.struct("df", "token")).alias("shared"))
-    held = held.where(F.col("n") - F.size("shared") <= F.col("n") - F.floor((F.col("n") * percent + 99) / 100))
+def _index(first: DataFrame, percent: int) -> DataFrame:
+    """``rep, unshared, entries`` from ``rep, n, token``: index entries of each set that may have a partner."""
+    shared = first.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    held = first.join(shared, "token").groupBy("rep").agg(F.first("n").alias("n"), F.collect_list(F.struct("df", "token")).alias("shared"))
     schema = T.StructType([T.StructField("rep", T.LongType()), T.StructField("unshared", T.LongType()), T.StructField("entries", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            entries = []
+            rows: tuple[list, list, list] = ([], [], [])
             lists = b.column(2)
             bounds = lists.offsets.to_numpy()
             df, tok = (lists.values.field(i).to_numpy() for i in range(2))
-            n = b.column(1).to_numpy()
-            for i in range(len(n)):
+            for i, (rep, n) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
                 lo, hi = bounds[i], bounds[i + 1]
-                found = signatures(int(n[i]), df[lo:hi], tok[lo:hi].view(np.uint64), percent)
-                entries.append(_long(np.array(sorted(found), np.uint64)))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n - np.diff(bounds), pa.int64()), _lists(entries)], names=schema.names)
+                found = signatures(n, df[lo:hi], tok[lo:hi].view(np.uint64), percent)
+                if found:
+                    rows[0].append(rep)
+                    rows[1].append(allowed(n, percent) + margin(n, percent) - (hi - lo))
+                    rows[2].append(_long(np.array(sorted(found), np.uint64)))
+            yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), _lists(rows[2])], names=schema.names)
 
     return held.mapInArrow(run, schema)
 
@@ -305,29 +310,25 @@ def _verified_links(sets: DataFrame, index: DataFrame, clusters: DataFrame, perc
 
 def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs``."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    scan = stored(_set_scan(docs, shingle, percent).withColumn("row", F.monotonically_increasing_id()), "ngram-scan")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2"), text.alias("text"))
+    full, full_path = stored_at(_set_scan(docs, shingle, percent).withColumn("row", F.monotonically_increasing_id()), "ngram-first")
+    scan = stored(full.drop("first"), "ngram-scan")
 
     # Classes of equal sets.
-    classes = scan.where("n > 0").groupBy("digest").agg(
-        F.min("row").alias("rep"), F.min("doc_id").alias("least_doc"), F.first("doc_id").alias("any_doc"), F.first("n").alias("n"), F.first("first").alias("first")
-    )
-    classes = stored(classes, "ngram-classes")
-
-    # Sieve by the first tokens.
-    first = classes.select("rep", "n", F.explode("first").alias("token"))
-    repeated = first.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
-    passed = first.join(repeated, "token").groupBy("rep", "n").agg(F.count("*").alias("c")).where(F.col("c") >= _required(F.col("n"), percent)).select("rep")
-    wanted = classes.select("rep", "any_doc", "digest").join(passed, "rep")
+    classes = scan.where("n > 0").groupBy("digest").agg(F.min("row").alias("rep"), F.min("doc_id").alias("least_doc"), F.first(F.struct("h1", "h2")).alias("any"))
+    classes = stored(classes.select("digest", "rep", "least_doc", "any.*"), "ngram-classes")
 
-    sets = stored(_sets(docs, wanted, shingle), "ngram-sets")
-    index = stored(_index(sets, percent), "ngram-index")
+    first = full.where("n > 0").groupBy("digest").agg(F.min("row").alias("rep"), F.first("n").alias("n"), F.first("first").alias("first"))
+    index = stored(_index(first.select("rep", "n", F.explode("first").alias("token")), percent), "ngram-index")
+    delete_path(docs.sparkSession, full_path)
     entries = index.select("rep", F.explode("entries").alias("entry"))
     least = entries.groupBy("entry").agg(F.min("rep").alias("least"), F.count("*").alias("c")).where("c > 1").select("entry", "least")
     near = entries.join(least, "entry").where("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b"))
-    clusters = connected_components(near).select(F.col("node").alias("rep"), F.col("root").alias("cluster"))
+    clusters = stored(connected_components(near).select(F.col("node").alias("rep"), F.col("root").alias("cluster")), "ngram-clusters")
 
-    links = _verified_links(sets, index, stored(clusters, "ngram-clusters"), percent)
+    sets = _sets(docs, classes.join(clusters, "rep").select("rep", "h1", "h2"), shingle)
+    links = _verified_links(sets, index, clusters, percent)
     roots = stored(connected_components(links), "ngram-roots")
     of_class = classes.join(roots, classes["rep"] == roots["node"]).select("digest", "root", "least_doc")
     smallest = of_class.groupBy("root").agg(F.min("least_doc").alias("component_id"))
