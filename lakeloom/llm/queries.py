@@ -102,4 +102,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_bpe_automaton": op10_bpe_automaton,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_SPECIAL = r"[\\#<:]"
+ORACLE_SQL: dict[str, str] = {
+    "op3_stream_dedup": (
+        r"WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents) "
+        "SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size, "
+        "doc_id = min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256 FROM n"
+    ),
+    "op6_chat_format": (
+        "WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations "
+        rf"UNION ALL VALUES (-7, 0, 'user', '{HOSTILE_TURN}'), (-7, 1, 'assistant', '{HOSTILE_TURN}')), "
+        "e AS (SELECT *, 14 + 2 * (length(role) + length(text)) "
+        f"- length(regexp_replace(role, '{_SPECIAL}', '', 'g')) - length(regexp_replace(text, '{_SPECIAL}', '', 'g')) "
+        "AS written FROM c), "
+        "s AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said, "
+        "coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss, "
+        "CAST(sum(written) AS BIGINT) AS formatted_chars FROM e GROUP BY conv_id) "
+        "SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, "
+        "formatted_chars, CAST(0 AS BIGINT) AS n_rewrites FROM s"
+    ),
+}
