@@ -275,7 +275,9 @@ class Layout:
         return SnapshotTable(spark, path, spec.keys if bucketed else None, self.buckets, bucket_width=self.bucket_width)
 
     def history(self, spark, spec: TableSpec) -> SnapshotTable:
-        return SnapshotTable(spark, spec.point_in_time_path or f"{self.root}/point_in_time/{spec.name}")
+        path = spec.point_in_time_path or f"{self.root}/point_in_time/{spec.name}"
+        bucketed = self.buckets or self.bucket_width
+        return SnapshotTable(spark, path, spec.keys if bucketed else None, self.buckets, bucket_width=self.bucket_width)
 
     def control(self, spark) -> ControlTable:
         return ControlTable(spark, f"{self.root}/_control")
@@ -366,13 +368,38 @@ def run_tables(
     return {name: (staged[name], *merged[name]) for name in merged}
 
 
-def build_history(spec: TableSpec, audit: DataFrame, table: SnapshotTable):
-    """Point-in-time layer: validity intervals per key from the whole audit
-    log (SCD2, ordered by the audit sequence), written as a new version."""
-    cols = [c for c in audit.columns if c not in spec.keys and c != spec.audit_seq_col]
-    hist = scd2(audit, spec.keys, spec.audit_seq_col, spec.audit_time_col, cols=cols, op_col=spec.audit_op_col, delete_op=spec.delete_op)
-    commit, _ = table.write(hist, operation="history")
-    return commit
+def build_history(spec: TableSpec, audit: DataFrame, table: SnapshotTable) -> Commit | None:
+    """Point-in-time layer: validity intervals per key from the audit log
+    (SCD2, ordered by the audit sequence). A version records the last sequence
+    it holds; the next build reads only later entries, ends the open intervals
+    of their keys and adds theirs. Of a bucketed layer only the buckets of
+    these keys are read and rewritten."""
+    seq, time, keys = spec.audit_seq_col, spec.audit_time_col, list(spec.keys)
+    before = table.current()
+    held = before.source_version if before is not None else None
+    new = audit if held is None else audit.where(F.col(seq) > F.lit(held))
+    last = new.agg(F.max(seq)).first()[0]
+    if last is None and before is not None:
+        return before
+    cols = [c for c in audit.columns if c not in keys and c != seq]
+    rows = scd2(new, keys, seq, time, cols=cols, op_col=spec.audit_op_col, delete_op=spec.delete_op)
+    touched = None
+    if held is not None:
+        if table.bucketed and table.same_layout(before):
+            touched = table.touched_buckets(new)
+        ends = new.groupBy(*[F.col(k).alias(f"_new_{k}") for k in keys]).agg(F.min_by(time, seq).alias("_end"))
+        same = reduce(lambda x, y: x & y, (F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys))
+        stored = table.read(buckets=touched)
+        joined = stored.join(ends, same, "left")
+        closed = F.col("is_current") & F.col("_end").isNotNull()
+        old = joined.select(
+            *[c for c in stored.columns if c not in ("valid_to", "is_current")],
+            F.when(closed, F.col("_end")).otherwise(F.col("valid_to")).alias("valid_to"),
+            (F.col("is_current") & F.col("_end").isNull()).alias("is_current"),
+        )
+        rows = old.unionByName(rows)
+    commit, _ = table.stage_write(rows, operation="history", replace_buckets=touched, source_version=last)
+    return table.publish(commit)
 
 
 def foreign_key_report(spec: TableSpec, current: SnapshotTable, loaded: dict) -> dict:

@@ -521,3 +521,19 @@ def test_config_as_written_for_the_loader():
     assert s.resolved(s.staging_schema).partition_col == "product_key"
     with pytest.raises(ValueError):
         load_specs({"product": cfg}, schemas={})
+
+
+@pytest.mark.parametrize("buckets", [0, 4])
+def test_history_grows_by_new_entries(spark, buckets):
+    base = work_dir(spark, "pit_grows")
+    log = [(1, 1, "I", 1), (2, 2, "I", 2), (1, 3, "U", 3), (2, 4, "D", 4), (3, 5, "I", 5), (None, 6, "I", 6), (1, 7, "D", 7), (2, 8, "I", 8), (None, 9, "U", 9), (4, 10, "I", 10)]
+    audit = spark.createDataFrame([(k, i, op, D(2025, 1, d)) for k, i, op, d in log], AUDIT)
+    s = spec(point_in_time=True)
+    grown = SnapshotTable(spark, f"{base}/grown", s.keys if buckets else None, buckets)
+    for upto in (3, 4, 4, 7, 10):
+        pipeline.build_history(s, audit.where(F.col("audit_id") <= upto), grown)
+    whole = SnapshotTable(spark, f"{base}/whole")
+    pipeline.build_history(s, audit, whole)
+    cols = sorted(whole.read().columns)
+    assert sorted(map(str, grown.read().select(cols).collect())) == sorted(map(str, whole.read().select(cols).collect()))
+    assert grown.current().version == 3  # a build without new entries writes nothing
