@@ -305,6 +305,8 @@ def _verified_links(sets: DataFrame, index: DataFrame, clusters: DataFrame, perc
         rep = pdf["rep"].to_numpy()
         return pd.DataFrame({"a": [int(rep[i]) for i, _ in links], "b": [int(rep[j]) for _, j in links]}, dtype="int64")
 
+    # Dealt anew: rows that still lie by cluster would leave all blocks of a large one to one task.
+    dealt = dealt.repartition("cluster", "one", "two")
     return star.unionByName(dealt.groupBy("cluster", "one", "two").applyInPandas(verify, "a long, b long"))
 
 
