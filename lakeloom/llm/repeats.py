@@ -48,9 +48,9 @@ from lakeloom.llm.common import stored
 from lakeloom.llm.suffixes import common_prefixes, suffix_array
 
 #: Bytes hashed together, and bytes of a suffix array (at least one anchor's contexts).
-PIECE, SHARD = 4_000_000, 2_000_000
+PIECE, SHARD = 4_000_000, 500_000
 #: Different contexts that an anchor may have in a shard.
-HOT = 50_000
+HOT = 20_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Places within a piece; a piece has fewer than 2**24 bytes.

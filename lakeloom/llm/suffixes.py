@@ -38,7 +38,7 @@ def _induce(s: np.ndarray, smaller: np.ndarray, lms: np.ndarray, first: np.ndarr
     """Order of all suffixes from ordered leftmost-smaller ones. Each bucket is
     scanned in waves: what a wave places in its own bucket is the next wave."""
     n, sizes = len(s), last - first
-    array = np.full(n, -1, np.int64)
+    array = np.full(n, -1, np.int32)
     small = s.astype(np.uint8) if len(first) <= 256 else s.astype(np.uint16)
 
     # Larger suffixes, from the left.
@@ -79,8 +79,8 @@ def _induce(s: np.ndarray, smaller: np.ndarray, lms: np.ndarray, first: np.ndarr
 def _doubled(s: np.ndarray) -> np.ndarray:
     """Suffix order by doubling ranks, of whatever is not told apart yet."""
     n = len(s)
-    order = np.argsort(s, kind="stable")
-    ranks = np.empty(n, np.int64)
+    order = np.argsort(s, kind="stable").astype(np.int32)
+    ranks = np.empty(n, np.int32)
     starts = np.concatenate([[True], s[order[1:]] != s[order[:-1]]])
     ranks[order] = np.nonzero(starts)[0][np.cumsum(starts) - 1]
     width = 1
@@ -103,7 +103,7 @@ def _doubled(s: np.ndarray) -> np.ndarray:
 def _names(s: np.ndarray, lms_sorted: np.ndarray, lms: np.ndarray) -> np.ndarray:
     """Names, in text order, of the substrings from one leftmost-smaller place to the next."""
     n = len(s)
-    length = np.zeros(n, np.int64)
+    length = np.zeros(n, np.int32)
     length[lms[:-1]] = np.diff(lms) + 1
     length[lms[-1]] = 1
     size = length[lms_sorted]
@@ -119,7 +119,7 @@ def _names(s: np.ndarray, lms_sorted: np.ndarray, lms: np.ndarray) -> np.ndarray
             ended = size[live] == step
             new[live[ended]] = False
             live = live[~ended]
-    name = np.empty(n, np.int64)
+    name = np.empty(n, np.int32)
     name[lms_sorted] = np.cumsum(new) - 1
     return name[lms]
 
@@ -128,7 +128,7 @@ def _sort(s: np.ndarray, alphabet: int) -> np.ndarray:
     if alphabet > MAX_BUCKETS or len(s) < 64:
         return _doubled(s)
     smaller = _types(s)
-    lms = np.nonzero(smaller[1:] & ~smaller[:-1])[0] + 1
+    lms = (np.nonzero(smaller[1:] & ~smaller[:-1])[0] + 1).astype(np.int32)
     last = np.cumsum(np.bincount(s, minlength=alphabet))
     first = np.concatenate([[0], last[:-1]])
     # Sort leftmost-smaller substrings: any order within a bucket will do to begin with.
@@ -141,7 +141,7 @@ def _sort(s: np.ndarray, alphabet: int) -> np.ndarray:
     if count < len(lms):
         order = _sort(names, count)
     else:
-        order = np.empty(len(lms), np.int64)
+        order = np.empty(len(lms), np.int32)
         order[names] = np.arange(len(lms))
     return _induce(s, smaller, lms[order], first, last)
 
@@ -150,7 +150,9 @@ def suffix_array(data: np.ndarray) -> np.ndarray:
     """Order of the suffixes of ``data`` (bytes). A suffix that is a prefix of another comes first."""
     if not len(data):
         return np.zeros(0, np.int64)
-    s = np.concatenate([data.astype(np.int64) + 1, [0]])
+    if len(data) >= 1 << 31:
+        raise ValueError("a shard has fewer than 2**31 bytes")
+    s = np.append(data.astype(np.int32) + 1, np.int32(0))
     return _sort(s, 257)[1:]
 
 
@@ -163,7 +165,7 @@ def common_prefixes(data: np.ndarray, array: np.ndarray, most: int) -> np.ndarra
         return out
     padded = np.concatenate([data, np.zeros(most + 16, np.uint8)])
     words = np.lib.stride_tricks.as_strided(padded, (n + most + 8, 8), (1, 1)).copy().view("<u8").ravel()
-    before = np.empty(n, np.int64)
+    before = np.empty(n, np.int32)
     before[array[1:]] = array[:-1]
     before[array[0]] = -1
     live = np.nonzero(before >= 0)[0]
