@@ -262,7 +262,8 @@ def repeated_ranges(docs: DataFrame, length: int = 200, gram: int = 32, hot: int
     scan = stored(_scan(docs, length, gram).withColumn("rid", F.monotonically_increasing_id()), "repeats-scan")
     runs = F.explode(F.arrays_zip("anchors", "digests", "places")).alias("run")
     anchors = scan.select(F.explode("anchors").alias("anchor"))
-    often = anchors.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor")
+    # Stored, so that both sides of the join are shuffled for it and Spark can split a hot anchor.
+    often = stored(anchors.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor"), "repeats-often")
     all_runs = scan.select("rid", runs).select("rid", F.col("run.anchors").alias("anchor"), F.col("run.digests").alias("digest"), F.col("run.places").alias("place"))
     found = stored(all_runs.join(often, "anchor"), "repeats-anchors")
 
