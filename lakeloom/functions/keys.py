@@ -8,11 +8,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def prefixed(df, columns, prefix: str):
-    """Project ``columns`` renamed to ``prefix + name`` (avoids ambiguous self-join names)."""
-    return [F.col(c).alias(prefix + c) for c in columns]
-
-
 def key_match(keys, left: str, right: str) -> Column:
     """Equality on every key column, AND-ed (NULL keys never match, as in SQL MERGE)."""
     return reduce(lambda a, b: a & b, [F.col(left + k) == F.col(right + k) for k in keys])
@@ -27,13 +22,3 @@ def changed(columns, left: str, right: str) -> Column:
 
 def any_null(columns) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
-
-
-def merge_columns(table_columns, keys, exclude=("is_deleted", "row_number")):
-    """Split a staged table's columns into (all merge columns, non-key columns).
-
-    Bookkeeping columns (the delete flag and the staging row number) take part
-    in neither the insert map nor the change predicate.
-    """
-    cols = [c for c in table_columns if c not in exclude]
-    return cols, [c for c in cols if c not in keys]

@@ -96,19 +96,6 @@ def orphans(
     return live.join(missing, fk_cols, "left_semi")
 
 
-def require_unique_keys(df: DataFrame, keys, what: str = "batch", sample: int = 5) -> None:
-    dups = duplicate_keys(df, keys).limit(sample).collect()
-    if dups:
-        raise CheckFailed(f"{what}: duplicate keys, e.g. {[tuple(r) for r in dups]}")
-
-
-def require_not_null(df: DataFrame, columns, what: str = "batch") -> None:
-    row = null_counts(df, columns).first()
-    bad = {k: v for k, v in row.asDict().items() if v}
-    if bad:
-        raise CheckFailed(f"{what}: NULLs in {bad}")
-
-
 def require_keys_valid(df: DataFrame, keys, what: str = "batch", sample: int = 5) -> None:
     """NULL keys and duplicate keys in one aggregation (NULL keys group together)."""
     keys = list(keys)

@@ -33,10 +33,9 @@ batch keys are unique and not NULL; target keys are unique.
 
 from __future__ import annotations
 
-import uuid
 import warnings
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.functions.keys import changed, key_match
@@ -188,18 +187,8 @@ def merge(target: DataFrame, source: DataFrame, keys, mode: str = "incremental",
     return merged_rows(merge_actions(target, source, keys, mode, **kw))
 
 
-def observe_actions(actions: DataFrame, name: str = "merge"):
-    """Attach per-action counters that fill in when the frame is written.
-
-    Returns ``(observed_frame, observation)``; read ``observation.get`` after
-    the write. Counting rides on the write, so no extra pass is made.
-    """
-    obs = Observation(f"{name}_{uuid.uuid4().hex[:8]}")  # unique per use
-    return actions.observe(obs, *action_metrics()), obs
-
-
 def action_metrics():
-    """One count per merge action (the aggregates ``observe_actions`` attaches)."""
+    """One count per merge action (observed on the write)."""
     return [F.count(F.when(F.col(ACTION) == a, 1)).alias(a) for a in ACTIONS]
 
 

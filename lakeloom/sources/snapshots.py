@@ -238,15 +238,6 @@ class SnapshotTable:
             return empty_frame(self.spark, schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
-    def read_or_empty(self, schema: T.StructType, version: int | None = None) -> DataFrame:
-        if not self.exists():
-            return empty_frame(self.spark, schema)
-        return self.read(version)
-
-    def bucket_rows(self, version: int | None = None) -> dict:
-        c = self.current() if version is None else self.commit(version)
-        return {int(b): v[1] for b, v in (c.manifest or {}).items()}
-
     # --- write -----------------------------------------------------------
     def write(self, df: DataFrame, operation: str = "write", observe: list | None = None, replace_buckets=None):
         """Write ``df`` as a new version and publish it. Returns ``(Commit, metrics)``.
@@ -376,4 +367,3 @@ class SnapshotTable:
         if c.manifest is not None:
             return sum(v[1] for v in c.manifest.values())
         return self.read_commit(c).count()
-
