@@ -36,7 +36,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.llm.common import stored
+from lakeloom.llm.common import kept, scratch, stored, stored_at
+from lakeloom.plans.workspace import delete_path
 
 _EDGES = T.StructType([T.StructField("src", T.LongType()), T.StructField("dst", T.LongType()), T.StructField("sim", T.FloatType())])
 
@@ -149,17 +150,19 @@ def _local_join(graph: DataFrame, nodes: DataFrame, degree: int, reverse: int, s
     return gathered.mapInArrow(compare, _EDGES)
 
 
-def neighbour_graph(nodes: DataFrame, degree: int = 20, trees: int = 4, reverse: int = 10, rounds: int = 5, settled: float = 0.02, seed: int = 5) -> DataFrame:
+def neighbour_graph(nodes: DataFrame, degree: int = 30, trees: int = 4, reverse: int = 14, rounds: int = 6, settled: float = 0.02, seed: int = 5) -> DataFrame:
     """``src, dst, sim``: about the ``degree`` nearest nodes of every node."""
     first = nodes.select(F.size("unit").alias("d")).head()
     dims = first["d"] if first else 1
     blocks = reduce(DataFrame.unionByName, [_block_edges(nodes, dims, degree, seed + t) for t in range(trees)])
-    graph = stored(_best(blocks.withColumn("new", F.lit(True)), degree), "ann-graph")
+    graph, path = stored_at(_best(blocks.withColumn("new", F.lit(True)), degree), "ann-graph")
     size = graph.count()
     for r in range(rounds):
         found = _local_join(graph, nodes, degree, reverse, seed + r).withColumn("new", F.lit(True))
         known = graph.select("src", "dst", "sim", F.lit(False).alias("new"))
-        graph = stored(_best(known.unionByName(found), degree), "ann-graph")
+        last = path
+        graph, path = stored_at(_best(known.unionByName(found), degree), "ann-graph")
+        delete_path(nodes.sparkSession, last)
         if graph.where("new").count() <= settled * size:
             break
     return graph.select("src", "dst", "sim")
@@ -182,7 +185,7 @@ def _compared(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, _MET)
 
 
-def greedy_search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, pool: int = 96, beam: int = 24, reverse: int = 20, seed: int = 5, most_steps: int = 40) -> DataFrame:
+def greedy_search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, pool: int = 320, beam: int = 40, reverse: int = 30, seed: int = 5, most_steps: int = 40) -> DataFrame:
     """``query, node, sim``: the best ``pool`` nodes that each query node (column ``query``) meets."""
     nth = F.row_number().over(Window.partitionBy("dst").orderBy(F.desc("sim"), "src"))
     back = graph.withColumn("nth", nth).where(F.col("nth") <= reverse).select(F.col("dst").alias("at"), F.col("src").alias("node"))
@@ -190,24 +193,34 @@ def greedy_search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, pool:
     ways = stored(ways.groupBy("at").agg(F.collect_list("node").alias("to")), "ann-ways")
     best = Window.partitionBy("query").orderBy(F.desc("sim"), "node")
     # Every pair met, with whether it was expanded.
-    met = stored(queries.select("query", F.col("query").alias("node"), F.lit(1.0).cast("float").alias("sim"), F.lit(False).alias("expanded")), "ann-met")
+    met, path = stored_at(queries.select("query", F.col("query").alias("node"), F.lit(1.0).cast("float").alias("sim"), F.lit(False).alias("expanded")), "ann-met")
     for _ in range(most_steps):
         ranked = met.withColumn("nth", F.row_number().over(best))
         waiting = F.row_number().over(Window.partitionBy("query", "expanded").orderBy("nth"))
         ranked = ranked.withColumn("now", (F.col("nth") <= pool) & ~F.col("expanded") & (waiting <= beam))
-        ranked = stored(ranked.select("query", "node", "sim", (F.col("expanded") | F.col("now")).alias("expanded"), "now"), "ann-step")
+        last = path
+        ranked, path = stored_at(ranked.select("query", "node", "sim", (F.col("expanded") | F.col("now")).alias("expanded"), "now"), "ann-step")
+        delete_path(nodes.sparkSession, last)
+        met = ranked.drop("now")
         front = ranked.where("now").select("query", F.col("node").alias("at"))
         if not front.head(1):
             break
         reached = front.join(ways, "at").select("query", F.explode("to").alias("node")).distinct()
         reached = reached.join(ranked.select("query", "node"), ["query", "node"], "left_anti")
         new = _compared(reached, nodes).withColumn("expanded", F.lit(False))
-        met = stored(ranked.select("query", "node", "sim", "expanded").unionByName(new), "ann-met")
+        last = path
+        met, path = stored_at(met.unionByName(new), "ann-met")
+        delete_path(nodes.sparkSession, last)
     return met.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= pool).select("query", "node", "sim")
 
 
-def nearest(table: DataFrame, is_query, k: int = 5, degree: int = 20, pool: int = 96, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def nearest(table: DataFrame, is_query, k: int = 5, degree: int = 30, pool: int = 320, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest rows found of every row for which ``is_query`` (an expression over ``vec_id``) holds."""
+    with scratch(table.sparkSession):
+        return kept(_nearest(table, is_query, k, degree, pool, id_col, vector_col), "ann-result")
+
+
+def _nearest(table: DataFrame, is_query, k: int, degree: int, pool: int, id_col: str, vector_col: str) -> DataFrame:
     rows = stored(usable(table, id_col, vector_col), "ann-rows")
     nodes = stored(nodes_of(rows, k + 1), "ann-nodes")
     graph = neighbour_graph(nodes, degree)

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Characters encoded together; every distinct word among them is encoded once.
-RUN_CHARS = 8_000_000
+RUN_CHARS = 3_000_000
 
 #: The byte-level pre-tokenizer's pattern (fixed value of the format).
 BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""

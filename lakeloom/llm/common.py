@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.plans.workspace import work_dir
+from lakeloom.plans.workspace import delete_path, work_dir
 
 #: Single white-space characters that separate words (fixed by the contracts).
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -16,12 +18,55 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Folders made so far in each open scope, innermost last (driver only).
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def collecting(paths: list[str]):
+    """Folders made inside are added to ``paths``, whose owner deletes them."""
+    _SCOPES.append(paths)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(paths)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Folders made inside are deleted at the end, but for those of :func:`kept`."""
+    paths: list[str] = []
+    try:
+        with collecting(paths):
+            yield
+    finally:
+        for p in paths:
+            delete_path(spark, p)
+
+
+def folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder."""
+    path = work_dir(spark, name)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` stored so that it outlives the innermost :func:`scratch`."""
+    inner = _SCOPES.pop()
+    try:
+        return stored(df, name)
+    finally:
+        _SCOPES.append(inner)
+
+
 def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write ``df`` to a fresh folder under the shared checkpoint folder and
     read it back: cuts the lineage, survives lost executors, computes once.
     Also returns the folder."""
     spark = df.sparkSession
-    path = work_dir(spark, name)
+    path = folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 

@@ -56,14 +56,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.llm.common import stored, stored_at
+from lakeloom.llm.common import kept, scratch, stored, stored_at
 from lakeloom.llm.components import connected_components
 from lakeloom.plans.workspace import delete_path
 
 #: Tokens in at most so many sets are indexed singly, then by twos; all others by threes.
 SINGLES, TWOS = 16, 512
-#: Further first tokens, for each token that may be missing.
-MARGIN = 1
+#: Further first tokens: as many as may be missing, but no more than this share of a set.
+MARGIN = 0.1
 #: Most sets, and about most tokens, in a block.
 BLOCK_SETS, BLOCK_TOKENS = 256, 500_000
 
@@ -72,7 +72,7 @@ _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         found = self[word] = xxhash.xxh3_64_intdigest(word)
         return found
@@ -111,7 +111,7 @@ def allowed(n: int, percent: int) -> int:
 def margin(n: int, percent: int) -> int:
     """k: how many of its first tokens a set of ``n`` shares with any partner, at least."""
     e = allowed(n, percent)
-    return min(1 + MARGIN * e, n - e)
+    return min(1 + min(e, int(MARGIN * n)), n - e)
 
 
 def required(n: int, percent: int) -> int:
@@ -312,6 +312,11 @@ def _verified_links(sets: DataFrame, index: DataFrame, clusters: DataFrame, perc
 
 def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs``."""
+    with scratch(docs.sparkSession):
+        return kept(_components(docs, shingle, percent, id_col, text_col), "ngram-result")
+
+
+def _components(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2"), text.alias("text"))
     full, full_path = stored_at(_set_scan(docs, shingle, percent).withColumn("row", F.monotonically_increasing_id()), "ngram-first")

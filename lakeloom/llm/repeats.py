@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.llm.common import stored
+from lakeloom.llm.common import kept, scratch, stored
 from lakeloom.llm.suffixes import common_prefixes, suffix_array
 
 #: Bytes hashed together, and bytes of a suffix array (at least one anchor's contexts).
@@ -299,7 +299,8 @@ def remove_repeats(docs: DataFrame, length: int = 200, gram: int = 32, hot: int
         raise ValueError("length must be at least twice gram")
     text = F.coalesce(F.col(text_col), F.lit(""))
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    ranges = stored(repeated_ranges(docs, length, gram, hot, shard), "repeats-ranges")
+    with scratch(docs.sparkSession):
+        ranges = kept(repeated_ranges(docs, length, gram, hot, shard), "repeats-ranges")
     schema = _KEPT_DIGEST if digest else _KEPT
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -33,8 +33,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import SPACE_CLASS, stored
-from lakeloom.plans.workspace import work_dir
+from lakeloom.llm.common import SPACE_CLASS, folder, kept, scratch, stored
 
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -121,8 +120,14 @@ def deduplicate(
     with_locator: bool = False,
 ) -> DataFrame:
     """``doc_id, keep_id, group_size, kept, text_sha256`` (and ``file, row``) of every row of the Parquet table at ``path``."""
+    with scratch(spark):
+        found = _deduplicated(spark, path, state_dir or folder(spark, "dedup-state"), digest, files_per_trigger, id_col, text_col, with_locator)
+        return kept(found, "dedup-result")
+
+
+def _deduplicated(spark, path, state_dir, digest, files_per_trigger, id_col, text_col, with_locator) -> DataFrame:
     docs = spark.read.parquet(path)
-    state = update_state(spark, path, state_dir or work_dir(spark, "dedup-state"), digest, files_per_trigger, id_col, text_col)
+    state = update_state(spark, path, state_dir, digest, files_per_trigger, id_col, text_col)
     state = stored(state, "dedup-seen")
 
     hit = F.col("n") > 1
@@ -151,7 +156,7 @@ def deduplicate(
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, unchanged, that stay: of equal texts the row with the smallest id (of rows with equal id, one)."""
     spark = docs.sparkSession
-    path = work_dir(spark, "dedup-landing")
+    path = folder(spark, "dedup-landing")
     docs.write.parquet(path)
     landed = spark.read.schema(docs.schema).parquet(path)
     gone = deduplicate(spark, path, id_col=id_col, text_col=text_col, with_locator=True).where("NOT kept").select("file", "row")

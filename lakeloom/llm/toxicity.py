@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.llm.common import stored
+from lakeloom.llm.common import scratch, stored
 
 _TERM = re.compile(r"\w+")
 
@@ -54,21 +54,22 @@ def hashed_terms(text: str, bits: int) -> np.ndarray:
 @dataclass(frozen=True)
 class Model:
     bias: float
-    weights: np.ndarray  # (2**bits,)
-    factors: np.ndarray  # (2**bits, rank)
-    used: np.ndarray  # (2**bits,): places that are in the model
-    paired: np.ndarray  # (2**bits,): places that have factors
+    row: np.ndarray  # (2**bits,): the model's row of each place, 0 for places that are not in it
+    weights: np.ndarray  # (rows,)
+    factors: np.ndarray  # (rows, rank)
+    paired: np.ndarray  # (rows,): whether the row has factors
 
     @property
     def bits(self) -> int:
-        return len(self.weights).bit_length() - 1
+        return len(self.row).bit_length() - 1
 
     def scores(self, docs: list[np.ndarray]) -> np.ndarray:
         """Probability of the label for each document's places."""
         return _sigmoid(self.bias + _forward(self.weights, self.factors, *_flat(self.known(docs), self.paired))[0])
 
     def known(self, docs: list[np.ndarray]) -> list[np.ndarray]:
-        return [d[self.used[d]] for d in docs]
+        """The documents' rows of the model."""
+        return [r[r > 0] for r in (self.row[d] for d in docs)]
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
@@ -103,10 +104,11 @@ def initial_model(with_label: np.ndarray, without: np.ndarray, n_with: int, n_wi
     used = with_label + without >= max(3, least_share * n)
     odds = np.log((with_label + 0.5) / (n_with - with_label + 0.5)) - np.log((without + 0.5) / (n_without - without + 0.5))
     error = np.sqrt(1 / (with_label + 0.5) + 1 / (n_with - with_label + 0.5) + 1 / (without + 0.5) + 1 / (n_without - without + 0.5))
-    weights = np.where(used, np.sign(odds) * np.maximum(0, np.abs(odds) - caution * error), 0)
+    row = np.where(used, np.cumsum(used), 0).astype(np.int32)
+    weights = np.append(0, (np.sign(odds) * np.maximum(0, np.abs(odds) - caution * error))[used])
     paired = weights != 0
-    factors = np.random.default_rng(seed).standard_normal((len(used), rank)) * 0.1 * paired[:, None]
-    return Model(float(np.log((n_with + 0.5) / (n_without + 0.5))), weights.astype(np.float32), factors.astype(np.float32), used, paired)
+    factors = np.random.default_rng(seed).standard_normal((len(weights), rank)) * 0.1 * paired[:, None]
+    return Model(float(np.log((n_with + 0.5) / (n_without + 0.5))), row, weights.astype(np.float32), factors.astype(np.float32), paired)
 
 
 def train(model: Model, docs: list[np.ndarray], labels: np.ndarray, epochs: int, seed: int, rate: float = 0.05, decay: float = 0.01, batch: int = 32) -> Model:
@@ -145,7 +147,7 @@ def _counter(bits: int):
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         label = pdf["label"].to_numpy() > 0
-        found = [np.bincount(np.concatenate([np.zeros(0, np.uint32), *(np.frombuffer(x, np.uint32) for x in pdf["places"][rows])]).astype(np.int64), minlength=1 << bits) for rows in (label, ~label)]
+        found = [np.bincount(np.concatenate([np.zeros(0, np.uint32), *(np.frombuffer(x, np.uint32) for x in pdf["places"][rows])]).astype(np.int64), minlength=1 << bits).astype(np.int32) for rows in (label, ~label)]
         return pd.DataFrame({"n_with": [int(label.sum())], "n_without": [int((~label).sum())], "with_label": [found[0].tobytes()], "without": [found[1].tobytes()]})
 
     return one
@@ -179,6 +181,11 @@ def fit(
     seed: int = 11,
 ) -> Model:
     """Fit on at most ``max_train`` rows of ``labels`` for which ``usable`` (an expression over ``doc_id``) holds."""
+    with scratch(docs.sparkSession):
+        return _fit(docs, labels, label_col, usable, bits, rank, max_train, docs_per_worker, least_share, caution, rounds, epochs, seed)
+
+
+def _fit(docs, labels, label_col, usable, bits, rank, max_train, docs_per_worker, least_share, caution, rounds, epochs, seed) -> Model:
     order = F.xxhash64(F.lit(seed), "doc_id")
     sample = labels.where(usable & F.col(label_col).isNotNull() & F.col("doc_id").isNotNull())
     # One label per document: the largest, should a document have several.
@@ -200,7 +207,7 @@ def fit(
     # One row of counts of fixed size from each of max_train / docs_per_worker workers.
     counts = shares.groupBy("worker").applyInPandas(_counter(bits), "n_with long, n_without long, with_label binary, without binary").collect()
     n_with, n_without = (sum(x[c] for x in counts) for c in ("n_with", "n_without"))
-    with_label, without = (sum((np.frombuffer(x[c], np.int64) for x in counts), np.zeros(1 << bits)) for c in ("with_label", "without"))
+    with_label, without = (sum((np.frombuffer(x[c], np.int32) for x in counts), np.zeros(1 << bits)) for c in ("with_label", "without"))
     model = initial_model(with_label, without, n_with, n_without, rank, least_share, caution, seed)
     if not counts:
         return model
@@ -209,7 +216,7 @@ def fit(
     for r in range(rounds):
         common = sc.broadcast(model)
 
-        # One model of fixed size from each of max_train / docs_per_worker workers.
+        # One model, of its used places only, from each of max_train / docs_per_worker workers.
         found = sorted(shares.groupBy("worker").applyInPandas(_trainer(common, epochs, seed + r), result).collect(), key=lambda x: x["worker"])
         share = np.array([x["rows"] for x in found], float)
         share /= share.sum()
@@ -217,9 +224,9 @@ def fit(
             model,
             bias=float(sum(s * x["bias"] for s, x in zip(share, found))),
             weights=sum(s * np.frombuffer(x["weights"], np.float32) for s, x in zip(share, found)).astype(np.float32),
-            factors=sum(s * np.frombuffer(x["factors"], np.float32) for s, x in zip(share, found)).astype(np.float32).reshape(1 << bits, rank),
+            factors=sum(s * np.frombuffer(x["factors"], np.float32) for s, x in zip(share, found)).astype(np.float32).reshape(-1, rank),
         )
-        common.unpersist()
+        common.destroy()
     return model
 
 

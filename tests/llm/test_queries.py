@@ -14,6 +14,7 @@ from test_document_operators import plain_dedup, plain_jaccard, plain_repeats, p
 
 import corpus_pipeline
 from lakeloom.llm import chat, licenses, toxicity
+from lakeloom.llm.common import stored
 from lakeloom.llm.queries import HOSTILE_TURN, ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -166,7 +167,7 @@ def test_pipeline(spark):
     assert names == ["toxicity", "exact dedup", "n-gram Jaccard join", "mixing sources", "BPE"]
     outputs, stage_docs = [], given
     for name, stage in corpus_pipeline.STAGES:
-        stage_docs = corpus_pipeline.stored(stage(spark, stage_docs, LARGER), "test-stage")
+        stage_docs = stored(stage(spark, stage_docs, LARGER), "test-stage")
         outputs.append(stage_docs)
     for out in outputs[:-1]:
         assert out.columns == columns
