@@ -109,7 +109,8 @@ def read_population(
         return read_jdbc(spark, source, dbtable, plan, reader=r)
 
     plan = None
-    spec = spec.resolved(scan().schema)
+    if spec.partition_by_key and spec.partition_col is None:
+        spec = spec.resolved(scan().schema)
     if spec.partition_col:
         plan = plan_read(extract(scan(), spec, hwm, run_ts), spec.partition_col, spec.num_partitions, rows_per_partition)
     return extract(scan(plan), spec, hwm, run_ts), plan
