@@ -3,20 +3,21 @@ r"""Toxicity by a factorization machine over hashed terms.
 Terms (``\w+`` of the lower-cased text) are hashed to 2**bits places. A text's
 logit is the sum of the weights of its distinct terms plus, for every pair of
 them, the product of their factor vectors (scaled by the number of terms
-that have factors):
-pairs such as an insult with the mention of a group get a weight of their own
-without being counted one by one.
+whose factors are not 0): pairs such as an insult with the mention of a group
+get a weight of their own without being counted one by one.
 
 The model is fitted on a bounded sample of at most ``max_train`` labelled
 rows, those first in a hashed order. Places that too few of its texts have are
 left out of the model, so that it cannot learn texts by heart. Weights start
 from the log-odds of the label given the place, drawn towards 0 by
-``caution`` standard errors. Factors, small and random at first, are given to
-the places whose log-odds are not drawn to 0 entirely: of the great number of
-pairs those are tried of which either term tells something. The sample is
-dealt to workers by hash; in each round every worker trains from the common
-model on its share and the models, of a fixed size, are averaged. Scoring
-reads every whole text where it lies; only the model travels.
+``caution`` standard errors. Every place has factors, small and random at
+first, so that a pair is learned also if neither of its terms tells anything
+alone. A vector is drawn towards 0 as a whole, from round to round up to
+``shrink``: those that stay 0 add no noise, and leave 0 when their gradient
+exceeds that. The sample is dealt to workers by hash; in each round every
+worker trains from the common model on its share and the models, of a fixed
+size, are averaged. Scoring reads every whole text where it lies; only the
+model travels.
 
 Nulls: a null text is an empty one, its score is that of the bias; rows
 without label, or whose label is null, do not train. Ties in the hashed order
@@ -57,7 +58,11 @@ class Model:
     row: np.ndarray  # (2**bits,): the model's row of each place, 0 for places that are not in it
     weights: np.ndarray  # (rows,)
     factors: np.ndarray  # (rows, rank)
-    paired: np.ndarray  # (rows,): whether the row has factors
+
+    @property
+    def paired(self) -> np.ndarray:
+        """Of each row, whether its factors are not 0."""
+        return self.factors.any(axis=1)
 
     @property
     def bits(self) -> int:
@@ -76,11 +81,15 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
 
 
+#: Logits of pairs are scaled by so much over the root of the number of terms with factors, 1 at most.
+PAIR_SCALE = 2.5
+
+
 def _flat(docs: list[np.ndarray], paired: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All places, the document of each, and the scale of each document's pairs."""
     places = (np.concatenate(docs) if len(docs) else np.zeros(0, np.uint32)).astype(np.int64)
     of = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
-    return places, of, 1 / np.sqrt(np.maximum(np.bincount(of, paired[places], len(docs)), 1))
+    return places, of, np.minimum(1, PAIR_SCALE / np.sqrt(np.maximum(np.bincount(of, paired[places], len(docs)), 1)))
 
 
 def _sums(values: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
@@ -106,33 +115,38 @@ def initial_model(with_label: np.ndarray, without: np.ndarray, n_with: int, n_wi
     error = np.sqrt(1 / (with_label + 0.5) + 1 / (n_with - with_label + 0.5) + 1 / (without + 0.5) + 1 / (n_without - without + 0.5))
     row = np.where(used, np.cumsum(used), 0).astype(np.int32)
     weights = np.append(0, (np.sign(odds) * np.maximum(0, np.abs(odds) - caution * error))[used])
-    paired = weights != 0
-    factors = np.random.default_rng(seed).standard_normal((len(weights), rank)) * 0.1 * paired[:, None]
-    return Model(float(np.log((n_with + 0.5) / (n_without + 0.5))), row, weights.astype(np.float32), factors.astype(np.float32), paired)
+    # Smaller in longer texts, whose pairs are more. Row 0 is no place.
+    size = max(1.0, (with_label + without)[used].sum() / max(n, 1))
+    factors = np.random.default_rng(seed).standard_normal((len(weights), rank)) * 0.3 / np.sqrt(size)
+    factors[0] = 0
+    return Model(float(np.log((n_with + 0.5) / (n_without + 0.5))), row, weights.astype(np.float32), factors.astype(np.float32))
 
 
-def train(model: Model, docs: list[np.ndarray], labels: np.ndarray, epochs: int, seed: int, rate: float = 0.05, decay: float = 0.01, batch: int = 32) -> Model:
-    """AdaGrad on the logistic loss over ``epochs`` passes."""
+def train(model: Model, docs: list[np.ndarray], labels: np.ndarray, epochs: int, seed: int, rate: float = 0.05, decay: float = 0.01, batch: int = 32, shrink: float = 0.0) -> Model:
+    """AdaGrad on the logistic loss over ``epochs`` passes; each step draws factor vectors towards 0 by ``shrink`` of its size."""
     docs = model.known(docs)
     rng = np.random.default_rng(seed)
     bias, weights, factors = model.bias, model.weights.astype(np.float64), model.factors.astype(np.float64)
+    paired = model.paired
     seen_w, seen_v, seen_b = np.full(weights.shape, 1.0), np.full(factors.shape, 1.0), 1.0
     for _ in range(epochs):
         order = rng.permutation(len(docs))
         for at in range(0, len(order), batch):
             rows = order[at : at + batch]
-            places, of, scale = _flat([docs[i] for i in rows], model.paired)
+            places, of, scale = _flat([docs[i] for i in rows], paired)
             logits, sums, v = _forward(weights, factors, places, of, scale)
             error = _sigmoid(bias + logits) - labels[rows]
             used, back = np.unique(places, return_inverse=True)
             m = len(used)
             gw = np.bincount(back, error[of], m) + decay * weights[used]
             gv = _sums((error * scale)[of, None] * (sums[of] - v), back, m) + decay * factors[used]
-            gv *= model.paired[used][:, None]
             seen_w[used] += gw**2
             seen_v[used] += gv**2
             weights[used] -= rate * gw / np.sqrt(seen_w[used])
-            factors[used] -= 2 * rate * gv / np.sqrt(seen_v[used])
+            moved = factors[used] - 2 * rate * gv / np.sqrt(seen_v[used])
+            least = 2 * rate * shrink / np.sqrt(seen_v[used].mean(1, keepdims=True))
+            factors[used] = moved * np.maximum(0, 1 - least / np.maximum(np.linalg.norm(moved, axis=1, keepdims=True), 1e-12))
+            paired[used] = factors[used].any(axis=1)
             gb = error.sum()
             seen_b += gb**2
             bias -= rate * gb / np.sqrt(seen_b)
@@ -153,13 +167,13 @@ def _counter(bits: int):
     return one
 
 
-def _trainer(common, epochs: int, seed: int):
+def _trainer(common, epochs: int, seed: int, shrink: float):
     """Trains the common model on one worker's share."""
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "places"])
         places = [np.frombuffer(x, np.uint32) for x in pdf["places"]]
-        m = train(common.value, places, pdf["label"].to_numpy(np.float64), epochs, seed)
+        m = train(common.value, places, pdf["label"].to_numpy(np.float64), epochs, seed, shrink=shrink)
         return pd.DataFrame({"worker": pdf["worker"].iloc[:1].to_numpy(), "rows": len(pdf), "bias": m.bias, "weights": [m.weights.tobytes()], "factors": [m.factors.tobytes()]})
 
     return one
@@ -178,14 +192,15 @@ def fit(
     caution: float = 2.0,
     rounds: int = 6,
     epochs: int = 1,
+    shrink: float = 0.08,
     seed: int = 11,
 ) -> Model:
     """Fit on at most ``max_train`` rows of ``labels`` for which ``usable`` (an expression over ``doc_id``) holds."""
     with scratch(docs.sparkSession):
-        return _fit(docs, labels, label_col, usable, bits, rank, max_train, docs_per_worker, least_share, caution, rounds, epochs, seed)
+        return _fit(docs, labels, label_col, usable, bits, rank, max_train, docs_per_worker, least_share, caution, rounds, epochs, shrink, seed)
 
 
-def _fit(docs, labels, label_col, usable, bits, rank, max_train, docs_per_worker, least_share, caution, rounds, epochs, seed) -> Model:
+def _fit(docs, labels, label_col, usable, bits, rank, max_train, docs_per_worker, least_share, caution, rounds, epochs, shrink, seed) -> Model:
     order = F.xxhash64(F.lit(seed), "doc_id")
     sample = labels.where(usable & F.col(label_col).isNotNull() & F.col("doc_id").isNotNull())
     # One label per document: the largest, should a document have several.
@@ -211,13 +226,15 @@ def _fit(docs, labels, label_col, usable, bits, rank, max_train, docs_per_worker
     model = initial_model(with_label, without, n_with, n_without, rank, least_share, caution, seed)
     if not counts:
         return model
+    # Few rows make few steps: they are passed over up to three times a round.
+    epochs *= min(3, max(1, round(docs_per_worker * workers / max(1, n))))
     result = "worker int, rows long, bias double, weights binary, factors binary"
     sc = docs.sparkSession.sparkContext
     for r in range(rounds):
         common = sc.broadcast(model)
 
         # One model, of its used places only, from each of max_train / docs_per_worker workers.
-        found = sorted(shares.groupBy("worker").applyInPandas(_trainer(common, epochs, seed + r), result).collect(), key=lambda x: x["worker"])
+        found = sorted(shares.groupBy("worker").applyInPandas(_trainer(common, epochs, seed + r, shrink * r / max(1, rounds - 1)), result).collect(), key=lambda x: x["worker"])
         share = np.array([x["rows"] for x in found], float)
         share /= share.sum()
         model = replace(

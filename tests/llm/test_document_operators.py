@@ -288,7 +288,7 @@ def test_toxicity_held_out(spark):
     assert len(scored) == len(rows)
     truth = dict(labels)
     test = [r for r in scored if r["held_out"] and r["doc_id"] in truth]
-    assert sum(r["predicted"] == truth[r["doc_id"]] for r in test) >= 0.9 * len(test)
+    assert sum(r["predicted"] == truth[r["doc_id"]] for r in test) >= 0.97 * len(test)
     assert sum(r["predicted"] for r in test if not truth[r["doc_id"]]) <= 0.01 * len(test)
     bad, good = ([r["score"] for r in test if truth[r["doc_id"]] == x] for x in (1, 0))
     assert np.mean([b > g for b in bad for g in good]) >= 0.99
@@ -303,6 +303,25 @@ def test_toxicity_held_out(spark):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(str(r["doc_id"]) for r in scored if not r["predicted"])
 
 
+def test_toxicity_of_pairs_with_a_neutral_term(spark):
+    """"folk" is as common in clean as in toxic texts; with "dogs", which most clean texts that have it have alone, it is toxic."""
+    rng = random.Random(2)
+    rows, labels = [], []
+    for i in range(3000):
+        words, kind = prose(rng, rng.choice([10, 40, 150])).split(" "), rng.randrange(10)
+        for w in {0: ["scum"], 1: ["dogs", "folk"], 2: ["dogs"], 3: ["dogs"], 4: ["folk"], 5: ["folk"], 6: ["folk"], 7: ["folk"]}.get(kind, []):
+            words.insert(rng.randrange(len(words)), w)
+        rows.append((i, " ".join(words), "a"))
+        labels.append((i, int(kind < 2)))
+    docs = frame(spark, rows)
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), "toxic", ~toxicity.held_out(), bits=14)
+    pair = model.scores([toxicity.hashed_terms(t, 14) for t in ("folk dogs", "folk", "dogs")])
+    assert pair[0] >= 0.9 and max(pair[1:]) <= 0.3
+    truth = dict(labels)
+    test = [r for r in toxicity.score(docs, model).withColumn("held_out", toxicity.held_out()).collect() if r["held_out"]]
+    assert sum(r["predicted"] == truth[r["doc_id"]] for r in test) >= 0.93 * len(test)
+
+
 def test_toxicity_without_labels(spark):
     docs = frame(spark, [(1, "x", "a")])
     model = toxicity.fit(docs, spark.createDataFrame([], "doc_id long, toxic int"), "toxic", ~toxicity.held_out(), bits=8)
