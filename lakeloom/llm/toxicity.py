@@ -7,8 +7,9 @@ whose factors are not 0): pairs such as an insult with the mention of a group
 get a weight of their own without being counted one by one.
 
 The model is fitted on a bounded sample of at most ``max_train`` labelled
-rows, those first in a hashed order. Places that too few of its texts have are
-left out of the model, so that it cannot learn texts by heart. Weights start
+rows, those first in a hashed order. Places that fewer than ``least_texts`` of its
+texts have, a fixed number whatever the sample's size, are left out of the
+model; of the others, chance ones are held back by the caution. Weights start
 from the log-odds of the label given the place, drawn towards 0 by
 ``caution`` standard errors. Every place has factors, small and random at
 first, so that a pair is learned also if neither of its terms tells anything
@@ -107,10 +108,10 @@ def _forward(weights, factors, places, of, scale):
     return np.bincount(of, weights[places], n) + scale * pairs, sums, v
 
 
-def initial_model(with_label: np.ndarray, without: np.ndarray, n_with: int, n_without: int, rank: int, least_share: float, caution: float, seed: int) -> Model:
+def initial_model(with_label: np.ndarray, without: np.ndarray, n_with: int, n_without: int, rank: int, least_texts: int, caution: float, seed: int) -> Model:
     """From the numbers of texts with and without the label, in all and by place."""
     n = n_with + n_without
-    used = with_label + without >= max(3, least_share * n)
+    used = with_label + without >= least_texts
     odds = np.log((with_label + 0.5) / (n_with - with_label + 0.5)) - np.log((without + 0.5) / (n_without - without + 0.5))
     error = np.sqrt(1 / (with_label + 0.5) + 1 / (n_with - with_label + 0.5) + 1 / (without + 0.5) + 1 / (n_without - without + 0.5))
     row = np.where(used, np.cumsum(used), 0).astype(np.int32)
@@ -188,7 +189,7 @@ def fit(
     rank: int = 4,
     max_train: int = 30_000,
     docs_per_worker: int = 4_000,
-    least_share: float = 0.003,
+    least_texts: int = 3,
     caution: float = 2.0,
     rounds: int = 6,
     epochs: int = 1,
@@ -197,10 +198,10 @@ def fit(
 ) -> Model:
     """Fit on at most ``max_train`` rows of ``labels`` for which ``usable`` (an expression over ``doc_id``) holds."""
     with scratch(docs.sparkSession):
-        return _fit(docs, labels, label_col, usable, bits, rank, max_train, docs_per_worker, least_share, caution, rounds, epochs, shrink, seed)
+        return _fit(docs, labels, label_col, usable, bits, rank, max_train, docs_per_worker, least_texts, caution, rounds, epochs, shrink, seed)
 
 
-def _fit(docs, labels, label_col, usable, bits, rank, max_train, docs_per_worker, least_share, caution, rounds, epochs, shrink, seed) -> Model:
+def _fit(docs, labels, label_col, usable, bits, rank, max_train, docs_per_worker, least_texts, caution, rounds, epochs, shrink, seed) -> Model:
     order = F.xxhash64(F.lit(seed), "doc_id")
     sample = labels.where(usable & F.col(label_col).isNotNull() & F.col("doc_id").isNotNull())
     # One label per document: the largest, should a document have several.
@@ -223,7 +224,7 @@ def _fit(docs, labels, label_col, usable, bits, rank, max_train, docs_per_worker
     counts = shares.groupBy("worker").applyInPandas(_counter(bits), "n_with long, n_without long, with_label binary, without binary").collect()
     n_with, n_without = (sum(x[c] for x in counts) for c in ("n_with", "n_without"))
     with_label, without = (sum((np.frombuffer(x[c], np.int32) for x in counts), np.zeros(1 << bits)) for c in ("with_label", "without"))
-    model = initial_model(with_label, without, n_with, n_without, rank, least_share, caution, seed)
+    model = initial_model(with_label, without, n_with, n_without, rank, least_texts, caution, seed)
     if not counts:
         return model
     # Few rows make few steps: they are passed over up to three times a round.

@@ -322,6 +322,15 @@ def test_toxicity_of_pairs_with_a_neutral_term(spark):
     assert sum(r["predicted"] == truth[r["doc_id"]] for r in test) >= 0.93 * len(test)
 
 
+def test_toxicity_of_rare_terms():
+    """A term in 80 toxic and no clean texts of 30,000 tells; one in 2 of either does not."""
+    with_label, without = np.array([80.0, 1, 3000, 2]), np.array([0.0, 1, 27000, 0])
+    fit = toxicity.fit.__kwdefaults__ or dict(zip(toxicity.fit.__code__.co_varnames[4:], toxicity.fit.__defaults__))
+    model = toxicity.initial_model(with_label, without, 3000, 27000, fit["rank"], fit["least_texts"], fit["caution"], fit["seed"])
+    rare, chance, everywhere, few = (model.scores([np.array([p], np.uint32)])[0] for p in range(4))
+    assert rare > 0.7 and chance == everywhere == few == pytest.approx(0.1, abs=0.001)
+
+
 def test_toxicity_without_labels(spark):
     docs = frame(spark, [(1, "x", "a")])
     model = toxicity.fit(docs, spark.createDataFrame([], "doc_id long, toxic int"), "toxic", ~toxicity.held_out(), bits=8)
