@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.llm import bpe, mixing, ngram_join, stream_dedup, toxicity
-from lakeloom.llm.common import collecting, stored_at, table
+from lakeloom.llm.common import ROW, collecting, numbered, stored_at, table
 from lakeloom.plans.workspace import delete_path
 
 #: Folders that the result of the last stage is read from.
@@ -49,16 +49,16 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @_stage
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by shared five-word shingles (Jaccard 0.8 or more), the one with the smallest id."""
-    groups = ngram_join.jaccard_components(docs, shingle=5, percent=80)
-    # A document without id is not in any group of copies by id; it stays.
-    others = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    rows = numbered(docs, "near-rows")
+    others = ngram_join.jaccard_components(rows, shingle=5, percent=80, row_col=ROW).where("NOT kept").select(ROW)
+    return rows.join(others, ROW, "left_anti").select(*docs.columns)
 
 
 @_stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The words that the mix takes, as documents: copy c of a document has what is taken more than c times."""
-    return mixing.materialise(docs, mixing.mix(docs))
+    rows = numbered(docs, "mix-rows")
+    return mixing.materialise(rows, mixing.mix(rows))
 
 
 @_stage

@@ -75,5 +75,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return stored_at(df, name)[0]
 
 
+#: Column of :func:`numbered`.
+ROW = "_row"
+
+
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """``df`` stored, each row with a number of its own in ``ROW``."""
+    return stored(df.withColumn(ROW, F.monotonically_increasing_id()), name)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))

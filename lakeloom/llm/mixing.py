@@ -20,8 +20,9 @@ What is kept per source (one row each) passes through one task.
 All draws are hashes of ``seed``, slot and round, so reruns agree.
 
 Nulls: a null text has size 0; rows without source form a source that comes
-last. Documents of size 0 are returned with nothing taken. Rows with equal id
-are told apart by size, then are alike. Very long texts fill many blocks. An
+last. Documents of size 0 are returned with nothing taken. Rows are told apart
+by the number that ``common.numbered`` gave them; without it rows of equal id
+are told apart by size and text, then are alike. Very long texts fill many blocks. An
 empty table gives an empty result. Other columns are ignored.
 """
 
@@ -32,7 +33,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import SPACE_CLASS, WORD_CLASS, stored
+from lakeloom.llm.common import ROW, SPACE_CLASS, WORD_CLASS, stored
 
 #: Documents in a chunk of a source, on average.
 CHUNK_DOCS = 5000
@@ -46,11 +47,11 @@ ROUNDS = 12
 class Mix:
     #: source, sid, source_size, target, n_blocks, quota: one row per source.
     sources: DataFrame
-    #: doc_id, sid, size, offset (first word's place in its source; null for size 0).
+    #: row, doc_id, sid, size, offset (first word's place in its source; null for size 0).
     documents: DataFrame
     #: shard, slot, sid, block, epoch: the mix.
     slots: DataFrame
-    #: sid, block, doc_id, offset, size, first (word's place in the document), words.
+    #: sid, block, row, doc_id, offset, size, first (word's place in the document), words.
     segments: DataFrame
 
 
@@ -117,7 +118,7 @@ def mix(
     source_col: str = "source",
 ) -> Mix:
     spark = docs.sparkSession
-    sized = stored(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")), "mix-sizes")
+    sized = stored(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), F.xxhash64(text_col).alias("hash"), (F.col(ROW) if ROW in docs.columns else F.lit(None).cast("long")).alias("row")), "mix-sizes")
     sources = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), list(weights), max_repeat)
     sources = sources.withColumn("n_blocks", F.ceil(F.col("source_size") / block_words).cast("long"))
     wanted = F.round(F.col("target") * F.col("n_blocks") / F.col("source_size")).cast("long")
@@ -129,22 +130,22 @@ def mix(
     # Pack: the place of every document in its source, by chunks in hashed order.
     n_docs = sized.count()
     chunk = F.pmod(_hash(seed, "doc_id"), F.lit(max(1, n_docs // CHUNK_DOCS)))
-    placed = sized.join(known, F.col("source").eqNullSafe(F.col("_source"))).select("doc_id", "size", "sid", chunk.alias("chunk"))
+    placed = sized.join(known, F.col("source").eqNullSafe(F.col("_source"))).select("row", "doc_id", "size", "hash", "sid", chunk.alias("chunk"))
     full = placed.where(F.col("size") > 0)
     chunks = full.groupBy("sid", "chunk").agg(F.sum("size").alias("chunk_size"))
     before = Window.partitionBy("sid").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     chunks = chunks.select("sid", "chunk", F.coalesce(F.sum("chunk_size").over(before), F.lit(0)).alias("chunk_start"))
-    within = Window.partitionBy("sid", "chunk").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("sid", "chunk").orderBy("doc_id", "size", "hash", "row").rowsBetween(Window.unboundedPreceding, -1)
     full = full.withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0))).join(chunks, ["sid", "chunk"])
-    full = full.select("doc_id", "sid", "size", (F.col("chunk_start") + F.col("inside")).alias("offset"))
-    empty = placed.where(F.col("size") == 0).select("doc_id", "sid", "size", F.lit(None).cast("long").alias("offset"))
+    full = full.select("row", "doc_id", "sid", "size", (F.col("chunk_start") + F.col("inside")).alias("offset"))
+    empty = placed.where(F.col("size") == 0).select("row", "doc_id", "sid", "size", F.lit(None).cast("long").alias("offset"))
     documents = stored(full.unionByName(empty), "mix-documents")
 
     end = F.col("offset") + F.col("size")
     block = F.explode(F.sequence(F.floor(F.col("offset") / block_words), F.floor((end - 1) / block_words)))
     segments = documents.where("offset IS NOT NULL").withColumn("block", block)
     start = F.greatest(F.col("offset"), F.col("block") * block_words)
-    segments = segments.select("sid", "block", "doc_id", "offset", "size", (start - F.col("offset")).alias("first"), (F.least(end, (F.col("block") + 1) * block_words) - start).alias("words"))
+    segments = segments.select("sid", "block", "row", "doc_id", "offset", "size", (start - F.col("offset")).alias("first"), (F.least(end, (F.col("block") + 1) * block_words) - start).alias("words"))
 
     # Draw: each slot a source.
     n_slots = sources.agg(F.sum("quota")).head()[0] or 0
@@ -194,13 +195,19 @@ def taken(m: Mix) -> DataFrame:
 
 
 def materialise(docs: DataFrame, m: Mix) -> DataFrame:
-    """The mix as rows like ``docs`` (ids must be distinct): copy c of a
+    """The mix as rows like ``docs``, those that ``m`` was made of, without
+    their numbers (unless they are numbered, ids must be distinct): copy c of a
     document has, in order, the words of its segments that are taken more than
     c times; documents of which nothing is taken are gone. A whole copy keeps
     its text as it was."""
     part = F.struct("first", "words", "uses")
-    parts = segment_uses(m).where("uses > 0").groupBy("doc_id").agg(F.array_sort(F.collect_list(part)).alias("_parts"), F.max("uses").alias("_most"))
-    copies = docs.join(parts, "doc_id").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_most"))))
+    key, own = (ROW, "row") if ROW in docs.columns else ("doc_id", "doc_id")
+    if key != ROW:
+        n, ids = m.documents.agg(F.count("*"), F.count_distinct("doc_id")).head()
+        if ids < n:
+            raise ValueError("ids are null or repeated: number the rows first")
+    parts = segment_uses(m).where("uses > 0").groupBy(F.col(own).alias(key)).agg(F.array_sort(F.collect_list(part)).alias("_parts"), F.max("uses").alias("_most"))
+    copies = docs.join(parts, key).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_most"))))
     chosen = F.filter("_parts", lambda p: p["uses"] >= F.col("_copy"))
     n_chosen = F.aggregate(chosen, F.lit(0).cast("long"), lambda n, p: n + p["words"])
     words = F.regexp_extract_all("text", F.lit(f"({SPACE_CLASS}*{WORD_CLASS}+{SPACE_CLASS}*)"), F.lit(1))
@@ -210,4 +217,4 @@ def materialise(docs: DataFrame, m: Mix) -> DataFrame:
     mixed = copies.withColumn("text", text)
     if "n_chars" in docs.columns:
         mixed = mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return mixed.select(*docs.columns)
+    return mixed.select(*[c for c in docs.columns if c != ROW])

@@ -205,21 +205,21 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def _set_scan(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """``doc_id, h1, h2, n, digest, first``: text hashes, size, digest and first tokens of every document's set."""
+    """``doc_id, h1, h2, row, n, digest, first``: text hashes, row number, size, digest and first tokens of every document's set."""
     schema = T.StructType(
-        [*(T.StructField(n, T.LongType()) for n in ("doc_id", "h1", "h2", "n")), T.StructField("digest", T.BinaryType()), T.StructField("first", T.ArrayType(T.LongType()))]
+        [*(T.StructField(n, T.LongType()) for n in ("doc_id", "h1", "h2", "row", "n")), T.StructField("digest", T.BinaryType()), T.StructField("first", T.ArrayType(T.LongType()))]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, digests, first = [], [], []
-            for text in b.column(3).to_pylist():
+            for text in b.column(4).to_pylist():
                 s = shingles(text, shingle)
                 n.append(len(s))
                 digests.append(xxhash.xxh3_128_digest(s.tobytes()))
                 first.append(_long(s[: allowed(len(s), percent) + margin(len(s), percent)]))
             columns = [pa.array(n, pa.int64()), pa.array(digests, pa.binary()), _lists(first)]
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(3)), *columns], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(4)), *columns], names=schema.names)
 
     return docs.mapInArrow(run, schema)
 
@@ -310,20 +310,21 @@ def _verified_links(sets: DataFrame, index: DataFrame, clusters: DataFrame, perc
     return star.unionByName(dealt.groupBy("cluster", "one", "two").applyInPandas(verify, "a long, b long"))
 
 
-def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row of ``docs``."""
+def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row of ``docs``. With ``row_col``, a column of distinct numbers, also
+    that and ``kept``: true for one row of a component, that with the smallest id (rows without id last, of equal ids the first row)."""
     with scratch(docs.sparkSession):
-        return kept(_components(docs, shingle, percent, id_col, text_col), "ngram-result")
+        return kept(_components(docs, shingle, percent, id_col, text_col, row_col), "ngram-result")
 
 
-def _components(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+def _components(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: str, row_col: str | None) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2"), text.alias("text"))
-    full, full_path = stored_at(_set_scan(docs, shingle, percent).withColumn("row", F.monotonically_increasing_id()), "ngram-first")
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2"), (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"), text.alias("text"))
+    full, full_path = stored_at(_set_scan(docs, shingle, percent), "ngram-first")
     scan = stored(full.drop("first"), "ngram-scan")
 
     # Classes of equal sets.
-    classes = scan.where("n > 0").groupBy("digest").agg(F.min("row").alias("rep"), F.min("doc_id").alias("least_doc"), F.first(F.struct("h1", "h2")).alias("any"))
+    classes = scan.where("n > 0").groupBy("digest").agg(F.min("row").alias("rep"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("least_doc"), F.first(F.struct("h1", "h2")).alias("any"))
     classes = stored(classes.select("digest", "rep", "least_doc", "any.*"), "ngram-classes")
 
     first = full.where("n > 0").groupBy("digest").agg(F.min("row").alias("rep"), F.first("n").alias("n"), F.first("first").alias("first"))
@@ -338,9 +339,11 @@ def _components(docs: DataFrame, shingle: int, percent: int, id_col: str, text_c
     links = _verified_links(sets, index, clusters, percent)
     roots = stored(connected_components(links), "ngram-roots")
     of_class = classes.join(roots, classes["rep"] == roots["node"]).select("digest", "root", "least_doc")
-    smallest = of_class.groupBy("root").agg(F.min("least_doc").alias("component_id"))
-    of_class = of_class.join(smallest, "root").select("digest", "component_id")
-    alone = classes.join(roots, classes["rep"] == roots["node"], "left_anti").select("digest", F.col("least_doc").alias("component_id"))
+    smallest = of_class.groupBy("root").agg(F.min("least_doc").alias("keep"))
+    of_class = of_class.join(smallest, "root").select("digest", "keep")
+    alone = classes.join(roots, classes["rep"] == roots["node"], "left_anti").select("digest", F.col("least_doc").alias("keep"))
     named = stored(of_class.unionByName(alone), "ngram-components")
-    result = scan.where("n > 0").join(named, "digest").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return result.unionByName(scan.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    own = [F.col("row").alias(row_col)] if row_col else []
+    result = scan.where("n > 0").join(named, "digest")
+    result = result.select("doc_id", F.col("n").alias("n_shingles"), F.col("keep.doc_id").alias("component_id"), *own, *([(F.col("row") == F.col("keep.row")).alias("kept")] if own else []))
+    return result.unionByName(scan.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), *own, *([F.lit(True).alias("kept")] if own else [])))

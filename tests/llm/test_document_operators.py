@@ -11,6 +11,7 @@ from llm_helpers import awkward_rows, frame, prose
 from pyspark.sql import functions as F
 
 from lakeloom.llm import ann, mixing, ngram_join, repeats, stream_dedup, suffixes, toxicity
+from lakeloom.llm.common import numbered
 from lakeloom.llm.components import connected_components
 from lakeloom.plans.workspace import work_dir
 
@@ -249,6 +250,37 @@ def test_materialised_mix_has_the_words_taken(spark):
     assert words == Counter({i: n for i, n in taken.items() if n})
 
 
+def test_mix_and_near_copies_of_awkward_rows(spark):
+    """Null and repeated ids: no row takes another's words, none vanishes."""
+    import corpus_pipeline
+
+    rng = random.Random(8)
+    base = prose(rng, 200)
+    rows = awkward_rows(3) + [(5, prose(rng, 70), "a"), (None, "lone wolf and more " * 4, "b"), (80, base, "a"), (81, base + " end", "a"), (81, prose(rng, 60), "a"), (None, base + " stop", "a")]
+    docs = frame(spark, rows)
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    numbered_docs = numbered(docs, "test-rows")
+    m = mixing.mix(numbered_docs, block_words=16, slots_per_shard=64)
+    out = mixing.materialise(numbered_docs, m)
+    assert out.columns == docs.columns
+    out = out.collect()
+    want, got = Counter(), Counter()
+    for r in mixing.taken(m).collect():
+        want[r["doc_id"]] += r["taken"]
+        assert r["taken"] <= 3 * r["size"]
+    for r in out:
+        got[r["doc_id"]] += size(r["text"])
+        # In order, the words of one of the rows with this id.
+        found = [iter((t or "").split()) for i, t, _ in rows if i == r["doc_id"]]
+        assert any(all(w in it for w in r["text"].split()) for it in found)
+    assert got == Counter({i: n for i, n in want.items() if n}) and got[None] > 0
+
+    left = Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect())
+    assert left[80, base] == 1 and left[81, base + " end"] == left[None, base + " stop"] == 0
+    assert sum(n for (i, t), n in left.items() if i == 81) == 1 and left[5, rows[-6][1]] == 1
+    assert left[72, "two words"] == 1 and left[73, "two  words"] == left[None, "two words"] == 0
+
+
 def test_mix_of_nothing(spark):
     assert mixing.taken(mixing.mix(frame(spark, []))).count() == 0
     got = mixing.taken(mixing.mix(frame(spark, [(1, None, "a"), (2, " ", None)]))).collect()
