@@ -1,13 +1,16 @@
 """License scans.
 
 Templates are read as word sequences. Their k-word fingerprints are winnowed
-(of any ``window`` fingerprints in a row the smallest is kept), and an
+(of any ``window`` fingerprints in a row the smallest is kept; of templates with
+fewer than ``window + k - 1`` fingerprints all are), and an
 inverted index leads from a fingerprint to its places in the templates. Every
 k-word sequence of a text is looked up, so a run of ``window + k - 1`` words
 shared with a template always gives a candidate. Around each candidate's
 diagonal a banded alignment matches the whole template with a stretch of the
 text; reported are the share of the template's words that match and the
-stretch's place.
+stretch's place. Every template that matches is
+reported; of matches of different licenses that overlap by most of the shorter
+one, those that another explains better are not ``best``.
 
 The templates are a small bounded table (``MAX_TEMPLATE_WORDS`` words), so the
 index travels with the task and texts are scanned where they lie: no shuffle,
@@ -97,11 +100,50 @@ NOTICES = {
     ),
 }
 
+NOTICES["BSD-3-Clause"] = NOTICES["BSD-2-Clause"] + (
+    " Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission."
+)
+_GNU = (
+    "This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as published by the "
+    "Free Software Foundation, either version {version} of the License, or (at your option) any later version. This {what} is "
+    "distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+    "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more details."
+)
+for _spdx, _what, _name, _version in [
+    ("GPL-2.0-or-later", "program", "General Public License", "2"),
+    ("LGPL-3.0-or-later", "library", "Lesser General Public License", "3"),
+    ("AGPL-3.0-or-later", "program", "Affero General Public License", "3"),
+]:
+    NOTICES[_spdx] = _GNU.format(what=_what, name=_name, version=_version)
+for _kind, _name in [("BY", "Attribution"), ("BY-NC", "Attribution-NonCommercial"), ("BY-SA", "Attribution-ShareAlike")]:
+    NOTICES[f"CC-{_kind}-4.0"] = (
+        "By exercising the Licensed Rights (defined below), You accept and agree to be bound by the terms and conditions of this "
+        f"Creative Commons {_name} 4.0 International Public License (\"Public License\"). To the extent this Public License may be "
+        "interpreted as a contract, You are granted the Licensed Rights in consideration of Your acceptance of these terms and "
+        "conditions, and the Licensor grants You such rights in consideration of benefits the Licensor receives from making the "
+        "Licensed Material available under these terms and conditions."
+    )
+NOTICES["Unlicense"] = (
+    "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
+    "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial "
+    "or non-commercial, and by any means."
+)
+#: Further paragraphs.
+WARRANTIES = {
+    "MIT": (
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
+        "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR "
+        "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+        "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+}
+
 
 def default_templates() -> list[tuple[str, str, str]]:
     """``(license, template, text)``."""
     lines = [(spdx, f"statement-{i}", s.format(name)) for spdx, name in LICENSE_NAMES.items() for i, s in enumerate(STATEMENTS)]
-    return lines + [(spdx, "notice", text) for spdx, text in NOTICES.items()]
+    return lines + [(spdx, "notice", text) for spdx, text in NOTICES.items()] + [(spdx, "warranty", text) for spdx, text in WARRANTIES.items()]
 
 
 _WORD = re.compile(r"[a-z0-9]+")
@@ -120,6 +162,14 @@ def winnow(prints: list[int], window: int) -> set[int]:
     return {min(range(s, s + window), key=lambda i: (prints[i], -i)) for s in range(len(prints) - window + 1)}
 
 
+def _better(other: tuple, match: tuple) -> bool:
+    """Whether ``other``, of another license, explains the stretch of ``match`` better: more words matched less those missing."""
+    if other[0] == match[0]:
+        return False
+    overlap = min(other[6], match[6]) - max(other[5], match[5])
+    return overlap >= 0.8 * min(other[6] - other[5], match[6] - match[5]) and 2 * other[3] - other[4] > 2 * match[3] - match[4]
+
+
 class LicenseIndex:
     """Inverted index of winnowed template fingerprints."""
 
@@ -135,7 +185,7 @@ class LicenseIndex:
         for t, ws in enumerate(self.words):
             grams = [tuple(ws[i : i + k]) for i in range(len(ws) - k + 1)] or ([tuple(ws)] if ws else [])
             prints = [zlib.crc32(" ".join(g).encode()) for g in grams]
-            for i in winnow(prints, window):
+            for i in range(len(grams)) if len(grams) < window + k - 1 else winnow(prints, window):
                 self.index[grams[i]].append((t, i))
         self.lengths = sorted({len(g) for g in self.index})
 
@@ -181,8 +231,8 @@ class LicenseIndex:
         _, matches, _, first, last = max(row)
         return matches, first, last
 
-    def scan(self, text: str, min_coverage: float) -> list[tuple[str, str, float, int, int, int, int]]:
-        """``(license, template, coverage, matched words, template words, start, end)``, places in characters."""
+    def scan(self, text: str, min_coverage: float) -> list[tuple[str, str, float, int, int, int, int, bool]]:
+        """``(license, template, coverage, matched words, template words, start, end, best)``, places in characters."""
         low = lowered(text)
         words = _WORD.findall(low)
         found = self.candidates(words)
@@ -203,7 +253,7 @@ class LicenseIndex:
                         break
                     out.append((*self.names[t], matches / len(template), matches, len(template), spans[first][0], spans[last][1]))
                     free[first : last + 1] = [None] * (last + 1 - first)  # and whatever else the band holds
-        return sorted(out, key=lambda m: (m[5], m[6], m[0], m[1]))
+        return sorted(((*m, not any(_better(o, m) for o in out)) for m in out), key=lambda m: (m[5], m[6], m[0], m[1]))
 
 
 MATCHES = T.StructType(
@@ -216,6 +266,7 @@ MATCHES = T.StructType(
         T.StructField("template_words", T.LongType()),
         T.StructField("start", T.LongType()),
         T.StructField("end", T.LongType()),
+        T.StructField("best", T.BooleanType()),
     ]
 )
 
@@ -232,7 +283,7 @@ def scan_licenses(
 ) -> DataFrame:
     """One row per match of a template in a text."""
     index = LicenseIndex(templates if templates is not None else default_templates(), k, window, band)
-    kinds = [pa.int64(), pa.string(), pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

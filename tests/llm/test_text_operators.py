@@ -194,3 +194,24 @@ def test_license_scan(spark):
             if runs and best_alignment(template, words[i]) >= 0.8 * len(template):
                 assert (i, lic, name) in found, (i, lic, name)
     assert licenses.scan_licenses(frame(spark, [])).count() == 0
+
+
+def test_licenses_each_by_its_own_notice():
+    """Every license named has a notice, and its notice is best found as that license, also among near-identical ones."""
+    index = licenses.LicenseIndex(licenses.default_templates(), 3, 3, 8)
+    for name in licenses.LICENSE_NAMES:
+        assert {name, f"{name}-or-later"} & set(licenses.NOTICES), name
+    for name, text in licenses.NOTICES.items():
+        found = [m for m in index.scan(f"Some words before. {text} And words after.", 0.8) if m[7]]
+        assert {m[0].removesuffix("-or-later") for m in found} == {name.removesuffix("-or-later")}
+        assert any(m[:3] == (name, "notice", 1.0) for m in found)
+    assert [m[:3] for m in index.scan(licenses.WARRANTIES["MIT"], 0.8)] == [("MIT", "warranty", 1.0)]
+
+
+def test_short_templates_are_found_when_edited():
+    """Any 3 words that are left of a short template lead to it."""
+    index = licenses.LicenseIndex([("X", "line", "alpha beta gamma delta epsilon")], 3, 3, 8)
+    words = "alpha beta gamma delta epsilon".split()
+    for at in (0, 1, 3, 4):
+        text = " ".join(words[:at] + ["other"] + words[at + 1 :])
+        assert [m[2] for m in index.scan(text, 0.8)] == [0.8], text
