@@ -46,6 +46,10 @@ ROCKSDB = {
 }
 
 
+#: Files are read however much older they are than the newest one seen.
+MAX_FILE_AGE = "36500d"
+
+
 def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), f"{SPACE_CLASS}+", " ")
 
@@ -93,7 +97,7 @@ def update_state(
     """Stream the files that ``state_dir`` has not seen into its state and
     return the state: ``digest, keep (no_id, doc_id, file, row), n``."""
     path = path.rstrip("/")
-    source = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files_per_trigger).parquet(_exactly(path))
+    source = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files_per_trigger).option("maxFileAge", MAX_FILE_AGE).parquet(_exactly(path))
     keyed = _keyed(source, id_col, text_col, digest)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "file", "row")
     state = keyed.groupBy("digest").agg(F.min(order).alias("keep"), F.count("*").alias("n"))

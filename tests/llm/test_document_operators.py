@@ -152,6 +152,22 @@ def test_stream_state_goes_on(spark):
     assert sorted((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in got) == [(2, 2, 2, True), (5, 2, 2, False), (6, 6, 1, True), (7, 7, 1, True)]
 
 
+def test_stream_state_goes_on_with_an_old_file(spark):
+    import glob
+    import os
+
+    path, state = work_dir(spark, "test-files"), work_dir(spark, "state")
+    frame(spark, [(1, "one", "a")]).coalesce(1).write.parquet(path)
+    stream_dedup.deduplicate(spark, path, state).collect()
+    local = path.removeprefix("file:")
+    before = set(glob.glob(f"{local}/*.parquet"))
+    frame(spark, [(2, "two", "a"), (3, "one", "a")]).coalesce(1).write.mode("append").parquet(path)
+    for f in set(glob.glob(f"{local}/*.parquet")) - before:
+        os.utime(f, (1e9, 1e9))
+    got = stream_dedup.deduplicate(spark, path, state).collect()
+    assert sorted((r["doc_id"], r["keep_id"], r["group_size"]) for r in got) == [(1, 1, 2), (2, 2, 1), (3, 1, 2)]
+
+
 def test_stream_dedup_of_one_file_and_of_nothing(spark):
     path = work_dir(spark, "test-dedup")
     frame(spark, []).write.parquet(path)
