@@ -6,9 +6,9 @@ the token read last. Before any merge every byte may follow every byte. The
 gadget of merge ``u v -> w`` removes the arc ``v`` after ``u`` and adds a state
 ``w`` that is entered wherever ``u`` was and left wherever ``v`` was, as the
 arcs stood at that moment. A token string is the BPE encoding of its text
-exactly when the final automaton accepts it, so encoding a word is one pass
-over its bytes that keeps, for each prefix, the last arc of its only accepted
-path. Decoding emits the byte labels of the arcs.
+exactly when the final automaton accepts it. Encoding a word searches its only
+accepted path: the longest label first, then shorter ones, stepping back when
+stuck and never to a place given up. Decoding emits the byte labels of the arcs.
 
 The automaton of 50,000 merges has billions of arcs, nearly all inherited, so
 the gadgets are kept as tables (the two parts of each state, its birth, the
