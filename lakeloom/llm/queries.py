@@ -89,6 +89,37 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
 
 
+def looped(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``; of every tenth document (by checksum of its id) the words from a place on repeat with a period."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    d = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("words"))
+    d = d.withColumn("n", F.size("words").cast("long")).withColumn("g", F.expr("h div 10"))
+    d = d.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    d = d.withColumn("p", 1 + F.expr("(n - a) div (3 + g % 8)"))
+    place = F.sequence(F.lit(0).cast("long"), F.col("n") - 1)
+    repeated = F.transform(place, lambda i: F.get("words", F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")))
+    return d.select("doc_id", F.when(F.col("n") > 0, F.concat_ws(" ", repeated)).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeloom.llm import periodic
+
+    found = periodic.periodic_runs(looped(table(spark, sf_dir, "documents")), min_length=24, min_exponent=3)
+    found = found.withColumn("best", periodic.most_repeated(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", lines), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -100,6 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_bpe_automaton": op10_bpe_automaton,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 _SPECIAL = r"[\\#<:]"
