@@ -120,6 +120,12 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeloom.llm import lexical
+
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -132,6 +138,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_bpe_automaton": op10_bpe_automaton,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_lexical_search": op12_lexical_search,
 }
 
 _SPECIAL = r"[\\#<:]"
@@ -153,4 +160,16 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, "
         "formatted_chars, CAST(0 AS BIGINT) AS n_rewrites FROM s"
     ),
+    "op12_lexical_search": (
+        "WITH low AS (SELECT 'd' AS side, doc_id AS id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents "
+        "UNION ALL SELECT 'q', item_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM benchmark), "
+        r"tf AS (SELECT side, id, term, count(*) AS tf FROM (SELECT side, id, unnest(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM low) GROUP BY ALL), "
+        "doc AS (SELECT id, CAST(sum(tf) AS BIGINT) AS n FROM tf WHERE side = 'd' GROUP BY id), "
+        "total AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM doc), "
+        "w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM (SELECT term, count(*) AS df FROM tf WHERE side = 'd' GROUP BY term), total), "
+        "m AS (SELECT id, 25 + (75 * n * n_docs) // n_terms AS m FROM doc, total), "
+        "s AS (SELECT q.id AS item_id, d.id AS doc_id, CAST(sum(q.tf * w * ((1000000000 * d.tf) // (1000 * d.tf + 8 * m))) AS BIGINT) AS score "
+        "FROM tf q JOIN tf d ON d.term = q.term AND d.side = 'd' AND q.side = 'q' JOIN w ON w.term = q.term JOIN m ON m.id = d.id GROUP BY ALL) "
+        "SELECT * FROM (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM s WHERE score > 0) WHERE rank <= 10"
+    ),
 }

@@ -24,7 +24,7 @@ LARGER = "/root/testdata/sf0.01"
 @pytest.fixture(scope="module")
 def con():
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "labels", "conversations"):
+    for t in ("documents", "embeddings", "labels", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return con
 
@@ -39,7 +39,7 @@ def rows(spark, name, sf=SF):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 12))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 13))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
