@@ -126,6 +126,14 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
 
 
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeloom.llm import language
+
+    docs = table(spark, sf_dir, "documents")
+    predicted = language.predict(docs, language.fit(docs, ~language.held_out()))
+    return predicted.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -139,6 +147,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_bpe_automaton": op10_bpe_automaton,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_lexical_search": op12_lexical_search,
+    "op13_language": op13_language,
 }
 
 _SPECIAL = r"[\\#<:]"
