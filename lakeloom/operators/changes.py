@@ -124,6 +124,66 @@ def changes_to_batch(
     return log.groupBy(*keys).agg(*aggs, F.max_by(is_delete, seq_col).alias(flag))
 
 
+def compact_log(
+    log: DataFrame,
+    keys,
+    seq_col: str,
+    op_col: str = "operation_type",
+    cols=None,
+    bucket_width: int | None = None,
+    insert_op: str = "I",
+    update_op: str = "U",
+    delete_op: str = "D",
+) -> DataFrame:
+    """A raw change log folded to one net operation per key.
+
+    Operations in a row combine as I+U=I, I+D=nothing, D+I=U, U+U=U, U+D=D: the
+    first tells whether the key was there before, the last whether it is there
+    after. That fold is associative, so every task reduces its rows first
+    (``min_by`` / ``max_by`` on the sequence) and a key with a third of the log
+    reaches the shuffle as one row per task. With ``bucket_width`` the fold is
+    per (key, ``sequence div width``): the result is a smaller log, which can
+    be folded again with what comes later; folding all of it gives the rows
+    that folding the raw log gives.
+
+    Returns keys, ``cols`` (of the last operation), ``op_col``, ``seq_col`` (of
+    the last operation), ``first_seq``, ``first_op`` and ``n_ops``, which a
+    further fold adds up. A NULL operation is an update. The sequence must be
+    unique per key and not NULL.
+    """
+    keys = list(keys)
+    folded = {"first_seq", "first_op", "n_ops"}
+    again = folded <= set(log.columns)
+    skip = {*keys, seq_col, op_col, *folded}
+    cols = [c for c in (cols if cols is not None else log.columns) if c not in skip]
+    op = F.coalesce(F.col(op_col), F.lit(update_op))
+    # Of rows folded before, the operation that began them and their number.
+    first_seq = F.col("first_seq") if again else F.col(seq_col)
+    first_op = F.col("first_op") if again else op
+    n_ops = F.sum("n_ops") if again else F.count(F.lit(1))
+    bucket = []
+    if bucket_width:
+        w = int(bucket_width)
+        bucket = [F.expr(f"(CAST(`{seq_col}` AS BIGINT) - pmod(CAST(`{seq_col}` AS BIGINT), {w}L)) div {w}L").alias("_c_bucket")]
+    found = log.groupBy(*keys, *bucket).agg(
+        F.max(seq_col).alias(seq_col),
+        F.min(first_seq).alias("first_seq"),
+        F.min_by(first_op, first_seq).alias("first_op"),
+        F.max_by(op, seq_col).alias("_c_last"),
+        *[F.max_by(c, seq_col).alias(c) for c in cols],
+        n_ops.alias("n_ops"),
+    )
+    was = F.col("first_op") != insert_op
+    net = F.when(F.col("_c_last") == delete_op, F.when(was, F.lit(delete_op))).otherwise(F.when(was, F.lit(update_op)).otherwise(F.lit(insert_op)))
+    net = found.withColumn(op_col, net)
+    if not bucket_width:
+        # Inside buckets a key that came and went is kept: a later fold needs to know that it was not there before.
+        net = net.where(F.col(op_col).isNotNull())
+    else:
+        net = net.withColumn(op_col, F.coalesce(op_col, F.lit(delete_op)))
+    return net.select(*keys, *cols, op_col, seq_col, "first_seq", "first_op", "n_ops")
+
+
 def snapshot_changes(table, from_version: int, to_version: int, keys, compare_cols=None, payload: bool = True) -> DataFrame:
     """``change_log`` between two versions of a ``SnapshotTable``.
 

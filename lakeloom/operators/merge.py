@@ -17,7 +17,7 @@ deleted anyway), but keeps the stored rows of keys named in ``protected``:
 those whose batch row was rejected. Rows labelled keep / unchanged / update / insert form the new
 table; the label column also feeds the count reconciliation.
 
-Two physical forms give the same rows:
+Three physical forms give the same rows:
 
 * ``full_outer``: one full-outer join (both sides shuffled on the keys).
 * ``broadcast``: for a small batch. The target is never shuffled: it is
@@ -26,6 +26,11 @@ Two physical forms give the same rows:
   Used only after the batch's rows and bytes were measured, also when asked
   for explicitly (a warning tells when the shuffle form runs instead).
   Full loads always use the shuffle form.
+* ``bloom``: for a batch too large to broadcast but small against the target.
+  A Bloom filter over the batch keys (sized from their measured number, itself
+  broadcast within a checked size) tells which target rows the batch can
+  touch; only those are shuffled to the full-outer join, all others are kept
+  where they are scanned.
 
 Preconditions (checked by the pipeline with ``checks.require_keys_valid``):
 batch keys are unique and not NULL; target keys are unique.
@@ -39,6 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.functions.keys import changed, key_match
+from lakeloom.operators.bloom import filter_bytes, key_filter, with_may_contain
 from lakeloom.plans.broadcast import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, check_size, fits
 
 ACTION = "_merge_action"
@@ -46,8 +52,11 @@ KEEP, UNCHANGED, UPDATE, INSERT, DELETE, IGNORE = "keep", "unchanged", "update",
 ACTIONS = (KEEP, UNCHANGED, UPDATE, INSERT, DELETE, IGNORE)
 WRITTEN = (KEEP, UNCHANGED, UPDATE, INSERT)
 
+#: A filter pays if the target has so many times the batch's rows.
+BLOOM_SHARE = 8
+
 _T, _S = "t__", "s__"
-_PRESENT, _PROTECTED = "_present", "_protected"
+_PRESENT, _PROTECTED, _MAY = "_present", "_protected", "_may_match"
 
 
 def _side(df: DataFrame, cols, prefix: str) -> DataFrame:
@@ -95,20 +104,27 @@ def _project(joined: DataFrame, cols, action: Column) -> DataFrame:
 
 
 def choose_strategy(
-    source: DataFrame, mode: str, strategy: str, max_rows: int, max_bytes: int, measured: tuple[int, int] | None = None
+    source: DataFrame, mode: str, strategy: str, max_rows: int, max_bytes: int, measured: tuple[int, int] | None = None, target_rows: int | None = None
 ) -> str:
-    """``full_outer`` or ``broadcast``. A broadcast (asked for or automatic) is
+    """``full_outer``, ``broadcast`` or ``bloom``. A broadcast (asked for or automatic) is
     used only when the batch is small by ``measured`` (rows and bytes, e.g. of
     the staging commits) or else by a measuring pass. Beyond the bound the
-    shuffle join is used."""
-    if strategy not in ("auto", "full_outer", "broadcast"):
+    batch's key filter is used if the target is known to have ``BLOOM_SHARE``
+    times as many rows, else the shuffle join."""
+    if strategy not in ("auto", "full_outer", "broadcast", "bloom"):
         raise ValueError(f"unknown merge strategy {strategy!r}")
     if strategy == "full_outer" or mode == "full":
         return "full_outer"
-    small = fits(*measured, max_rows, max_bytes) if measured is not None else check_size(source, max_rows, max_bytes).fits
-    if not small and strategy == "broadcast":
+    if strategy == "bloom":
+        return "bloom"
+    if measured is None:
+        size = check_size(source, max_rows, max_bytes)
+        measured = size.rows, size.bytes
+    if fits(*measured, max_rows, max_bytes):
+        return "broadcast"
+    if strategy == "broadcast":
         warnings.warn("the batch is too large to broadcast: merging by a shuffle join", stacklevel=2)
-    return "broadcast" if small else "full_outer"
+    return "bloom" if target_rows is not None and target_rows >= BLOOM_SHARE * measured[0] else "full_outer"
 
 
 def merge_actions(
@@ -124,9 +140,11 @@ def merge_actions(
     max_broadcast_bytes: int = DEFAULT_MAX_BYTES,
     protected: DataFrame | None = None,
     decided: bool = False,
+    batch_rows: int | None = None,
 ) -> DataFrame:
     """Target columns plus ``_merge_action`` for every target and batch row.
-    ``decided``: ``strategy`` is the outcome of :func:`choose_strategy`."""
+    ``decided``: ``strategy`` is the outcome of :func:`choose_strategy`;
+    ``batch_rows``: the number of batch rows, where it is known."""
     keys = list(keys)
     mode = getattr(mode, "value", mode)
     cols = list(target.columns)
@@ -151,6 +169,19 @@ def merge_actions(
     action = _action(mode, has_delete, delete_col, compare, newer_col)
     plan = strategy if decided else choose_strategy(source, mode, strategy, max_broadcast_rows, max_broadcast_bytes)
 
+    if plan == "bloom":
+        n_keys = source.count() if batch_rows is None else batch_rows
+        if filter_bytes(n_keys) <= max_broadcast_bytes:
+            # Hashes go by type: the batch's keys are hashed as the target's.
+            typed = source.select(*[F.col(k).cast(target.schema[k].dataType).alias(k) for k in keys])
+            blocks = key_filter(typed, keys, n_keys)
+            marked = with_may_contain(target, keys, blocks, n_keys, _MAY)
+            untouched = marked.where(~F.col(_MAY)).select(*cols, F.lit(KEEP).alias(ACTION))
+            t = _side(marked.where(_MAY), cols, _T)
+            return untouched.unionByName(_project(t.join(s, cond, "full_outer"), cols, action))
+        warnings.warn("the batch has too many keys for a filter: merging by a shuffle join", stacklevel=2)
+        plan = "full_outer"
+
     if plan == "full_outer":
         return _project(t.join(s, cond, "full_outer"), cols, action)
 

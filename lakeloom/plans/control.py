@@ -16,9 +16,12 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.plans.workspace import list_dirs, list_files, read_text, write_text
+from lakeloom.plans.workspace import delete_path, list_dirs, list_files, read_text, write_text
 from lakeloom.spec import check_identifier
 
+#: Control rows of a table that are kept, the current one included.
+KEPT_ROWS = 50
+
 CONTROL_SCHEMA = T.StructType(
     [
         T.StructField("delta_table_name", T.StringType(), False),
@@ -84,6 +87,9 @@ class ControlTable:
         docs = self._docs(name)
         seq = int(docs[-1].split(".")[0]) + 1 if docs else 0
         write_text(self.spark, f"{self.path}/{name}/{seq:020d}.json", json.dumps(doc))
+        # Older rows are kept for inspection, the newest of them only.
+        for old_doc in docs[: -KEPT_ROWS + 1]:
+            delete_path(self.spark, f"{self.path}/{name}/{old_doc}")
 
     # --- high-water mark (kept here so an empty batch cannot reset it) -----
     def high_water_mark(self, name: str, floor):

@@ -13,15 +13,18 @@ write through ``Observation`` rather than extra passes over a live source.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import uuid
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeloom.functions.literals import typed_lit
+from lakeloom.operators.batch_history import fold_batch, history_schema
 from lakeloom.operators.changes import latest_deleted_keys
 from lakeloom.operators.checks import CheckFailed, CountCheck, count_check, orphans, require_keys_valid
 from lakeloom.operators.extract import extract, lower_bound
@@ -40,11 +43,12 @@ from lakeloom.operators.merge import (
     merged_rows,
 )
 from lakeloom.operators.numbering import number_rows
+from lakeloom.operators.sequences import islands, merge_intervals, unconsumed
 from lakeloom.operators.staging import DELETE_FLAG, REJECT_COL, conform, stage_batch
 from lakeloom.plans.broadcast import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, row_bytes
 from lakeloom.plans.control import ControlTable
 from lakeloom.plans.metrics import observed_values
-from lakeloom.plans.workspace import empty_frame
+from lakeloom.plans.workspace import checkpoint_dir, empty_frame
 from lakeloom.sources.snapshots import Commit, SnapshotTable
 from lakeloom.spec import TableSpec
 
@@ -52,6 +56,23 @@ ROW_NUMBER = "row_number"
 _STAGE_OP = "stage "
 
 
+def _stage_operation(spec: TableSpec, run_ts) -> str:
+    # A run bounded by a sequence number has no time of its own: when it happened.
+    at = run_ts if isinstance(run_ts, dt.datetime) else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    return f"{_STAGE_OP}{spec.load_mode.value} as of {at.isoformat(sep=' ')}"
+
+
+def staged_full(commit: Commit) -> bool:
+    """Whether a staged batch is a full load: by what was staged, not by what the spec says now."""
+    return commit.operation.removeprefix(_STAGE_OP).startswith("full")
+
+
+def staged_at(commit: Commit) -> dt.datetime:
+    """The run time of a staged batch (of older commits that lack it, the time they were written)."""
+    _, _, run_ts = commit.operation.partition(" as of ")
+    return dt.datetime.fromisoformat(run_ts or commit.written_at)
+
+
 @dataclass(frozen=True)
 class StageResult:
     version: int
@@ -126,7 +147,7 @@ def stage_table(
     if spec.update_col:
         extra.append(F.max(F.when(live_ok, F.col(spec.update_col))).alias("max_mark"))
     extra.append(F.sum(row_bytes(staged.schema)).alias("bytes"))
-    commit, m = staging.stage_write(staged, operation=f"{_STAGE_OP}{spec.load_mode.value}", observe=extra)
+    commit, m = staging.stage_write(staged, operation=_stage_operation(spec, run_ts), observe=extra)
     check = count_check(m["rows"], staging.rows_of(commit))
     if not check.ok:
         raise CheckFailed(f"{spec.name}: staging count {check.actual} <> expected {check.expected}")
@@ -142,16 +163,19 @@ def batch_from_staging(staging: SnapshotTable, version: int | None = None) -> Da
     return staged.drop(ROW_NUMBER) if ROW_NUMBER in staged.columns else staged
 
 
-def pending_batches(staging: SnapshotTable, merged: int | None, full: bool) -> list[Commit]:
-    """Staged batches after version ``merged``, oldest first. A full load
-    stands for all before it. With none left, the newest is merged again."""
+def pending_batches(staging: SnapshotTable, merged: int | None) -> list[Commit]:
+    """Staged batches after version ``merged``, oldest first, of one load mode:
+    a full load stands for all before it, and ends the list if incremental
+    batches follow (they are merged next). With none left, the newest is
+    merged again."""
     staged = [c for c in staging.commits_after(merged) if c.operation.startswith(_STAGE_OP)]
     if not staged:
         newest = staging.current()
         if newest is None:
             raise FileNotFoundError(f"{staging.path}: nothing staged")
         return [newest]
-    return staged[-1:] if full else staged
+    last_full = max((i for i, c in enumerate(staged) if staged_full(c)), default=None)
+    return staged if last_full is None else staged[last_full : last_full + 1]
 
 
 def combined_batch(staging: SnapshotTable, commits: list[Commit], keys, validate: bool, what: str) -> DataFrame:
@@ -183,7 +207,8 @@ def merge_table(
     validate: bool = True,
     expected_override: int | None = None,
 ) -> MergeResult:
-    """Merge all staged batches that the business-current table lacks into it.
+    """Merge all staged batches that the business-current table lacks into it:
+    a full load on its own, then the incremental batches staged after it.
 
     The new version's count and keys are checked before it is published. If
     they are wrong it is not, its number goes into the control skip list, and
@@ -191,8 +216,16 @@ def merge_table(
     rejected keep their stored rows on a full load.
     ``expected_override`` exists to exercise that failure path in tests.
     """
+    while True:
+        result = _merge_pending(spark, spec, staging, current, control, run_ts, strategy, validate, expected_override)
+        if not any(c.operation.startswith(_STAGE_OP) for c in staging.commits_after(current.current().source_version)):
+            return result
+
+
+def _merge_pending(spark, spec: TableSpec, staging, current, control, run_ts, strategy, validate, expected_override) -> MergeResult:
     before = current.current()
-    pending = pending_batches(staging, before.source_version if before is not None else None, spec.is_full)
+    pending = pending_batches(staging, before.source_version if before is not None else None)
+    full = staged_full(pending[-1])
     batch = combined_batch(staging, pending, spec.keys, validate, spec.name)
     target_schema = batch.drop(DELETE_FLAG).schema
     if before is not None and before.schema:
@@ -202,7 +235,7 @@ def merge_table(
             if k in stored.fieldNames() and stored[k].dataType != batch.schema[k].dataType:
                 batch = batch.withColumn(k, F.col(k).cast(stored[k].dataType))
     touched = None
-    if current.bucketed and not spec.is_full and before is not None and current.same_layout(before):
+    if current.bucketed and not full and before is not None and current.same_layout(before):
         # Bucket-scoped merge: only the buckets holding batch keys are read and
         # rewritten; the rest of the table is carried forward by reference.
         # At most one id per bucket reaches the driver.
@@ -212,7 +245,7 @@ def merge_table(
         target = current.read()
     else:
         target = empty_frame(spark, target_schema)
-    mode = spec.load_mode.value
+    mode = "full" if full else "incremental"
     if before is None or not before.rows:
         # First load (the commit log says the target is empty): every live row
         # is an insert; no join, no shuffle.
@@ -222,10 +255,10 @@ def merge_table(
         # Rows and bytes written to staging bound the accepted batch.
         known = all(c.rows is not None and c.bytes is not None for c in pending)
         measured = (sum(c.rows for c in pending), sum(c.bytes for c in pending)) if known else None
-        plan = choose_strategy(batch, mode, strategy, DEFAULT_MAX_ROWS, DEFAULT_MAX_BYTES, measured)
+        plan = choose_strategy(batch, mode, strategy, DEFAULT_MAX_ROWS, DEFAULT_MAX_BYTES, measured, before.rows if touched is None else None)
         newer = spec.update_col if spec.newer_than_guard else None
-        refused = staging.read(pending[-1].version).where(F.col(REJECT_COL).isNotNull()) if spec.is_full else None
-        actions = merge_actions(target, batch, spec.keys, mode, newer_col=newer, strategy=plan, protected=refused, decided=True)
+        refused = staging.read(pending[-1].version).where(F.col(REJECT_COL).isNotNull()) if full else None
+        actions = merge_actions(target, batch, spec.keys, mode, newer_col=newer, strategy=plan, protected=refused, decided=True, batch_rows=measured[0] if measured else None)
     obs = Observation(f"merge_{uuid.uuid4().hex[:8]}")  # unique per use
     commit, _ = current.stage_write(
         actions,
@@ -235,7 +268,7 @@ def merge_table(
         source_version=pending[-1].version,
     )
     counts = observed_values(obs, actions, action_metrics())
-    if spec.is_full:
+    if full:
         expected = counts[KEEP] + counts[INSERT] + counts[UPDATE] + counts[UNCHANGED]
     else:
         prev_rows = before.rows if before is not None else 0
@@ -312,17 +345,18 @@ def stage_tables(spark, specs, sources: dict, audits: dict, layout: Layout, run_
 
 
 def merge_tables(
-    spark, specs, layout: Layout, run_ts, strategy: str = "auto", audits: dict | None = None, keep_versions: int | None = None
+    spark, specs, layout: Layout, run_ts, strategy: str = "auto", audits: dict | None = None, keep_versions: int | None = None, related=None
 ) -> dict:
     """The merge job: pending staged batches of every non-skipped table into its
-    current table, then point-in-time history (which needs the audit log) and
-    foreign-key reports. With
+    current table, then point-in-time history (from the audit log where there
+    is one, else from the staged batches) and foreign-key reports. With
     ``keep_versions``, data no longer referenced by that many newest commits
-    of the staging and current tables is removed after a successful merge."""
+    of the staging and current tables is removed after a successful merge.
+    ``related`` are specs of tables that foreign keys name, where ``specs`` is a part of a run."""
     control = layout.control(spark)
     audits = audits or {}
     loaded: dict[str, SnapshotTable] = {}
-    by_name = {s.name: s for s in specs}
+    by_name = {s.name: s for s in [*(related or ()), *specs]}
     out = {}
     for spec in specs:
         if not spec.skip and spec.point_in_time and spec.has_audit and spec.name not in audits:
@@ -333,13 +367,14 @@ def merge_tables(
         current = layout.current(spark, spec)
         staging = layout.staging(spark, spec)
         mg = merge_table(spark, spec, staging, current, control, run_ts, strategy)
+        loaded[spec.name] = current
+        if spec.point_in_time and spec.has_audit:
+            build_history(spec, audits[spec.name], layout.history(spark, spec))
+        elif spec.point_in_time:
+            build_history_from_batches(spec, staging, layout.history(spark, spec))
         if keep_versions:
             staging.vacuum(keep_versions)
             current.vacuum(keep_versions)
-        loaded[spec.name] = current
-        audit = audits.get(spec.name)
-        if spec.point_in_time and audit is not None and spec.has_audit:
-            build_history(spec, audit, layout.history(spark, spec))
         # Parents that are not part of this run are taken as stored.
         for _, parent, _ in spec.foreign_keys:
             if parent not in loaded:
@@ -368,37 +403,106 @@ def run_tables(
     return {name: (staged[name], *merged[name]) for name in merged}
 
 
+def _same_keys(keys, prefix: str) -> Column:
+    return reduce(lambda x, y: x & y, (F.col(k).eqNullSafe(F.col(prefix + k)) for k in keys))
+
+
+def _consumed_table(table: SnapshotTable) -> SnapshotTable:
+    """Intervals of audit sequences that a point-in-time layer holds, stored beside it."""
+    return SnapshotTable(table.spark, f"{table.path}/_consumed")
+
+
 def build_history(spec: TableSpec, audit: DataFrame, table: SnapshotTable) -> Commit | None:
     """Point-in-time layer: validity intervals per key from the audit log
-    (SCD2, ordered by the audit sequence). A version records the last sequence
-    it holds; the next build reads only later entries, ends the open intervals
-    of their keys and adds theirs. Of a bucketed layer only the buckets of
-    these keys are read and rewritten."""
+    (SCD2, ordered by the audit sequence).
+
+    Which sequences a version holds is kept as merged intervals beside it. The
+    next build reads entries after the last of them, ends the open intervals
+    of their keys and adds theirs. Entries that became visible late, with
+    numbers that earlier builds passed over, are found as well; the intervals of
+    their keys are built anew from the log. Of a bucketed layer only the
+    buckets of these keys are read and rewritten. An entry without sequence
+    has no place in the history and is refused.
+    """
     seq, time, keys = spec.audit_seq_col, spec.audit_time_col, list(spec.keys)
-    before = table.current()
+    spark, before = table.spark, table.current()
+    consumed_table = _consumed_table(table)
     held = before.source_version if before is not None else None
-    new = audit if held is None else audit.where(F.col(seq) > F.lit(held))
-    last = new.agg(F.max(seq)).first()[0]
-    if last is None and before is not None:
-        return before
+    consumed = consumed_table.read() if held is not None and consumed_table.exists() else None
+    last, unnumbered = audit.agg(F.max(seq), F.count_if(F.col(seq).isNull())).first()
+    if unnumbered:
+        raise CheckFailed(f"{spec.name}: {unnumbered} audit entries have no {seq}")
     cols = [c for c in audit.columns if c not in keys and c != seq]
-    rows = scd2(new, keys, seq, time, cols=cols, op_col=spec.audit_op_col, delete_op=spec.delete_op)
+
+    def intervals(log: DataFrame) -> DataFrame:
+        return scd2(log, keys, seq, time, cols=cols, op_col=spec.audit_op_col, delete_op=spec.delete_op)
+
     touched = None
-    if held is not None:
+    if consumed is None:
+        rows, now = intervals(audit), islands(audit, seq)
+    else:
+        checkpoint_dir(spark)
+        new = audit.where(F.col(seq) > F.lit(held))
+        late = unconsumed(audit.where(F.col(seq) <= F.lit(held)), seq, consumed).select(seq, *keys).checkpoint()
+        n_late = late.count()
+        if not n_late and (last is None or last <= held):
+            return before
+        late_keys = late.select(*[F.col(k).alias(f"_late_{k}") for k in keys]).distinct()
         if table.bucketed and table.same_layout(before):
-            touched = table.touched_buckets(new)
-        ends = new.groupBy(*[F.col(k).alias(f"_new_{k}") for k in keys]).agg(F.min_by(time, seq).alias("_end"))
-        same = reduce(lambda x, y: x & y, (F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys))
+            touched = table.touched_buckets(new.select(*keys).unionByName(late.select(*keys)))
         stored = table.read(buckets=touched)
-        joined = stored.join(ends, same, "left")
+        rows = intervals(audit.join(late_keys, _same_keys(keys, "_late_"), "left_semi")) if n_late else None
+        if n_late:
+            new, stored = (df.join(late_keys, _same_keys(keys, "_late_"), "left_anti") for df in (new, stored))
+        ends = new.groupBy(*[F.col(k).alias(f"_new_{k}") for k in keys]).agg(F.min_by(time, seq).alias("_end"))
+        joined = stored.join(ends, _same_keys(keys, "_new_"), "left")
         closed = F.col("is_current") & F.col("_end").isNotNull()
         old = joined.select(
             *[c for c in stored.columns if c not in ("valid_to", "is_current")],
             F.when(closed, F.col("_end")).otherwise(F.col("valid_to")).alias("valid_to"),
             (F.col("is_current") & F.col("_end").isNull()).alias("is_current"),
         )
-        rows = old.unionByName(rows)
+        rows = reduce(DataFrame.unionByName, [old, intervals(new), *([rows] if n_late else [])])
+        numbers = audit.where(F.col(seq) > F.lit(held)).select(seq).unionByName(late.select(seq))
+        now = merge_intervals(consumed.unionByName(islands(numbers, seq)))
     commit, _ = table.stage_write(rows, operation="history", replace_buckets=touched, source_version=last)
+    # Published before the intervals: a build lost in between finds its entries again and rebuilds their keys.
+    published = table.publish(commit)
+    consumed_table.write(now, operation=f"consumed by version {commit.version}")
+    return published
+
+
+def build_history_from_batches(spec: TableSpec, staging: SnapshotTable, table: SnapshotTable) -> Commit | None:
+    """Point-in-time layer of a table without audit log: the net changes of
+    every staged batch that the layer lacks, valid from the batch's run time.
+
+    A version records the last staged batch it holds. Only the intervals of
+    changed keys are closed and opened; of a bucketed layer an incremental
+    batch reads and rewrites the buckets of its keys alone. On a full load,
+    keys whose rows were rejected keep their intervals open.
+    """
+    before = table.current()
+    held = before.source_version if before is not None else None
+    staged = [c for c in staging.commits_after(held) if c.operation.startswith(_STAGE_OP)]
+    if not staged:
+        return before
+    frames = [batch_from_staging(staging, c.version) for c in staged]
+    touched = None
+    if before is None:
+        stored = empty_frame(table.spark, history_schema(T.StructType([f for f in frames[-1].schema.fields if f.name != DELETE_FLAG]), T.TimestampNTZType()))
+    else:
+        if table.bucketed and table.same_layout(before) and not any(staged_full(c) for c in staged):
+            touched = table.touched_buckets(reduce(DataFrame.unionByName, (f.select(*spec.keys) for f in frames)))
+        stored = table.read(buckets=touched)
+    done, still_open = [stored.where("NOT is_current")], stored.where("is_current")
+    for commit, frame in zip(staged, frames):
+        full = staged_full(commit)
+        refused = staging.read(commit.version).where(F.col(REJECT_COL).isNotNull()) if full else None
+        folded = fold_batch(still_open, frame, spec.keys, typed_lit(staged_at(commit), T.TimestampNTZType()), full, protected=refused)
+        done.append(folded.where("NOT is_current"))
+        still_open = folded.where("is_current")
+    rows = reduce(DataFrame.unionByName, [*done, still_open])
+    commit, _ = table.stage_write(rows, operation="history", replace_buckets=touched, source_version=staged[-1].version)
     return table.publish(commit)
 
 
@@ -423,6 +527,7 @@ __all__ = [
     "batch_from_staging",
     "bootstrap_tables",
     "build_history",
+    "build_history_from_batches",
     "foreign_key_report",
     "merge_table",
     "merge_tables",

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions.literals import lit_like
 from lakeloom.operators.extract import extract, lower_bound
-from lakeloom.plans.read_plan import ReadPlan, plan_read
+from lakeloom.plans.read_plan import KeyRange, ReadPlan, balanced_ranges, plan_read
 from lakeloom.spec import check_identifier
 
 
@@ -83,6 +83,17 @@ def read_jdbc(spark: SparkSession, source: JdbcSource, dbtable: str, plan: ReadP
     return r.format("jdbc").options(**opts).load()
 
 
+def read_jdbc_ranges(spark: SparkSession, source: JdbcSource, dbtable: str, column: str, ranges: list[KeyRange], reader=None) -> DataFrame:
+    """Scan a table with one partition for each of ``ranges`` (:func:`balanced_ranges`):
+    partitions of about equal rows, however the key is distributed."""
+    check_identifier(column)
+    opts = jdbc_options(source, dbtable)
+    opts.update(source.credentials())
+    url, table = opts.pop("url"), opts.pop("dbtable")
+    r = reader if reader is not None else spark.read
+    return r.jdbc(url=url, table=table, predicates=[x.predicate(column) for x in ranges], properties=opts)
+
+
 def read_population(
     spark: SparkSession,
     source: JdbcSource,
@@ -92,6 +103,7 @@ def read_population(
     schema_name: str | None = None,
     rows_per_partition: int | None = None,
     reader_factory=None,
+    balanced: bool = False,
 ) -> tuple[DataFrame, ReadPlan]:
     """The extraction population of ``spec`` read over JDBC.
 
@@ -100,6 +112,8 @@ def read_population(
     2. Scan: the same table with partition options from those bounds; the
        population predicate is a DataFrame filter, pushed into every
        partition's query.
+    With ``balanced`` the partitions get equal numbers of rows instead of equal
+    widths: one more scan, of the partition column alone, finds their ranges.
     Without a partition column the scan is a single partition.
     """
     dbtable = table_ref(schema_name, spec.name)
@@ -113,6 +127,10 @@ def read_population(
         spec = spec.resolved(scan().schema)
     if spec.partition_col:
         plan = plan_read(extract(scan(), spec, hwm, run_ts), spec.partition_col, spec.num_partitions, rows_per_partition)
+    if balanced and plan is not None and plan.partitioned:
+        ranges = balanced_ranges(extract(scan(plan), spec, hwm, run_ts), spec.partition_col, plan.num_partitions)
+        df = read_jdbc_ranges(spark, source, dbtable, spec.partition_col, ranges, reader=reader_factory() if reader_factory is not None else None)
+        return extract(df, spec, hwm, run_ts), plan
     return extract(scan(plan), spec, hwm, run_ts), plan
 
 

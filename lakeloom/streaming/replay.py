@@ -28,6 +28,8 @@ from lakeloom.operators.merge import merge
 from lakeloom.sources.snapshots import SnapshotTable
 
 _BATCH_OP = "replay batch "
+#: Log files are read however much older they are than the newest one seen: back-filled files count too.
+MAX_FILE_AGE = "36500d"
 
 
 def _token(checkpoint: str) -> str:
@@ -72,6 +74,7 @@ def _start(spark, log_path, log_schema, keys, seq_col, state_path, checkpoint_pa
     stream = (
         spark.readStream.schema(log_schema)
         .option("maxFilesPerTrigger", max_files_per_trigger)
+        .option("maxFileAge", MAX_FILE_AGE)
         .parquet(log_path)
     )
     query = (
