@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,18 +19,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Folders made so far in each open scope, innermost last (driver only).
-_SCOPES: list[list[str]] = []
+#: Lists of the folders made in each open scope, innermost last. Every thread has its own.
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 
 
 @contextmanager
 def collecting(paths: list[str]):
     """Folders made inside are added to ``paths``, whose owner deletes them."""
-    _SCOPES.append(paths)
+    before = _SCOPES.set((*_SCOPES.get(), paths))
     try:
         yield
     finally:
-        _SCOPES.remove(paths)
+        _SCOPES.reset(before)
 
 
 @contextmanager
@@ -47,18 +48,18 @@ def scratch(spark: SparkSession):
 def folder(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder."""
     path = work_dir(spark, name)
-    if _SCOPES:
-        _SCOPES[-1].append(path)
+    if _SCOPES.get():
+        _SCOPES.get()[-1].append(path)
     return path
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:
     """``df`` stored so that it outlives the innermost :func:`scratch`."""
-    inner = _SCOPES.pop()
+    before = _SCOPES.set(_SCOPES.get()[:-1])
     try:
         return stored(df, name)
     finally:
-        _SCOPES.append(inner)
+        _SCOPES.reset(before)
 
 
 def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
@@ -75,13 +76,49 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return stored_at(df, name)[0]
 
 
-#: Column of :func:`numbered`.
-ROW = "_row"
-
-
-def numbered(df: DataFrame, name: str) -> DataFrame:
-    """``df`` stored, each row with a number of its own in ``ROW``."""
-    return stored(df.withColumn(ROW, F.monotonically_increasing_id()), name)
+def fresh_name(taken, name: str) -> str:
+    """``name``, lengthened until no column of ``taken`` has it."""
+    held = {c.lower() for c in taken}
+    while name.lower() in held:
+        name += "_"
+    return name
+
+
+def _reads_files(df: DataFrame) -> bool:
+    """Whether the rows are those of files: a scan, perhaps filtered or projected."""
+    node = df._jdf.queryExecution().analyzed()
+    while node.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        node = node.children().head()
+    return node.nodeName() == "LogicalRelation"
+
+
+def folder_of(df: DataFrame) -> str | None:
+    """The folder of Parquet files that ``df`` is all of, read as it is; None for anything else."""
+    plan = df._jdf.queryExecution().analyzed()
+    if plan.nodeName() != "LogicalRelation":
+        return None
+    location = plan.relation().location()
+    roots = location.rootPaths()
+    if roots.size() != 1 or location.partitionSchema().size():
+        return None
+    if "parquet" not in plan.relation().fileFormat().toString().lower():
+        return None
+    return roots.head().toString()
+
+
+def located(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` with a column, whose name is returned, that tells its rows apart
+    and is the same in every reading: a hash of the row's file and its place
+    there. Rows that do not come from files are stored first."""
+    if not _reads_files(df):
+        df = stored(df, name)
+    column, file = fresh_name(df.columns, "row_place"), df.metadataColumn("_metadata")["file_path"]
+    clash = df.select(file.alias("f")).groupBy(F.xxhash64("f")).agg(F.min("f").alias("a"), F.max("f").alias("b")).where("a <> b")
+    if clash.head(1):  # no value of the table is read for this
+        df = stored(df, name)
+        return located(df, name)
+    place = F.struct(F.xxhash64(file).alias("file"), df.metadataColumn("_metadata")["row_index"].alias("index"))
+    return df.select(*[F.col(f"`{c}`") for c in df.columns], place.alias(column)), column
 
 
 def text_or_empty(name: str = "text") -> Column:

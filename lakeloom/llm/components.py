@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import stored
+from lakeloom.llm.common import stored_at
+from lakeloom.plans.workspace import delete_path
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
@@ -21,10 +22,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Alternates large-star and small-star steps until the edges are stars. Each
     step is a map-side combined minimum and a join, so a node with very many
     neighbours is spread like any skewed join key; every round is written to
-    the shared folder.
+    the shared folder, the one before it is deleted.
     """
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    edges = stored(edges, "components")
+    spark = edges.sparkSession
+    edges, path = stored_at(edges, "components")
     before = _fingerprint(edges)
     while before[0]:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -32,7 +34,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = stored(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "components")
+        last = path
+        edges, path = stored_at(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "components")
+        delete_path(spark, last)
         after = _fingerprint(edges)
         if after == before:
             break

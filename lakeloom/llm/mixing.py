@@ -21,7 +21,7 @@ All draws are hashes of ``seed``, slot and round, so reruns agree.
 
 Nulls: a null text has size 0; rows without source form a source that comes
 last. Documents of size 0 are returned with nothing taken. Rows are told apart
-by the number that ``common.numbered`` gave them; without it rows of equal id
+by the place that ``common.located`` gave them; without it rows of equal id
 are told apart by size and text, then are alike. Very long texts fill many blocks. An
 empty table gives an empty result. Other columns are ignored.
 """
@@ -33,7 +33,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import ROW, SPACE_CLASS, WORD_CLASS, stored
+from lakeloom.llm.common import SPACE_CLASS, WORD_CLASS, fresh_name, stored
 
 #: Documents in a chunk of a source, on average.
 CHUNK_DOCS = 5000
@@ -116,9 +116,11 @@ def mix(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
+    row_col: str | None = None,
 ) -> Mix:
+    """``row_col``: a column that tells the rows apart (``common.located``), where ids may not."""
     spark = docs.sparkSession
-    sized = stored(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), F.xxhash64(text_col).alias("hash"), (F.col(ROW) if ROW in docs.columns else F.lit(None).cast("long")).alias("row")), "mix-sizes")
+    sized = stored(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), F.xxhash64(text_col).alias("hash"), (F.col(row_col) if row_col else F.lit(None).cast("long")).alias("row")), "mix-sizes")
     sources = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), list(weights), max_repeat)
     sources = sources.withColumn("n_blocks", F.ceil(F.col("source_size") / block_words).cast("long"))
     wanted = F.round(F.col("target") * F.col("n_blocks") / F.col("source_size")).cast("long")
@@ -129,7 +131,8 @@ def mix(
 
     # Pack: the place of every document in its source, by chunks in hashed order.
     n_docs = sized.count()
-    chunk = F.pmod(_hash(seed, "doc_id"), F.lit(max(1, n_docs // CHUNK_DOCS)))
+    # Rows without id, or with one that many have, are dealt by their text and place.
+    chunk = F.pmod(_hash(seed, "doc_id", "hash", "row"), F.lit(max(1, n_docs // CHUNK_DOCS)))
     placed = sized.join(known, F.col("source").eqNullSafe(F.col("_source"))).select("row", "doc_id", "size", "hash", "sid", chunk.alias("chunk"))
     full = placed.where(F.col("size") > 0)
     chunks = full.groupBy("sid", "chunk").agg(F.sum("size").alias("chunk_size"))
@@ -194,27 +197,28 @@ def taken(m: Mix) -> DataFrame:
     return full.unionByName(empty).join(m.sources.select("sid", "source_size", "target"), "sid").select("doc_id", "size", "source_size", "target", "taken")
 
 
-def materialise(docs: DataFrame, m: Mix) -> DataFrame:
-    """The mix as rows like ``docs``, those that ``m`` was made of, without
-    their numbers (unless they are numbered, ids must be distinct): copy c of a
+def materialise(docs: DataFrame, m: Mix, row_col: str | None = None) -> DataFrame:
+    """The mix as rows like ``docs``, those that ``m`` was made of (with the same
+    ``row_col``, which is dropped; without one, ids must be distinct): copy c of a
     document has, in order, the words of its segments that are taken more than
     c times; documents of which nothing is taken are gone. A whole copy keeps
     its text as it was."""
     part = F.struct("first", "words", "uses")
-    key, own = (ROW, "row") if ROW in docs.columns else ("doc_id", "doc_id")
-    if key != ROW:
+    key, own = (row_col, "row") if row_col else ("doc_id", "doc_id")
+    if not row_col:
         n, ids = m.documents.agg(F.count("*"), F.count_distinct("doc_id")).head()
         if ids < n:
-            raise ValueError("ids are null or repeated: number the rows first")
-    parts = segment_uses(m).where("uses > 0").groupBy(F.col(own).alias(key)).agg(F.array_sort(F.collect_list(part)).alias("_parts"), F.max("uses").alias("_most"))
-    copies = docs.join(parts, key).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_most"))))
-    chosen = F.filter("_parts", lambda p: p["uses"] >= F.col("_copy"))
+            raise ValueError("ids are null or repeated: locate the rows first")
+    p_key, p_parts, p_most, p_copy, p_words = (fresh_name(docs.columns, n) for n in ("mix_key", "mix_parts", "mix_most", "mix_copy", "mix_words"))
+    parts = segment_uses(m).where("uses > 0").groupBy(F.col(own).alias(p_key)).agg(F.array_sort(F.collect_list(part)).alias(p_parts), F.max("uses").alias(p_most))
+    copies = docs.join(parts, F.col(key) == F.col(p_key)).withColumn(p_copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(p_most))))
+    chosen = F.filter(p_parts, lambda p: p["uses"] >= F.col(p_copy))
     n_chosen = F.aggregate(chosen, F.lit(0).cast("long"), lambda n, p: n + p["words"])
     words = F.regexp_extract_all("text", F.lit(f"({SPACE_CLASS}*{WORD_CLASS}+{SPACE_CLASS}*)"), F.lit(1))
-    cut = F.array_join(F.flatten(F.transform(chosen, lambda p: F.slice(F.col("_words"), (p["first"] + 1).cast("int"), p["words"].cast("int")))), "")
-    copies = copies.withColumn("_words", words)
-    text = F.when(n_chosen == F.size("_words"), F.col("text")).otherwise(cut)
+    cut = F.array_join(F.flatten(F.transform(chosen, lambda p: F.slice(F.col(p_words), (p["first"] + 1).cast("int"), p["words"].cast("int")))), "")
+    copies = copies.withColumn(p_words, words)
+    text = F.when(n_chosen == F.size(p_words), F.col("text")).otherwise(cut)
     mixed = copies.withColumn("text", text)
     if "n_chars" in docs.columns:
         mixed = mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return mixed.select(*[c for c in docs.columns if c != ROW])
+    return mixed.select(*[c for c in docs.columns if c != row_col])

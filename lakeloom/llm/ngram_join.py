@@ -24,13 +24,20 @@ is lost.
    that no other set has come first and need no entry; a set with too many of
    them has no partner at all. The number of sub-classes goes by powers of two
    of the set size; sets near a boundary are indexed for both.
-4. Entries connect sets to candidate clusters. Within a cluster every set is
-   compared with one hub (the set with fewest unshared tokens). Sets linked to
-   the hub need no comparison among themselves; all other pairs are verified
-   in blocks, exactly, and only a spanning forest of their links leaves a
-   task. So a group of many thousand near copies is spread over many tasks
-   and never written out as pairs.
-5. Links give components.
+4. Entries connect sets to candidate clusters: sets that share an entry are
+   united inside each batch of a task, and only a spanning forest and one set
+   per entry go on to the shuffle by entry, where the same is done again. So
+   an entry that very many sets have is a few rows.
+5. Of clusters with more than ``BLOCK_SETS`` sets, whole sets are indexed in
+   the same way, their tokens counted within these clusters: prefixes are as
+   long as they can be, and common tokens exceed what partners must share far
+   less often. Sets that only have boilerplate in common fall apart here.
+6. Within a cluster every set is compared with one hub (the set with fewest
+   unshared tokens). Sets linked to the hub need no comparison among
+   themselves; all other pairs are verified in blocks, exactly, and only a
+   spanning forest of their links leaves a task. So a group of many thousand
+   near copies is spread over many tasks and never written out as pairs.
+7. Links give components.
 
 Tokens are 64-bit hashes of shingles.
 
@@ -56,8 +63,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.llm.common import kept, scratch, stored, stored_at
+from lakeloom.llm.common import fresh_name, kept, scratch, stored, stored_at
 from lakeloom.llm.components import connected_components
+from lakeloom.operators.bloom import filter_bytes, key_filter, with_may_contain
+from lakeloom.plans.broadcast import DEFAULT_MAX_BYTES
 from lakeloom.plans.workspace import delete_path
 
 #: Tokens in at most so many sets are indexed singly, then by twos; all others by threes.
@@ -114,14 +123,14 @@ def margin(n: int, percent: int) -> int:
     return min(1 + min(e, int(MARGIN * n)), n - e)
 
 
-def required(n: int, percent: int) -> int:
-    """First tokens that partners have in common, whichever of them ends first."""
-    return margin((percent * n + 99) // 100, percent)
+def required(n: int, percent: int, whole: bool = False) -> int:
+    """First tokens that partners have in common, whichever of them ends first; of ``whole`` sets, all tokens in common."""
+    return n - allowed(n, percent) if whole else margin((percent * n + 99) // 100, percent)
 
 
-def signatures(n: int, df: np.ndarray, tokens: np.ndarray, percent: int) -> set[int]:
-    """Index entries of a set of ``n`` tokens; ``tokens`` are its first tokens that other sets have too (``df`` sets each)."""
-    need = len(tokens) - required(n, percent) + 1  # first tokens of this set alone come before these
+def signatures(n: int, df: np.ndarray, tokens: np.ndarray, percent: int, whole: bool = False) -> set[int]:
+    """Index entries of a set of ``n`` tokens; ``tokens`` are its first (or all) tokens that other sets have too (``df`` sets each)."""
+    need = len(tokens) - required(n, percent, whole) + 1  # first tokens of this set alone come before these
     if need <= 0:
         return set()
     order = np.lexsort((tokens, df))
@@ -130,7 +139,7 @@ def signatures(n: int, df: np.ndarray, tokens: np.ndarray, percent: int) -> set[
     out: set[int] = set()
     for level in range(max(1, least).bit_length() - 1, max(1, most).bit_length()):
         # Three tokens a sub-class at most do not count; there must be enough others. With no sub-class all are single.
-        groups = required(1 << level, percent) // 4
+        groups = required(1 << level, percent, whole) // 4
         held: dict[tuple[int, int], list[int]] = {}
         left = need
         for t, f in zip(tokens, df):
@@ -153,6 +162,28 @@ def _linked(common, a, b, percent: int):
     return 100 * common >= percent * (a + b - common)
 
 
+def spanning_forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Few pairs that connect what the pairs ``a, b`` connect: each number with the first of its component."""
+    nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = place[: len(a)], place[len(a) :]
+    pairs = np.unique(np.minimum(x, y) * len(nodes) + np.maximum(x, y))
+    parent = list(range(len(nodes)))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for i, j in zip((pairs // max(1, len(nodes))).tolist(), (pairs % max(1, len(nodes))).tolist()):
+        i, j = root(i), root(j)
+        if i != j:
+            parent[max(i, j)] = min(i, j)
+    roots = np.array([root(i) for i in range(len(nodes))], np.int64)
+    linked = np.flatnonzero(roots != np.arange(len(nodes)))
+    return nodes[linked], nodes[roots[linked]]
+
+
 def verify_block(sizes: np.ndarray, sets: list[np.ndarray], percent: int, first: np.ndarray, second: np.ndarray) -> list[tuple[int, int]]:
     """Links between the sets at ``first`` and those at ``second`` (all at once), as a spanning forest."""
     parent = list(range(len(sets)))
@@ -205,21 +236,20 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def _set_scan(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """``doc_id, h1, h2, row, n, digest, first``: text hashes, row number, size, digest and first tokens of every document's set."""
-    schema = T.StructType(
-        [*(T.StructField(n, T.LongType()) for n in ("doc_id", "h1", "h2", "row", "n")), T.StructField("digest", T.BinaryType()), T.StructField("first", T.ArrayType(T.LongType()))]
-    )
+    """All columns of ``docs`` but the last, its text, and ``n, digest, first``: size, digest and first tokens of every document's set."""
+    known = docs.schema.fields[:-1]
+    schema = T.StructType([*known, T.StructField("n", T.LongType()), T.StructField("digest", T.BinaryType()), T.StructField("first", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, digests, first = [], [], []
-            for text in b.column(4).to_pylist():
+            for text in b.column(len(known)).to_pylist():
                 s = shingles(text, shingle)
                 n.append(len(s))
                 digests.append(xxhash.xxh3_128_digest(s.tobytes()))
                 first.append(_long(s[: allowed(len(s), percent) + margin(len(s), percent)]))
             columns = [pa.array(n, pa.int64()), pa.array(digests, pa.binary()), _lists(first)]
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(4)), *columns], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(known))), *columns], names=schema.names)
 
     return docs.mapInArrow(run, schema)
 
@@ -233,13 +263,19 @@ def _sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
             sets = [_long(shingles(text, shingle)) for text in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sets], pa.int64()), _lists(sets)], names=schema.names)
 
-    # Equal texts are combined before they are shuffled.
-    texts = docs.groupBy("h1", "h2").agg(F.first("text").alias("text"))
+    # Only texts whose hashes are wanted (and a few by chance) leave their task; equal ones are combined there.
+    n_wanted = wanted.count()
+    texts = docs.select("h1", "h2", "text")
+    if filter_bytes(n_wanted) <= DEFAULT_MAX_BYTES:
+        blocks = stored(key_filter(wanted, ["h1", "h2"], n_wanted), "ngram-filter")
+        may = fresh_name(texts.columns, "may")
+        texts = with_may_contain(texts, ["h1", "h2"], blocks, n_wanted, may).where(may).drop(may)
+    texts = texts.groupBy("h1", "h2").agg(F.first("text").alias("text"))
     return texts.join(wanted, ["h1", "h2"]).select("rep", "text").mapInArrow(run, schema)
 
 
-def _index(first: DataFrame, percent: int) -> DataFrame:
-    """``rep, unshared, entries`` from ``rep, n, token``: index entries of each set that may have a partner."""
+def _index(first: DataFrame, percent: int, whole: bool = False) -> DataFrame:
+    """``rep, unshared, entries`` from ``rep, n, token``: index entries of each set that may have a partner. ``whole``: by all tokens, not the first alone."""
     shared = first.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     held = first.join(shared, "token").groupBy("rep").agg(F.first("n").alias("n"), F.collect_list(F.struct("df", "token")).alias("shared"))
     schema = T.StructType([T.StructField("rep", T.LongType()), T.StructField("unshared", T.LongType()), T.StructField("entries", T.ArrayType(T.LongType()))])
@@ -252,7 +288,7 @@ def _index(first: DataFrame, percent: int) -> DataFrame:
             df, tok = (lists.values.field(i).to_numpy() for i in range(2))
             for i, (rep, n) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
                 lo, hi = bounds[i], bounds[i + 1]
-                found = signatures(n, df[lo:hi], tok[lo:hi].view(np.uint64), percent)
+                found = signatures(n, df[lo:hi], tok[lo:hi].view(np.uint64), percent, whole)
                 if found:
                     rows[0].append(rep)
                     rows[1].append(allowed(n, percent) + margin(n, percent) - (hi - lo))
@@ -262,6 +298,53 @@ def _index(first: DataFrame, percent: int) -> DataFrame:
     return held.mapInArrow(run, schema)
 
 
+def _entry_links(entry: np.ndarray, rep: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each distinct entry comes first (by set), and links that connect the sets of every entry."""
+    order = np.lexsort((rep, entry))
+    e, r = entry[order], rep[order]
+    same = e[1:] == e[:-1]
+    a, b = spanning_forest(r[1:][same], r[:-1][same])
+    return order[np.concatenate([[True], ~same])] if len(e) else order, a, b
+
+
+def _candidate_links(index: DataFrame) -> DataFrame:
+    """``a, b``: links that connect all sets which share an index entry."""
+    schema = T.StructType([T.StructField(n, T.LongType()) for n in ("entry", "a", "b")])
+
+    def rows(entry: np.ndarray, first: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        none = np.ones(len(first), bool)
+        columns = [
+            pa.array(np.concatenate([entry, np.zeros(len(a), np.int64)]), mask=np.concatenate([~none, np.ones(len(a), bool)])),
+            pa.array(np.concatenate([first, a])),
+            pa.array(np.concatenate([np.zeros(len(first), np.int64), b]), mask=np.concatenate([none, np.zeros(len(b), bool)])),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    def united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            offsets = lists.offsets.to_numpy()
+            entry = lists.values.to_numpy()[offsets[0] : offsets[-1]]
+            rep = np.repeat(batch.column(0).to_numpy(), np.diff(offsets))
+            at, a, b = _entry_links(entry, rep)
+            yield rows(entry[at], rep[at], a, b)
+
+    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last_entry = last_rep = np.zeros(0, np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                # Sorted by entry: the entry that a batch ends with may go on in the next.
+                entry = np.concatenate([last_entry, batch.column(0).to_numpy()])
+                rep = np.concatenate([last_rep, batch.column(1).to_numpy()])
+                _, a, b = _entry_links(entry, rep)
+                last_entry, last_rep = entry[-1:], rep[-1:]
+                yield rows(np.zeros(0, np.int64), np.zeros(0, np.int64), a, b)
+
+    own = stored(index.select("rep", "entries").mapInArrow(united, schema), "ngram-entries")
+    met = own.where("b IS NULL").select("entry", F.col("a").alias("rep")).repartition("entry").sortWithinPartitions("entry", "rep").mapInArrow(across, schema)
+    return own.where("b IS NOT NULL").select("a", "b").unionByName(met.select("a", "b"))
+
+
 def _hub_links(members: DataFrame, hubs: DataFrame, percent: int) -> DataFrame:
     """``members`` with ``linked``: whether the set links with its cluster's hub."""
     schema = T.StructType([*members.schema.fields, T.StructField("hub", T.LongType()), T.StructField("linked", T.BooleanType())])
@@ -279,9 +362,22 @@ def _hub_links(members: DataFrame, hubs: DataFrame, percent: int) -> DataFrame:
     return members.join(hubs, "cluster").select(*names, "hub", "hub_tokens").mapInArrow(run, schema)
 
 
+def _parted(members: DataFrame, percent: int) -> DataFrame:
+    """``members`` with the sets of large clusters dealt anew to clusters by their whole sets; those without a candidate are gone."""
+    large = stored(members.groupBy("cluster").count().where(F.col("count") > BLOCK_SETS).select("cluster"), "ngram-large")
+    if not large.head(1):
+        return members
+    theirs = members.join(large, "cluster", "left_semi")
+    index = stored(_index(theirs.select("rep", "n", F.explode("tokens").alias("token")), percent, whole=True), "ngram-whole-index")
+    clusters = connected_components(_candidate_links(index)).select(F.col("node").alias("rep"), F.col("root").alias("cluster"))
+    again = theirs.drop("cluster").join(clusters, "rep").select(*members.columns)
+    return stored(members.join(large, "cluster", "left_anti").unionByName(again), "ngram-parted")
+
+
 def _verified_links(sets: DataFrame, index: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
     """``a, b``: links that connect whatever is linked within the clusters."""
     members = stored(sets.join(clusters, "rep").join(index.select("rep", "unshared"), "rep").select("cluster", "rep", "unshared", "n", "tokens"), "ngram-members")
+    members = _parted(members, percent)
     hubs = members.groupBy("cluster").agg(F.min(F.struct("unshared", "rep"))["rep"].alias("hub"))
     hubs = hubs.join(members.select(F.col("rep").alias("hub"), F.col("tokens").alias("hub_tokens")), "hub")
     tried = stored(_hub_links(members, hubs, percent).drop("unshared"), "ngram-hubs")
@@ -311,7 +407,7 @@ def _verified_links(sets: DataFrame, index: DataFrame, clusters: DataFrame, perc
 
 
 def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row of ``docs``. With ``row_col``, a column of distinct numbers, also
+    """``doc_id, n_shingles, component_id`` of every row of ``docs``. With ``row_col``, a column that tells rows apart, also
     that and ``kept``: true for one row of a component, that with the smallest id (rows without id last, of equal ids the first row)."""
     with scratch(docs.sparkSession):
         return kept(_components(docs, shingle, percent, id_col, text_col, row_col), "ngram-result")
@@ -319,7 +415,8 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80, id_
 
 def _components(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: str, row_col: str | None) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2"), (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"), text.alias("text"))
+    own = [F.col(row_col).alias("own")] if row_col else []
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2"), F.monotonically_increasing_id().alias("row"), *own, text.alias("text"))
     full, full_path = stored_at(_set_scan(docs, shingle, percent), "ngram-first")
     scan = stored(full.drop("first"), "ngram-scan")
 
@@ -330,10 +427,7 @@ def _components(docs: DataFrame, shingle: int, percent: int, id_col: str, text_c
     first = full.where("n > 0").groupBy("digest").agg(F.min("row").alias("rep"), F.first("n").alias("n"), F.first("first").alias("first"))
     index = stored(_index(first.select("rep", "n", F.explode("first").alias("token")), percent), "ngram-index")
     delete_path(docs.sparkSession, full_path)
-    entries = index.select("rep", F.explode("entries").alias("entry"))
-    least = entries.groupBy("entry").agg(F.min("rep").alias("least"), F.count("*").alias("c")).where("c > 1").select("entry", "least")
-    near = entries.join(least, "entry").where("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b"))
-    clusters = stored(connected_components(near).select(F.col("node").alias("rep"), F.col("root").alias("cluster")), "ngram-clusters")
+    clusters = stored(connected_components(_candidate_links(index)).select(F.col("node").alias("rep"), F.col("root").alias("cluster")), "ngram-clusters")
 
     sets = _sets(docs, classes.join(clusters, "rep").select("rep", "h1", "h2"), shingle)
     links = _verified_links(sets, index, clusters, percent)
@@ -343,7 +437,7 @@ def _components(docs: DataFrame, shingle: int, percent: int, id_col: str, text_c
     of_class = of_class.join(smallest, "root").select("digest", "keep")
     alone = classes.join(roots, classes["rep"] == roots["node"], "left_anti").select("digest", F.col("least_doc").alias("keep"))
     named = stored(of_class.unionByName(alone), "ngram-components")
-    own = [F.col("row").alias(row_col)] if row_col else []
+    own = [F.col("own").alias(row_col)] if row_col else []
     result = scan.where("n > 0").join(named, "digest")
     result = result.select("doc_id", F.col("n").alias("n_shingles"), F.col("keep.doc_id").alias("component_id"), *own, *([(F.col("row") == F.col("keep.row")).alias("kept")] if own else []))
     return result.unionByName(scan.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), *own, *([F.lit(True).alias("kept")] if own else [])))

@@ -9,8 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import table
-from lakeloom.plans.workspace import work_dir
+from lakeloom.llm.common import folder, kept, scratch, table
 
 
 def _tokenizer(name: str) -> str:
@@ -46,7 +45,9 @@ def op4_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakeloom.llm import token_counts
 
-    return token_counts.count_tokens(table(spark, sf_dir, "documents"), work_dir(spark, "token-cache"), _tokenizer("piece_bpe_32k.model"), limit=4096)
+    with scratch(spark):
+        counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), folder(spark, "token-cache"), _tokenizer("piece_bpe_32k.model"), limit=4096)
+        return kept(counted, "token-counts")
 
 
 #: Text full of control strings; the formatter must give it back unharmed.

@@ -6,9 +6,12 @@ table's files keeps one state row per digest: the digest of the normalised
 text, the stable identifier of the row that stays (the smallest id), a locator
 of its content (file and row) and the number of rows seen. The state lives in
 RocksDB on the executors' disks, is checkpointed to the shared folder and
-never expires, so a run over further files under the same ``state_dir`` goes
-on where the last one stopped, and a lost executor costs one replay of the
-open micro-batch.
+never expires, so a run over further files under the same ``state_dir``, in the
+same folder or another, goes on where the last one stopped, and a lost
+executor costs one replay of the open micro-batch. Then a row's text is
+compared with that of a row read earlier, where its file still lies; if it is
+gone, the first row at hand stays. Files are known by name: rows of a file that
+was written anew under its old name have no state, which is an error.
 
 A digest seen more than once is a hit, not yet a duplicate: the bytes of every
 hit are compared with those at the locator in its state row. Rows whose bytes
@@ -29,11 +32,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from contextlib import contextmanager
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import SPACE_CLASS, folder, kept, scratch, stored
+from lakeloom.llm.common import SPACE_CLASS, folder, folder_of, fresh_name, kept, scratch, stored
+from lakeloom.plans.workspace import path_exists
 
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -135,13 +140,16 @@ def _deduplicated(spark, path, state_dir, digest, files_per_trigger, id_col, tex
     state = stored(state, "dedup-seen")
 
     hit = F.col("n") > 1
-    seen = _keyed(docs, id_col, text_col, digest).withColumn("sha", F.sha2("text", 256)).join(state, "digest")
+    seen = _keyed(docs, id_col, text_col, digest).withColumn("sha", F.sha2("text", 256)).join(state, "digest", "left")
     is_keep = (F.col("file") == F.col("keep.file")) & (F.col("row") == F.col("keep.row"))
-    seen = stored(seen.select("doc_id", "digest", "sha", F.col("keep.doc_id").alias("keep_id"), "n", is_keep.alias("is_keep"), "file", "row", F.when(hit, F.col("text")).alias("text")), "dedup-hits")
+    seen = stored(seen.select("doc_id", "digest", "sha", F.col("keep.doc_id").alias("keep_id"), "keep", "n", is_keep.alias("is_keep"), "file", "row", F.when(hit, F.col("text")).alias("text")), "dedup-hits")
+    if seen.where("n IS NULL").head(1):
+        raise RuntimeError(f"{path} has rows that the state in {state_dir} has not: files read before were written anew under their old names")
 
     # The full bytes of every hit against those of the row that stays.
     hits = seen.where(hit)
-    at_locator = hits.where("is_keep").select("digest", F.col("text").alias("keep_text"))
+    here = hits.where("is_keep").select("digest", F.col("text").alias("keep_text"))
+    hits, at_locator = _keepers(spark, docs, hits, here, digest, id_col, text_col)
     checked = hits.join(at_locator, "digest").withColumn("same", F.col("text") == F.col("keep_text"))
     strangers = checked.where(~F.col("same")).select("doc_id", "digest", "sha", "text", "file", "row")
     n_strangers = strangers.groupBy("digest").agg(F.count("*").alias("strangers"))
@@ -157,13 +165,43 @@ def _deduplicated(spark, path, state_dir, digest, files_per_trigger, id_col, tex
     return seen.where(~hit).select(*columns).unionByName(same.select(*columns)).unionByName(apart.select(*columns))
 
 
+def _keepers(spark, docs: DataFrame, hits: DataFrame, here: DataFrame, digest, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """``hits``, and the text that stays of every digest of theirs. A state that is gone on with may name rows of
+    tables read before: their texts are read at their locators. Where that file is gone, or holds something else
+    there, the first of the rows at hand stays instead."""
+    lacking = hits.select("digest", "keep").distinct().join(here, "digest", "left_anti")
+    # Names of files read before, not rows.
+    files = [r["file"] for r in lacking.select("keep.file").distinct().collect()]
+    if not files:
+        return hits, here
+    left = [f for f in (f if path_exists(spark, f) else unquote(f) for f in files) if path_exists(spark, f)]
+    there = lacking.where("false").select("digest", F.lit("").alias("keep_text"))
+    if left:
+        before = _keyed(spark.read.schema(docs.schema).parquet(*left), id_col, text_col, digest).withColumnRenamed("digest", "found")
+        at = lacking.select("digest", F.col("keep.file").alias("file"), F.col("keep.row").alias("row"))
+        there = before.join(at, ["file", "row"]).where("found = digest").select("digest", F.col("text").alias("keep_text"))
+    there = stored(there, "dedup-earlier")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "file", "row")
+    gone = lacking.select("digest").join(there, "digest", "left_anti")
+    elected = stored(hits.join(gone, "digest", "left_semi").groupBy("digest").agg(F.min(F.struct(order.alias("at"), "text")).alias("first")), "dedup-elected")
+    new = elected.select("digest", F.col("first.at").alias("at"))
+    hits = hits.join(new, "digest", "left")
+    is_first = (F.col("file") == F.col("at.file")) & (F.col("row") == F.col("at.row"))
+    hits = hits.withColumn("is_keep", F.when(F.col("at").isNull(), F.col("is_keep")).otherwise(is_first))
+    hits = hits.withColumn("keep_id", F.when(F.col("at").isNull(), F.col("keep_id")).otherwise(F.col("at.doc_id"))).drop("at")
+    return hits, here.unionByName(there).unionByName(elected.select("digest", F.col("first.text").alias("keep_text")))
+
+
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, unchanged, that stay: of equal texts the row with the smallest id (of rows with equal id, one)."""
     spark = docs.sparkSession
-    path = folder(spark, "dedup-landing")
-    docs.write.parquet(path)
-    landed = spark.read.schema(docs.schema).parquet(path)
-    gone = deduplicate(spark, path, id_col=id_col, text_col=text_col, with_locator=True).where("NOT kept").select("file", "row")
-    here = landed.select("*", F.col("_metadata.file_path").alias("_locator_file"), F.col("_metadata.row_index").alias("_locator_row"))
-    kept = here.join(gone, (here["_locator_file"] == gone["file"]) & (here["_locator_row"] == gone["row"]), "left_anti")
-    return kept.select(*docs.columns)
+    files = folder_of(docs)
+    if files is None:
+        files = folder(spark, "dedup-landing")
+        docs.write.parquet(files)
+        docs = spark.read.schema(docs.schema).parquet(files)
+    gone = deduplicate(spark, files, id_col=id_col, text_col=text_col, with_locator=True).where("NOT kept").select("file", "row")
+    place = docs.metadataColumn("_metadata")
+    file, row = (fresh_name(docs.columns, f"dedup_{n}") for n in ("file", "row"))
+    here = docs.select(*[F.col(f"`{c}`") for c in docs.columns], place["file_path"].alias(file), place["row_index"].alias(row))
+    return here.join(gone.toDF(file, row), [file, row], "left_anti").select(*docs.columns)

@@ -10,9 +10,10 @@ Normalisation: null becomes the empty text; nothing else may be changed, as
 the tokenizers count white space and case.
 
 The cache is a Parquet folder ``tokenizer=<version digest>/`` of
-``content binary, n_tokens long``. It has one writer at a time; Spark's commit
-makes an append visible whole or not at all, so a lost run leaves no partial
-counts behind and is simply repeated.
+``content binary, n_tokens long``. Spark's commit makes an append visible
+whole or not at all, so a lost run leaves no partial counts behind and is
+simply repeated. Writers at the same time, or a retried append, may store a
+digest several times, always with the same count: reading takes it once.
 
 Nulls: a null text counts as empty (0 bytes, 0 tokens); a null id stays null.
 Repeated rows are counted each. Very long texts are encoded whole. An empty
@@ -121,8 +122,11 @@ def counter(path: str):
 
 
 def read_cache(spark, cache_path: str, version: str) -> DataFrame:
+    """``content, n_tokens`` of every digest that is stored, once: two writers may both have appended it."""
     where = f"{cache_path}/tokenizer={version}"
-    return spark.read.schema(CACHE).parquet(where) if path_exists(spark, where) else spark.createDataFrame(spark.sparkContext.emptyRDD(), CACHE)
+    if path_exists(spark, where):
+        return spark.read.schema(CACHE).parquet(where).groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
+    return spark.createDataFrame(spark.sparkContext.emptyRDD(), CACHE)
 
 
 def fill_cache(docs: DataFrame, cache_path: str, tokenizer_path: str, text_col: str = "text") -> DataFrame:

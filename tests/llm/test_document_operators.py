@@ -11,7 +11,7 @@ from llm_helpers import awkward_rows, frame, prose
 from pyspark.sql import functions as F
 
 from lakeloom.llm import ann, mixing, ngram_join, repeats, stream_dedup, suffixes, toxicity
-from lakeloom.llm.common import numbered
+from lakeloom.llm.common import located
 from lakeloom.llm.components import connected_components
 from lakeloom.plans.workspace import work_dir
 
@@ -275,9 +275,9 @@ def test_mix_and_near_copies_of_awkward_rows(spark):
     rows = awkward_rows(3) + [(5, prose(rng, 70), "a"), (None, "lone wolf and more " * 4, "b"), (80, base, "a"), (81, base + " end", "a"), (81, prose(rng, 60), "a"), (None, base + " stop", "a")]
     docs = frame(spark, rows)
     size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
-    numbered_docs = numbered(docs, "test-rows")
-    m = mixing.mix(numbered_docs, block_words=16, slots_per_shard=64)
-    out = mixing.materialise(numbered_docs, m)
+    rows_docs, place = located(docs, "test-rows")
+    m = mixing.mix(rows_docs, block_words=16, slots_per_shard=64, row_col=place)
+    out = mixing.materialise(rows_docs, m, place)
     assert out.columns == docs.columns
     out = out.collect()
     want, got = Counter(), Counter()
