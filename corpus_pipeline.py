@@ -1,67 +1,44 @@
 """A training corpus from ``documents``: five stages, each an operator of
 ``lakeloom.llm`` applied to all that its predecessor kept.
 
-Every stage but the last returns the columns of ``documents``. Stages are
-written as Parquet to the shared folder and read again before the next one
-begins, which then deletes what its predecessor's result was read from.
+Every stage but the last returns the columns of ``documents``. ``run`` writes
+each stage as Parquet to the shared folder, reads it again for the next one,
+and then deletes what the stage made and what it read.
 """
 
 from __future__ import annotations
 
-from functools import wraps
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lakeloom.llm import bpe, mixing, ngram_join, stream_dedup, toxicity
-from lakeloom.llm.common import ROW, collecting, numbered, stored_at, table
+from lakeloom.llm.common import collecting, located, stored_at, table
 from lakeloom.plans.workspace import delete_path
 
-#: Folders that the result of the last stage is read from.
-_left: list[str] = []
-
-
-def _stage(operator):
-    @wraps(operator)
-    def begun(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        while _left:
-            delete_path(spark, _left.pop())
-        with collecting(_left):
-            return operator(spark, docs, sf_dir)
-
-    return begun
-
-
 
-@_stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorization machine does not predict to be toxic."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), "toxic", ~toxicity.held_out())
     return toxicity.keep_clean(docs, model)
 
 
-@_stage
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts, the one with the smallest id."""
     return stream_dedup.keep_first(docs)
 
 
-@_stage
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by shared five-word shingles (Jaccard 0.8 or more), the one with the smallest id."""
-    rows = numbered(docs, "near-rows")
-    others = ngram_join.jaccard_components(rows, shingle=5, percent=80, row_col=ROW).where("NOT kept").select(ROW)
-    return rows.join(others, ROW, "left_anti").select(*docs.columns)
+    rows, place = located(docs, "near-rows")
+    others = ngram_join.jaccard_components(rows, shingle=5, percent=80, row_col=place).where("NOT kept").select(place)
+    return rows.join(others, place, "left_anti").select(*docs.columns)
 
 
-@_stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The words that the mix takes, as documents: copy c of a document has what is taken more than c times."""
-    rows = numbered(docs, "mix-rows")
-    return mixing.materialise(rows, mixing.mix(rows))
+    rows, place = located(docs, "mix-rows")
+    return mixing.materialise(rows, mixing.mix(rows, row_col=place), place)
 
 
-@_stage
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of ids and decoded text of every remaining row."""
     import public_tokenizers
@@ -84,8 +61,11 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs, path = stored_at(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-        if last:
-            delete_path(spark, last)
+        made: list[str] = []
+        with collecting(made):
+            result = stage(spark, docs, sf_dir)
+        docs, path = stored_at(result, name.replace(" ", "-"))
+        for p in [*made, *([last] if last else [])]:
+            delete_path(spark, p)
         last = path
     return docs
