@@ -19,10 +19,11 @@ import uuid
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeloom.functions.keys import any_null
 from lakeloom.functions.literals import typed_lit
 from lakeloom.operators.batch_history import fold_batch, history_schema
 from lakeloom.operators.changes import latest_deleted_keys
@@ -48,11 +49,12 @@ from lakeloom.operators.staging import DELETE_FLAG, REJECT_COL, conform, stage_b
 from lakeloom.plans.broadcast import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, row_bytes
 from lakeloom.plans.control import ControlTable
 from lakeloom.plans.metrics import observed_values
-from lakeloom.plans.workspace import checkpoint_dir, empty_frame
-from lakeloom.sources.snapshots import Commit, SnapshotTable
+from lakeloom.plans.workspace import checkpoint_dir, delete_path, empty_frame
+from lakeloom.sources.snapshots import BUCKET, SLOT, Commit, SnapshotTable
 from lakeloom.spec import TableSpec
 
 ROW_NUMBER = "row_number"
+_NTH = "_nth_of_key"
 _STAGE_OP = "stage "
 
 
@@ -91,8 +93,9 @@ class MergeResult:
     check: CountCheck
 
 
-def staged_frame(spec: TableSpec, source: DataFrame, audit: DataFrame | None, hwm, run_ts, number: bool = False) -> DataFrame:
-    """The lazily composed staging batch (live rows + tombstones, conformed, with ``_reject``)."""
+def staged_frame(spec: TableSpec, source: DataFrame, audit: DataFrame | None, hwm, run_ts, number: bool = False, folders: list[str] | None = None) -> DataFrame:
+    """The composed staging batch (live rows + tombstones, conformed, with ``_reject``);
+    lazy, but for row numbers, whose work folder is added to ``folders``."""
     population = extract(source, spec, hwm, run_ts)
     deletes = None
     if audit is not None and spec.has_audit and not spec.is_full:
@@ -120,7 +123,7 @@ def staged_frame(spec: TableSpec, source: DataFrame, audit: DataFrame | None, hw
     else:
         staged = staged.withColumn(REJECT_COL, F.lit(None).cast("string"))
     if number:
-        staged = number_rows(staged, spec.keys, name=ROW_NUMBER)
+        staged = number_rows(staged, spec.keys, name=ROW_NUMBER, folders=folders)
         staged = staged.select(ROW_NUMBER, *[c for c in staged.columns if c != ROW_NUMBER])
     return staged
 
@@ -138,7 +141,8 @@ def stage_table(
     spec = spec.resolved(source.schema)
     floor = spec.watermark_floor()
     hwm = control.high_water_mark(spec.name, floor)
-    staged = staged_frame(spec, source, audit, hwm, run_ts, number)
+    folders: list[str] = []
+    staged = staged_frame(spec, source, audit, hwm, run_ts, number, folders)
     live_ok = ~F.col(DELETE_FLAG) & F.col(REJECT_COL).isNull()
     extra = [
         F.count(F.when(F.col(DELETE_FLAG), 1)).alias("tombstones"),
@@ -147,7 +151,11 @@ def stage_table(
     if spec.update_col:
         extra.append(F.max(F.when(live_ok, F.col(spec.update_col))).alias("max_mark"))
     extra.append(F.sum(row_bytes(staged.schema)).alias("bytes"))
-    commit, m = staging.stage_write(staged, operation=_stage_operation(spec, run_ts), observe=extra)
+    try:
+        commit, m = staging.stage_write(staged, operation=_stage_operation(spec, run_ts), observe=extra)
+    finally:
+        for folder in folders:
+            delete_path(spark, folder)
     check = count_check(m["rows"], staging.rows_of(commit))
     if not check.ok:
         raise CheckFailed(f"{spec.name}: staging count {check.actual} <> expected {check.expected}")
@@ -260,12 +268,22 @@ def _merge_pending(spark, spec: TableSpec, staging, current, control, run_ts, st
         refused = staging.read(pending[-1].version).where(F.col(REJECT_COL).isNotNull()) if full else None
         actions = merge_actions(target, batch, spec.keys, mode, newer_col=newer, strategy=plan, protected=refused, decided=True, batch_rows=measured[0] if measured else None)
     obs = Observation(f"merge_{uuid.uuid4().hex[:8]}")  # unique per use
-    commit, _ = current.stage_write(
+    in_write = current.bucketed and validate
+    bad_keys = [F.count_if((F.col(_NTH) > 1) | any_null(spec.keys)).alias("bad_keys")]
+
+    def finish(df: DataFrame) -> DataFrame:
+        rows = merged_rows(df.observe(obs, *action_metrics()))
+        # Rows of a bucket lie in one task here: equal keys are found by its sort, without another shuffle.
+        return rows.withColumn(_NTH, F.row_number().over(Window.partitionBy(SLOT, BUCKET, *spec.keys).orderBy(*spec.keys))) if in_write else rows
+
+    commit, written = current.stage_write(
         actions,
         operation=f"merge {mode}",
+        observe=bad_keys if in_write else None,
         replace_buckets=touched,
-        finish=lambda df: merged_rows(df.observe(obs, *action_metrics())),
+        finish=finish,
         source_version=pending[-1].version,
+        drop=[_NTH],
     )
     counts = observed_values(obs, actions, action_metrics())
     if full:
@@ -279,7 +297,7 @@ def _merge_pending(spark, spec: TableSpec, staging, current, control, run_ts, st
     if not check.ok:
         control.record_skip(spec.name, commit.version, run_ts)
         raise CheckFailed(f"{spec.name}: merged count {check.actual} <> expected {check.expected}; version {commit.version} is not served")
-    if validate:
+    if validate and not (in_write and not written["bad_keys"]):
         # Counts cannot see a key stored twice: the rewritten part has one row per key.
         try:
             require_keys_valid(current.read_commit(commit, touched), spec.keys, what=f"{spec.name} version {commit.version}")

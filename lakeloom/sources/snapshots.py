@@ -44,6 +44,10 @@ from lakeloom.plans.metrics import observed_values
 from lakeloom.plans.workspace import delete_path, empty_frame, list_dirs, list_files, path_exists, read_text, write_text
 
 BUCKET = "_bucket"
+#: The write task of a bucket.
+SLOT = "_slot"
+#: Up to so many replaced buckets are numbered one by one; more share tasks by remainder.
+LISTED_BUCKETS = 2000
 
 LOG_SCHEMA = T.StructType(
     [
@@ -255,12 +259,14 @@ class SnapshotTable:
         return self._append_log(commit)
 
     def stage_write(
-        self, df: DataFrame, operation: str = "write", observe: list | None = None, replace_buckets=None, finish=None, source_version: int | None = None
+        self, df: DataFrame, operation: str = "write", observe: list | None = None, replace_buckets=None, finish=None, source_version: int | None = None, drop=()
     ):
         """Write the data of a new version without serving it. ``finish`` is
         applied to the frame after any repartitioning, in the stage that
         writes, so what it observes counts every row once even if earlier
-        stages are run again. Returns ``(Commit, metrics)``."""
+        stages are run again; ``drop`` names columns it adds for ``observe``
+        alone. For a bucketed table the frame then has ``BUCKET`` and ``SLOT``,
+        and lies by ``SLOT``. Returns ``(Commit, metrics)``."""
         current = self.current()
         version = 0 if current is None else current.version + 1
         if replace_buckets is not None:
@@ -270,6 +276,7 @@ class SnapshotTable:
         out, dir_name = self._fresh_data_path(version)
         if not self.bucketed:
             done = finish(df) if finish else df
+            done = done.drop(*drop) if drop else done
             done.observe(obs, *exprs).write.mode("errorifexists").parquet(out)
             metrics = observed_values(obs, done, exprs)
             return Commit(
@@ -277,16 +284,23 @@ class SnapshotTable:
             ), metrics
 
         # Rows of a bucket meet in one task, which keeps one file per bucket, whatever the input partitioning.
+        # The task is named, not hashed: buckets share one only where there are fewer tasks than buckets.
         cap = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         n_out = cap if replace_buckets is None else max(1, min(cap, len(replace_buckets)))
-        done = df.withColumn(BUCKET, self.bucket_expr()).repartition(n_out, BUCKET)
+        bucketed = df.withColumn(BUCKET, self.bucket_expr())
+        slot = F.pmod(F.col(BUCKET), F.lit(n_out))
+        if replace_buckets is not None and n_out == len(replace_buckets) <= LISTED_BUCKETS:
+            listed = F.array(*[F.lit(int(b)).cast(bucketed.schema[BUCKET].dataType) for b in sorted(replace_buckets)])
+            slot = F.greatest(F.array_position(listed, F.col(BUCKET)) - 1, F.lit(0))
+        done = bucketed.withColumn(SLOT, slot.cast("int")).repartitionById(n_out, SLOT)
         done = finish(done) if finish else done
-        writer = done.observe(obs, *exprs).write.mode("errorifexists").partitionBy(BUCKET)
+        kept = done.observe(obs, *exprs).drop(SLOT, *drop)
+        writer = kept.write.mode("errorifexists").partitionBy(BUCKET)
         if self.max_records_per_file:
             writer = writer.option("maxRecordsPerFile", int(self.max_records_per_file))
         writer.parquet(out)
         metrics = observed_values(obs, done, exprs)
-        schema = T.StructType([f for f in done.schema.fields if f.name != BUCKET])
+        schema = T.StructType([f for f in kept.schema.fields if f.name != BUCKET])
         # Rows per written bucket, read back from storage (one row per bucket).
         written = {}
         if metrics["rows"]:
