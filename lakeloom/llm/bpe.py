@@ -6,14 +6,24 @@ the token read last. Before any merge every byte may follow every byte. The
 gadget of merge ``u v -> w`` removes the arc ``v`` after ``u`` and adds a state
 ``w`` that is entered wherever ``u`` was and left wherever ``v`` was, as the
 arcs stood at that moment. A token string is the BPE encoding of its text
-exactly when the final automaton accepts it. Encoding a word searches its only
-accepted path: the longest label first, then shorter ones, stepping back when
-stuck and never to a place given up. Decoding emits the byte labels of the arcs.
+exactly when the final automaton accepts it. Every prefix of a word has one
+accepted path, so the automaton over bytes that follows is deterministic: it
+reads a byte at a time, all distinct words together, and at each place one
+token is read last. Its tables are
 
-The automaton of 50,000 merges has billions of arcs, nearly all inherited, so
-the gadgets are kept as tables (the two parts of each state, its birth, the
-removed arcs with the time of removal) from which arcs are read off, for many
-words at once.
+* transitions over the labels read in part (a tree), each state with a default
+  link to the longest shorter state that its bytes end with, taken where a
+  state has no transition of its own for a byte;
+* of each such state the longest token that ends there, and of each token the
+  next shorter one: among these the token read last is the one that has an arc
+  from the token read last where it begins.
+
+No step is taken back. Decoding emits the byte labels of the arcs.
+
+The arcs of 50,000 merges are billions, nearly all inherited, so a state keeps
+its exceptions only: the removed arcs with the time of removal, the two parts
+of each state, its birth. An arc that is no exception is there if the state it
+was inherited from had it.
 
 Nulls: a null text encodes as an empty one. Empty text: no tokens. Very long
 texts and words take time in proportion to their length. Repeated rows are
@@ -35,6 +45,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Longer words are read one by one, as few words have so many bytes.
+LONG_WORD = 64
 #: Characters encoded together; every distinct word among them is encoded once.
 RUN_CHARS = 3_000_000
 
@@ -105,7 +117,8 @@ class Automaton:
         for rank, (u, v, w) in enumerate(merges, 1):
             self._gadget(removed, rank, u, v, w)
         self.end_of_time = len(merges) + 1
-        self._removed = _Table(removed)
+        self._removed, self._removal_of = _Table(removed), removed
+        self._parts = [x.tolist() for x in (self.left, self.right, self.born)]
         self._compile_labels()
 
     def _gadget(self, removed: dict[int, int], rank: int, u: int, v: int, w: int) -> None:
@@ -118,23 +131,30 @@ class Automaton:
             removed[u * self._n + w] = rank
 
     def _compile_labels(self) -> None:
-        """Tables that find the longest label at a place: edges of a tree of all labels, and the token at each node."""
-        nodes, edges, token_at = {b"": 0}, {}, {0: -1}
-        self.shorter = np.full(self._n, -1)
+        """Transitions over labels read in part, default links, and the tokens that end at each state."""
+        states: dict[bytes, int] = {b"": 0}
+        transitions: dict[int, int] = {}
+        token_at = {0: -1}
         for token in np.nonzero(self.born >= 0)[0].tolist():
             label = self.labels[token]
             for i in range(1, len(label) + 1):
-                if label[:i] not in nodes:
-                    nodes[label[:i]] = len(nodes)
-                    edges[nodes[label[: i - 1]] * 256 + label[i - 1]] = nodes[label[:i]]
-            token_at[nodes[label]] = token
-        for token in token_at.values():
+                if label[:i] not in states:
+                    states[label[:i]] = len(states)
+                    transitions[states[label[: i - 1]] * 256 + label[i - 1]] = states[label[:i]]
+            token_at[states[label]] = token
+        self._transitions, self._transition_of = _Table(transitions), transitions
+        self._default = np.zeros(len(states), np.int64)
+        self._last_token = np.array([token_at.get(i, -1) for i in range(len(states))])
+        self._next_token = np.full(self._n, -1)
+        for label, state in sorted(states.items(), key=lambda x: len(x[0])):
+            shorter = (states.get(label[k:]) for k in range(1, len(label)))
+            self._default[state] = default = next((x for x in shorter if x is not None), 0)
+            token = self._last_token[state]
             if token >= 0:
-                label = self.labels[token]
-                inside = (token_at.get(nodes[label[:i]], -1) for i in range(len(label) - 1, 0, -1))
-                self.shorter[token] = next((t for t in inside if t >= 0), -1)
-        self._edges = _Table(edges)
-        self._token_at = np.array([token_at.get(i, -1) for i in range(len(nodes))])
+                self._next_token[token] = self._last_token[default]
+            elif state:
+                self._last_token[state] = self._last_token[default]
+        self._lists = [x.tolist() for x in (self._default, self._last_token, self._next_token, self.length)]
 
     def arcs(self, s: np.ndarray, t: np.ndarray) -> np.ndarray:
         """Whether the automaton has arc ``t`` at state ``s``, for arrays of both."""
@@ -155,28 +175,50 @@ class Automaton:
             s[left] = np.where(born_a >= born_b, self.right[a], a)
         return stands
 
-    def _longest(self, data: np.ndarray, until: np.ndarray) -> np.ndarray:
-        """The token with the longest label at each place that ends by ``until``."""
-        best, node = np.full(len(data), -1), np.zeros(len(data), np.int64)
-        at, depth = np.nonzero(np.arange(len(data)) < until)[0], 0
-        while len(at):
-            child = self._edges.get(node[at] * 256 + data[at + depth])
-            at, child = at[child >= 0], child[child >= 0]
-            node[at] = child
-            token = self._token_at[child]
-            best[at[token >= 0]] = token[token >= 0]
-            depth += 1
-            at = at[at + depth < until[at]]
-        return best
+    def _arc(self, s: int, t: int) -> bool:
+        """:meth:`arcs` of one pair."""
+        left, right, born = self._parts
+        time = self.end_of_time
+        while True:
+            gone = self._removal_of.get(s * self._n + t)
+            if gone is not None and gone < time:
+                return False
+            born_s, born_t = born[s], born[t]
+            if born_s <= 0 and born_t <= 0:
+                return True
+            time = max(born_s, born_t)
+            s, t = right[s] if born_s >= born_t else s, left[t] if born_t >= born_s else t
+
+    def _read_long(self, word: bytes) -> list[int]:
+        """The token read last at each place of a word after its first."""
+        default, last_token, next_token, length = self._lists
+        came, state = [-1], 0
+        for read, byte in enumerate(word, 1):
+            while (found := self._transition_of.get(state * 256 + byte)) is None and state:
+                state = default[state]
+            state = found or 0
+            token = last_token[state]
+            while token >= 0 and (began := read - length[token]) and not self._arc(came[began], token):
+                token = next_token[token]
+            if token < 0:
+                raise ValueError("no accepted path: a byte has no token")
+            came.append(token)
+        return came[1:]
+
+    def _step(self, state: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        """States after one more byte; along default links where a state has no transition for it."""
+        state = state.copy()
+        found = self._transitions.get(state * 256 + byte)
+        left = np.flatnonzero((found < 0) & (state > 0))
+        while len(left):
+            state[left] = self._default[state[left]]
+            found[left] = self._transitions.get(state[left] * 256 + byte[left])
+            left = left[(found[left] < 0) & (state[left] > 0)]
+        return np.maximum(found, 0)
 
     def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Tokens of all words one after the other, and how many each word has.
-
-        Every word follows the only accepted path over its bytes: at each state
-        the arc with the longest label is tried first, then shorter ones; a
-        place given up is never tried again, as a prefix has one path at most.
-        All words take their steps together.
-        """
+        All words take a byte at a time together."""
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         # One byte between words gives each its own end place.
         first = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1]
@@ -184,33 +226,28 @@ class Automaton:
         if not len(words):
             return np.zeros(0, np.uint32), sizes
         data = np.frombuffer(b"\0".join(words) + b"\0", np.uint8).astype(np.int64)
-        until = np.repeat(end, sizes + 1)
-        longest = self._longest(data, until)
-        came, dead = np.full(len(data), -1), np.zeros(len(data), bool)
-        place, token = first.copy(), longest[first]
-        active = np.nonzero(sizes > 0)[0]
-        while len(active):
-            p, t = place[active], token[active]
-            stuck = t < 0
-            go = np.nonzero(~stuck)[0]
-            to = p[go] + self.length[t[go]]
-            ok = ~dead[to]
-            check = np.nonzero(ok & (p[go] > first[active[go]]))[0]
-            ok[check] = self.arcs(came[p[go[check]]], t[go[check]])
-            back, forth = go[~ok], go[ok]
-            token[active[back]] = self.shorter[t[back]]
-            came[to[ok]] = t[forth]
-            place[active[forth]] = to[ok]
-            token[active[forth]] = longest[to[ok]]
-            if stuck.any():
-                given_up = np.nonzero(stuck)[0]
-                if (p[given_up] == first[active[given_up]]).any():
+        # The token read last at each place; words from long to short, so that those still read come first.
+        came = np.full(len(data), -1)
+        by_size = np.argsort(-sizes, kind="stable")
+        starts, falling = first[by_size], -sizes[by_size]
+        for w in by_size[: np.searchsorted(falling, -LONG_WORD, side="left")].tolist():
+            came[first[w] + 1 : end[w] + 1] = self._read_long(words[w])
+        starts, falling = (x[np.searchsorted(falling, -LONG_WORD, side="left") :] for x in (starts, falling))
+        state = np.zeros(len(starts), np.int64)
+        for read in range(1, -int(falling[0]) + 1 if len(falling) else 1):
+            n = int(np.searchsorted(falling, -read, side="right"))
+            state = self._step(state[:n], data[starts[:n] + read - 1])
+            token, left = self._last_token[state], np.arange(n)
+            while len(left):
+                if (token[left] < 0).any():
                     raise ValueError("no accepted path: a byte has no token")
-                last = came[p[given_up]]
-                dead[p[given_up]] = True
-                place[active[given_up]] -= self.length[last]
-                token[active[given_up]] = self.shorter[last]
-            active = active[place[active] < end[active]]
+                began = read - self.length[token[left]]
+                ok = began == 0
+                inner = np.flatnonzero(~ok)
+                ok[inner] = self.arcs(came[starts[left[inner]] + began[inner]], token[left[inner]])
+                came[starts[left[ok]] + read] = token[left[ok]]
+                left = left[~ok]
+                token[left] = self._next_token[token[left]]
         # Read the paths from their ends.
         steps, at, active = [], end.copy(), np.nonzero(sizes > 0)[0]
         counts = np.zeros(len(words), np.int64)

@@ -53,6 +53,17 @@ def test_automaton_accepts_only_bpe_encodings():
     assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [[5], [4], [], [6, 0], [0, 3]]
 
 
+@pytest.mark.parametrize("size", [63, 64, 65, 20_000])
+def test_long_words_encode_as_the_library_does(size):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    ours, theirs = bpe.ByteLevelBPE(path), Tokenizer.from_file(path)
+    rng = random.Random(size)
+    for word in ("x" * size, "".join(rng.choice("abcdefgé") for _ in range(size)), ("ab" * size)[:size], " " + "thering" * (size // 7)):
+        assert ours.encode(f"of {word} the {word}") == theirs.encode(f"of {word} the {word}", add_special_tokens=False).ids
+
+
 def test_encode_documents(spark):
     from tokenizers import Tokenizer
 
