@@ -13,10 +13,13 @@ changes few neighbours.
 
 A query walks the graph from its own node: of the best nodes met so far those
 not yet expanded bring their neighbours, until the best ``pool`` are all
-expanded. All queries take each step together, as joins.
+expanded. A query is one row, with its pool and the nodes it has met; all
+queries take each step together, and of a step only nodes that a query has not
+met are joined with their vectors.
 
-Graph work uses unit vectors in single precision; the returned scores are
-cosines of the original vectors in double precision.
+What the joins carry are codes, one byte a component; each of the returned
+scores is the cosine of the original vectors in double precision, of which
+the best ``RESCORED`` times ``k + 1`` nodes of a pool are scored.
 
 Vectors that are null, zero, of another length than most, or that hold null or
 non-finite components take no part, nor do rows without id. Repeated rows count
@@ -39,6 +42,9 @@ from pyspark.sql import types as T
 from lakeloom.llm.common import kept, scratch, stored, stored_at
 from lakeloom.plans.workspace import delete_path
 
+#: So many times the nodes that an answer can need are scored on their original vectors.
+RESCORED = 4
+
 _EDGES = T.StructType([T.StructField("src", T.LongType()), T.StructField("dst", T.LongType()), T.StructField("sim", T.FloatType())])
 
 
@@ -74,6 +80,26 @@ def nodes_of(rows: DataFrame, keep: int) -> DataFrame:
     return nodes.select("node", "ids", F.transform("vector", lambda x: (x / F.col("length")).cast("float")).alias("unit"))
 
 
+def codes_of(nodes: DataFrame) -> DataFrame:
+    """``node, code``: unit vectors with one byte a component, the largest 127."""
+    schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("code", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                unit = _matrix(b.column(1))
+                codes = np.round(unit * (127 / np.abs(unit).max(axis=1, keepdims=True))).astype(np.int8)
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([c.tobytes() for c in codes], pa.binary())], names=schema.names)
+
+    return nodes.select("node", "unit").mapInArrow(run, schema)
+
+
+def _decoded(codes: list[bytes]) -> np.ndarray:
+    """Vectors of length 1 from their codes."""
+    x = np.frombuffer(b"".join(codes), np.int8).reshape(len(codes), -1).astype(np.float32)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def _block_edges(nodes: DataFrame, dims: int, degree: int, seed: int, bits: int = 24, block: int = 128) -> DataFrame:
     """Neighbours within blocks of nodes that follow each other by hyperplane code."""
     planes = np.random.default_rng(seed).standard_normal((dims, bits)).astype(np.float32)
@@ -118,15 +144,16 @@ def _best(edges: DataFrame, degree: int) -> DataFrame:
     return edges.withColumn("nth", nth).where(F.col("nth") <= degree)
 
 
-def _local_join(graph: DataFrame, nodes: DataFrame, degree: int, reverse: int, seed: int) -> DataFrame:
+def _local_join(graph: DataFrame, codes: DataFrame, degree: int, reverse: int, seed: int) -> DataFrame:
     """Better neighbours found among the neighbours of each node."""
     nth = F.row_number().over(Window.partitionBy("dst").orderBy(~F.col("new"), F.xxhash64(F.lit(seed), "src")))
     back = graph.withColumn("_nth", nth).where(F.col("_nth") <= reverse).select(F.col("dst").alias("pivot"), F.col("src").alias("node"), "new")
     members = graph.select(F.col("src").alias("pivot"), F.col("dst").alias("node"), "new").unionByName(back)
     members = members.groupBy("pivot", "node").agg(F.max("new").alias("new"))
     worst = graph.groupBy("src").agg(F.when(F.count("*") < degree, F.lit(-2.0)).otherwise(F.min("sim")).cast("float").alias("worst"))
-    known = nodes.join(worst, nodes["node"] == worst["src"]).select("node", "unit", "worst")
-    gathered = members.join(known, "node").groupBy("pivot").agg(F.collect_list(F.struct("node", "new", "worst", "unit")).alias("m")).select("m")
+    known = codes.join(worst, codes["node"] == worst["src"]).select("node", "code", "worst")
+    # At most degree + reverse members a pivot.
+    gathered = members.join(known, "node").groupBy("pivot").agg(F.collect_list(F.struct("node", "new", "worst", "code")).alias("m")).select("m")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -134,7 +161,7 @@ def _local_join(graph: DataFrame, nodes: DataFrame, degree: int, reverse: int, s
             bounds = lists.offsets.to_numpy()
             m = lists.values
             node, new, worst = (m.field(i).to_numpy(zero_copy_only=False) for i in range(3))
-            unit = _matrix(m.field(3))
+            unit = _decoded(m.field(3).to_pylist()) if len(m) else None
             out = []
             for lo, hi in zip(bounds[:-1], bounds[1:]):
                 ids, fresh, bar = node[lo:hi], new[lo:hi], worst[lo:hi]
@@ -150,7 +177,7 @@ def _local_join(graph: DataFrame, nodes: DataFrame, degree: int, reverse: int, s
     return gathered.mapInArrow(compare, _EDGES)
 
 
-def neighbour_graph(nodes: DataFrame, degree: int = 30, trees: int = 4, reverse: int = 14, rounds: int = 6, settled: float = 0.02, seed: int = 5) -> DataFrame:
+def neighbour_graph(nodes: DataFrame, codes: DataFrame, degree: int = 30, trees: int = 4, reverse: int = 14, rounds: int = 6, settled: float = 0.02, seed: int = 5) -> DataFrame:
     """``src, dst, sim``: about the ``degree`` nearest nodes of every node."""
     first = nodes.select(F.size("unit").alias("d")).head()
     dims = first["d"] if first else 1
@@ -158,7 +185,7 @@ def neighbour_graph(nodes: DataFrame, degree: int = 30, trees: int = 4, reverse:
     graph, path = stored_at(_best(blocks.withColumn("new", F.lit(True)), degree), "ann-graph")
     size = graph.count()
     for r in range(rounds):
-        found = _local_join(graph, nodes, degree, reverse, seed + r).withColumn("new", F.lit(True))
+        found = _local_join(graph, codes, degree, reverse, seed + r).withColumn("new", F.lit(True))
         known = graph.select("src", "dst", "sim", F.lit(False).alias("new"))
         last = path
         graph, path = stored_at(_best(known.unionByName(found), degree), "ann-graph")
@@ -169,49 +196,121 @@ def neighbour_graph(nodes: DataFrame, degree: int = 30, trees: int = 4, reverse:
 
 
 _MET = T.StructType([T.StructField("query", T.LongType()), T.StructField("node", T.LongType()), T.StructField("sim", T.FloatType())])
-
-
-def _compared(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``query, node, sim`` of pairs of nodes."""
-    a = nodes.select(F.col("node").alias("query"), F.col("unit").alias("query_unit"))
-    joined = pairs.join(nodes.select("node", "unit"), "node").join(a, "query").select("query", "node", "unit", "query_unit")
+#: A query's walk: ``pool`` its best nodes (best first) with ``sims``, ``done``: whether they were expanded,
+#: ``seen``: all nodes it met, ``ask``: the nodes of the next join.
+_WALK = T.StructType(
+    [
+        T.StructField("query", T.LongType()),
+        T.StructField("code", T.BinaryType()),
+        T.StructField("pool", T.BinaryType()),
+        T.StructField("sims", T.BinaryType()),
+        T.StructField("done", T.BinaryType()),
+        T.StructField("seen", T.BinaryType()),
+        T.StructField("ask", T.ArrayType(T.LongType())),
+    ]
+)
+
+
+class _Walk:
+    """A row of ``_WALK``."""
+
+    def __init__(self, query: int, code: bytes, pool: bytes | None, sims: bytes | None, done: bytes | None, seen: bytes | None, ask=None):
+        self.query, self.code = query, code
+        first = np.array([query])
+        self.pool, self.seen = (first if x is None else np.frombuffer(x, np.int64) for x in (pool, seen))
+        self.sims = np.ones(1, np.float32) if sims is None else np.frombuffer(sims, np.float32)
+        self.done = np.zeros(1, bool) if done is None else np.frombuffer(done, bool)
+        self.ask = np.zeros(0, np.int64)
+
+    def expand(self, beam: int) -> None:
+        """The next nodes to expand: the best that are not."""
+        now = np.flatnonzero(~self.done)[:beam]
+        self.done = self.done.copy()
+        self.done[now] = True
+        self.ask = self.pool[now]
+
+    def reach(self, found: np.ndarray) -> None:
+        """Of the neighbours found, those not met before."""
+        fresh = np.setdiff1d(found, self.seen)
+        self.seen = np.concatenate([self.seen, fresh])
+        self.ask = fresh
+
+    def meet(self, nodes: np.ndarray, codes: list[bytes], pool: int) -> None:
+        """Take the nodes met into the pool."""
+        if len(nodes):
+            sims = (_decoded(codes) @ _decoded([self.code])[0]).astype(np.float32)
+            nodes, sims = np.concatenate([self.pool, nodes]), np.concatenate([self.sims, sims])
+            done = np.concatenate([self.done, np.zeros(len(nodes) - len(self.done), bool)])
+            best = np.lexsort((nodes, -sims))[:pool]
+            self.pool, self.sims, self.done = nodes[best], sims[best], done[best]
+
+
+def _walks(walks: list[_Walk]) -> pa.RecordBatch:
+    binary = [pa.array([getattr(w, c).tobytes() for w in walks], pa.binary()) for c in ("pool", "sims", "done", "seen")]
+    columns = [pa.array([w.query for w in walks], pa.int64()), pa.array([w.code for w in walks], pa.binary()), *binary, pa.array([w.ask for w in walks], pa.list_(pa.int64()))]
+    return pa.RecordBatch.from_arrays(columns, names=_WALK.names)
+
+
+def _each_walk(rows: DataFrame, change) -> DataFrame:
+    """``change(walk, further columns)`` applied to every walk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                sims = np.einsum("ij,ij->i", _matrix(b.column(2)), _matrix(b.column(3)))
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sims, pa.float32())], names=_MET.names)
+        n = len(_WALK)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                walks = [_Walk(*row) for row in zip(*(part.column(i).to_pylist() for i in range(n)))]
+                for k, w in enumerate(walks):
+                    change(w, [part.column(i)[k] for i in range(n, part.num_columns)])
+                yield _walks(walks)
 
-    return joined.mapInArrow(run, _MET)
+    return rows.mapInArrow(run, _WALK)
 
 
-def greedy_search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, pool: int = 320, beam: int = 40, reverse: int = 30, seed: int = 5, most_steps: int = 40) -> DataFrame:
+def greedy_search(queries: DataFrame, codes: DataFrame, graph: DataFrame, pool: int = 320, beam: int = 40, reverse: int = 30, most_steps: int = 40) -> DataFrame:
     """``query, node, sim``: the best ``pool`` nodes that each query node (column ``query``) meets."""
+    spark = queries.sparkSession
     nth = F.row_number().over(Window.partitionBy("dst").orderBy(F.desc("sim"), "src"))
     back = graph.withColumn("nth", nth).where(F.col("nth") <= reverse).select(F.col("dst").alias("at"), F.col("src").alias("node"))
-    ways = graph.select(F.col("src").alias("at"), F.col("dst").alias("node")).unionByName(back).distinct()
-    ways = stored(ways.groupBy("at").agg(F.collect_list("node").alias("to")), "ann-ways")
-    best = Window.partitionBy("query").orderBy(F.desc("sim"), "node")
-    # Every pair met, with whether it was expanded.
-    met, path = stored_at(queries.select("query", F.col("query").alias("node"), F.lit(1.0).cast("float").alias("sim"), F.lit(False).alias("expanded")), "ann-met")
+    ways = graph.select(F.col("src").alias("at"), F.col("dst").alias("node")).unionByName(back)
+    # At most degree + reverse a node.
+    ways = stored(ways.groupBy("at").agg(F.collect_set("node").alias("to")), "ann-ways")
+
+    def expand(w: _Walk, _) -> None:
+        w.expand(beam)
+
+    def reach(w: _Walk, more) -> None:
+        lists = more[0].values
+        w.reach(lists.flatten().to_numpy() if lists is not None else np.zeros(0, np.int64))
+
+    def meet(w: _Walk, more) -> None:
+        met = more[0].values
+        if met is not None:
+            w.meet(met.field(0).to_numpy(), met.field(1).to_pylist(), pool)
+        w.expand(beam)
+
+    first = codes.join(queries.select(F.col("query").alias("node")), "node").select(F.col("node").alias("query"), "code")
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in _WALK.fields[2:]]
+    walks, path = stored_at(_each_walk(first.select("query", "code", *none), expand), "ann-walks")
     for _ in range(most_steps):
-        ranked = met.withColumn("nth", F.row_number().over(best))
-        waiting = F.row_number().over(Window.partitionBy("query", "expanded").orderBy("nth"))
-        ranked = ranked.withColumn("now", (F.col("nth") <= pool) & ~F.col("expanded") & (waiting <= beam))
-        last = path
-        ranked, path = stored_at(ranked.select("query", "node", "sim", (F.col("expanded") | F.col("now")).alias("expanded"), "now"), "ann-step")
-        delete_path(nodes.sparkSession, last)
-        met = ranked.drop("now")
-        front = ranked.where("now").select("query", F.col("node").alias("at"))
-        if not front.head(1):
+        if not walks.where(F.size("ask") > 0).head(1):
             break
-        reached = front.join(ways, "at").select("query", F.explode("to").alias("node")).distinct()
-        reached = reached.join(ranked.select("query", "node"), ["query", "node"], "left_anti")
-        new = _compared(reached, nodes).withColumn("expanded", F.lit(False))
+        # Neighbours of the expanded nodes, then the vectors of those not met before: bounded lists a query.
+        front = walks.select("query", F.explode("ask").alias("at")).join(ways, "at").groupBy("query").agg(F.collect_list("to").alias("found"))
+        reached, reached_path = stored_at(_each_walk(walks.join(front, "query", "left"), reach), "ann-reached")
+        vectors = reached.select("query", F.explode("ask").alias("node")).join(codes, "node").groupBy("query").agg(F.collect_list(F.struct("node", "code")).alias("met"))
         last = path
-        met, path = stored_at(met.unionByName(new), "ann-met")
-        delete_path(nodes.sparkSession, last)
-    return met.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= pool).select("query", "node", "sim")
+        walks, path = stored_at(_each_walk(reached.join(vectors, "query", "left"), meet), "ann-walks")
+        delete_path(spark, last)
+        delete_path(spark, reached_path)
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for query, nodes, sims in zip(*(b.column(i).to_pylist() for i in range(3))):
+                nodes, sims = np.frombuffer(nodes, np.int64), np.frombuffer(sims, np.float32)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(nodes), query)), pa.array(nodes), pa.array(sims)], names=_MET.names)
+
+    return walks.select("query", "pool", "sims").mapInArrow(pairs, _MET)
 
 
 def nearest(table: DataFrame, is_query, k: int = 5, degree: int = 30, pool: int = 320, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -223,23 +322,30 @@ def nearest(table: DataFrame, is_query, k: int = 5, degree: int = 30, pool: int
 def _nearest(table: DataFrame, is_query, k: int, degree: int, pool: int, id_col: str, vector_col: str) -> DataFrame:
     rows = stored(usable(table, id_col, vector_col), "ann-rows")
     nodes = stored(nodes_of(rows, k + 1), "ann-nodes")
-    graph = neighbour_graph(nodes, degree)
+    codes = stored(codes_of(nodes), "ann-codes")
+    graph = neighbour_graph(nodes, codes, degree)
     of_node = nodes.select("node", F.explode("ids").alias("vec_id"))
 
     # The node of every query row, through its vector.
     vector_of = rows.join(nodes.select(F.col("node").alias("vec_id"), "node"), "vec_id").select("node", "vector")
     queries = rows.where(is_query).select(F.col("vec_id").alias("query_id"), "vector").join(vector_of, "vector").select("query_id", "node")
     queries = stored(queries, "ann-queries")
-    met = greedy_search(queries.select(F.col("node").alias("query")).distinct(), nodes, graph, pool)
+    met = greedy_search(queries.select(F.col("node").alias("query")).distinct(), codes, graph, pool)
 
     # Copies of near nodes, scored on the original vectors; k + 1 of them are enough for any query at the node.
-    near = met.withColumn("nth", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("sim"), "node"))).where(F.col("nth") <= 2 * (k + 1))
+    near = met.withColumn("nth", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("sim"), "node"))).where(F.col("nth") <= RESCORED * (k + 1))
     a = vector_of.select(F.col("node").alias("query"), F.col("vector").alias("a"))
     scored = near.join(vector_of.withColumnRenamed("vector", "b"), "node").join(a, "query")
 
     def dot(x: str, y: str):
         return F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, p: s + p)
 
+    # Vectors whose squares would leave the doubles are scaled by a power of two first, which changes no digit.
+    for c in ("a", "b"):
+        peak = F.array_max(F.transform(c, lambda x: F.abs(x)))
+        power = F.pow(F.lit(2.0), -F.floor(F.log2(peak)).cast("double"))
+        odd = (peak > 1e100) | (peak < 1e-100)
+        scored = scored.withColumn("p", F.when(odd, power)).withColumn(c, F.when(F.col("p").isNotNull(), F.transform(c, lambda x: x * F.col("p"))).otherwise(F.col(c)))
     scored = scored.select("query", "node", (dot("a", "b") / (F.sqrt(dot("a", "a")) * F.sqrt(dot("b", "b")))).alias("score"))
     ids = scored.join(of_node, "node").groupBy("query", "vec_id").agg(F.max("score").alias("score"))
     order = [F.desc("score"), "vec_id"]
