@@ -14,6 +14,8 @@ DOCS = T.StructType(
         # Names that the operators use inside.
         T.StructField("row", T.StringType()),
         T.StructField("digest", T.LongType()),
+        T.StructField("_row", T.LongType()),
+        T.StructField("_locator_file", T.StringType()),
     ]
 )
 WORDS = ["the", "of", "and", "Night", "rivière", "straße", "lamp", "owl's", "42", "漢字", "🙂", "a--b", "tea,", "Is", "on"]
@@ -21,7 +23,7 @@ WORDS = ["the", "of", "and", "Night", "rivière", "straße", "lamp", "owl's", "4
 
 def frame(spark, rows):
     """Rows of ``(doc_id, text, source)``."""
-    return spark.createDataFrame([(i, t, "en", s, len(t or ""), "x", 1) for i, t, s in rows], DOCS)
+    return spark.createDataFrame([(i, t, "en", s, len(t or ""), "x", 1, 7, "f") for i, t, s in rows], DOCS)
 
 
 def prose(rng, n):

@@ -87,6 +87,34 @@ def test_jaccard_components(spark, monkeypatch, seed, shingle, percent):
     assert sorted(map(tuple, got), key=str) == plain_jaccard(rows, shingle, percent)
 
 
+def boilerplate_pages(n, shared, own, seed):
+    rng = random.Random(seed)
+    template = [f"t{i}" for i in range(shared)]
+    return [(i, " ".join(template + [f"w{rng.randrange(10**9)}" for _ in range(own)]), "a") for i in range(n)]
+
+
+def test_pages_of_one_template_are_not_compared_in_pairs(spark, monkeypatch):
+    """Jaccard 0.43: all share entries by their first tokens, none by whole sets."""
+    rows = boilerplate_pages(900, 180, 120, 1) + [(5000 + i, f"{boilerplate_pages(1, 180, 120, 9)[0][1]} end{i}", "a") for i in range(4)]
+    seen = []
+    real = ngram_join._hub_links
+    monkeypatch.setattr(ngram_join, "_hub_links", lambda members, hubs, percent: (seen.append(members.count()), real(members, hubs, percent))[1])
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.jaccard_components(frame(spark, rows), 3, 90).collect()}
+    assert got == {i: i for i in range(900)} | {5000 + i: 5000 for i in range(4)}
+    assert seen[0] < 50
+
+
+def test_spanning_forest_connects_what_the_pairs_do():
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 5, 200):
+        a, b = rng.integers(0, 150, n), rng.integers(0, 150, n)
+        x, y = ngram_join.spanning_forest(a, b)
+        want = plain_components((int(p), int(q)) for p, q in zip(a, b))
+        got = plain_components((int(p), int(q)) for p, q in zip(x, y))
+        assert {k: v for k, v in want.items() if v != k} == {k: v for k, v in got.items() if v != k}
+        assert len(x) == len({k for k, v in want.items() if v != k})
+
+
 def test_jaccard_of_nothing(spark):
     assert ngram_join.jaccard_components(frame(spark, [])).count() == 0
     got = ngram_join.jaccard_components(frame(spark, [(1, None, "a"), (2, "", "a"), (3, "x", "a")])).collect()
@@ -182,6 +210,63 @@ def frame_files(spark, rows):
     return spark.read.parquet(path).inputFiles()
 
 
+def state_of(got):
+    return sorted((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in got)
+
+
+def test_stream_state_goes_on_in_another_folder(spark):
+    state = work_dir(spark, "state")
+    one, two = (work_dir(spark, f"test-folder-{n}") for n in "ab")
+    frame(spark, [(1, "a b", "s"), (2, "c", "s")]).write.parquet(one)
+    frame(spark, [(3, "a  b", "s"), (4, "d", "s"), (5, "d", "s")]).write.parquet(two)
+    stream_dedup.deduplicate(spark, one, state)
+    got = stream_dedup.deduplicate(spark, two, state).collect()
+    assert state_of(got) == [(3, 1, 2, False), (4, 4, 2, True), (5, 4, 2, False)]
+
+
+def test_stream_state_whose_keeper_is_gone_elects_another(spark):
+    from lakeloom.plans.workspace import delete_path
+
+    state = work_dir(spark, "state")
+    one, two = (work_dir(spark, f"test-folder-{n}") for n in "ab")
+    frame(spark, [(1, "a b", "s")]).write.parquet(one)
+    frame(spark, [(3, "a  b", "s"), (4, "a b", "s")]).write.parquet(two)
+    stream_dedup.deduplicate(spark, one, state)
+    delete_path(spark, one)
+    assert state_of(stream_dedup.deduplicate(spark, two, state).collect()) == [(3, 3, 3, True), (4, 3, 3, False)]
+
+
+def test_files_written_anew_under_their_old_names_are_an_error(spark):
+    import glob
+    import shutil
+
+    path, other, state = work_dir(spark, "test-folder"), work_dir(spark, "test-folder"), work_dir(spark, "state")
+    frame(spark, [(1, "a b", "s"), (2, "c", "s")]).coalesce(1).write.parquet(path)
+    stream_dedup.deduplicate(spark, path, state)
+    frame(spark, [(1, "x", "s"), (2, "c", "s")]).coalesce(1).write.parquet(other)
+    mine, theirs = (glob.glob(f"{p.removeprefix('file:')}/part-*.parquet")[0] for p in (path, other))
+    shutil.copyfile(theirs, mine)
+    folder, name = mine.rsplit("/", 1)
+    open(f"{folder}/.{name}.crc", "wb").write(open(f"{theirs.rsplit('/', 1)[0]}/.{theirs.rsplit('/', 1)[1]}.crc", "rb").read())
+    spark.catalog.clearCache()
+    with pytest.raises(RuntimeError, match="written anew"):
+        stream_dedup.deduplicate(spark, path, state)
+
+
+def test_columns_named_like_inner_ones_come_back(spark):
+    import corpus_pipeline
+
+    rows = [(i, f"text number {i} with some words of its own {i * 7}", "a") for i in range(3)]
+    docs = frame(spark, rows).withColumn("_row", F.lit(5).cast("long")).withColumn("row_place", F.lit("p")).withColumn("mix_key", F.lit("k"))
+    for stage in (corpus_pipeline.drop_copies, corpus_pipeline.drop_near_copies, corpus_pipeline.mix_sources):
+        got = stage(spark, docs, "")
+        assert got.columns == docs.columns
+        assert {(r["_row"], r["row_place"], r["mix_key"]) for r in got.collect()} == {(5, "p", "k")}
+        assert sorted({r["doc_id"] for r in got.collect()}) == [0, 1, 2]
+    words = sum(len(r["text"].split()) for r in corpus_pipeline.mix_sources(spark, docs, "").collect())
+    assert words == sum(len(t.split()) for _, t, _ in rows)
+
+
 def test_keep_first_returns_whole_rows(spark):
     rows = awkward_rows(4)
     got = stream_dedup.keep_first(frame(spark, rows))
@@ -370,6 +455,41 @@ def test_toxicity_of_pairs_with_a_neutral_term(spark):
     assert sum(r["predicted"] == truth[r["doc_id"]] for r in test) >= 0.93 * len(test)
 
 
+def test_factorization_machine_is_the_plain_double_loop():
+    """Scores and, by finite differences, the direction of a training step."""
+    rng = np.random.default_rng(0)
+    docs = [np.sort(rng.choice(16, rng.integers(0, 9), replace=False)).astype(np.uint32) for _ in range(20)]
+    row = np.arange(1, 17, dtype=np.int32)
+    weights, factors = rng.standard_normal(17).astype(np.float32), rng.standard_normal((17, 3)).astype(np.float32) * 0.3
+    weights[0], factors[0], factors[5] = 0, 0, 0
+    model = toxicity.Model(0.3, row, weights, factors)
+
+    def plain(weights, factors, bias):
+        out = []
+        for d in docs:
+            places = [int(row[p]) for p in d]
+            paired = [p for p in places if np.any(model.factors[p])]
+            z = bias + sum(float(weights[p]) for p in places)
+            pairs = sum(float(factors[p] @ factors[q]) for i, p in enumerate(places) for q in places[:i])
+            z += pairs * min(1, toxicity.PAIR_SCALE / max(1, len(paired)) ** 0.5)
+            out.append(1 / (1 + np.exp(-z)))
+        return np.array(out)
+
+    assert np.allclose(model.scores(docs), plain(weights, factors, 0.3), atol=1e-6)
+    labels = rng.integers(0, 2, 20).astype(float)
+    loss = lambda p: -(labels * np.log(p) + (1 - labels) * np.log(1 - p)).sum()
+    trained = toxicity.train(model, docs, labels, epochs=1, seed=1, rate=1e-3, decay=0.0, batch=20)
+    for kind in ("weights", "factors"):
+        moved = getattr(trained, kind) - getattr(model, kind)
+        for at in np.ndindex(moved.shape):
+            if abs(moved[at]) > 1e-7:
+                step = {"weights": weights.astype(float), "factors": factors.astype(float)}
+                step[kind] = step[kind].copy()
+                step[kind][at] += 1e-4
+                slope = loss(plain(step["weights"], step["factors"], 0.3)) - loss(plain(weights.astype(float), factors.astype(float), 0.3))
+                assert abs(slope) < 1e-7 or np.sign(moved[at]) == -np.sign(slope), (kind, at)
+
+
 def test_toxicity_of_rare_terms():
     """A term in 80 toxic and no clean texts of 30,000 tells; one in 2 of either does not."""
     with_label, without = np.array([80.0, 1, 3000, 2]), np.array([0.0, 1, 27000, 0])

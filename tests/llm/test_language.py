@@ -83,9 +83,9 @@ def test_awkward_rows(spark):
     rng = random.Random(1)
     french = [f"le la les rivière {rng.choice(['été', 'forêt', 'où'])} {rng.randrange(99)} dans une" for _ in range(60)]
     german = [f"der die das straße {rng.choice(['größe', 'über', 'für'])} {rng.randrange(99)} und eine" for _ in range(60)]
-    rows = [(i, t, lang, "s", 1, "x", 1) for i, (t, lang) in enumerate([(t, "fr") for t in french] + [(t, "de") for t in german])]
-    rows += [(500, None, "fr", "s", 1, "x", 1), (501, "", "de", "s", 1, "x", 1), (502, "12 34 ² _", "de", "s", 1, "x", 1), (None, "über", "de", "s", 1, "x", 1), (503, french[0], None, "s", 1, "x", 1)]
-    rows += [(7, german[0] + " copy", "zz", "s", 1, "x", 1)] * 3 + [(504, "der " * 50_000, None, "s", 1, "x", 1)]
+    rows = [(i, t, lang, "s", 1, "x", 1, 7, "f") for i, (t, lang) in enumerate([(t, "fr") for t in french] + [(t, "de") for t in german])]
+    rows += [(500, None, "fr", "s", 1, "x", 1, 7, "f"), (501, "", "de", "s", 1, "x", 1, 7, "f"), (502, "12 34 ² _", "de", "s", 1, "x", 1, 7, "f"), (None, "über", "de", "s", 1, "x", 1, 7, "f"), (503, french[0], None, "s", 1, "x", 1, 7, "f")]
+    rows += [(7, german[0] + " copy", "zz", "s", 1, "x", 1, 7, "f")] * 3 + [(504, "der " * 50_000, None, "s", 1, "x", 1, 7, "f")]
     docs = spark.createDataFrame(rows, DOCS)
     model = language.fit(docs, F.lit(True))
     got = [tuple(r) for r in language.predict(docs, model).collect()]

@@ -226,3 +226,15 @@ def test_short_templates_are_found_when_edited():
     for at in (0, 1, 3, 4):
         text = " ".join(words[:at] + ["other"] + words[at + 1 :])
         assert [m[2] for m in index.scan(text, 0.8)] == [0.8], text
+
+
+def test_a_digest_stored_twice_counts_once(spark):
+    """Two writers at once, or a retried append."""
+    cache, path = work_dir(spark, "token-cache"), public_tokenizers.path("piece_bpe_32k.model")
+    docs = frame(spark, [(1, "one text", "a"), (2, "another", "a")])
+    first = token_counts.count_tokens(docs, cache, path, 4096).collect()
+    stored = f"{cache}/tokenizer={token_counts.tokenizer_version(path)}"
+    rows = spark.read.parquet(stored).collect()
+    spark.createDataFrame(rows, token_counts.CACHE).write.mode("append").parquet(stored)
+    again = token_counts.count_tokens(docs, cache, path, 4096).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, first)) and len(again) == 2
