@@ -99,7 +99,7 @@ def main(argv=None) -> int:
     p.add_argument("--user-env", default=None)
     p.add_argument("--password-env", default=None)
     p.add_argument("--strategy", default="auto", choices=["auto", "full_outer", "broadcast", "bloom"])
-    p.add_argument("--buckets", type=int, default=0, help="hash buckets for current tables")
+    p.add_argument("--buckets", type=int, default=None, help="hash buckets for current tables (0: none; default: by the size of what is staged first)")
     p.add_argument("--bucket-width", type=int, default=None, help="range buckets (key width) for single integral keys")
     p.add_argument("--keep-versions", type=int, default=None, help="vacuum data older than this many commits")
     p.add_argument("--only", nargs="*", default=None, help="restrict to these tables")

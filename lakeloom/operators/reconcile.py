@@ -18,6 +18,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeloom.operators.changes import change_log
 from lakeloom.plans.broadcast import maybe_broadcast
@@ -124,6 +125,22 @@ def rows_in_ranges(df: DataFrame, key: str, ranges: DataFrame, width: int) -> Da
     return df.join(leaves, _leaf(key, width).eqNullSafe(F.col("_leaf")), "left_semi")
 
 
+def range_key(before: DataFrame, after: DataFrame, keys, ranges: int) -> tuple[str, int, tuple[DataFrame, DataFrame]]:
+    """A column to compare by, the width of about ``ranges`` leaf ranges, and both
+    sides with it: the key itself if it is one integral column, else a hash of the keys."""
+    keys = list(keys)
+    if len(keys) == 1 and isinstance(after.schema[keys[0]].dataType, T.IntegralType):
+        bounds = [df.agg(F.min(keys[0]), F.max(keys[0])).first() for df in (before, after)]
+        known = [int(v) for b in bounds for v in b if v is not None]
+        return keys[0], max(1, -(-(max(known) - min(known) + 1) // ranges)) if known else 1, (before, after)
+    name = "key_hash"
+    while name in after.columns:
+        name += "_"
+    # 32 bits of the hash, so that bounds and sums of ranges stay within a long.
+    hashed = F.shiftrightunsigned(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), 32).alias(name)
+    return name, max(1, (1 << 32) // ranges), tuple(df.select("*", hashed) for df in (before, after))
+
+
 def differing_rows(before: DataFrame, after: DataFrame, keys, key: str, width: int, fanout: int = 16) -> DataFrame:
     """The net changes from ``before`` to ``after`` (``change_log``), reading rows of differing ranges of ``key`` only."""
     ranges = reconcile_ranges(before, after, key, width, fanout)

@@ -80,7 +80,7 @@ def run_levels(spark: SparkSession, specs, job: Callable[[TableSpec], object], m
 
 
 def load_tables(
-    spark: SparkSession, specs, sources: dict, audits: dict, root: str, run_ts, strategy: str = "auto", buckets: int = 0,
+    spark: SparkSession, specs, sources: dict, audits: dict, root: str, run_ts, strategy: str = "auto", buckets: int | None = None,
     keep_versions: int | None = None, bucket_width: int | None = None, max_parallel: int = 4,
 ) -> dict:
     """``pipeline.run_tables`` with independent tables side by side:

@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from lakeloom.functions.keys import any_null
 from lakeloom.functions.literals import typed_lit
+from lakeloom.operators import reconcile
 from lakeloom.operators.batch_history import fold_batch, history_schema
 from lakeloom.operators.changes import latest_deleted_keys
 from lakeloom.operators.checks import CheckFailed, CountCheck, count_check, orphans, require_keys_valid
@@ -49,6 +50,7 @@ from lakeloom.operators.staging import DELETE_FLAG, REJECT_COL, conform, stage_b
 from lakeloom.plans.broadcast import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, row_bytes
 from lakeloom.plans.control import ControlTable
 from lakeloom.plans.metrics import observed_values
+from lakeloom.plans.sizing import buckets_for
 from lakeloom.plans.workspace import checkpoint_dir, delete_path, empty_frame
 from lakeloom.sources.snapshots import BUCKET, SLOT, Commit, SnapshotTable
 from lakeloom.spec import TableSpec
@@ -309,26 +311,47 @@ def _merge_pending(spark, spec: TableSpec, staging, current, control, run_ts, st
     return MergeResult(commit.version, plan, dict(counts), check)
 
 
+#: Tables whose first staged batch has so many bytes are stored bucketed unless a layout says otherwise.
+BUCKETED_FROM = 8 << 30
+
+
 @dataclass(frozen=True)
 class Layout:
-    """Where a spec's layers live: spec paths when configured, else under ``root``."""
+    """Where a spec's layers live: spec paths when configured, else under ``root``.
+
+    ``buckets``: hash buckets of current tables (0: none). By default (None) a
+    table keeps the layout it is stored with; one that is made now is bucketed,
+    at about 1 GB a bucket, if what is staged for it has ``BUCKETED_FROM``
+    bytes or more, so that an incremental batch rewrites the buckets of its
+    keys alone.
+    """
 
     root: str
-    buckets: int = 0
+    buckets: int | None = None
     bucket_width: int | None = None  # range buckets on a single integral key instead of hash buckets
 
     def staging(self, spark, spec: TableSpec) -> SnapshotTable:
         return SnapshotTable(spark, spec.staging_path or f"{self.root}/staging/{spec.name}")
 
     def current(self, spark, spec: TableSpec) -> SnapshotTable:
-        path = spec.current_path or f"{self.root}/current/{spec.name}"
-        bucketed = self.buckets or self.bucket_width
-        return SnapshotTable(spark, path, spec.keys if bucketed else None, self.buckets, bucket_width=self.bucket_width)
+        return self._opened(spark, spec, spec.current_path or f"{self.root}/current/{spec.name}")
+
+    def _opened(self, spark, spec: TableSpec, path: str) -> SnapshotTable:
+        if self.buckets is not None or self.bucket_width:
+            bucketed = self.buckets or self.bucket_width
+            return SnapshotTable(spark, path, spec.keys if bucketed else None, self.buckets or 0, bucket_width=self.bucket_width)
+        stored = SnapshotTable(spark, path).current()
+        if stored is not None and stored.layout:
+            return SnapshotTable(spark, path, stored.layout["keys"], stored.layout["buckets"], bucket_width=stored.layout["width"])
+        if stored is not None and stored.rows:
+            return SnapshotTable(spark, path)
+        staged = self.staging(spark, spec).current()
+        size = staged.bytes if staged is not None and staged.bytes else 0
+        buckets = buckets_for(size) if size >= BUCKETED_FROM else 0
+        return SnapshotTable(spark, path, spec.keys if buckets else None, buckets)
 
     def history(self, spark, spec: TableSpec) -> SnapshotTable:
-        path = spec.point_in_time_path or f"{self.root}/point_in_time/{spec.name}"
-        bucketed = self.buckets or self.bucket_width
-        return SnapshotTable(spark, path, spec.keys if bucketed else None, self.buckets, bucket_width=self.bucket_width)
+        return self._opened(spark, spec, spec.point_in_time_path or f"{self.root}/point_in_time/{spec.name}")
 
     def control(self, spark) -> ControlTable:
         return ControlTable(spark, f"{self.root}/_control")
@@ -404,16 +427,15 @@ def merge_tables(
 
 
 def run_tables(
-    spark, specs, sources: dict, audits: dict, root: str, run_ts, strategy: str = "auto", buckets: int = 0,
+    spark, specs, sources: dict, audits: dict, root: str, run_ts, strategy: str = "auto", buckets: int | None = None,
     keep_versions: int | None = None, bucket_width: int | None = None,
 ) -> dict:
     """Stage and merge every non-skipped table, parents first.
 
     ``sources`` / ``audits`` map table name → DataFrame (JDBC, parquet, ...).
     Tables live at the spec's configured paths, else under ``root/<layer>/<table>``;
-    the control table under ``root/_control``. ``buckets > 0`` stores
-    business-current tables bucketed by key so incremental merges rewrite only
-    touched buckets. Returns ``{table: (StageResult, MergeResult, fk_report)}``.
+    the control table under ``root/_control``. ``buckets`` and ``bucket_width``:
+    see :class:`Layout`. Returns ``{table: (StageResult, MergeResult, fk_report)}``.
     """
     layout = Layout(root, buckets, bucket_width)
     staged = stage_tables(spark, specs, sources, audits, layout, run_ts)
@@ -524,6 +546,19 @@ def build_history_from_batches(spec: TableSpec, staging: SnapshotTable, table: S
     return table.publish(commit)
 
 
+def reconcile_content(spec: TableSpec, source: DataFrame, current: SnapshotTable, ranges: int = 4096) -> DataFrame:
+    """Key ranges in which the source and the business-current table hold
+    different rows (``reconcile.reconcile_ranges``): counts alone cannot see a
+    changed value. ``source`` is the whole source; columns the table has not are left out."""
+    stored = current.read()
+    if spec.staging_schema is not None:
+        business = T.StructType([f for f in spec.staging_schema.fields if f.name not in (ROW_NUMBER, DELETE_FLAG)])
+        source = conform(source, business).where(F.col(REJECT_COL).isNull())
+    given = source.select(*[F.col(c).cast(stored.schema[c].dataType).alias(c) for c in stored.columns])
+    key, width, frames = reconcile.range_key(given, stored, spec.keys, ranges)
+    return reconcile.reconcile_ranges(*frames, key, width)
+
+
 def foreign_key_report(spec: TableSpec, current: SnapshotTable, loaded: dict) -> dict:
     """Orphan counts per declared foreign key (specs run parents first, so
     every parent is current); None where the parent was never loaded."""
@@ -549,6 +584,7 @@ __all__ = [
     "foreign_key_report",
     "merge_table",
     "merge_tables",
+    "reconcile_content",
     "run_tables",
     "stage_table",
     "stage_tables",

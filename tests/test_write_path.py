@@ -88,3 +88,39 @@ def test_row_numbers_leave_no_files(spark):
     assert numbered() == before
     assert sorted(r["row_number"] for r in stg.read().collect()) == list(range(1, 101))
     assert path_exists(spark, folders[0])  # the caller's to delete
+
+
+def test_large_tables_are_bucketed_unless_told_otherwise(spark, monkeypatch):
+    monkeypatch.setattr(pipeline, "BUCKETED_FROM", 500)
+    monkeypatch.setattr(pipeline, "buckets_for", lambda size: 4)
+    specs = [TableSpec("large", ("k",), LoadMode.INCREMENTAL, update_col="u", overlap=0), TableSpec("small", ("k",), LoadMode.FULL)]
+    source = lambda n: {"large": spark.createDataFrame([(k, k) for k in range(n)], "k long, u long"), "small": spark.createDataFrame([(1, 1)], "k long, u long")}
+    root = work_dir(spark, "auto")
+    pipeline.run_tables(spark, specs, source(100), {}, root, AT)
+    layout = pipeline.Layout(root)
+    assert layout.current(spark, specs[0]).layout == {"keys": ["k"], "buckets": 4, "width": None}
+    assert layout.current(spark, specs[1]).layout is None
+    # Later loads keep the layout, whatever the sizes are then; another layout can still be asked for.
+    monkeypatch.setattr(pipeline, "BUCKETED_FROM", 1 << 40)
+    pipeline.run_tables(spark, specs, source(103), {}, root, AT)
+    table = layout.current(spark, specs[0])
+    assert table.bucketed and table.read().count() == 103
+    untouched = [v for v in table.current().manifest.values() if v[0] == 0]
+    assert untouched  # three new keys did not rewrite every bucket
+    assert not pipeline.Layout(root, buckets=0).current(spark, specs[0]).bucketed
+
+
+def test_content_that_differs_at_equal_counts_is_found(spark):
+    base = work_dir(spark, "content")
+    cur = SnapshotTable(spark, f"{base}/current")
+    rows = spark.range(5000).select(F.col("id").alias("k"), F.col("id").cast("int").alias("v"))
+    cur.write(rows)
+    spec = TableSpec("t", ("k",), LoadMode.FULL)
+    assert pipeline.reconcile_content(spec, rows.withColumn("more", F.lit(1)), cur, ranges=100).count() == 0
+    changed = rows.withColumn("v", F.when(F.col("k") == 1234, -1).otherwise(F.col("v")).cast("long"))
+    assert [tuple(r) for r in pipeline.reconcile_content(spec, changed, cur, ranges=100).collect()] == [(1200, 1250, 50, 50)]
+    text_key = TableSpec("t", ("s",), LoadMode.FULL)
+    named = SnapshotTable(spark, f"{base}/named")
+    named.write(rows.select(F.col("k").cast("string").alias("s"), "v"))
+    found = pipeline.reconcile_content(text_key, changed.select(F.col("k").cast("string").alias("s"), "v"), named, ranges=100)
+    assert found.count() == 1
