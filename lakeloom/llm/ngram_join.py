@@ -64,7 +64,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.llm.common import fresh_name, kept, scratch, stored, stored_at
-from lakeloom.llm.components import connected_components
+from lakeloom.llm.components import connected_components, spanning_forest
 from lakeloom.operators.bloom import filter_bytes, key_filter, with_may_contain
 from lakeloom.plans.broadcast import DEFAULT_MAX_BYTES
 from lakeloom.plans.workspace import delete_path
@@ -162,28 +162,6 @@ def _linked(common, a, b, percent: int):
     return 100 * common >= percent * (a + b - common)
 
 
-def spanning_forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Few pairs that connect what the pairs ``a, b`` connect: each number with the first of its component."""
-    nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
-    x, y = place[: len(a)], place[len(a) :]
-    pairs = np.unique(np.minimum(x, y) * len(nodes) + np.maximum(x, y))
-    parent = list(range(len(nodes)))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    for i, j in zip((pairs // max(1, len(nodes))).tolist(), (pairs % max(1, len(nodes))).tolist()):
-        i, j = root(i), root(j)
-        if i != j:
-            parent[max(i, j)] = min(i, j)
-    roots = np.array([root(i) for i in range(len(nodes))], np.int64)
-    linked = np.flatnonzero(roots != np.arange(len(nodes)))
-    return nodes[linked], nodes[roots[linked]]
-
-
 def verify_block(sizes: np.ndarray, sets: list[np.ndarray], percent: int, first: np.ndarray, second: np.ndarray) -> list[tuple[int, int]]:
     """Links between the sets at ``first`` and those at ``second`` (all at once), as a spanning forest."""
     parent = list(range(len(sets)))

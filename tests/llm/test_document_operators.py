@@ -33,7 +33,9 @@ def plain_components(edges):
     return {x: root(x) for x in parent}
 
 
-def test_components(spark):
+@pytest.mark.parametrize("in_task", [10**6, 40])
+def test_components(spark, monkeypatch, in_task):
+    monkeypatch.setattr("lakeloom.llm.components.EDGES_IN_TASK", in_task)
     rng = random.Random(3)
     edges = [(rng.randrange(80), rng.randrange(80)) for _ in range(60)] + [(i, i + 1) for i in range(100, 160)] + [(200, i) for i in range(201, 260)] + [(300, 300)]
     got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
