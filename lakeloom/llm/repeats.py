@@ -297,6 +297,8 @@ def remove_repeats(docs: DataFrame, length: int = 200, gram: int = 32, hot: int
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (or ``kept_sha256``) of every row of ``docs``."""
     if length < 2 * gram:
         raise ValueError("length must be at least twice gram")
+    if length >= 1 << 18:
+        raise ValueError("length must be less than 2**18: sizes of contexts are kept in 20 bits")
     text = F.coalesce(F.col(text_col), F.lit(""))
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     with scratch(docs.sparkSession):

@@ -557,6 +557,12 @@ def test_repeats(spark, length, gram, hot, shard):
     assert sorted(map(tuple, digests), key=str) == sorted(((*r[:4], hashlib.sha256(r[4]).hexdigest()) for r in expected), key=str)
 
 
+def test_lengths_that_cannot_be_kept_are_refused():
+    for length, gram in ((40, 32), (1 << 18, 32)):
+        with pytest.raises(ValueError):
+            repeats.remove_repeats(None, length, gram)
+
+
 def test_repeats_of_nothing(spark):
     assert repeats.remove_repeats(frame(spark, [])).count() == 0
 
