@@ -305,7 +305,12 @@ def _candidate_links(index: DataFrame) -> DataFrame:
             entry = lists.values.to_numpy()[offsets[0] : offsets[-1]]
             rep = np.repeat(batch.column(0).to_numpy(), np.diff(offsets))
             at, a, b = _entry_links(entry, rep)
-            yield rows(entry[at], rep[at], a, b)
+            # An entry goes on with the first set of its component: what one batch unites is one set from here.
+            first = rep[at]
+            place = np.minimum(np.searchsorted(a, first), max(len(a) - 1, 0))
+            if len(a):
+                first = np.where(a[place] == first, b[place], first)
+            yield rows(entry[at], first, a, b)
 
     def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_entry = last_rep = np.zeros(0, np.int64)
