@@ -28,10 +28,11 @@ is lost.
    united inside each batch of a task, and only a spanning forest and one set
    per entry go on to the shuffle by entry, where the same is done again. So
    an entry that very many sets have is a few rows.
-5. Of clusters with more than ``BLOCK_SETS`` sets, whole sets are indexed in
+5. Of clusters with more than ``FEW_SETS`` sets, whole sets are indexed in
    the same way, their tokens counted within these clusters: prefixes are as
    long as they can be, and common tokens exceed what partners must share far
-   less often. Sets that only have boilerplate in common fall apart here.
+   less often. Sets that only have boilerplate in common fall apart here. Each
+   token of each such set is listed once, however large its cluster is.
 6. Within a cluster every set is compared with one hub (the set with fewest
    unshared tokens). Sets linked to the hub need no comparison among
    themselves; all other pairs are verified in blocks, exactly, and only a
@@ -73,6 +74,8 @@ from lakeloom.plans.workspace import delete_path
 SINGLES, TWOS = 16, 512
 #: Further first tokens: as many as may be missing, but no more than this share of a set.
 MARGIN = 0.1
+#: Clusters of at most so many sets are compared as they are: less work than listing their tokens.
+FEW_SETS = 3
 #: Most sets, and about most tokens, in a block.
 BLOCK_SETS, BLOCK_TOKENS = 256, 500_000
 
@@ -285,8 +288,8 @@ def _entry_links(entry: np.ndarray, rep: np.ndarray) -> tuple[np.ndarray, np.nda
     return order[np.concatenate([[True], ~same])] if len(e) else order, a, b
 
 
-def _candidate_links(index: DataFrame) -> DataFrame:
-    """``a, b``: links that connect all sets which share an index entry."""
+def _clusters(index: DataFrame) -> DataFrame:
+    """``rep, cluster`` of all sets that share an index entry with another, or are connected by such."""
     schema = T.StructType([T.StructField(n, T.LongType()) for n in ("entry", "a", "b")])
 
     def rows(entry: np.ndarray, first: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
@@ -323,9 +326,11 @@ def _candidate_links(index: DataFrame) -> DataFrame:
                 last_entry, last_rep = entry[-1:], rep[-1:]
                 yield rows(np.zeros(0, np.int64), np.zeros(0, np.int64), a, b)
 
-    own = stored(index.select("rep", "entries").mapInArrow(united, schema), "ngram-entries")
+    own, own_path = stored_at(index.select("rep", "entries").mapInArrow(united, schema), "ngram-entries")
     met = own.where("b IS NULL").select("entry", F.col("a").alias("rep")).repartition("entry").sortWithinPartitions("entry", "rep").mapInArrow(across, schema)
-    return own.where("b IS NOT NULL").select("a", "b").unionByName(met.select("a", "b"))
+    found = connected_components(own.where("b IS NOT NULL").select("a", "b").unionByName(met.select("a", "b")))
+    delete_path(index.sparkSession, own_path)
+    return found.select(F.col("node").alias("rep"), F.col("root").alias("cluster"))
 
 
 def _hub_links(members: DataFrame, hubs: DataFrame, percent: int) -> DataFrame:
@@ -346,21 +351,24 @@ def _hub_links(members: DataFrame, hubs: DataFrame, percent: int) -> DataFrame:
 
 
 def _parted(members: DataFrame, percent: int) -> DataFrame:
-    """``members`` with the sets of large clusters dealt anew to clusters by their whole sets; those without a candidate are gone."""
-    large = stored(members.groupBy("cluster").count().where(F.col("count") > BLOCK_SETS).select("cluster"), "ngram-large")
+    """``members`` with the sets of all but the smallest clusters dealt anew to clusters by their whole sets; those without a candidate are gone."""
+    large = stored(members.groupBy("cluster").count().where(F.col("count") > FEW_SETS).select("cluster"), "ngram-large")
     if not large.head(1):
         return members
     theirs = members.join(large, "cluster", "left_semi")
-    index = stored(_index(theirs.select("rep", "n", F.explode("tokens").alias("token")), percent, whole=True), "ngram-whole-index")
-    clusters = connected_components(_candidate_links(index)).select(F.col("node").alias("rep"), F.col("root").alias("cluster"))
+    index, index_path = stored_at(_index(theirs.select("rep", "n", F.explode("tokens").alias("token")), percent, whole=True), "ngram-whole-index")
+    clusters = _clusters(index)
+    delete_path(members.sparkSession, index_path)
     again = theirs.drop("cluster").join(clusters, "rep").select(*members.columns)
     return stored(members.join(large, "cluster", "left_anti").unionByName(again), "ngram-parted")
 
 
 def _verified_links(sets: DataFrame, index: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
     """``a, b``: links that connect whatever is linked within the clusters."""
-    members = stored(sets.join(clusters, "rep").join(index.select("rep", "unshared"), "rep").select("cluster", "rep", "unshared", "n", "tokens"), "ngram-members")
-    members = _parted(members, percent)
+    found, found_path = stored_at(sets.join(clusters, "rep").join(index.select("rep", "unshared"), "rep").select("cluster", "rep", "unshared", "n", "tokens"), "ngram-members")
+    members = _parted(found, percent)
+    if members is not found:
+        delete_path(sets.sparkSession, found_path)
     hubs = members.groupBy("cluster").agg(F.min(F.struct("unshared", "rep"))["rep"].alias("hub"))
     hubs = hubs.join(members.select(F.col("rep").alias("hub"), F.col("tokens").alias("hub_tokens")), "hub")
     tried = stored(_hub_links(members, hubs, percent).drop("unshared"), "ngram-hubs")
@@ -410,7 +418,7 @@ def _components(docs: DataFrame, shingle: int, percent: int, id_col: str, text_c
     first = full.where("n > 0").groupBy("digest").agg(F.min("row").alias("rep"), F.first("n").alias("n"), F.first("first").alias("first"))
     index = stored(_index(first.select("rep", "n", F.explode("first").alias("token")), percent), "ngram-index")
     delete_path(docs.sparkSession, full_path)
-    clusters = stored(connected_components(_candidate_links(index)).select(F.col("node").alias("rep"), F.col("root").alias("cluster")), "ngram-clusters")
+    clusters = stored(_clusters(index), "ngram-clusters")
 
     sets = _sets(docs, classes.join(clusters, "rep").select("rep", "h1", "h2"), shingle)
     links = _verified_links(sets, index, clusters, percent)

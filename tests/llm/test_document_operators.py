@@ -106,6 +106,23 @@ def test_pages_of_one_template_are_not_compared_in_pairs(spark, monkeypatch):
     assert seen[0] < 50
 
 
+def test_listed_tokens_grow_with_the_sets(spark, monkeypatch):
+    """Whole sets are listed evenly: five times the pages of a template are five times the tokens, not a jump past one block."""
+    real, listed = ngram_join._index, []
+
+    def counted(first, percent, whole=False):
+        if whole:
+            listed.append(first.count())
+        return real(first, percent, whole)
+
+    monkeypatch.setattr(ngram_join, "_index", counted)
+    for n in (60, 300):
+        rows = boilerplate_pages(n, 180, 120, 1)
+        got = {r["doc_id"]: r["component_id"] for r in ngram_join.jaccard_components(frame(spark, rows), 3, 90).collect()}
+        assert got == {i: i for i in range(n)}
+    assert len(listed) == 2 and listed[1] <= 5.5 * listed[0] <= 5.5 * 60 * 298
+
+
 def test_spanning_forest_connects_what_the_pairs_do():
     rng = np.random.default_rng(2)
     for n in (0, 1, 5, 200):
