@@ -27,7 +27,10 @@ is lost.
 4. Entries connect sets to candidate clusters: sets that share an entry are
    united inside each batch of a task, and only a spanning forest and one set
    per entry go on to the shuffle by entry, where the same is done again. So
-   an entry that very many sets have is a few rows.
+   an entry that very many sets have is a few rows. Sets that are alike share
+   very many entries, which meet in as many batches: of every ``EARLY``
+   entries one is united first, and for the others a set stands as the first of
+   its component, so that they only link what is not united yet.
 5. Of clusters with more than ``FEW_SETS`` sets, whole sets are indexed in
    the same way, their tokens counted within these clusters: prefixes are as
    long as they can be, and common tokens exceed what partners must share far
@@ -52,7 +55,7 @@ columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import combinations
 
@@ -74,6 +77,8 @@ from lakeloom.plans.workspace import delete_path
 SINGLES, TWOS = 16, 512
 #: Further first tokens: as many as may be missing, but no more than this share of a set.
 MARGIN = 0.1
+#: One of so many index entries is united before the others, a power of two: sets share dozens of entries, so few are left to do.
+EARLY = 16
 #: Clusters of at most so many sets are compared as they are: less work than listing their tokens.
 FEW_SETS = 3
 #: Most sets, and about most tokens, in a block.
@@ -301,19 +306,24 @@ def _clusters(index: DataFrame) -> DataFrame:
         ]
         return pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    def united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(1)
-            offsets = lists.offsets.to_numpy()
-            entry = lists.values.to_numpy()[offsets[0] : offsets[-1]]
-            rep = np.repeat(batch.column(0).to_numpy(), np.diff(offsets))
-            at, a, b = _entry_links(entry, rep)
-            # An entry goes on with the first set of its component: what one batch unites is one set from here.
-            first = rep[at]
-            place = np.minimum(np.searchsorted(a, first), max(len(a) - 1, 0))
-            if len(a):
-                first = np.where(a[place] == first, b[place], first)
-            yield rows(entry[at], first, a, b)
+    def united(early: bool, of: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                lists = batch.column(1)
+                offsets = lists.offsets.to_numpy()
+                entry = lists.values.to_numpy()[offsets[0] : offsets[-1]]
+                rep = np.repeat(batch.column(0).to_numpy(), np.diff(offsets))
+                now = (entry % of == 0) == early
+                entry, rep = entry[now], rep[now]
+                at, a, b = _entry_links(entry, rep)
+                # An entry goes on with the first set of its component: what one batch unites is one set from here.
+                first = rep[at]
+                place = np.minimum(np.searchsorted(a, first), max(len(a) - 1, 0))
+                if len(a):
+                    first = np.where(a[place] == first, b[place], first)
+                yield rows(entry[at], first, a, b)
+
+        return run
 
     def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_entry = last_rep = np.zeros(0, np.int64)
@@ -326,11 +336,18 @@ def _clusters(index: DataFrame) -> DataFrame:
                 last_entry, last_rep = entry[-1:], rep[-1:]
                 yield rows(np.zeros(0, np.int64), np.zeros(0, np.int64), a, b)
 
-    own, own_path = stored_at(index.select("rep", "entries").mapInArrow(united, schema), "ngram-entries")
-    met = own.where("b IS NULL").select("entry", F.col("a").alias("rep")).repartition("entry").sortWithinPartitions("entry", "rep").mapInArrow(across, schema)
-    found = connected_components(own.where("b IS NOT NULL").select("a", "b").unionByName(met.select("a", "b")))
-    delete_path(index.sparkSession, own_path)
-    return found.select(F.col("node").alias("rep"), F.col("root").alias("cluster"))
+    def components(sets: DataFrame, early: bool, known: DataFrame | None = None) -> DataFrame:
+        own, own_path = stored_at(sets.mapInArrow(united(early, EARLY), schema), "ngram-entries")
+        met = own.where("b IS NULL").select("entry", F.col("a").alias("rep")).repartition("entry").sortWithinPartitions("entry", "rep").mapInArrow(across, schema)
+        links = own.where("b IS NOT NULL").select("a", "b").unionByName(met.select("a", "b"))
+        found = connected_components(links if known is None else links.unionByName(known.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+        delete_path(index.sparkSession, own_path)
+        return found
+
+    sets = index.select("rep", "entries")
+    early = components(sets, True)
+    named = sets.join(early.withColumnRenamed("node", "rep"), "rep", "left").select(F.coalesce("root", "rep").alias("rep"), "entries")
+    return components(named, False, early).select(F.col("node").alias("rep"), F.col("root").alias("cluster"))
 
 
 def _hub_links(members: DataFrame, hubs: DataFrame, percent: int) -> DataFrame:

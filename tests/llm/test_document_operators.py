@@ -123,6 +123,28 @@ def test_listed_tokens_grow_with_the_sets(spark, monkeypatch):
     assert len(listed) == 2 and listed[1] <= 5.5 * listed[0] <= 5.5 * 60 * 298
 
 
+def test_sets_that_share_many_entries_are_linked_a_few_times(spark, monkeypatch):
+    """Copies in different tasks share 200 entries each, which meet in as many batches; every sixteenth entry does for nearly all."""
+    real, made = ngram_join.connected_components, []
+    monkeypatch.setattr(ngram_join, "connected_components", lambda edges: (made.append(edges.count()), real(edges))[1])
+    rng = np.random.default_rng(5)
+    n = 150
+    shared = rng.integers(-(2**62), 2**62, (n, 200)).tolist()
+    rows = [(i + side * n, 0, shared[i]) for side in (0, 1) for i in range(n)]
+    # A chain of sets with one entry in common each, whatever its remainder.
+    rows += [(2 * n + i, 0, [7000 + i, 7001 + i]) for i in range(40)] + [(3 * n, 0, [1])]
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, 300)
+    try:
+        index = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2), "rep long, unshared long, entries array<long>")
+        got = {r["rep"]: r["cluster"] for r in ngram_join._clusters(index).collect()}
+    finally:
+        spark.conf.set(limit, before)
+    assert got == {i + side * n: i for side in (0, 1) for i in range(n)} | {2 * n + i: 2 * n for i in range(40)}
+    assert sum(made) < 25 * n
+
+
 def test_spanning_forest_connects_what_the_pairs_do():
     rng = np.random.default_rng(2)
     for n in (0, 1, 5, 200):
