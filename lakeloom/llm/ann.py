@@ -15,7 +15,9 @@ A query walks the graph from its own node: of the best nodes met so far those
 not yet expanded bring their neighbours, until the best ``pool`` are all
 expanded. A query is one row, with its pool and the nodes it has met; all
 queries take each step together, and of a step only nodes that a query has not
-met are joined with their vectors.
+met are joined with their vectors. What all queries ask for in a step is counted
+and broadcast only up to ``BROADCAST_ASKED`` rows; any more are shuffled, so the
+driver's memory does not depend on the number of queries.
 
 What the joins carry are codes, one byte a component; each of the returned
 scores is the cosine of the original vectors in double precision, of which
@@ -44,6 +46,8 @@ from lakeloom.plans.workspace import delete_path
 
 #: So many times the nodes that an answer can need are scored on their original vectors.
 RESCORED = 4
+#: So many nodes that walks ask for are broadcast at most: about 10 MB in the driver.
+BROADCAST_ASKED = 200_000
 
 _EDGES = T.StructType([T.StructField("src", T.LongType()), T.StructField("dst", T.LongType()), T.StructField("sim", T.FloatType())])
 
@@ -267,6 +271,15 @@ def _each_walk(rows: DataFrame, change) -> DataFrame:
     return rows.mapInArrow(run, _WALK)
 
 
+def _asked(walks: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``query`` and the nodes that it asks for, a row each, to be joined; and how many these are."""
+    n = walks.agg(F.sum(F.size("ask"))).first()[0] or 0
+    rows = walks.select("query", F.explode("ask").alias(name))
+    # Counted, as Spark takes each list for one value and a stored walk for mostly other columns: by its estimate
+    # the driver would gather lists of over thirty times the broadcast limit.
+    return F.broadcast(rows) if n <= BROADCAST_ASKED else rows.hint("merge"), n
+
+
 def greedy_search(queries: DataFrame, codes: DataFrame, graph: DataFrame, pool: int = 320, beam: int = 40, reverse: int = 30, most_steps: int = 40) -> DataFrame:
     """``query, node, sim``: the best ``pool`` nodes that each query node (column ``query``) meets."""
     spark = queries.sparkSession
@@ -293,12 +306,14 @@ def greedy_search(queries: DataFrame, codes: DataFrame, graph: DataFrame, pool:
     none = [F.lit(None).cast(f.dataType).alias(f.name) for f in _WALK.fields[2:]]
     walks, path = stored_at(_each_walk(first.select("query", "code", *none), expand), "ann-walks")
     for _ in range(most_steps):
-        if not walks.where(F.size("ask") > 0).head(1):
+        asked, n = _asked(walks, "at")
+        if not n:
             break
         # Neighbours of the expanded nodes, then the vectors of those not met before: bounded lists a query.
-        front = walks.select("query", F.explode("ask").alias("at")).join(ways, "at").groupBy("query").agg(F.collect_list("to").alias("found"))
+        front = asked.join(ways, "at").groupBy("query").agg(F.collect_list("to").alias("found"))
         reached, reached_path = stored_at(_each_walk(walks.join(front, "query", "left"), reach), "ann-reached")
-        vectors = reached.select("query", F.explode("ask").alias("node")).join(codes, "node").groupBy("query").agg(F.collect_list(F.struct("node", "code")).alias("met"))
+        fresh, _ = _asked(reached, "node")
+        vectors = fresh.join(codes, "node").groupBy("query").agg(F.collect_list(F.struct("node", "code")).alias("met"))
         last = path
         walks, path = stored_at(_each_walk(reached.join(vectors, "query", "left"), meet), "ann-walks")
         delete_path(spark, last)

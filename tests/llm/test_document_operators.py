@@ -11,7 +11,7 @@ from llm_helpers import awkward_rows, frame, prose
 from pyspark.sql import functions as F
 
 from lakeloom.llm import ann, mixing, ngram_join, repeats, stream_dedup, suffixes, toxicity
-from lakeloom.llm.common import located
+from lakeloom.llm.common import located, scratch, stored
 from lakeloom.llm.components import connected_components
 from lakeloom.plans.workspace import work_dir
 
@@ -662,3 +662,38 @@ def test_nearest_of_few(spark):
     assert ann.nearest(make([(0, [1.0, 0.0])]), F.col("vec_id") % 50 == 0).count() == 0
     got = ann.nearest(make([(0, [1.0, 0.0]), (1, [1.0, 0.1]), (2, [0.0, 1.0]), (3, [2.0, 0.0])]), F.col("vec_id") % 50 == 0).collect()
     assert [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"])] == [3, 1, 2]
+
+
+def test_walks_broadcast_what_was_counted(spark, monkeypatch):
+    """However many queries walk at once, the driver gathers few of the rows that they ask for."""
+    rng = np.random.default_rng(6)
+    n, queries = 3000, 200
+    unit = rng.standard_normal((n, 128)).astype(np.float32)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    to = rng.integers(0, n, (n, 30))  # of random neighbours, so that a step meets many nodes
+    nodes = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(unit)], "node long, unit array<float>")
+    edges = spark.createDataFrame([(i, int(j), float(unit[i] @ unit[j])) for i in range(n) for j in set(to[i]) - {i}], "src long, dst long, sim float")
+    stored_at, steps = ann.stored_at, []
+
+    def watched(df, name):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        gathered = re.search(r"BroadcastExchange .*\n(?:[^\n]*\n){0,3}[^\n]*Generate explode\(ask", plan)
+        steps.append([bool(gathered), steps[-1][2] if steps else 0, 0])
+        out, path = stored_at(df, name)
+        steps[-1][2] = out.agg(F.sum(F.size("ask"))).first()[0]
+        return out, path
+
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "256k")  # less than the codes
+    try:
+        with scratch(spark):
+            codes = stored(ann.codes_of(nodes), "codes")
+            graph = stored(edges, "graph")
+            monkeypatch.setattr(ann, "stored_at", watched)
+            met = ann.greedy_search(spark.range(queries).withColumnRenamed("id", "query"), codes, graph, pool=80, most_steps=3).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    asked = [n for _, n, _ in steps]
+    assert max(asked) > 250_000 and any(gathered for gathered, *_ in steps)
+    assert all(n <= 200_000 for gathered, n, _ in steps if gathered)
+    assert Counter(r["query"] for r in met) == {q: 80 for q in range(queries)}
